@@ -4,16 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inuring.llm.quality import quality_report
+from inuring.llm.secrets import BASE_RULES, scan_secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def _joined(spans: Column) -> Column:
+    """kind:start:end of the spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kinds(kinds: list[str]) -> Column:
+    return F.filter("found", lambda s: s["kind"].isin(kinds))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"), name="found")
+    base = [r.kind for r in BASE_RULES]
+    counts = [F.size(_of_kinds([k])).cast("long").alias(f"n_{k}") for k in base]
+    digest = F.sha2(_joined(_of_kinds(base)), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), _joined(F.col("found")).alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -21,6 +39,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_secret_scans": op5_secret_scans,
     "op8_quality_rules": op8_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
