@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inuring.llm.decontam import find_matches, items_hit, words_hit
+from inuring.llm.licenses import scan_licenses
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 
@@ -39,6 +40,22 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    starts = F.transform("phrases", lambda p: p["start"])
+    base = F.array_sort(F.array_distinct(F.transform("phrases", lambda p: p["label"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -48,6 +65,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op5_secret_scans": op5_secret_scans,
+    "op6_license_scans": op6_license_scans,
     "op8_quality_rules": op8_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
