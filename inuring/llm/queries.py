@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inuring.llm.decontam import find_matches, items_hit, words_hit
 from inuring.llm.licenses import scan_licenses
+from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 
@@ -62,10 +63,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op5_secret_scans": op5_secret_scans,
     "op6_license_scans": op6_license_scans,
     "op8_quality_rules": op8_quality_rules,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
