@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inuring.llm.decontam import find_matches, items_hit, words_hit
+from inuring.llm.encoding import token_output
 from inuring.llm.licenses import scan_licenses
 from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
@@ -57,6 +58,13 @@ def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = token_output(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -72,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op5_secret_scans": op5_secret_scans,
     "op6_license_scans": op6_license_scans,
+    "op7_token_id_output": op7_token_id_output,
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
