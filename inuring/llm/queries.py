@@ -13,12 +13,18 @@ from inuring.llm.licenses import scan_licenses
 from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
+from inuring.llm.sharding import assign_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = assign_shards(table(spark, sf_dir, "documents", "doc_id", "source", "text"), 24)
+    return placed.select("doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     found = found.select("doc_id", "n_words", words_hit(F.col("matches")).alias("n_hit"), items_hit(F.col("matches")).alias("items"))
@@ -77,6 +83,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op5_secret_scans": op5_secret_scans,
     "op6_license_scans": op6_license_scans,
