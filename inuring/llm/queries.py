@@ -14,6 +14,7 @@ from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 from inuring.llm.sharding import assign_shards
+from inuring.llm.wordpiece import byte_pieces, count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -31,6 +32,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return count_tokens(docs, *byte_pieces(public_tokenizers.path("byte_bpe_50k.json"))).drop("text")
+
+
 def _joined(spans: Column) -> Column:
     """kind:start:end of the spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -85,6 +93,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
+    "op3_token_counts": op3_token_counts,
     "op5_secret_scans": op5_secret_scans,
     "op6_license_scans": op6_license_scans,
     "op7_token_id_output": op7_token_id_output,
