@@ -14,6 +14,7 @@ from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 from inuring.llm.sharding import assign_shards
+from inuring.llm.urls import judge_urls
 from inuring.llm.wordpiece import byte_pieces, count_tokens
 
 
@@ -39,6 +40,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, *byte_pieces(public_tokenizers.path("byte_bpe_50k.json"))).drop("text")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "score", "verdict")
+
+
 def _joined(spans: Column) -> Column:
     """kind:start:end of the spans, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_url_filters": op4_url_filters,
     "op5_secret_scans": op5_secret_scans,
     "op6_license_scans": op6_license_scans,
     "op7_token_id_output": op7_token_id_output,
