@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from inuring.llm.decontam import find_matches, items_hit, words_hit
 from inuring.llm.encoding import token_output
 from inuring.llm.licenses import scan_licenses
+from inuring.llm.mixing import label_domains, mix
 from inuring.llm.neardup import near_duplicates
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
@@ -95,6 +96,16 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+#: Shares of the tokens that the domains are to have.
+TARGETS = {"good": 0.92, "poor": 0.07, "toxic": 0.01}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    mixed = mix(docs, label_domains(table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")), TARGETS)
+    return mixed.select("doc_id", "source", "n_tokens", *[F.col("memberships")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -105,5 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_id_output": op7_token_id_output,
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {}
