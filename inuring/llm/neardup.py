@@ -4,12 +4,14 @@ Each text becomes its set of word shingles and a signature of minwise values. Te
 branches the classes by some of their minwise values: the children of a node are the values that its members have at the
 coordinates that the node's own number picks. Members of small nodes are compared with each other. A large node's members
 are compared with one of them, its centre; if that leaves its members in more than one component, the node branches
-again. Large nodes that are left at the last depth are compared exhaustively in blocks. Comparisons within a component are
-left out: they can't change it. Candidates are first held against their signatures, links are confirmed on full sets.
+again, unless its members are much alike: those branching can't part, so they are compared exhaustively, block against
+block on full sets, as are the large nodes that are left at the last depth. Comparisons within a component are left out:
+they can't change it. Other candidates are first held against their signatures, then confirmed on full sets.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -30,8 +32,9 @@ TREES, FORKS, SIGNATURE = 5, 2, 64
 DEPTH = 4
 #: Members up to which a node is compared exhaustively.
 SMALL = 16
-#: Members of a block where a node is compared in blocks.
-BLOCK = 256
+#: Mean share of signature values that a large node's members have in common with its centre, from which they are compared
+#: exhaustively; shingles of a block then, and those that are looked at together.
+ALIKE, BLOCK_SHINGLES, COLUMNS = 0.45, 1 << 20, 1 << 15
 #: Equal signature values that a candidate needs: more than four standard deviations below the expected number.
 LEAST_EQUAL = 32
 
@@ -178,26 +181,69 @@ def _candidates(members: DataFrame, roots: DataFrame | None) -> tuple[DataFrame,
     return small.union(stars).distinct(), large.select("node", "cls")
 
 
-def _exhaustive(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of members of one node in different components whose signatures agree enough, block against block."""
-    sizes = members.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = members.distinct().join(sizes, "node").join(roots, "cls", "left").join(classes.select("cls", "sig"), "cls")
-    own = own.withColumn("root", F.coalesce("root", "cls")).withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    own = own.select("node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") <= F.col("other")).alias("first"), "cls", "root", "sig")
+def _alike(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node) of the large nodes whose members agree with one of them in many signature values."""
+    sig = classes.select("cls", "sig")
+    centres = large.groupBy("node").agg(F.min("cls").alias("cls")).join(sig, "cls").select("node", F.col("sig").alias("centre"))
+    agree = F.aggregate(F.zip_with("sig", "centre", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return large.join(sig, "cls").join(centres, "node").groupBy("node").agg(F.avg(agree).alias("agree")).where(F.col("agree") >= ALIKE * SIGNATURE).select("node")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each left set shares with each right set, by bit sets over those that stand on both sides."""
+    number, side = np.concatenate([*left, *right]), np.repeat(np.arange(2), [sum(map(len, left)), sum(map(len, right))])
+    row = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)])
+    distinct, column = np.unique(number, return_inverse=True)
+    column = column.ravel()
+    both = (np.bincount(column[side == 0], minlength=len(distinct)) > 0) & (np.bincount(column[side == 1], minlength=len(distinct)) > 0)
+    place = np.cumsum(both) - 1
+    keep = both[column]
+    column, row, side = place[column[keep]], row[keep], side[keep]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for first in range(0, int(both.sum()), COLUMNS):
+        bits = []
+        for k, n in enumerate((len(left), len(right))):
+            mine = (side == k) & (column >= first) & (column < first + COLUMNS)
+            flags = np.zeros((n, COLUMNS // 8), np.uint8)
+            at = column[mine] - first
+            np.bitwise_or.at(flags, (row[mine], at >> 3), (1 << (at & 7)).astype(np.uint8))
+            bits.append(flags.view(np.uint64))
+        for i, x in enumerate(bits[0]):
+            out[i] += np.bitwise_count(bits[1] & x).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _exhaustive(df: DataFrame, id: str, text: str, members: DataFrame, classes: DataFrame, roots: DataFrame, least: int, shingle: int) -> DataFrame:
+    """Links (a, b) between members of one node in different components. Nodes are cut into blocks by their shingles; two
+    members that share several of the nodes are compared in that of the smallest number."""
+    members = members.distinct()
+    wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "rep", "n")
+    sets = written(full_sets(df, id, text, wanted, shingle))
+    sizes = members.join(wanted.select("cls", "n"), "cls").groupBy("node").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    nodes = members.groupBy("cls").agg(F.array_sort(F.collect_set("node")).alias("nodes"))  # at most one for each path of the trees
+    own = members.join(sizes, "node").join(nodes, "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    own = own.withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.select("cls", "node", "nodes", "root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine").join(sets, "cls")
 
     def compare(batch):
-        sig = np.stack(batch["sig"].to_numpy())
-        cls, root = batch["cls"].to_numpy(), batch["root"].to_numpy()
-        same = int(batch["i"].iloc[0]) == int(batch["j"].iloc[0])
-        rows = np.arange(len(sig)) if same else np.flatnonzero(batch["first"].to_numpy())
-        cols = rows if same else np.flatnonzero(~batch["first"].to_numpy())
-        found = []
-        for x in rows:
-            for y in cols[(sig[cols] == sig[x]).sum(axis=1) >= LEAST_EQUAL]:
-                if root[x] != root[y]:
-                    found.append((min(cls[x], cls[y]), max(cls[x], cls[y])))
-        return batch.iloc[:0].reindex(columns=["a", "b"]) if not found else type(batch)(found, columns=["a", "b"])
+        node, i, j = int(batch["node"].iloc[0]), int(batch["i"].iloc[0]), int(batch["j"].iloc[0])
+        batch = batch.sort_values("cls", ignore_index=True)
+        mine = batch["mine"].to_numpy()
+        rows, cols = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        cls, root = batch["cls"].to_numpy(), np.unique(batch["root"].to_numpy(), return_inverse=True)[1].ravel()
+        sets = [np.asarray(x, np.int64) for x in batch["shingles"]]
+        n = np.array([len(x) for x in sets])
+        lists = [{v for v in x if v < node} for x in batch["nodes"]]
+        most = Counter(v for x in lists for v in x).most_common(1)
+        done = np.array([bool(most) and most[0][0] in x for x in lists])  # pairs of these are compared elsewhere
+        found = set()
+        for x, y in ((rows[~done[rows]], cols), (rows[done[rows]], cols[~done[cols]])):
+            if len(x) and len(y):
+                common = common_counts([sets[k] for k in x], [sets[k] for k in y])
+                linked = (100 * common >= least * (n[x][:, None] + n[y] - common)) & (root[x][:, None] != root[y])
+                found |= {(min(p, q), max(p, q)) for p, q in zip(x[np.nonzero(linked)[0]].tolist(), y[np.nonzero(linked)[1]].tolist())}
+        pairs = [(cls[p], cls[q]) for p, q in sorted(found) if not lists[p] & lists[q]]  # rows are in the order of cls
+        return type(batch)(pairs, columns=["a", "b"])
 
     return own.groupBy("node", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
 
@@ -226,22 +272,29 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", least
     sketch = written(sketches(df, id, text, shingle))
     classes = written(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     links: list[DataFrame] = []
-    roots, members = None, _roots(classes)
-    for depth in range(DEPTH + 1):
-        if depth == DEPTH:
-            pairs = _exhaustive(members, classes, roots)
-        else:
-            pairs, large = _candidates(members, roots)
-            large = written(large)
+    rest: list[DataFrame] = []
+    members = _roots(classes)
+    roots = None
+    for depth in range(DEPTH):
+        pairs, large = _candidates(members, roots)
+        large = written(large)
         links.append(written(_confirmed(df, id, text, pairs, classes, least, shingle)))
         roots = written(components(reduce(DataFrame.union, links)))
-        if depth == DEPTH:
-            break
-        mixed = large.join(roots, "cls", "left").groupBy("node").agg(F.min(F.coalesce("root", "cls")).alias("r0"), F.max(F.coalesce("root", "cls")).alias("r1")).where("r0 != r1").select("node")
-        large = written(large.join(mixed, "node", "left_semi"))
+        named = large.join(roots, "cls", "left").groupBy("node").agg(F.min(F.coalesce("root", "cls")).alias("r0"), F.max(F.coalesce("root", "cls")).alias("r1"))
+        large = written(large.join(named.where("r0 != r1").select("node"), "node", "left_semi"))
         if large.isEmpty():
             break
-        members = written(_children(large.join(classes.select("cls", "sig"), "cls")).distinct()) if depth + 1 < DEPTH else large
+        if depth + 1 == DEPTH:
+            rest.append(large)
+            break
+        alike = written(_alike(large, classes))
+        rest.append(large.join(alike, "node", "left_semi"))
+        members = written(_children(large.join(alike, "node", "left_anti").join(classes.select("cls", "sig"), "cls")).distinct())
+        if members.isEmpty():
+            break
+    if rest:
+        links.append(written(_exhaustive(df, id, text, written(reduce(DataFrame.union, rest)), classes, roots, least, shingle)))
+        roots = written(components(reduce(DataFrame.union, links)))
     whole = classes.select("cls", "rep").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = whole.groupBy("root").agg(F.min("rep").alias("component"))
     by_class = whole.join(smallest, "root").select("cls", "component")
