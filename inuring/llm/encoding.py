@@ -17,23 +17,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inuring.llm.scratch import folder
+from inuring.llm.scratch import folder, remove
 from inuring.llm.text import SPACE, Texts, add_columns, byte_table, chunks, list_array
 
 #: Distinct pieces of text whose ids a worker keeps at hand.
 CACHE_PIECES = 300_000
 #: Ranges of document ids that the table is dealt into, for each shuffle partition, and in all.
 RANGES_A_PARTITION, MOST_RANGES = 4, 20_000
-#: A space before one of these may belong to a run of white space (ASCII, or the lead byte of other white space).
+#: White space, or the lead byte of a character that may be.
 _MAY_BE_SPACE = SPACE | byte_table([(0xC2, 0xC2), (0xE1, 0xE3)])
+_ALNUM = byte_table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)])
+_PUNCTUATION = byte_table([(0x21, 0x7E)]) & ~_ALNUM
+_LINE = 0x0A
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer of byte-level pieces.
 
-    Its pre-tokens take a leading space, so text may be cut before a space that a non-space character follows without
-    changing an id; equal pieces are encoded once.
+    Its pre-tokens are runs of letters, digits or other signs with at most one leading space, or of white space. So text may
+    be cut before a space that a non-space character follows, between an ASCII letter or digit and a sign, and around a
+    line end between two such characters, but not inside an added token, without changing an id; equal pieces are encoded once.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -42,36 +46,65 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.whole = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self, pieces: list[str]) -> np.ndarray:
+    def _ids(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of each piece. Pieces are encoded together, a line end between them, which is a token of its own there."""
+        out = []
+        for a in range(0, len(pieces), 5000):
+            part = pieces[a : a + 5000]
+            together = b"\n".join(part)
+            if self.line is not None and together.count(b"\n") == len(part) - 1:
+                ids = np.array(self.tokenizer.encode_batch_fast([together.decode("utf-8", "replace")], add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(ids == self.line)
+                if len(ends) == len(part) - 1:
+                    first, last = np.concatenate([[0], ends + 1]), np.concatenate([ends, [len(ids)]])
+                    out += [ids[x:y] for x, y in zip(first.tolist(), last.tolist())]
+                    continue
+            out += [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)]
+        return out
+
+    def _learn(self, pieces: list[bytes]) -> np.ndarray:
         """A number for each of the distinct pieces; new ones are encoded."""
         if len(self.number) > CACHE_PIECES:
             self._clear()
-        new = [p for p in pieces if p not in self.number]
-        parts, sizes = [self.ids], []
-        for a in range(0, len(new), 20_000):
-            for found in self.tokenizer.encode_batch_fast(new[a : a + 20_000], add_special_tokens=False):
-                sizes.append(len(found.ids))
-                parts.append(np.array(found.ids, np.uint32))
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.ids = np.concatenate(parts)
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.array(sizes, np.int64))])
-        return np.fromiter((self.number[p] for p in pieces), np.int64, len(pieces))
+        number = self.number
+        new = [p for p in pieces if p not in number]
+        plain = [p for p in new if b"\n" not in p]
+        new = plain + [p for p in new if b"\n" in p]
+        found = self._ids(plain) + self._ids(new[len(plain) :])
+        number.update(zip(new, range(len(number), len(number) + len(new))))
+        self.ids = np.concatenate([self.ids, *found])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        return np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
 
     def encode(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in turn, each closed by ``end_id``, and how many each has."""
         data, n = texts.data, len(texts)
-        follows = np.ones(len(data), bool)
-        follows[:-1] = _MAY_BE_SPACE[data[1:]]
-        cuts = np.unique(np.concatenate([np.flatnonzero((data == 0x20) & ~follows), texts.bounds[:-1][np.diff(texts.bounds) > 0]]))
+        may_be_space, alnum, line = _MAY_BE_SPACE[data], _ALNUM[data], data == _LINE
+        cut = np.zeros(len(data) + 1, bool)
+        cut[:-2] = (data[:-1] == 0x20) & ~may_be_space[1:]
+        sign = _PUNCTUATION[data]
+        cut[1:-1] |= (alnum[:-1] & sign[1:]) | ((alnum | sign)[:-1] & line[1:])
+        cut[2:-1] |= (alnum | sign)[:-2] & line[1:-1] & alnum[2:]  # a longer run of white space is not one token there
+        raw = data.tobytes()
+        for token in self.whole:  # added tokens are found in the text before it is cut
+            at = raw.find(token)
+            while at >= 0:
+                cut[at + 1 : at + len(token)] = False
+                at = raw.find(token, at + 1)
+        cut[texts.bounds[:-1]] = True
+        cuts = np.flatnonzero(cut[:-1])
         offsets = np.append(cuts, len(data)).astype(np.int32)
         pieces = pa.BinaryArray.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        which = self._learn(pieces.dictionary.cast(pa.string()).to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)]
+        which = self._learn(pieces.dictionary.to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)]
         many = self.first[which + 1] - self.first[which]
         until = np.concatenate([[0], np.cumsum(many)])
         counts = np.diff(until[np.searchsorted(cuts, texts.bounds)]) + 1
@@ -133,19 +166,29 @@ def _raw(column: pa.Array) -> np.ndarray:
     return np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
 
 
-def id_by_rank(df: DataFrame, text: str, tokenizer, end_id: int, vocabulary: int) -> np.ndarray:
+def token_ids(df: DataFrame, text: str, tokenizer, end_id: int, vocabulary: int) -> DataFrame:
+    """``df`` with ``n_tokens`` and ``ids``, little-endian numbers of two bytes where the vocabulary allows, else of four."""
+    kind = np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
+
+    def encode(texts: Texts, _) -> list:
+        ids, counts = _encoder(tokenizer).encode(texts, end_id)
+        return [counts, _binaries(ids.astype(kind).view(np.uint8), counts * kind.itemsize)]
+
+    return add_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], encode)
+
+
+def id_by_rank(ids: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
     """The ids from the most to the least frequent in the whole table; equal counts go by id."""
 
     def count(batches):
-        total = np.zeros(max(vocabulary, end_id + 1), np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for _, texts in chunks(batch, text):
-                total += np.bincount(_encoder(tokenizer).encode(texts, end_id)[0], minlength=len(total))
+            total += np.bincount(_raw(batch.column(0)).view(kind), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"token": seen, "n": total[seen]})
 
-    rows = df.select(text).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary at most
-    total = np.zeros(max(vocabulary, end_id + 1), np.int64)
+    rows = ids.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary at most
+    total = np.zeros(size, np.int64)
     for r in rows:
         total[r.token] = r.n
     return np.argsort(-total, kind="stable").astype(np.uint32)
@@ -155,33 +198,40 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, end_id: int, id:
     """Encode all texts and write them to ``path``/tokens in ascending order of ids, and the ids by rank to ``path``/ranks.
 
     Null and empty texts have the end id only. Null ids come first; rows of one id are ordered by length and content, so
-    equal rows give the same files in any order. An empty table gives empty files. Two passes encode the texts, so no ids
-    are stored but the packed ones; they are shuffled once, to ranges of document ids.
+    equal rows give the same files in any order. An empty table gives empty files. Texts are encoded once, to a table in the
+    shared folder that is deleted at the end; packed ids are shuffled once, to ranges of document ids.
     """
     spark = df.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
         tokenizer = f.read()
     vocabulary = Encoder(tokenizer).vocabulary
+    size = max(vocabulary, end_id + 1)
+    kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
     sent = spark.sparkContext.broadcast(tokenizer)
     plain = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    by_rank = id_by_rank(plain, "text", sent, end_id, vocabulary)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(MOST_RANGES, RANGES_A_PARTITION * parts)
+    bounds = plain.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 20 * n).alias("b")).first()["b"] or []
+    ranged = plain.withColumn("part", _range(sorted(set(bounds))))
+    encoded = f"{path}/encoded"
+    token_ids(ranged, "text", sent, end_id, vocabulary).drop("text").write.option("compression", "zstd").parquet(encoded)
+    ids = spark.read.parquet(encoded)
+    by_rank = id_by_rank(ids, kind, size)
     rank = np.empty_like(by_rank)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     ranks = spark.sparkContext.broadcast(rank)  # one number for each id of the vocabulary
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(by_rank)], "rank long, token long").coalesce(1).write.parquet(f"{path}/ranks")
 
-    n = min(MOST_RANGES, RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = plain.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 20 * n).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    def encode(texts: Texts, _) -> list:
-        ids, counts = _encoder(sent).encode(texts, end_id)
-        control, data, n_control, n_data = pack(ranks.value[ids], counts)
-        return [counts, _binaries(control, n_control), _binaries(data, n_data)]
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                get = lambda k: part.column(part.schema.get_field_index(k))  # noqa: B023, E731
+                control, data, n_control, n_data = pack(ranks.value[_raw(get("ids")).view(kind)], get("n_tokens").to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([get("id"), get("part"), get("n_tokens"), _binaries(control, n_control), _binaries(data, n_data)], names=["id", "part", "n_tokens", "control", "data"])
 
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())]
-    packed = add_columns(plain.withColumn("part", _range(bounds)), "text", fields, encode).drop("text")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    in_order = packed.repartition(parts, "part").sortWithinPartitions("part", "id", "n_tokens", "control", "data")
+    schema = T.StructType([*ids.drop("ids").schema.fields, T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
+    in_order = ids.mapInArrow(packed, schema).repartition(parts, "part").sortWithinPartitions("part", "id", "n_tokens", "control", "data")
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = None, 0
@@ -198,8 +248,9 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, end_id: int, id:
             part, done = own[-1], int(before[-1] + counts[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, "before"])
 
-    schema = T.StructType([*packed.schema.fields, T.StructField("before", T.LongType())])
-    in_order.mapInArrow(running, schema).write.option("compression", "none").parquet(f"{path}/tokens")
+    schema = T.StructType([*schema.fields, T.StructField("before", T.LongType())])
+    in_order.mapInArrow(running, schema).write.option("compression", "zstd").parquet(f"{path}/tokens")
+    remove(spark, encoded)
 
 
 def _range(bounds: list) -> Column:
