@@ -29,7 +29,7 @@ LEAST = 75
 #: Independent trees, coordinates that a node branches by, and minwise values in a signature. Two sets of the least similarity
 #: share a first node with probability 1 - 0.25**10; a path of three forks survives in one of the trees with 1 - 0.1**5.
 TREES, FORKS, SIGNATURE = 5, 2, 64
-DEPTH = 4
+DEPTH = 3
 #: Members up to which a node is compared exhaustively.
 SMALL = 16
 #: Mean share of signature values that a large node's members have in common with its centre, from which they are compared
@@ -138,7 +138,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
+        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b").where(F.col("a") != F.col("b"))
         # a < b holds in every link: for b the smaller neighbours are the a
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         joined = large.join(low, "b")
@@ -151,6 +151,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("cls"), F.col("a").alias("root")).union(edges.select(F.col("a").alias("cls"), F.col("a").alias("root"))).distinct()
 
 
+def labels(links: DataFrame) -> DataFrame:
+    """(cls, root) for each end of the links: the smallest label of its neighbours, where a label is the smallest neighbour.
+    Equal roots are in one component; a component may still have several. Cheap enough for each level of the trees."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    one = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
+    two = both.join(one.select(F.col("a").alias("b"), "root"), "b").select("a", "root").union(one)
+    return two.groupBy(F.col("a").alias("cls")).agg(F.min("root").alias("root"))
+
+
 def _children(members: DataFrame) -> DataFrame:
     """The nodes below: for each fork the coordinate comes from the node's number, the child from the value there."""
     forks = [F.xxhash64("node", F.lit(k), F.element_at("sig", (F.pmod(F.xxhash64(F.lit(k), "node"), F.lit(SIGNATURE)) + 1).cast("int"))) for k in range(FORKS)]
@@ -279,7 +288,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", least
         pairs, large = _candidates(members, roots)
         large = written(large)
         links.append(written(_confirmed(df, id, text, pairs, classes, least, shingle)))
-        roots = written(components(reduce(DataFrame.union, links)))
+        roots = written(labels(reduce(DataFrame.union, links)))
         named = large.join(roots, "cls", "left").groupBy("node").agg(F.min(F.coalesce("root", "cls")).alias("r0"), F.max(F.coalesce("root", "cls")).alias("r1"))
         large = written(large.join(named.where("r0 != r1").select("node"), "node", "left_semi"))
         if large.isEmpty():
@@ -294,7 +303,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", least
             break
     if rest:
         links.append(written(_exhaustive(df, id, text, written(reduce(DataFrame.union, rest)), classes, roots, least, shingle)))
-        roots = written(components(reduce(DataFrame.union, links)))
+    roots = written(components(reduce(DataFrame.union, links)))
     whole = classes.select("cls", "rep").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = whole.groupBy("root").agg(F.min("rep").alias("component"))
     by_class = whole.join(smallest, "root").select("cls", "component")
