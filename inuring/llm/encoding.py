@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inuring.llm.scratch import folder, remove
-from inuring.llm.text import SPACE, Texts, add_columns, byte_table, chunks, list_array
+from inuring.llm.text import CHUNK_BYTES, SPACE, Texts, add_columns, byte_table, list_array
 
 #: Distinct pieces of text whose ids a worker keeps at hand.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 #: Ranges of document ids that the table is dealt into, for each shuffle partition, and in all.
 RANGES_A_PARTITION, MOST_RANGES = 4, 20_000
 #: White space, or the lead byte of a character that may be.
@@ -174,7 +174,7 @@ def token_ids(df: DataFrame, text: str, tokenizer, end_id: int, vocabulary: int)
         ids, counts = _encoder(tokenizer).encode(texts, end_id)
         return [counts, _binaries(ids.astype(kind).view(np.uint8), counts * kind.itemsize)]
 
-    return add_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], encode)
+    return add_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], encode, limit=2 * CHUNK_BYTES)
 
 
 def id_by_rank(ids: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
