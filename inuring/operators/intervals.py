@@ -68,7 +68,7 @@ def net_cessions(c: DataFrame, unit: str, program: list[str]) -> DataFrame:
     pieces = pieces.withColumn("active", active)
     sums = F.transform(levels, lambda v: F.aggregate(F.filter("active", lambda q: q["q_level"] == v), F.lit(0.0), lambda x, q: x + q["q_gross"]))
     left = F.aggregate(sums, F.lit(1.0), lambda x, g: x * (1 - g))
-    return pieces.select(unit, "level", *program, F.col("piece_start").alias("start"), F.col("piece_end").alias("end"), "gross", F.round(F.col("gross") * left, 9).alias("net"))
+    return pieces.select(unit, "level", *program, F.col("piece_start").alias("start"), F.col("piece_end").alias("end"), "gross", (F.col("gross") * left).alias("net"))
 
 
 def day_ranges(df: DataFrame, s: str, e: str) -> DataFrame:

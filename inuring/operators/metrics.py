@@ -13,11 +13,12 @@ def peak_limits(df: DataFrame, key: list[str], s: str, e: str, value: str) -> Da
 
     Changes at the periods' bounds instead of a row for each day.
     """
-    up = df.select(*key, F.col(s).alias("at"), F.col(value).alias("x"), F.lit(1).alias("k"))
-    down = df.select(*key, F.date_add(F.col(e), 1).alias("at"), (-F.col(value)).alias("x"), F.lit(-1).alias("k"))
-    changes = up.union(down).groupBy(*key, "at").agg(F.sum("x").alias("x"), F.sum("k").alias("k"))
-    w = Window.partitionBy(*key).orderBy("at")
-    return changes.select(*key, F.sum("x").over(w).alias("x"), F.sum("k").over(w).alias("k")).where("k > 0").groupBy(*key).agg(F.max("x").alias("peak"))
+    up = df.select(*key, F.col(s).alias("_at"), F.col(value).alias("_sum"), F.lit(1).alias("_open"))
+    down = df.select(*key, F.date_add(F.col(e), 1).alias("_at"), (-F.col(value)).alias("_sum"), F.lit(-1).alias("_open"))
+    changes = up.union(down).groupBy(*key, "_at").agg(F.sum("_sum").alias("_sum"), F.sum("_open").alias("_open"))
+    w = Window.partitionBy(*key).orderBy("_at")
+    running = changes.select(*key, F.sum("_sum").over(w).alias("_sum"), F.sum("_open").over(w).alias("_open"))
+    return running.where("_open > 0").groupBy(*key).agg(F.max("_sum").alias("peak"))
 
 
 def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rates: DataFrame, placements: DataFrame) -> DataFrame:
