@@ -12,6 +12,7 @@ from inuring.llm.encoding import token_output
 from inuring.llm.licenses import scan_licenses
 from inuring.llm.mixing import label_domains, mix
 from inuring.llm.neardup import near_duplicates
+from inuring.llm.oracles import ORACLE_SQL  # noqa: F401
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 from inuring.llm.sharding import assign_shards
@@ -118,4 +119,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_mixing": op10_mixing,
 }
-ORACLE_SQL: dict[str, str] = {}
