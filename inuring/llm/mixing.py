@@ -24,9 +24,12 @@ MOST_LABELLED = 10_000
 #: Words that the classifier looks for: those in so many documents of a domain that make it likelier by this log-odds ratio at
 #: least, by its z-score.
 MOST_WORDS, LEAST_SEEN, LEAST_ODDS, LEAST_Z = 400, 5, 2.0, 3.0
-#: Steps of the fit at most, and the largest distance from a target, as a share of all tokens, that ends it.
-STEPS, CLOSE = 60, 1e-4
+#: Steps of the fit at most, and the share of all tokens that ends it: as the distance from every target, or as the change of
+#: every domain in a step.
+STEPS, CLOSE = 30, 1e-4
 UNIT = 1000
+#: Distinct probabilities up to which their rates are sent to all tasks; with three domains there are never more.
+MOST_POINTS = 600_000
 
 
 def words_of(text: Column) -> Column:
@@ -120,13 +123,15 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, clos
     """
     k = len(targets)
     path: list[list[float]] = []
-    at_one = None
+    at_one = last = None
     for _ in range(steps + 1):
         sums = members.withColumn("rate", rate(path)).agg(*[F.coalesce(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"m{j}") / UNIT), F.lit(0.0)).alias(f"e{j}") for j in range(k)]).first()
         have = [float(sums[f"e{j}"]) for j in range(k)]
         at_one = at_one or have
-        if sum(at_one) == 0 or max(abs(h - t) for h, t, n in zip(have, targets, at_one) if n > 0) <= close * sum(at_one) or len(path) == steps:
+        near = lambda goal: max((abs(h - g) for h, g, n in zip(have, goal, at_one) if n > 0), default=0.0) <= close * sum(at_one)  # noqa: B023, E731
+        if near(targets) or (last is not None and near(last)) or len(path) == steps:
             break
+        last = have
         path.append([round((h - t) / n, 12) if n > 0 else 0.0 for h, t, n in zip(have, targets, at_one)])
     return path
 
@@ -159,7 +164,11 @@ def mix(
     have = points.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(m)), F.lit(0)).alias(m) for m in members]).first()
     tokens = [float(have[m]) / UNIT for m in members]
     wanted = [w * (own if relative else sum(tokens) / sum(targets.values())) for w, own in zip(targets.values(), tokens)]
-    rows = rows.withColumn("rate", F.round(rate(fit_rates(points, wanted)), 9))
+    fitted = F.round(rate(fit_rates(points, wanted)), 9)
+    if points.count() <= MOST_POINTS:
+        rows = rows.join(F.broadcast(written(points.select(*members, fitted.alias("rate")))), members)
+    else:
+        rows = rows.withColumn("rate", fitted)
     chance = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) / float(1 << 20)
     copies = F.floor(F.col("rate") + 0.5) if relative else F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
     names = fresh(df, "n_tokens", "memberships", "rate", "copies")
