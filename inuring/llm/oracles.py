@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries that SQL can express over whole tables.
 
-The others have none: op3 walks an automaton, op4 splits by a hash that DuckDB lacks, op5 needs places of pattern matches,
+The others have none: op3 walks an automaton, op5 needs places of pattern matches,
 op6 ranks words of templates, op7 writes files, op10 trains and fits. Tests hold those against brute-force versions.
 """
 
@@ -39,6 +39,36 @@ OP2 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id"""
 
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-_?=&#:%~^"
+A = len(ALPHABET)
+ADDRESS = f"""SELECT *, CASE WHEN strpos(u, '://') > 0 THEN translate(regexp_extract(substr(u, strpos(u, '://') + 3), '^[^/?#]*'), '{UPPER}', '{UPPER.lower()}') ELSE '' END AS host,
+    CASE WHEN strpos(u, '://') > 0 THEN regexp_extract(regexp_replace(substr(u, strpos(u, '://') + 3), '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path"""
+RULED = """SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/' WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule"""
+
+
+def _model(n: str) -> str:
+    """Log-probability of every (a, b, c) from the counts n, each context's estimate mixed with the shorter one's."""
+    return f"""SELECT gram, ln(CASE WHEN n_ab > 0 THEN (n + t_ab * p1) / (n_ab + t_ab) ELSE p1 END) AS log_p FROM (SELECT *, CASE WHEN n_b > 0 THEN (n_bc + t_b * p0) / (n_b + t_b) ELSE p0 END AS p1
+        FROM (SELECT *, (n_c + 1) / (n_all + {A}) AS p0, SUM(CASE WHEN n_bc > 0 AND a = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY b) AS t_b FROM (SELECT gram, a, b, c, {n} AS n, SUM({n}) OVER (PARTITION BY c) AS n_c, SUM({n}) OVER () AS n_all,
+            SUM({n}) OVER (PARTITION BY b, c) AS n_bc, SUM({n}) OVER (PARTITION BY b) AS n_b, SUM({n}) OVER (PARTITION BY a, b) AS n_ab, SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY a, b) AS t_ab FROM grid)))"""
+
+
+OP4 = rf"""WITH u AS (SELECT COALESCE(url, '') AS u, COUNT(*) AS weight FROM pages GROUP BY 1), r AS ({RULED} FROM ({ADDRESS} FROM u)),
+    v AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS given, ('0x' || substr(md5(u), 1, 8))::BIGINT % 5 = 0 AS held FROM r),
+    s AS (SELECT *, '^^' || regexp_replace(translate(u, '{UPPER}123456789', '{UPPER.lower()}000000000'), '[^a-z0/.\-_?=&#:%]', '~', 'g') || '^' AS t FROM v),
+    g AS (SELECT u, weight, given, held, ((strpos('{ALPHABET}', substr(t, i, 1)) - 1) * {A} + strpos('{ALPHABET}', substr(t, i + 1, 1)) - 1) * {A} + strpos('{ALPHABET}', substr(t, i + 2, 1)) - 1 AS gram FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM s)),
+    n AS (SELECT gram, SUM(CASE WHEN given = 'allow' THEN weight ELSE 0 END) AS accepted, SUM(CASE WHEN given = 'block' THEN weight ELSE 0 END) AS rejected FROM g WHERE given IS NOT NULL AND NOT held GROUP BY gram),
+    grid AS (SELECT k AS gram, k // {A * A} AS a, k // {A} % {A} AS b, k % {A} AS c, CAST(COALESCE(accepted, 0) AS BIGINT) AS accepted, CAST(COALESCE(rejected, 0) AS BIGINT) AS rejected FROM range({A**3}) x(k) LEFT JOIN n ON n.gram = k),
+    m AS (SELECT p.gram, CAST(round((p.log_p - q.log_p) * 1e6) AS BIGINT) AS ratio FROM ({_model("accepted")}) p JOIN ({_model("rejected")}) q ON q.gram = p.gram),
+    sc AS (SELECT u, weight, given, held, CAST(SUM(ratio) AS BIGINT) / COUNT(*) AS score FROM g JOIN m ON m.gram = g.gram GROUP BY ALL),
+    bins AS (SELECT CAST(floor(score / 10000) AS BIGINT) AS bin, SUM(CASE WHEN given = 'allow' THEN weight ELSE 0 END) AS good, SUM(CASE WHEN given = 'block' THEN weight ELSE 0 END) AS bad FROM sc WHERE held AND given IS NOT NULL GROUP BY 1),
+    cuts AS (SELECT bin, COALESCE(LAG(bin) OVER (ORDER BY bin) + 1, bin) AS free, SUM(good) OVER () AS goods, SUM(bad) OVER () AS bads, COALESCE(SUM(good) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lost,
+        COALESCE(SUM(bad) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS caught FROM bins),
+    th AS (SELECT COALESCE((SELECT (free + bin) * 10000 / 2 FROM cuts WHERE goods > 0 AND bads > 0 ORDER BY (goods - lost) * bads + caught * goods DESC, bin LIMIT 1), 0.0) AS least)
+    SELECT p.page_id, v.host, v.path, v.rule, (sc.score - th.least) / 1e6 AS score, COALESCE(v.given, CASE WHEN (sc.score - th.least) / 1e6 >= 0 THEN 'allow' ELSE 'block' END) AS verdict
+    FROM pages p JOIN v ON v.u = COALESCE(p.url, '') JOIN sc ON sc.u = v.u, th"""
+
 BLACK = r"[^\x20\x09-\x0D]"
 OP8 = rf"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, regexp_extract_all(COALESCE(text, ''), '{BLACK}+') AS w FROM documents),
     g AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS times FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
@@ -58,4 +88,4 @@ OP9 = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{B
     SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, LEAST(d.doc_id, COALESCE(MIN(reach.w), d.doc_id)) AS component_id, d.doc_id <= COALESCE(MIN(reach.w), d.doc_id) AS kept
     FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.v = d.doc_id GROUP BY d.doc_id, n.n"""
 
-ORACLE_SQL = {"op1_sharding": OP1, "op2_decontamination": OP2, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
+ORACLE_SQL = {"op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
