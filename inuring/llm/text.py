@@ -11,11 +11,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes of text that one step works on (one longer text is a chunk of its own).
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
+#: Bytes of a batch that Spark hands to a task's Python at most.
+BATCH_BYTES = 8 << 20
 
 
 def byte_table(ranges: list[tuple[int, int]]) -> np.ndarray:
@@ -148,6 +150,14 @@ def list_array(counts: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), values)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_BYTES, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = spark.conf.get(key).strip().lower().rstrip("b")
+    if not have.isdigit() or int(have) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def add_columns(
     df: DataFrame,
     text: str,
@@ -162,6 +172,7 @@ def add_columns(
     mask; rows outside it are left out. Fields whose name the frame has already must be renamed by the caller (``fresh``).
     """
     schema = T.StructType([*df.schema.fields, *fields])
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
