@@ -1,9 +1,9 @@
-"""License scans with a positional index of rare words.
+"""License scans with a positional index of words.
 
-Templates (notices) and key phrases are indexed as word -> (template, position). In a file its licence words of the highest
-IDF over the whole table are looked up; postings that agree on where the template would start are candidates, and each is
-verified word by word and for the template's key phrases. A key phrase is looked up by its own rarest word at every place,
-so each of its occurrences is found whatever else the file holds.
+Templates (notices) are indexed by word and position. Each licence word of a file is looked up at every place; the postings
+that agree on where the template would start are its words in place, counted exactly. A template is then verified for its
+key phrases. A key phrase is looked up by its own rarest word, by IDF over the whole table, at every place, so each of its
+occurrences is found whatever else the file holds.
 """
 
 from __future__ import annotations
@@ -43,8 +43,6 @@ TEMPLATES = (
     Template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     Template("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
 )
-#: Licence words of a file that are looked up: its rarest ones, by IDF over the table.
-LOOK_UP = 6
 #: Share of a template's words that have to stand at their places.
 LEAST_SHARE = 0.8
 
@@ -61,9 +59,6 @@ class Index:
         self.phrase_words = [by_line[p] for p, _ in phrases]
         self.template_words = [by_line[t.text] for t in templates]
         self.key_words = [[by_line[k] for k in t.key_phrases] for t in templates]
-        rows = np.array(sorted((w, t, i) for t, line in enumerate(self.template_words) for i, w in enumerate(line.tolist())), np.int64).reshape(-1, 3)
-        self.post_first = np.searchsorted(rows[:, 0], np.arange(len(self.vocabulary) + 1))
-        self.post_template, self.post_position = rows[:, 1], rows[:, 2]
         self.idf = np.zeros(len(self.vocabulary))
 
     def numbers(self, words: Words) -> np.ndarray:
@@ -82,31 +77,25 @@ class Index:
             at = at[number[at + k] == w]
         return at
 
-    def alignments(self, number: np.ndarray, words: Words, look_up: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, template, share of its words in place) for the placements that the texts' rarest licence words agree on."""
+    def shares(self, number: np.ndarray, words: Words) -> np.ndarray:
+        """By template and text: the largest share of the template's words that one placement, where two at least stand,
+        has in place. Every posting of every licence word counts, so it is exact however much else the text holds."""
         at = np.flatnonzero(number >= 0)
-        pairs = np.unique(words.doc[at] * len(self.vocabulary) + number[at])  # by text, then word
-        doc, word = pairs // len(self.vocabulary), pairs % len(self.vocabulary)
-        order = np.lexsort([word, -self.idf[word], doc])
-        rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
-        chosen = np.sort(pairs[order[rank < look_up]])
-        own = words.doc[at] * len(self.vocabulary) + number[at]
-        at = at[chosen[np.minimum(np.searchsorted(chosen, own), len(chosen) - 1)] == own] if len(chosen) else at[:0]
-        many = self.post_first[number[at] + 1] - self.post_first[number[at]]
-        post = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.post_first[number[at]], many)
-        template, start = self.post_template[post], np.repeat(at, many) - self.post_position[post]
-        doc = np.repeat(words.doc[at], many)
-        # a template may begin before its file does or run over its end: those words are not in place
-        votes, agree = np.unique(np.column_stack([doc, template, start]), axis=0, return_counts=True)
-        votes = votes[agree >= 2]
-        share = np.zeros(len(votes))
+        gap = max(map(len, self.template_words), default=0)  # apart by so much, texts have no placement in common
+        base = words.first[:-1] + np.arange(len(words.counts)) * gap
+        place = at + words.doc[at] * gap + gap
+        order = np.argsort(number[at], kind="stable")
+        first = np.searchsorted(number[at][order], np.arange(len(self.vocabulary) + 1))
+        best = np.zeros((len(self.template_words), len(base)))
         for t, line in enumerate(self.template_words):
-            mine = np.flatnonzero(votes[:, 1] == t)
-            place = votes[mine, 2][:, None] + np.arange(len(line))
-            safe = np.clip(place, 0, max(len(words) - 1, 0))
-            same = (place == safe) & (number[safe] == line) & (words.doc[safe] == votes[mine, 0][:, None])
-            share[mine] = same.sum(axis=1) / len(line)
-        return votes[:, 0], votes[:, 1], share
+            # a template may begin before its file does or run over its end: those words are not in place
+            agree = np.bincount(np.concatenate([place[order[first[w] : first[w + 1]]] - i for i, w in enumerate(line)]))
+            start = np.flatnonzero(agree >= 2)
+            doc = np.searchsorted(base, start) - 1
+            own = np.flatnonzero(np.diff(doc, prepend=-1))
+            if len(own):
+                best[t, doc[own]] = np.maximum.reduceat(agree[start], own) / len(line)
+        return best
 
 
 def word_counts(df: DataFrame, text: str, index: Index) -> tuple[int, np.ndarray]:
@@ -136,7 +125,6 @@ def scan_licenses(
     text: str = "text",
     phrases: tuple[tuple[str, str], ...] = PHRASES,
     templates: tuple[Template, ...] = TEMPLATES,
-    look_up: int = LOOK_UP,
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """``df`` with ``n_words``, ``phrases`` (array of (label, start) of every key phrase, by start and label), ``labels``
@@ -156,14 +144,11 @@ def scan_licenses(
         index, words = sent.value, texts.words(WORD, lower=True)
         number = index.numbers(words)
         found = sorted((int(words.doc[a]), int(a - words.first[words.doc[a]]), label) for (_, label), phrase in zip(index.phrases, index.phrase_words) for a in index.places(number, words, phrase))
-        score, labels = np.zeros(len(texts)), [set() for _ in range(len(texts))]
-        doc, template, share = index.alignments(number, words, look_up)
-        np.maximum.at(score, doc, share)
-        has: dict[tuple[int, int], set[int]] = {}
-        for t in np.unique(template[share >= least_share]):
-            has[t] = set.intersection(*({int(d) for d in words.doc[index.places(number, words, key)]} for key in index.key_words[t]))
-        for d, t in {(int(d), int(t)) for d, t in zip(doc[share >= least_share], template[share >= least_share])}:
-            if d in has[t]:
+        share, labels = index.shares(number, words), [set() for _ in range(len(texts))]
+        score = share.max(axis=0, initial=0.0)
+        for t in np.flatnonzero((share >= least_share).any(axis=1)):
+            has = set.intersection(*({int(d) for d in words.doc[index.places(number, words, key)]} for key in index.key_words[t]))
+            for d in has.intersection(np.flatnonzero(share[t] >= least_share).tolist()):
                 labels[d].add(index.templates[t].label)
         for d, _, label in found:
             labels[d].add(label)

@@ -185,6 +185,37 @@ def test_license_templates(spark):
     assert out[0] == (["mit"], 1.0) and out[1][0] == [] and out[2][0] == []
 
 
+def test_license_templates_against_brute_force(spark):
+    """Several notices in one text, long texts with rarer licence words, and notices cut or changed."""
+    rnd = random.Random(6)
+    notices = [t.text for t in licenses.TEMPLATES]
+    prose = "person binary files copy conditions granted the of to a and is in or met forms x y z".split()
+    line = lambda n: " ".join(rnd.choice(prose) for _ in range(n))
+    docs = [f"{line(50)} {notices[0]} {line(9)} {notices[3]}", f"{notices[2]} {notices[6]} {notices[3]}", f"{notices[0]} {notices[8]} {notices[4]}", f"person binary files copy conditions granted {notices[2]}"]
+    docs += [f"{line(3000)} {' '.join(rnd.sample(notices, k))} {line(3000)}" for k in (1, 3, 9)]
+    for _ in range(60):
+        changed = " ".join(rnd.choice(notices) for _ in range(rnd.randint(0, 3))).split()
+        for _ in range(rnd.randint(0, 8)):
+            if changed:
+                changed[rnd.randrange(len(changed))] = rnd.choice(prose)
+        docs.append(f"{line(rnd.randint(0, 30))} {' '.join(changed[rnd.randint(0, 3) :])} {line(rnd.randint(0, 30))}")
+    docs += EDGES
+    for r in licenses.scan_licenses(frame(spark, docs)).collect():
+        w = plain.words(docs[r.doc_id])
+        holds = lambda phrase: any(w[i : i + len(phrase)] == phrase for i in range(len(w)))  # noqa: B023, E731
+        labels = {label for phrase, label in licenses.PHRASES if holds(phrase.split())}
+        score = 1.0 if labels else 0.0
+        for t in licenses.TEMPLATES:
+            own = t.text.split()
+            most = max((sum(0 <= s + i < len(w) and w[s + i] == x for i, x in enumerate(own)) for s in range(-len(own), len(w))), default=0) if len(w) < 20000 else 0
+            score = max(score, most / len(own) if most >= 2 else 0.0)
+            if most / len(own) >= licenses.LEAST_SHARE and all(holds(k.split()) for k in t.key_phrases):
+                labels.add(t.label)
+        assert (r.labels_, r.score) == (sorted(labels), score)
+        if r.doc_id < 4:
+            assert labels >= ({"mit", "bsd"}, {"apache-2.0", "mpl", "bsd"}, {"mit", "cc-by-nc", "gpl"}, {"apache-2.0"})[r.doc_id]
+
+
 # --- 7 --------------------------------------------------------------------------------------------------------------
 def test_pack_round_trip():
     rnd = np.random.default_rng(1)
