@@ -1,7 +1,7 @@
 """Mixing to target weights with soft memberships.
 
 A classifier trained on a labelled table predicts for each document the probability of every domain: Bernoulli naive Bayes
-on the presence of the words that tell domains apart best. Nonnegative document rates are then fitted by projected gradient
+on the presence of the words that tell domains apart. Nonnegative document rates are then fitted by projected gradient
 least squares, so that the expected tokens of each domain (rate x tokens x probability) match its target.
 
 All of it is DataFrame operations. Probabilities are whole thousandths that add up to one, and a rate depends on a document
@@ -21,9 +21,9 @@ from inuring.llm.text import fresh
 
 #: Labelled documents that the classifier is trained on at most, those of the smallest hashes.
 MOST_LABELLED = 10_000
-#: Words that the classifier looks for: those in so many documents of a domain that make it likelier by this log-odds ratio at
-#: least, by its z-score.
-MOST_WORDS, LEAST_SEEN, LEAST_ODDS, LEAST_Z = 400, 5, 2.0, 3.0
+#: Words that the classifier looks for: all those in so many documents of a domain that make it likelier by this log-odds
+#: ratio at least, by its z-score.
+LEAST_SEEN, LEAST_ODDS, LEAST_Z = 5, 2.0, 3.0
 #: Steps of the fit at most, and the share of all tokens that ends it: as the distance from every target, or as the change of
 #: every domain in a step.
 STEPS, CLOSE = 30, 1e-4
@@ -46,8 +46,8 @@ def label_domains(labels: DataFrame) -> DataFrame:
 class Classifier:
     """Log-odds of each domain: ``base`` plus, for each word that stands in the text, ``weights[word]``."""
 
-    def __init__(self, domains: list[str], base: list[float], weights: dict[str, list[float]]):
-        self.domains, self.base, self.weights = domains, base, weights
+    def __init__(self, domains: list[str], base: list[float], weights: dict[str, list[float]], hashes: dict[str, int]):
+        self.domains, self.base, self.weights, self.hashes = domains, base, weights, hashes  # each word's xxhash64
 
     @staticmethod
     def fit(df: DataFrame, labelled: DataFrame, domains: list[str], id: str, text: str) -> Classifier:
@@ -60,7 +60,7 @@ class Classifier:
         sizes = {r.domain: r.n for r in seen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
         total = [sizes.get(d, 0) for d in domains]
         if not sum(total):
-            return Classifier(domains, [0.0] * len(domains), {})
+            return Classifier(domains, [0.0] * len(domains), {}, {})
         has = [f"n{k}" for k in range(len(domains))]
         counts = seen.select("domain", F.explode("words").alias("word")).groupBy("word").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(h) for d, h in zip(domains, has)])
         every = sum((F.col(h) for h in has), F.lit(0))
@@ -69,22 +69,26 @@ class Classifier:
             own, rest = F.col(h) + 0.5, every - F.col(h) + 0.5
             odds = F.log(own / (n + 1.0)) - F.log(rest / (sum(total) - n + 1.0))
             clear.append(F.when((odds >= LEAST_ODDS) & (F.col(h) >= LEAST_SEEN), odds / F.sqrt(1 / own + 1 / rest)).otherwise(0.0))
-        best = counts.withColumn("z", F.greatest(*clear) if len(clear) > 1 else clear[0]).where(F.col("z") >= LEAST_Z)
-        rows = best.orderBy(F.desc(F.round("z", 6)), "word").limit(MOST_WORDS).collect()
+        best = counts.withColumn("hash", F.xxhash64("word")).withColumn("z", F.greatest(*clear) if len(clear) > 1 else clear[0]).where(F.col("z") >= LEAST_Z)
+        rows = best.orderBy(F.desc(F.round("z", 6)), "word").collect()  # as many as the labelled sample bears out
         base = [math.log((n + 1) / (sum(total) + len(total))) for n in total]
         weights = {}
         for r in rows:
             share = [(r[h] + 0.5) / (n + 1.0) for h, n in zip(has, total)]
             base = [b + math.log(1 - p) for b, p in zip(base, share)]
             weights[r.word] = [math.log(p) - math.log(1 - p) for p in share]
-        return Classifier(domains, base, weights)
+        return Classifier(domains, base, weights, {r.word: r.hash for r in rows})
 
     def probabilities(self, df: DataFrame, words: str) -> DataFrame:
         """``df`` with ``m0``, ``m1``, ...: each domain's probability in thousandths, adding up to UNIT."""
         if self.weights:
             # an intersection looks each word up by hash; what it finds is short
-            df = df.withColumn("found", F.array_intersect(words, F.array(*[F.lit(w) for w in self.weights])))
-            odds = [_summed(F.create_map(*[F.lit(x) for w, v in self.weights.items() for x in (w, v[k])]), b) for k, b in enumerate(self.base)]
+            known = list(self.weights)
+            size, shift, slots = _apart([self.hashes[w] for w in known])
+            held = dict(zip(slots, known))
+            df = df.withColumn("found", F.array_intersect(words, F.split(F.lit(" ".join(known)), " ")))
+            df = df.withColumn("found", F.transform("found", lambda w: _slot(F.xxhash64(w), size, shift)))
+            odds = [_summed(_literal([self.weights[held[i]][k] if i in held else 0.0 for i in range(size)], "double"), b) for k, b in enumerate(self.base)]
         else:
             df = df.withColumn("found", F.lit(None))
             odds = [F.lit(b) for b in self.base]
@@ -96,12 +100,48 @@ class Classifier:
         # cumulative rounding keeps the sum exact
         run = [F.lit(0).cast("long")]
         for k in range(len(names)):
-            run.append(F.round(UNIT * sum((F.col(n) for n in names[: k + 1]), F.lit(0.0)) / F.col("all")).cast("long"))
+            # never null; saying so keeps null filters, which would work it all out again, away from a join
+            run.append(F.coalesce(F.round(UNIT * sum((F.col(n) for n in names[: k + 1]), F.lit(0.0)) / F.col("all")).cast("long"), F.lit(0)))
         return df.withColumns({f"m{k}": run[k + 1] - run[k] for k in range(len(names))}).drop("top", "all", "found", *names)
 
 
+def _apart(hashes: list[int]) -> tuple[int, list[int], list[int]]:
+    """A number of slots, a shift for each bucket of hashes and the slot of each hash, no two of which are the same."""
+    size = 2 * len(hashes) + 1
+    while True:
+        shift, taken = [0] * len(hashes), {}
+        buckets: dict[int, list[int]] = {}
+        for h in hashes:
+            buckets.setdefault(h % len(shift), []).append(h)
+        for b, own in sorted(buckets.items(), key=lambda x: -len(x[1])):
+            for d in range(size):
+                places = {(h + d * ((h >> 32) % (size - 1) + 1)) % size: h for h in own}
+                if len(places) == len(own) and not places.keys() & taken.keys():
+                    shift[b] = d
+                    taken |= places
+                    break
+            else:
+                break
+        if len(taken) == len(hashes):
+            where = {h: at for at, h in taken.items()}
+            return size, shift, [where[h] for h in hashes]
+        size += 2
+
+
+def _slot(hash: Column, size: int, shift: list[int]) -> Column:
+    """The slot that ``_apart`` gave to a hash."""
+    step = F.pmod(F.shiftright(hash, 32), F.lit(size - 1)) + 1
+    moved = F.get(_literal(shift, "bigint"), F.pmod(hash, F.lit(len(shift))).cast("int"))
+    return F.pmod(F.pmod(hash, F.lit(size)) + moved * step, F.lit(size)).cast("int")
+
+
+def _literal(values: list, kind: str) -> Column:
+    """An array that the optimizer folds into one literal."""
+    return F.split(F.lit(" ".join(map(repr, values))), " ").cast(f"array<{kind}>")
+
+
 def _summed(weights: Column, base: float) -> Column:
-    return F.aggregate("found", F.lit(base), lambda s, w: s + F.element_at(weights, w))
+    return F.aggregate("found", F.lit(base), lambda s, at: s + F.get(weights, at))
 
 
 def rate(steps: list[list[float]]) -> Column:

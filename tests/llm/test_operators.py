@@ -333,6 +333,34 @@ def test_mixing_meets_targets(spark):
     assert right >= 0.95 * len(held) and all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in out)
 
 
+def test_classifier_keeps_every_clear_word(spark):
+    """More clear words than 400, most of them of one domain, against plain naive Bayes over all of them."""
+    rnd = random.Random(12)
+    kinds = ["good"] * 300 + ["poor"] * 300 + ["toxic"] * 12
+    own = {"poor": [f"junk{k}" for k in range(500)], "toxic": [f"bad{k}" for k in range(10)]}
+    docs = [" ".join(rnd.sample(VOCABULARY, 30) + rnd.sample(own["poor"], {"good": 16, "poor": 200, "toxic": 0}[d]) + rnd.sample(own["toxic"], 6 if d == "toxic" else 0)) for d in kinds]
+    labels = spark.createDataFrame(list(enumerate(kinds)), "doc_id long, domain string")
+    domains, total = ["good", "poor", "toxic"], {"good": 300, "poor": 300, "toxic": 12}
+    held = {w: [0, 0, 0] for d in docs for w in d.split()}
+    for d, kind in zip(docs, kinds):
+        for w in set(d.split()):
+            held[w][domains.index(kind)] += 1
+    clear = {}
+    for w, n in held.items():
+        for k, d in enumerate(domains):
+            a, b = n[k] + 0.5, sum(n) - n[k] + 0.5
+            odds = np.log(a / (total[d] + 1)) - np.log(b / (612 - total[d] + 1))
+            if n[k] >= mixing.LEAST_SEEN and odds >= mixing.LEAST_ODDS and odds / np.sqrt(1 / a + 1 / b) >= mixing.LEAST_Z:
+                clear[w] = [(n[j] + 0.5) / (total[e] + 1) for j, e in enumerate(domains)]
+    assert len(clear) > 450
+    out = {r.doc_id: r.memberships for r in mixing.mix(frame(spark, docs), labels, dict.fromkeys(domains, 1.0), relative=True).collect()}
+    for i, d in enumerate(docs):
+        odds = np.array([np.log((total[e] + 1) / 615) + sum(np.log(p[k] if w in d.split() else 1 - p[k]) for w, p in clear.items()) for k, e in enumerate(domains)])
+        share = np.exp(odds - odds.max())
+        assert np.allclose([out[i][e] for e in domains], share / share.sum(), atol=0.0011)
+        assert kinds[i] != "toxic" or out[i]["toxic"] > 0.5
+
+
 def test_rates_against_plain_descent(spark):
     rows = [(900, 100, 0, 50), (100, 800, 100, 30), (0, 0, 1000, 20)]
     points = spark.createDataFrame(rows, "m0 long, m1 long, m2 long, n_tokens long")
