@@ -6,13 +6,17 @@ least squares, so that the expected tokens of each domain (rate x tokens x proba
 
 All of it is DataFrame operations. Probabilities are whole thousandths that add up to one, and a rate depends on a document
 only through them; so documents of equal probabilities are summed up first, and a step of the fit is an aggregate over as
-many rows as there are grid points at most. Only the domains' sums go to the driver, a step at a time.
+many rows as there are grid points at most. Only the domains' sums go to the driver, a step at a time. Documents are
+classified once, to a table in the shared folder from which both the sums and the rows are read.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +28,17 @@ MOST_LABELLED = 10_000
 #: Words that the classifier looks for: all those in so many documents of a domain that make it likelier by this log-odds
 #: ratio at least, by its z-score.
 LEAST_SEEN, LEAST_ODDS, LEAST_Z = 5, 2.0, 3.0
-#: Steps of the fit at most, and the share of all tokens that ends it: as the distance from every target, or as the change of
-#: every domain in a step.
-STEPS, CLOSE = 30, 1e-4
+#: Steps of the fit at most, and the distance from every target, as a share of it, at which it is met.
+STEPS, CLOSE = 60, 1e-3
 UNIT = 1000
-#: Distinct probabilities up to which their rates are sent to all tasks; with three domains there are never more.
-MOST_POINTS = 600_000
 
 
 def words_of(text: Column) -> Column:
     """The runs without white space, lower-cased; a null text has none."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    plain = F.lower(F.coalesce(text, F.lit("")))
+    for sign in "\t\n\x0b\x0c\r":
+        plain = F.replace(plain, F.lit(sign), F.lit(" "))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -51,9 +55,11 @@ class Classifier:
 
     @staticmethod
     def fit(df: DataFrame, labelled: DataFrame, domains: list[str], id: str, text: str) -> Classifier:
-        """From at most MOST_LABELLED documents; labels of other domains are left out. Without any, all domains are as likely."""
-        chosen = labelled.select(F.col("doc_id").alias("label_id"), "domain").where(F.col("domain").isin(domains)).distinct()
-        chosen = written(chosen.orderBy(F.xxhash64("label_id"), "label_id", "domain").limit(MOST_LABELLED))
+        """From at most MOST_LABELLED documents; labels of other domains are left out, and so are documents that have labels of
+        several domains. Without any, all domains are as likely."""
+        chosen = labelled.select(F.col("doc_id").alias("label_id"), "domain").where(F.col("domain").isin(domains))
+        chosen = chosen.groupBy("label_id").agg(F.min("domain").alias("domain"), F.max("domain").alias("other")).where("domain = other").drop("other")
+        chosen = written(chosen.orderBy(F.xxhash64("label_id"), "label_id").limit(MOST_LABELLED))
         # MOST_LABELLED rows
         seen = df.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
         seen = written(seen.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")))
@@ -82,12 +88,14 @@ class Classifier:
     def probabilities(self, df: DataFrame, words: str) -> DataFrame:
         """``df`` with ``m0``, ``m1``, ...: each domain's probability in thousandths, adding up to UNIT."""
         if self.weights:
-            # an intersection looks each word up by hash; what it finds is short
+            # each word is looked up at the one slot it may have; what is found is short
             known = list(self.weights)
             size, shift, slots = _apart([self.hashes[w] for w in known])
             held = dict(zip(slots, known))
-            df = df.withColumn("found", F.array_intersect(words, F.split(F.lit(" ".join(known)), " ")))
-            df = df.withColumn("found", F.transform("found", lambda w: _slot(F.xxhash64(w), size, shift)))
+            at = lambda w: _slot(F.xxhash64(w), size, shift)
+            spelled = F.split(F.lit(" ".join(held.get(i, "") for i in range(size))), " ")  # words have no space
+            df = df.withColumn("found", F.array_distinct(F.filter(words, lambda w: F.get(spelled, at(w)) == w)))
+            df = df.withColumn("found", F.transform("found", at))
             odds = [_summed(_literal([self.weights[held[i]][k] if i in held else 0.0 for i in range(size)], "double"), b) for k, b in enumerate(self.base)]
         else:
             df = df.withColumn("found", F.lit(None))
@@ -154,26 +162,66 @@ def rate(steps: list[list[float]]) -> Column:
     return F.aggregate(every, F.lit(1.0), lambda r, e: F.greatest(F.lit(0.0), r - moved(e)))
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, close: float = CLOSE) -> list[list[float]]:
-    """Corrections of each step of the fit; ``members`` has ``m0``... and the ``n_tokens`` of all documents with these
-    probabilities, ``targets`` are tokens.
+@dataclass
+class Fit:
+    """Corrections of each step, and the tokens that the domains are to have and have at the fitted rates."""
 
-    A domain's gradient is scaled by its tokens at rate 1, which makes a full step safe: the scaled system's rows add up to
-    one. Domains without tokens can't be moved and are left out.
+    steps: list[list[float]]
+    wanted: list[float]
+    have: list[float] = field(default_factory=list)
+
+    def residual(self, whole: float) -> float:
+        """The largest distance from a target, as a share of the target (at least a millionth of all tokens)."""
+        return max((abs(h - w) / max(w, 1e-6 * whole, 1e-9) for h, w in zip(self.have, self.wanted)), default=0.0)
+
+
+def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, close: float = CLOSE) -> Fit:
+    """Rates that meet ``targets`` (tokens); ``members`` has ``m0``... and the ``n_tokens`` of all documents with these
+    probabilities.
+
+    Projected gradient on the squares of the domains' distances, each in units of the domain's tokens at rate 1. The gradient
+    is taken in the metric of the documents that can still move (rate above 0): with the inverse of their Gram matrix, as
+    many rows as domains, a step meets the targets at once but for rates that end at 0. A step that doesn't lower the squares is
+    shortened twice, then the plain gradient is taken, whose full step is safe: by the units, the system's rows add up to
+    one. It ends when
+    every target is met to ``close``, when no step lowers the squares any more (the targets can't be met then, and the fit is
+    the nearest), or after ``steps`` aggregates. Domains without tokens can't be moved.
     """
     k = len(targets)
-    path: list[list[float]] = []
-    at_one = last = None
-    for _ in range(steps + 1):
-        sums = members.withColumn("rate", rate(path)).agg(*[F.coalesce(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"m{j}") / UNIT), F.lit(0.0)).alias(f"e{j}") for j in range(k)]).first()
-        have = [float(sums[f"e{j}"]) for j in range(k)]
-        at_one = at_one or have
-        near = lambda goal: max((abs(h - g) for h, g, n in zip(have, goal, at_one) if n > 0), default=0.0) <= close * sum(at_one)  # noqa: B023, E731
-        if near(targets) or (last is not None and near(last)) or len(path) == steps:
+    n = F.col("n_tokens") / UNIT
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def sums(path: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        own = [F.coalesce(F.sum(F.col("rate") * n * F.col(f"m{j}")), F.lit(0.0)).alias(f"e{j}") for j in range(k)]
+        gram = [F.coalesce(F.sum(F.when(F.col("rate") > 0, n * F.col(f"m{i}") * F.col(f"m{j}") / UNIT)), F.lit(0.0)).alias(f"g{i}_{j}") for i, j in pairs]
+        found = members.withColumn("rate", rate(path)).agg(*own, *gram).first()
+        matrix = np.zeros((k, k))
+        for i, j in pairs:
+            matrix[i, j] = matrix[j, i] = found[f"g{i}_{j}"]
+        return np.array([found[f"e{j}"] for j in range(k)], float), matrix
+
+    fit = Fit([], list(targets))
+    have, gram = sums([])
+    fit.have = have.tolist()
+    unit = np.where(have > 0, have, 1.0)
+    whole, goal, live = float(have.sum()), np.array(targets, float), have > 0
+    squares = lambda h: float((np.where(live, h - goal, 0.0) ** 2 / unit).sum())
+    best, tries = squares(have), 0
+    for _ in range(steps):
+        if Fit([], [w for w, ok in zip(targets, live) if ok], have[live].tolist()).residual(whole) <= close or tries > 3:
             break
-        last = have
-        path.append([round((h - t) / n, 12) if n > 0 else 0.0 for h, t, n in zip(have, targets, at_one)])
-    return path
+        off = np.where(live, have - goal, 0.0)
+        step = off / unit if tries == 3 else np.where(live, np.linalg.lstsq(gram, off, rcond=1e-12)[0], 0.0) / 4**tries
+        path = [*fit.steps, [round(float(x), 12) for x in step]]
+        new, new_gram = sums(path)
+        if squares(new) < best * (1 - 1e-5):
+            best, have, gram, tries = squares(new), new, new_gram, 0
+            fit.steps, fit.have = path, have.tolist()
+        else:
+            tries += 1
+    if fit.residual(whole) > close:
+        warnings.warn(f"domain targets {fit.wanted} are not met: the fitted rates give {fit.have}", stacklevel=2)
+    return fit
 
 
 def mix(
@@ -184,33 +232,34 @@ def mix(
     text: str = "text",
     relative: bool = False,
     seed: int = 10,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """``df`` with ``n_tokens``, ``memberships`` (domain -> probability), ``rate`` and ``copies``.
+    """``df`` (without its text, unless ``keep_text``) with ``n_tokens``, ``memberships`` (domain -> probability), ``rate`` and
+    ``copies``.
 
     ``labelled`` has doc_id and domain. ``targets`` gives each domain's share of the tokens that there are, or with
     ``relative`` the factor by which the domain's own expected tokens are to change. ``copies`` is the rate rounded up or
-    down by a hash of the id, so that it is right on average; with ``relative`` it is rounded to the nearest.
+    down by a hash of the id, so that it is right on average. If the fit can't meet the targets it warns and says by how much.
 
     Null and empty texts have no tokens and the probabilities of a text without known words. Repeated rows get equal
-    results; ties in the sample go by id. Without labels all domains are as likely; an empty table stays empty. Names that
-    ``df`` has already get underscores.
+    results; ties in the sample go by id; a document labelled with several domains trains none. Without labels all domains
+    are as likely; an empty table stays empty. Names that ``df`` has already get underscores.
     """
     domains = list(targets)
     classifier = Classifier.fit(df, labelled.select("doc_id", "domain"), domains, id, text)
-    rows = df.select(F.struct("*").alias("row"), F.col(id).alias("id"), words_of(F.col(text)).alias("words"))
-    rows = classifier.probabilities(rows.withColumn("n_tokens", F.size("words").cast("long")), "words")
+    own = [c for c in df.columns if keep_text or c != text]
+    rows = df.select(F.struct(*own).alias("row"), F.col(id).alias("id"), words_of(F.col(text)).alias("words"))
     members = [f"m{k}" for k in range(len(domains))]
+    rows = classifier.probabilities(rows.withColumn("n_tokens", F.size("words").cast("long")), "words")
+    rows = written(rows.select("row", "id", "n_tokens", *members))
     points = written(rows.groupBy(*members).agg(F.sum("n_tokens").alias("n_tokens")))
     have = points.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(m)), F.lit(0)).alias(m) for m in members]).first()
     tokens = [float(have[m]) / UNIT for m in members]
-    wanted = [w * (own if relative else sum(tokens) / sum(targets.values())) for w, own in zip(targets.values(), tokens)]
-    fitted = F.round(rate(fit_rates(points, wanted)), 9)
-    if points.count() <= MOST_POINTS:
-        rows = rows.join(F.broadcast(written(points.select(*members, fitted.alias("rate")))), members)
-    else:
-        rows = rows.withColumn("rate", fitted)
+    wanted = [w * (own_tokens if relative else sum(tokens) / sum(targets.values())) for w, own_tokens in zip(targets.values(), tokens)]
+    fit = fit_rates(points, wanted)
+    rows = rows.withColumn("rate", F.round(rate(fit.steps), 9))
     chance = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) / float(1 << 20)
-    copies = F.floor(F.col("rate") + 0.5) if relative else F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
+    copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
     names = fresh(df, "n_tokens", "memberships", "rate", "copies")
     shares = F.create_map(*[x for d, m in zip(domains, members) for x in (F.lit(d), F.col(m) / UNIT)])
     return rows.select("row.*", F.col("n_tokens").alias(names[0]), shares.alias(names[1]), F.col("rate").alias(names[2]), copies.alias(names[3]))

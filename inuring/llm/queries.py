@@ -103,7 +103,7 @@ TARGETS = {"good": 0.92, "poor": 0.07, "toxic": 0.01}
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    mixed = mix(docs, label_domains(table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")), TARGETS)
+    mixed = mix(docs, label_domains(table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")), TARGETS, keep_text=False)
     return mixed.select("doc_id", "source", "n_tokens", *[F.col("memberships")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")
 
 

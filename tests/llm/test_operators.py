@@ -361,17 +361,58 @@ def test_classifier_keeps_every_clear_word(spark):
         assert kinds[i] != "toxic" or out[i]["toxic"] > 0.5
 
 
-def test_rates_against_plain_descent(spark):
-    rows = [(900, 100, 0, 50), (100, 800, 100, 30), (0, 0, 1000, 20)]
+def plain_fit(p, n, targets):
+    """Projected gradient on relative squares with small steps, until nothing moves."""
+    rate, at_one = np.ones(len(n)), p.T @ n
+    for _ in range(200_000):
+        rate = np.maximum(0, rate - 0.5 * p @ ((p.T @ (rate * n) - targets) / at_one))
+    return p.T @ (rate * n)
+
+
+@pytest.mark.parametrize("targets", [(60.0, 35.0, 1.0), (50.0, 20.0, 15.0), (70.0, 0.0, 0.0)])
+def test_rates_against_plain_descent(spark, targets):
+    rows = [(900, 100, 0, 50), (100, 800, 100, 30), (0, 0, 1000, 20), (500, 0, 500, 5)]
     points = spark.createDataFrame(rows, "m0 long, m1 long, m2 long, n_tokens long")
-    targets = [60.0, 35.0, 1.0]
-    path = mixing.fit_rates(points, targets)
-    got = {r.n_tokens: r.r for r in points.select("n_tokens", mixing.rate(path).alias("r")).collect()}
+    fit = mixing.fit_rates(points, list(targets))
     p, n = np.array([r[:3] for r in rows]) / 1000, np.array([r[3] for r in rows], float)
-    rate, scale = np.ones(3), p.T @ n
-    for _ in range(len(path)):
-        rate = np.maximum(0, rate - p @ ((p.T @ (rate * n) - targets) / scale))
-    assert np.allclose([got[k] for k in n], rate, atol=1e-6)
+    plain_have, unit = plain_fit(p, n, np.array(targets)), p.T @ n
+    squares = lambda have: ((np.array(have) - targets) ** 2 / unit).sum()
+    assert squares(fit.have) <= 1.001 * squares(plain_have) + 1e-3
+    got = {r.n_tokens: r.r for r in points.select("n_tokens", mixing.rate(fit.steps).alias("r")).collect()}
+    assert all(r >= 0 for r in got.values()) and np.allclose(p.T @ (n * [got[k] for k in n]), fit.have, atol=1e-6)
+
+
+def test_unreachable_targets_are_reported(spark):
+    points = spark.createDataFrame([(500, 500, 100)], "m0 long, m1 long, n_tokens long")
+    with pytest.warns(UserWarning, match="not met"):
+        fit = mixing.fit_rates(points, [90.0, 10.0])
+    assert np.allclose(fit.have, [50, 50], atol=0.5) and fit.residual(100.0) > 1
+
+
+def test_mixing_takes_toxic_text_out(spark):
+    """The factors of the pipeline, the rates' own and those of the rounded copies. Good documents have a toxic probability of a
+    hundredth all alike here, which no rates can take out without them."""
+    docs, domains, labels = labelled_corpus(spark)
+    factors = {"good": 1.0, "poor": 1.0, "toxic": 0.01}
+    out = mixing.mix(frame(spark, docs), labels, factors, relative=True).collect()
+    for d, factor in factors.items():
+        before = sum(r.n_tokens * r.memberships[d] for r in out)
+        assert abs(sum(r.rate * r.n_tokens * r.memberships[d] for r in out) / before - factor) < 0.01
+        assert abs(sum(r.copies * r.n_tokens * r.memberships[d] for r in out) / before - factor) < 0.03
+
+
+def test_mixing_with_clashing_names_repeats_and_double_labels(spark):
+    docs, domains, labels = labelled_corpus(spark)
+    names = ("rate", "copies", "memberships", "n_tokens", "row", "words", "found", "m0")
+    df = spark.createDataFrame([(i, t, *names) for i, t in enumerate(docs)] + [(None, docs[0], *names), (0, docs[0], *names)], f"doc_id long, text string, {', '.join(f'{n} string' for n in names)}")
+    both = labels.union(labels.where("domain = 'toxic'").limit(3).selectExpr("doc_id", "'good'"))
+    out = mixing.mix(df, both, {"good": 0.9, "poor": 0.08, "toxic": 0.02}).collect()
+    assert len(out) == len(docs) + 2 and all(r.rate == "rate" and r.copies == "copies" and r.m0 == "m0" for r in out)
+    first = [(r.n_tokens_, r.memberships_, r.rate_, r.copies_) for r in out if r.doc_id == 0]
+    assert len(first) == 2 and first[0] == first[1] == next((r.n_tokens_, r.memberships_, r.rate_, first[0][3]) for r in out if r.doc_id is None)
+    twice = {r.doc_id for r in both.groupBy("doc_id").count().where("count > 1").collect()}
+    plain_fit = mixing.mix(df, both.where(~F.col("doc_id").isin(*twice)), {"good": 0.9, "poor": 0.08, "toxic": 0.02}).collect()
+    assert {r.doc_id: r.memberships_ for r in plain_fit} == {r.doc_id: r.memberships_ for r in out}
 
 
 def test_mixing_edges(spark):

@@ -7,6 +7,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from inuring.llm.mixing import label_domains, mix  # noqa: E402
 
 
 def test_stages(spark, sf_dir, tmp_path):
@@ -26,6 +27,12 @@ def test_stages(spark, sf_dir, tmp_path):
         if name in kept:
             assert set(ids) == kept[name](before)
         if name == "mixing":
+            stage_docs = spark.read.parquet(str(tmp_path / str(k - 1)))
+            whole = mix(stage_docs, label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet")), corpus_pipeline.FACTORS, relative=True).collect()
+            assert set(ids) == {r.doc_id for r in whole if r.copies >= 1}
+            for d, factor in corpus_pipeline.FACTORS.items():
+                had, has = (sum(r.n_tokens * r.memberships[d] for r in whole if r.doc_id in own) for own in (before, set(ids)))
+                assert abs(has / had - factor) < 0.1, d
             assert len(ids) >= 0.8 * len(before)
         if name != "sharding":
             assert docs.columns == columns
