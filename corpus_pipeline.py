@@ -1,7 +1,8 @@
 """Training-corpus pipeline over `documents`: quality rules, near-dedup, decontamination, mixing and sharding.
 
 Each stage takes the documents that the one before kept and returns them with the same columns; the last returns where each
-document goes. Edge cases (nulls, empty texts, ties, repeated rows, empty tables) are as in the operators that do the work.
+document goes. What a stage keeps is written to the shared folder and read again, so no later action computes it twice and a
+lost executor costs one stage. Edge cases (nulls, empty texts, ties, repeated rows, empty tables) are as in the operators that do the work.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from inuring.llm.decontam import decontaminate
 from inuring.llm.mixing import label_domains, mix
 from inuring.llm.neardup import deduplicate
 from inuring.llm.quality import quality_filter
+from inuring.llm.scratch import written
 from inuring.llm.sharding import assign_shards
 
 SHARDS = 24
@@ -35,7 +37,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose fitted rate rounds to a copy at least; the factors ask for no further copies."""
+    """Documents by their fitted rates, each rounded up or down by a hash of its id. The factors ask for no further copies, so
+    a rate above 1, which makes up for what the other domains take away, keeps a document once."""
     labels = label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     mixed = mix(docs, labels, FACTORS, relative=True)
     copies = mixed.columns[-1]
@@ -54,6 +57,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
