@@ -15,6 +15,17 @@ REMAPPED_VIEWS = {10: 1, 30: 3, 11: 1, 33: 3, 44: 4}
 PERILS = {"cs": 1, "eq": 3, "fl": 4, "wf": 14, "wt": 15, "ws": 16}
 
 
+#: Shares and factors, and amounts of money, as exact decimals: a product of both is rounded back to money.
+SHARE, MONEY = "decimal(16,10)", "decimal(20,8)"
+
+
+def times(value: Column, *factors: Column, kind: str = MONEY) -> Column:
+    """The product, rounded half up to ``kind`` after each factor."""
+    for factor in factors:
+        value = (value * factor.cast(SHARE)).cast(kind)
+    return value
+
+
 def by_basis(basis: Column, aggregate: Column, risk: Column, occurrence: Column) -> Column:
     """Aggregate terms for an aggregate basis, risk terms for per-risk and non-cat quota share, else occurrence terms."""
     return F.when(basis == AGGREGATE, aggregate).when(basis.isin(PER_RISK, NON_CAT_QUOTA_SHARE), risk).otherwise(occurrence)

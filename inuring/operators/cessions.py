@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inuring.functions.terms import LOD
+from inuring.functions.terms import LOD, SHARE
+from inuring.sources.shared import cut
 
 
 def before_placement(amount: Column, collateral: Column, signed: Column) -> Column:
@@ -56,12 +57,12 @@ def as_of_periods(requests: DataFrame, periods: DataFrame, keys: list[str], at:
     return met.groupBy(*requests.columns).agg(picked.alias("p")).select(*requests.columns, "p.*")
 
 
-def allocations(t) -> DataFrame:
+def allocations(t, periods: DataFrame | None = None) -> DataFrame:
     """Allocation with program, layer terms, placement (1 without zone) and the investor's cession as of the inception."""
     ra = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer, "sp_insurer_id").drop("sp_insurer_id")
     ra = ra.join(t.layer.select("layer_id", F.col("inception").alias("l_inception"), F.col("expiration").alias("l_expiration")), "layer_id")
     ra = ra.join(placements(t), ["layer_id", "retro_program_id"], "left").withColumn("placement", F.coalesce("placement", F.lit(1.0))).drop("row_version")
-    return as_of_periods(ra, cession_periods(t), ["retro_investor_id", "retro_program_id"], "l_inception")
+    return as_of_periods(ra, cession_periods(t) if periods is None else periods, ["retro_investor_id", "retro_program_id"], "l_inception")
 
 
 def gross_allocations(alloc: DataFrame) -> DataFrame:
@@ -78,32 +79,31 @@ def reset_periods(resets: DataFrame, programs: DataFrame) -> DataFrame:
     return ends.select("retro_program_id", "start_date", F.coalesce(F.date_sub(nxt, 1), F.col("expiration")).alias("end_date"))
 
 
-def period_gross(t, alloc: DataFrame) -> DataFrame:
+def period_gross(alloc: DataFrame, periods: DataFrame) -> DataFrame:
     """(retro_program_id, layer_id, start_date, gross): the layer's investors' cessions at each start, by their placement."""
-    periods = cession_periods(t).select("retro_program_id", "retro_investor_id", F.col("start_date").alias("p_start"), F.col("cession_before").alias("p_before"))
-    met = alloc.select("retro_program_id", "retro_investor_id", "layer_id", "placement", "cession_gross", F.col("cession_before").alias("own_before")).join(periods, ["retro_program_id", "retro_investor_id"])
-    factor = F.when(F.col("placement") == 0, F.col("cession_gross") / F.when(F.col("own_before") != 0, F.col("own_before"))).otherwise(F.col("placement"))
-    return met.groupBy("retro_program_id", "layer_id", F.col("p_start").alias("start_date")).agg(F.sum(F.col("p_before") * factor).alias("gross"))
+    own = periods.select("retro_program_id", "retro_investor_id", F.col("start_date").alias("p_start"), F.col("cession_before").cast(SHARE).alias("p_before"))
+    met = alloc.select("retro_program_id", "retro_investor_id", "layer_id", "placement", "cession_gross", F.col("cession_before").alias("own_before")).join(own, ["retro_program_id", "retro_investor_id"])
+    factor = F.when(F.col("placement") == 0, F.col("cession_gross") / F.when(F.col("own_before") != 0, F.col("own_before"))).otherwise(F.col("placement")).cast(SHARE)
+    return met.groupBy("retro_program_id", "layer_id", F.col("p_start").alias("start_date")).agg(F.sum(F.col("p_before") * factor).cast(SHARE).alias("gross"))
 
 
 def cession_view(t, reset_type: int) -> DataFrame:
-    """(layer_id, level, retro_program_id, retro_program_reset_id, start, end, gross) of each layer and program by the reset
-    type: all reset periods for losses occurring, the one in force at the layer's inception for risks attaching."""
+    """(layer_id, level, retro_program_id, start, end, gross) of each layer and program by the reset type: all reset periods
+    for losses occurring, the one in force at the layer's inception for risks attaching. Programs with one period keep the
+    whole overlap. Periods and allocations are computed once."""
     from inuring.operators.intervals import layer_overlap
 
-    alloc = allocations(t)
-    programs = t.retro_program.withColumn("level", F.col("stored_level") + 1)
-    gross = gross_allocations(alloc).select("retro_program_id", "layer_id", "l_inception", "l_expiration", F.col("gross").alias("whole_gross"))
-    met = gross.join(programs.select("retro_program_id", "level", "retro_program_type", F.col("inception").alias("r_inception"), F.col("expiration").alias("r_expiration")), "retro_program_id")
-    met = layer_overlap(met, F.col("retro_program_type")).withColumnsRenamed({"start": "o_start", "end": "o_end"})
-    starts = cession_periods(t).groupBy("retro_program_id").agg(F.countDistinct("start_date").alias("periods"))
-    met = met.join(starts, "retro_program_id")
-    split = reset_periods(cession_periods(t), t.retro_program)
+    periods = cut(cession_periods(t))
+    alloc = cut(allocations(t, periods))
+    programs = t.retro_program.select("retro_program_id", (F.col("stored_level") + 1).alias("level"), "retro_program_type", F.col("inception").alias("r_inception"), F.col("expiration").alias("r_expiration"))
+    gross = alloc.groupBy("retro_program_id", "layer_id").agg(F.sum(F.col("cession_gross").cast(SHARE)).cast(SHARE).alias("whole_gross"), F.min("l_inception").alias("l_inception"), F.min("l_expiration").alias("l_expiration"))
+    met = layer_overlap(gross.join(programs, "retro_program_id"), F.col("retro_program_type")).withColumnsRenamed({"start": "o_start", "end": "o_end"})
+    split = reset_periods(periods, t.retro_program).withColumn("periods", F.count("*").over(Window.partitionBy("retro_program_id")))
     if reset_type == LOD:
-        many = met.where("periods > 1").join(split, "retro_program_id").withColumns({"start": F.greatest("o_start", "start_date"), "end": F.least("o_end", "end_date")}).where("start <= end")
+        met, last = met.join(split, "retro_program_id"), F.least("o_end", "end_date")
     else:
-        picked = as_of_periods(met.where("periods > 1"), split.select("retro_program_id", "start_date"), ["retro_program_id"], "l_inception")
-        many = picked.withColumns({"start": F.greatest("o_start", "start_date"), "end": F.least("o_end", "r_expiration")}).where("start <= end")
-    many = many.join(period_gross(t, alloc), ["retro_program_id", "layer_id", "start_date"]).select("layer_id", "level", "retro_program_id", "start", "end", "gross")
-    single = met.where("periods = 1").select("layer_id", "level", "retro_program_id", F.col("o_start").alias("start"), F.col("o_end").alias("end"), F.col("whole_gross").alias("gross"))
-    return single.union(many)
+        met, last = as_of_periods(met, split.select("retro_program_id", "start_date", "periods"), ["retro_program_id"], "l_inception"), F.least("o_end", "r_expiration")
+    one = F.col("periods") == 1
+    met = met.withColumns({"start": F.when(one, F.col("o_start")).otherwise(F.greatest("o_start", "start_date")), "end": F.when(one, F.col("o_end")).otherwise(last)}).where("start <= end")
+    met = met.join(period_gross(alloc, periods), ["retro_program_id", "layer_id", "start_date"], "left").where(one | F.col("gross").isNotNull())
+    return met.select("layer_id", "level", "retro_program_id", "start", "end", F.when(one, F.col("whole_gross")).otherwise(F.col("gross")).alias("gross"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inuring.functions.terms import LOD, RAD
+from inuring.functions.terms import LOD, RAD, SHARE, times
 
 
 def left_of(df: DataFrame, s: str, e: str, other_s: str) -> DataFrame:
@@ -38,37 +38,53 @@ def elementary_intervals(df: DataFrame, key: list[str], s: str, e: str, value: s
 
     One sweep: changes by date are summed up before the running sum, so nothing is multiplied.
     """
-    up = df.select(*key, F.col(s).alias("at"), F.col(value).alias("change"))
-    down = df.select(*key, F.date_add(F.col(e), 1).alias("at"), (-F.col(value)).alias("change"))
-    changes = up.union(down).groupBy(*key, "at").agg(F.sum("change").alias("change"))
+    moves = changes(df, s, e, {value: F.col(value)}, key).groupBy(*key, "at").agg(F.sum(value).alias("change"))
     w = Window.partitionBy(*key).orderBy("at")
-    pieces = changes.select(*key, F.col("at").alias("start"), F.date_sub(F.lead("at").over(w), 1).alias("end"), F.round(F.sum("change").over(w), 9).alias("value"))
+    pieces = moves.select(*key, F.col("at").alias("start"), F.date_sub(F.lead("at").over(w), 1).alias("end"), F.round(F.sum("change").over(w), 9).alias("value"))
     return pieces.where((F.col("end").isNotNull()) & (F.col("value") != 0))
 
 
+def changes(df: DataFrame, s: str, e: str, values: dict[str, Column], keep: list[str], once: list[str] = ()) -> DataFrame:
+    """(keep, at, open, values, once): two rows for each closed period, one that adds the values at its start and one that
+    takes them away after its end; the columns ``once`` count at the start only."""
+    up = F.struct(F.col(s).alias("at"), F.lit(1).alias("open"), *[v.alias(k) for k, v in values.items()], *[F.col(o) for o in once])
+    down = F.struct(F.date_add(F.col(e), 1).alias("at"), F.lit(-1).alias("open"), *[(-v).alias(k) for k, v in values.items()], *[F.lit(None).alias(o) for o in once])
+    return df.select(*keep, F.explode(F.array(up, down)).alias("move")).select(*keep, "move.*")
+
+
 def net_cessions(c: DataFrame, unit: str, program: list[str]) -> DataFrame:
     """Net cession of each piece of each program's period: gross x product over lower levels of (1 - their gross sum).
 
     ``c`` has ``unit`` (the layer), ``level``, the program columns, start, end, gross. A program's period is cut where a
-    program of a lower level of the unit begins or has just ended.
+    program of a lower level of the unit begins or has just ended. Shares are decimals, so sums are exact and roundings are
+    half up.
+
+    Gross cessions are summed up by unit, level and date first; one running sum over a unit's dates gives all level sums, and
+    their product the share that is left to each level between two dates. Programs then meet the dates of their unit and
+    level. So nothing is gathered, and the work on a layer grows with its programs and dates, not with their pairs.
     """
-    low = c.select(F.col(unit).alias("u"), F.col("level").alias("q_level"), F.col("start").alias("q_start"), F.col("end").alias("q_end"), F.col("gross").alias("q_gross"))
-    below = (F.col(unit) == F.col("u")) & (F.col("q_level") < F.col("level"))
-    whole = [unit, "level", *program, "start", "end", "gross"]
-    met = c.join(low, below & (F.col("q_start") <= F.col("end")) & (F.col("q_end") >= F.col("start")), "left")
-    bounds = F.array_distinct(F.flatten(F.collect_list(F.array("q_start", F.date_add("q_end", 1)))))
-    lower = F.collect_list(F.when(F.col("q_level").isNotNull(), F.struct("q_level", "q_start", "q_end", "q_gross")))
-    one = met.groupBy(*whole).agg(bounds.alias("bounds"), lower.alias("lower"))
-    inside = F.filter("bounds", lambda d: d.isNotNull() & (d > F.col("start")) & (d <= F.col("end")))
-    one = one.withColumn("cuts", F.array_sort(F.array_union(F.array("start"), inside)))
-    pieces = one.select(*whole, "lower", "cuts", F.posexplode("cuts").alias("k", "piece_start"))
-    pieces = pieces.withColumn("piece_end", F.coalesce(F.date_sub(F.get("cuts", F.col("k") + 1), 1), F.col("end")))
-    active = F.filter("lower", lambda q: (q["q_start"] <= F.col("piece_start")) & (q["q_end"] >= F.col("piece_start")))
-    levels = F.array_distinct(F.transform("active", lambda q: q["q_level"]))
-    pieces = pieces.withColumn("active", active)
-    sums = F.transform(levels, lambda v: F.aggregate(F.filter("active", lambda q: q["q_level"] == v), F.lit(0.0), lambda x, q: x + q["q_gross"]))
-    left = F.aggregate(sums, F.lit(1.0), lambda x, g: x * (1 - g))
-    return pieces.select(unit, "level", *program, F.col("piece_start").alias("start"), F.col("piece_end").alias("end"), "gross", (F.col("gross") * left).alias("net"))
+    c = c.withColumn("gross", F.col("gross").cast(SHARE))
+    levels = sorted(r.level for r in c.select("level").distinct().collect())  # as many as the data model has
+    moves = changes(c, "start", "end", {"gross": F.col("gross")}, [unit, "level"])
+    own = [F.sum(F.when(F.col("level") == q, F.col("gross"))).alias(f"c{q}") for q in levels] + [F.count(F.when(F.col("level") == q, 1)).alias(f"n{q}") for q in levels]
+    dates = moves.groupBy(unit, "at").agg(*own)
+    w = Window.partitionBy(unit).orderBy("at")
+    dates = dates.withColumns({f"s{q}": F.coalesce(F.sum(f"c{q}").over(w), F.lit(0).cast(SHARE)) for q in levels})
+    left, seen, cuts = F.lit(1).cast(SHARE), F.lit(0), []
+    for q in levels:
+        cuts.append(F.when(seen > 0, F.struct(F.lit(q).alias("level"), F.col("at").alias("cut"), left.alias("left"))))
+        left, seen = times(left, 1 - F.col(f"s{q}"), kind=SHARE), seen + F.col(f"n{q}")
+    if not levels:
+        cuts = [F.lit(None).cast(f"struct<level:int,cut:date,left:{SHARE}>")]
+    bounds = dates.select(F.col(unit).alias("u"), F.explode(F.array(*cuts)).alias("b")).where("b is not null").select("u", "b.*")
+    after = Window.partitionBy("u", "level").orderBy("cut")
+    pieces = bounds.withColumn("until", F.date_sub(F.lead("cut").over(after), 1))
+    first = bounds.groupBy("u", "level").agg(F.date_sub(F.min("cut"), 1).alias("until")).select("u", "level", F.lit(None).cast("date").alias("cut"), F.lit(1).cast(SHARE).alias("left"), "until")
+    pieces = pieces.select(*first.columns).union(first).withColumnRenamed("level", "l")
+    inside = (F.coalesce(F.col("cut"), F.col("start")) <= F.col("end")) & (F.coalesce(F.col("until"), F.col("end")) >= F.col("start"))
+    met = c.join(pieces, (F.col(unit) == F.col("u")) & (F.col("level") == F.col("l")) & inside, "left")
+    piece = [F.greatest("start", F.coalesce("cut", "start")).alias("start"), F.least("end", F.coalesce("until", "end")).alias("end")]
+    return met.select(unit, "level", *program, *piece, "gross", times(F.col("gross"), F.coalesce("left", F.lit(1).cast(SHARE)), kind=SHARE).alias("net"))
 
 
 def day_ranges(df: DataFrame, s: str, e: str) -> DataFrame:

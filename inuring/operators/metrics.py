@@ -2,48 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inuring.functions.terms import by_basis, days, ratio, share, sign
+from inuring.functions.terms import MONEY, SHARE, by_basis, days, ratio, share, sign, times
+from inuring.operators.intervals import changes
 
+PREMIUMS, LIMITS = ("ceded_premium", "subject_premium", "subject_placed_premium"), ("deposit_limit", "subject_limit", "subject_placed_limit", "ceded_limit")
 
-def peak_limits(df: DataFrame, key: list[str], s: str, e: str, value: str) -> DataFrame:
-    """(key, peak): the largest daily sum of ``value`` over the closed periods of a key, on days with a period.
 
-    Changes at the periods' bounds instead of a row for each day.
-    """
-    up = df.select(*key, F.col(s).alias("_at"), F.col(value).alias("_sum"), F.lit(1).alias("_open"))
-    down = df.select(*key, F.date_add(F.col(e), 1).alias("_at"), (-F.col(value)).alias("_sum"), F.lit(-1).alias("_open"))
-    changes = up.union(down).groupBy(*key, "_at").agg(F.sum("_sum").alias("_sum"), F.sum("_open").alias("_open"))
-    w = Window.partitionBy(*key).orderBy("_at")
-    running = changes.select(*key, F.sum("_sum").over(w).alias("_sum"), F.sum("_open").over(w).alias("_open"))
-    return running.where("_open > 0").groupBy(*key).agg(F.max("_sum").alias("peak"))
+def peaks(df: DataFrame, key: list[str], s: str, e: str, values: list[str], sums: list[str] = ()) -> DataFrame:
+    """(key, peak_..., sums): the largest daily sums of ``values`` over the closed periods of a key, on days with a period, and
+    plain sums of other columns, in one pass. Changes at the periods' bounds instead of a row for each day."""
+    moves = changes(df, s, e, {v: F.col(v) for v in values}, key, sums)
+    by_date = moves.groupBy(*key, "at").agg(F.sum("open").alias("open"), *[F.sum(c).alias(c) for c in (*values, *sums)])
+    w = Window.partitionBy(*key).orderBy("at")
+    running = by_date.select(*key, *sums, F.sum("open").over(w).alias("open"), *[F.sum(v).over(w).alias(v) for v in values])
+    return running.groupBy(*key).agg(*[F.max(F.when(F.col("open") > 0, F.col(v))).alias(f"peak_{v}") for v in values], *[F.sum(c).alias(c) for c in sums])
+
+
+def peak_limits(df: DataFrame, key: list[str], s: str, e: str, value: str) -> DataFrame:
+    """(key, peak) of one value."""
+    return peaks(df, key, s, e, [value]).withColumnRenamed(f"peak_{value}", "peak")
 
 
 def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rates: DataFrame, placements: DataFrame) -> DataFrame:
-    """Premiums and limits of each piece of net cession (layer_id, level, retro_program_id, start, end, gross, net)."""
+    """Premiums and limits of each piece of net cession (layer_id, level, retro_program_id, start, end, gross, net), as
+    decimals: quotients are rounded once, products after each factor, sums are exact."""
     terms = layers.select("layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status")
-    out = net.join(terms, "layer_id").join(submissions.select("submission_id", "tran_type"), "submission_id").join(rates, "layer_id")
+    own = terms.join(submissions.select("submission_id", "tran_type"), "submission_id").join(rates, "layer_id")
+    sized: list[Column] = [share(F.col("signed_share"), F.col("estimated_share")), F.col("fx"), sign(F.col("tran_type"))]
+    limit = by_basis(F.col("limit_basis"), F.col("agg_limit"), F.col("risk_limit"), F.col("occ_limit"))
+    own = own.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
+    out = net.join(own.select("layer_id", "inception", "expiration", "status", "deposit_premium", "deposit_limit"), "layer_id")
     out = out.join(placements.withColumnRenamed("placement", "retro_placement"), ["layer_id", "retro_program_id"], "left").withColumn("retro_placement", F.coalesce("retro_placement", F.lit(1.0)))
-    sized = share(F.col("signed_share"), F.col("estimated_share")) * F.col("fx") * sign(F.col("tran_type"))
-    deposit = F.col("premium") * F.when(F.col("placement") == 0, 0.0).otherwise(1 / F.when(F.col("placement") != 0, F.col("placement"))) * sized
-    available = F.col("deposit_premium") * days(F.col("start"), F.col("end")) / days(F.col("inception"), F.col("expiration"))
-    limit = by_basis(F.col("limit_basis"), F.col("agg_limit"), F.col("risk_limit"), F.col("occ_limit")) * sized
-    out = out.withColumns({"deposit_premium": deposit, "deposit_limit": limit, "net_to_gross": ratio(F.col("net"), F.col("gross"))}).withColumn("available", available)
+    part = (days(F.col("start"), F.col("end")) / days(F.col("inception"), F.col("expiration"))).cast(SHARE)
+    kept = ratio(F.col("net").cast("double"), F.col("gross").cast("double")).cast(SHARE)
+    out = out.withColumns({"available": times(F.col("deposit_premium"), part), "net_to_gross": kept})
+    out = out.withColumns({"subject_premium": times(F.col("available"), F.col("net_to_gross")), "subject_limit": times(F.col("deposit_limit"), F.col("net_to_gross"))})
     return out.withColumns({
-        "ceded_premium": F.col("available") * F.col("net"),
-        "subject_premium": F.col("available") * F.col("net_to_gross"),
-        "subject_placed_premium": F.col("available") * F.col("net_to_gross") * F.col("retro_placement"),
-        "subject_limit": F.col("deposit_limit") * F.col("net_to_gross"),
-        "subject_placed_limit": F.col("deposit_limit") * F.col("net_to_gross") * F.col("retro_placement"),
-        "ceded_limit": F.col("deposit_limit") * F.col("net"),
+        "ceded_premium": times(F.col("available"), F.col("net")),
+        "subject_placed_premium": times(F.col("subject_premium"), F.col("retro_placement")),
+        "subject_placed_limit": times(F.col("subject_limit"), F.col("retro_placement")),
+        "ceded_limit": times(F.col("deposit_limit"), F.col("net")),
     })
 
 
 def program_metrics(by_layer: DataFrame) -> DataFrame:
     """Premium sums and peak limits of each program."""
-    sums = by_layer.groupBy("retro_program_id").agg(*[F.sum(c).alias(c) for c in ("ceded_premium", "subject_premium", "subject_placed_premium")])
-    for c in ("ceded_limit", "subject_limit"):
-        sums = sums.join(peak_limits(by_layer, ["retro_program_id"], "start", "end", c).withColumnRenamed("peak", f"peak_{c}"), "retro_program_id")
-    return sums
+    return peaks(by_layer, ["retro_program_id"], "start", "end", ["ceded_limit", "subject_limit"], list(PREMIUMS))

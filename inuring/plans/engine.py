@@ -8,6 +8,8 @@ from inuring.functions import terms as x
 from inuring.operators import cessions as c
 from inuring.operators import fx, graph, intervals, layering, metrics
 from inuring.operators import yelt as y
+from inuring.functions.terms import SHARE
+from inuring.operators.metrics import LIMITS, PREMIUMS
 from inuring.plans.registry import query
 
 FX_DATE, BASE = "1998-06-15", "USD"
@@ -29,13 +31,13 @@ ALLOC = f"""WITH {PERIODS}, {PLACEMENTS}, ra AS (SELECT a.layer_id, i.retro_prog
         FROM ra JOIN periods p ON p.retro_investor_id = ra.retro_investor_id AND p.retro_program_id = ra.retro_program_id GROUP BY ALL)"""
 SPLIT = "split AS (SELECT d.retro_program_id, d.start_date, COALESCE(LEAD(d.start_date) OVER (PARTITION BY d.retro_program_id ORDER BY d.start_date) - 1, g.expiration) AS end_date FROM (SELECT DISTINCT retro_program_id, start_date FROM periods) d JOIN retro_program g ON g.retro_program_id = d.retro_program_id)"
 VIEW = f"""{ALLOC}, {SPLIT},
-    gross AS (SELECT retro_program_id, layer_id, SUM(cession_gross) AS gross, MIN(l_inception) AS l_inception, MIN(l_expiration) AS l_expiration FROM alloc GROUP BY 1, 2),
+    gross AS (SELECT retro_program_id, layer_id, SUM(CAST(cession_gross AS DECIMAL(16,10))) AS gross, MIN(l_inception) AS l_inception, MIN(l_expiration) AS l_expiration FROM alloc GROUP BY 1, 2),
     met AS (SELECT g.*, r.stored_level + 1 AS level, r.expiration AS r_expiration,
         CASE WHEN r.retro_program_type = 1 THEN GREATEST(g.l_inception, r.inception) ELSE g.l_inception END AS o_start, CASE WHEN r.retro_program_type = 1 THEN LEAST(g.l_expiration, r.expiration) ELSE g.l_expiration END AS o_end,
         (SELECT COUNT(*) FROM split s WHERE s.retro_program_id = g.retro_program_id) AS n
         FROM gross g JOIN retro_program r ON r.retro_program_id = g.retro_program_id
         WHERE (r.retro_program_type = 1 AND GREATEST(g.l_inception, r.inception) <= LEAST(g.l_expiration, r.expiration)) OR (r.retro_program_type = 2 AND g.l_inception BETWEEN r.inception AND r.expiration)),
-    pg AS (SELECT a.retro_program_id, a.layer_id, p.start_date, SUM(p.cession_before * CASE WHEN a.placement = 0 THEN a.cession_gross / a.cession_before ELSE a.placement END) AS gross
+    pg AS (SELECT a.retro_program_id, a.layer_id, p.start_date, CAST(SUM(CAST(p.cession_before AS DECIMAL(16,10)) * CAST(CASE WHEN a.placement = 0 THEN a.cession_gross / a.cession_before ELSE a.placement END AS DECIMAL(16,10))) AS DECIMAL(16,10)) AS gross
         FROM alloc a JOIN periods p ON p.retro_program_id = a.retro_program_id AND p.retro_investor_id = a.retro_investor_id GROUP BY 1, 2, 3),
     picked AS (SELECT m.retro_program_id, m.layer_id, COALESCE(MAX(s.start_date) FILTER (s.start_date <= m.l_inception), MIN(s.start_date)) AS start_date FROM met m JOIN split s ON s.retro_program_id = m.retro_program_id WHERE m.n > 1 GROUP BY 1, 2),
     single AS (SELECT layer_id, level, retro_program_id, o_start AS "start", o_end AS "end", gross FROM met WHERE n = 1),
@@ -43,24 +45,24 @@ VIEW = f"""{ALLOC}, {SPLIT},
         JOIN pg ON pg.retro_program_id = m.retro_program_id AND pg.layer_id = m.layer_id AND pg.start_date = s.start_date WHERE m.n > 1 AND GREATEST(o_start, s.start_date) <= LEAST(o_end, s.end_date)),
     rad AS (SELECT * FROM single UNION ALL SELECT m.layer_id, m.level, m.retro_program_id, GREATEST(o_start, k.start_date), LEAST(o_end, m.r_expiration), pg.gross FROM met m JOIN picked k ON k.retro_program_id = m.retro_program_id AND k.layer_id = m.layer_id
         JOIN pg ON pg.retro_program_id = m.retro_program_id AND pg.layer_id = m.layer_id AND pg.start_date = k.start_date WHERE m.n > 1 AND GREATEST(o_start, k.start_date) <= LEAST(o_end, m.r_expiration))"""
-NET = """pieces0 AS (SELECT p.*, u.cut FROM {c} p JOIN (SELECT {u}, level, "start" AS cut FROM {c} UNION SELECT {u}, level, "end" + 1 FROM {c}) u ON u.{u} = p.{u} AND u.level < p.level AND u.cut > p."start" AND u.cut <= p."end" UNION SELECT p.*, p."start" FROM {c} p),
-    pieces AS (SELECT *, COALESCE(LEAD(cut) OVER (PARTITION BY {u}, level, retro_program_id, "start", "end" ORDER BY cut) - 1, "end") AS cut_end FROM pieces0),
-    sums AS (SELECT p.{u}, p.level, p.retro_program_id, p."start", p.cut, q.level AS q_level, SUM(q.gross) AS g FROM pieces p JOIN {c} q ON q.{u} = p.{u} AND q.level < p.level AND q."start" <= p.cut AND q."end" >= p.cut GROUP BY ALL),
-    prods AS (SELECT {u}, level, retro_program_id, "start", cut, PRODUCT(1 - g) AS f FROM sums GROUP BY ALL),
-    net AS (SELECT p.{u}, p.level, p.retro_program_id, p.cut AS "start", p.cut_end AS "end", p.gross, p.gross * COALESCE(f, 1.0) AS net FROM pieces p LEFT JOIN prods d ON d.{u} = p.{u} AND d.level = p.level AND d.retro_program_id = p.retro_program_id AND d."start" = p."start" AND d.cut = p.cut)"""
-VIEW_OUT = 'SELECT layer_id, CAST(level AS INT) AS level, retro_program_id, "start", "end", ROUND(gross, 7) AS gross FROM '
-NET_OUT = 'SELECT {u}, CAST(level AS INT) AS level, retro_program_id, "start", "end", ROUND(gross + 0.000000013700, 7) AS gross, ROUND(net + 0.000000013700, 7) AS net FROM net'
-
-
-def settled_sql(value: str, digits: int) -> str:
-    """Rounded in SQL as ``settled`` does."""
-    return f"ROUND({value} + {0.137 * 10**-digits:.12f}, {digits})"
-
-
-def settled(df, *names, digits=7):
-    """Rounded after a small shift, so that values half-way between two roundings, which products of short decimals often
-    are, don't depend on the last bit."""
-    return df.withColumns({n: F.round(F.col(n) + 0.137 * 10**-digits, digits) for n in names})
+# levels are 1 to 3 in the fixtures; each level's share left is the one below times what that level leaves
+NET = """k AS (SELECT {u}, level, retro_program_id, "start", "end", CAST(gross AS DECIMAL(16,10)) AS gross FROM {c}),
+    moves AS MATERIALIZED (SELECT {u}, d, SUM(g) FILTER (level = 1) AS c1, SUM(g) FILTER (level = 2) AS c2, COUNT(*) FILTER (level = 1) AS n1, COUNT(*) FILTER (level < 3) AS n2
+        FROM (SELECT {u}, level, "start" AS d, gross AS g FROM k UNION ALL SELECT {u}, level, "end" + 1, -gross FROM k) GROUP BY {u}, d),
+    sums AS (SELECT {u}, d, n1, n2, COALESCE(SUM(c1) OVER w, 0) AS s1, COALESCE(SUM(c2) OVER w, 0) AS s2 FROM moves WINDOW w AS (PARTITION BY {u} ORDER BY d)),
+    lefts AS (SELECT *, CAST(1 - s1 AS DECIMAL(16,10)) AS left2 FROM sums),
+    bounds AS (SELECT {u}, 2 AS level, d, left2 AS share FROM lefts WHERE n1 > 0 UNION ALL SELECT {u}, 3, d, CAST(left2 * CAST(1 - s2 AS DECIMAL(16,10)) AS DECIMAL(16,10)) FROM lefts WHERE n2 > 0),
+    spans AS MATERIALIZED (SELECT {u}, level, d AS a, COALESCE(LEAD(d) OVER (PARTITION BY {u}, level ORDER BY d) - 1, DATE '9999-01-01') AS b, share FROM bounds
+        UNION ALL SELECT {u}, level, DATE '0001-01-01', MIN(d) - 1, 1 FROM bounds GROUP BY {u}, level UNION ALL SELECT {u}, level, DATE '0001-01-01', DATE '9999-01-01', 1 FROM (SELECT DISTINCT {u}, level FROM k EXCEPT SELECT {u}, level FROM bounds)),
+    net AS (SELECT k.{u}, k.level, k.retro_program_id, GREATEST(k."start", s.a) AS "start", LEAST(k."end", s.b) AS "end", k.gross, CAST(k.gross * CAST(s.share AS DECIMAL(16,10)) AS DECIMAL(16,10)) AS net
+        FROM k JOIN spans s ON s.{u} = k.{u} AND s.level = k.level AND s.a <= k."end" AND s.b >= k."start")"""
+VIEW_OUT = 'SELECT layer_id, CAST(level AS INT) AS level, retro_program_id, "start", "end", CAST(ROUND(gross, 7) AS DOUBLE) AS gross FROM '
+NET_OUT = 'SELECT {u}, CAST(level AS INT) AS level, retro_program_id, "start", "end", CAST(ROUND(gross, 7) AS DOUBLE) AS gross, CAST(ROUND(net, 7) AS DOUBLE) AS net FROM net'
+
+
+def exact(df, *names, digits=7):
+    """Decimals rounded half up, as doubles."""
+    return df.withColumns({n: F.round(n, digits).cast("double") for n in names})
 
 
 def rounded(df, *names, digits=7):
@@ -128,9 +130,10 @@ def reset_periods(t):
     return c.reset_periods(c.cession_periods(t), t.retro_program)
 
 
-@query("reset_gross_cession", f"{VIEW} SELECT retro_program_id, layer_id, start_date, ROUND(gross, 7) AS gross FROM pg")
+@query("reset_gross_cession", f"{VIEW} SELECT retro_program_id, layer_id, start_date, CAST(ROUND(gross, 7) AS DOUBLE) AS gross FROM pg")
 def reset_gross_cession(t):
-    return rounded(c.period_gross(t, c.allocations(t)), "gross")
+    periods = c.cession_periods(t)
+    return exact(c.period_gross(c.allocations(t, periods), periods), "gross")
 
 
 @query("rad_reset_pick", f"{VIEW} SELECT layer_id, retro_program_id, start_date FROM picked")
@@ -161,17 +164,17 @@ def layer_retro_overlap_rad(t):
 
 @query("retro_cession_view_lod", f"{VIEW}, {NET.format(c='lod', u='layer_id')} {NET_OUT.format(u='layer_id')}")
 def retro_cession_view_lod(t):
-    return settled(intervals.net_cessions(c.cession_view(t, x.LOD), "layer_id", ["retro_program_id"]), "gross", "net")
+    return exact(intervals.net_cessions(c.cession_view(t, x.LOD), "layer_id", ["retro_program_id"]), "gross", "net")
 
 
 @query("retro_cession_view_rad", f"{VIEW}, {NET.format(c='rad', u='layer_id')} {NET_OUT.format(u='layer_id')}")
 def retro_cession_view_rad(t):
-    return settled(intervals.net_cessions(c.cession_view(t, x.RAD), "layer_id", ["retro_program_id"]), "gross", "net")
+    return exact(intervals.net_cessions(c.cession_view(t, x.RAD), "layer_id", ["retro_program_id"]), "gross", "net")
 
 
 @query("gross_cession_view", f"{VIEW} {VIEW_OUT} lod")
 def gross_cession_view(t):
-    return rounded(c.cession_view(t, x.LOD), "gross")
+    return exact(c.cession_view(t, x.LOD), "gross")
 
 
 # --- portfolios -----------------------------------------------------------------------------------------------------
@@ -214,8 +217,11 @@ def portfolio_overlap(t):
     return portfolio_cessions(t)
 
 
-for _name in ("portfolio_net_cessions", "portfolio_retro_cession_view"):
-    query(_name, f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} {NET_OUT.format(u='port_layer_id')}")(lambda t: settled(intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"]), "gross", "net"))
+@query("portfolio_retro_cession_view", f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} {NET_OUT.format(u='port_layer_id')}")
+@query("portfolio_net_cessions", f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} {NET_OUT.format(u='port_layer_id')}")
+def portfolio_net_cessions(t):
+    return exact(intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"]), "gross", "net")
+
 
 # --- intervals ------------------------------------------------------------------------------------------------------
 PAIRS = "FROM port_layer_cession k JOIN layer l ON l.layer_id = k.port_layer_id // 10 JOIN retro_program r ON r.retro_program_id = k.retro_program_id"
@@ -250,13 +256,13 @@ def elementary_intervals(t):
     return intervals.elementary_intervals(portfolio_cessions(t), ["port_layer_id", "level"], "start", "end", "gross")
 
 
-@query("net_cessions", f"{VIEW}, {NET.format(c='single', u='layer_id')} {NET_OUT.format(u='layer_id')}")
+@query("net_cessions", f"{VIEW}, whole AS (SELECT layer_id, level, retro_program_id, o_start AS \"start\", o_end AS \"end\", gross FROM met), {NET.format(c='whole', u='layer_id')} {NET_OUT.format(u='layer_id')}")
 def net_cessions(t):
-    alloc = c.gross_allocations(c.allocations(t)).select("retro_program_id", "layer_id", "l_inception", "l_expiration", "gross")
+    """Without resets: every program with the whole overlap of its period and the layer's."""
+    alloc = c.allocations(t).groupBy("retro_program_id", "layer_id").agg(F.sum(F.col("cession_gross").cast(SHARE)).cast(SHARE).alias("gross"), F.min("l_inception").alias("l_inception"), F.min("l_expiration").alias("l_expiration"))
     programs = t.retro_program.select("retro_program_id", (F.col("stored_level") + 1).alias("level"), "retro_program_type", F.col("inception").alias("r_inception"), F.col("expiration").alias("r_expiration"))
-    one = c.cession_periods(t).groupBy("retro_program_id").agg(F.countDistinct("start_date").alias("n")).where("n = 1").select("retro_program_id")
-    met = intervals.layer_overlap(alloc.join(programs, "retro_program_id").join(one, "retro_program_id"), F.col("retro_program_type"))
-    return settled(intervals.net_cessions(met, "layer_id", ["retro_program_id"]), "gross", "net")
+    met = intervals.layer_overlap(alloc.join(programs, "retro_program_id"), F.col("retro_program_type"))
+    return exact(intervals.net_cessions(met, "layer_id", ["retro_program_id"]), "gross", "net")
 
 
 D1, D2 = "LEAST(dayofyear(inception), 365)", "LEAST(dayofyear(expiration), 365)"
@@ -308,15 +314,20 @@ def layer_fx_rate_current(t):
 
 
 # --- metrics --------------------------------------------------------------------------------------------------------
-SIZED = "(CASE WHEN signed_share > 0 THEN signed_share ELSE estimated_share END) * fx * (CASE tran_type WHEN 2 THEN -1 WHEN 1 THEN 1 ELSE 0 END)"
-METRICS = f"""{VIEW}, {NET.format(c='rad', u='layer_id')}, {LAYER_FX}, m0 AS (SELECT n.*, l.inception, l.expiration, l.status, COALESCE(pl.placement, 1.0) AS rp, CASE WHEN l.placement = 0 THEN 0 ELSE l.premium / l.placement END * {SIZED} AS deposit_premium,
-        CASE WHEN limit_basis = 1 THEN agg_limit WHEN limit_basis IN (4, 7) THEN risk_limit ELSE occ_limit END * {SIZED} AS deposit_limit, CASE WHEN gross = 0 THEN 0 ELSE net / gross END AS ng
-        FROM net n JOIN layer l ON l.layer_id = n.layer_id JOIN submission s ON s.submission_id = l.submission_id JOIN layer_fx x ON x.layer_id = n.layer_id LEFT JOIN placements pl ON pl.layer_id = n.layer_id AND pl.retro_program_id = n.retro_program_id),
-    m1 AS (SELECT *, deposit_premium * ("end" - "start" + 1) / (expiration - inception + 1.0) AS available FROM m0),
-    m AS (SELECT *, available * net AS ceded_premium, available * ng AS subject_premium, available * ng * rp AS subject_placed_premium, deposit_limit * ng AS subject_limit, deposit_limit * ng * rp AS subject_placed_limit, deposit_limit * net AS ceded_limit FROM m1)"""
-PREMIUMS, LIMITS = ("ceded_premium", "subject_premium", "subject_placed_premium"), ("deposit_limit", "subject_limit", "subject_placed_limit", "ceded_limit")
-ROUND3 = lambda names: ", ".join(f"{settled_sql(n, 3)} AS {n}" for n in names)
-SUM2 = ", ".join(f"{settled_sql(f'SUM({n})', 2)} AS {n}" for n in PREMIUMS)
+SHARED = "CAST(CASE WHEN signed_share > 0 THEN signed_share ELSE estimated_share END AS DECIMAL(16,10))"
+MONEY_TIMES = lambda value, *factors: MONEY_TIMES(f"CAST({value} * CAST({factors[0]} AS DECIMAL(16,10)) AS DECIMAL(20,8))", *factors[1:]) if factors else value
+SIZED = lambda value: MONEY_TIMES(f"CAST({value} AS DECIMAL(20,8))", SHARED, "fx", "CASE tran_type WHEN 2 THEN -1 WHEN 1 THEN 1 ELSE 0 END")
+METRICS = f"""{VIEW}, {NET.format(c='rad', u='layer_id')}, {LAYER_FX}, t0 AS MATERIALIZED (SELECT l.layer_id, l.inception, l.expiration, l.status, {SIZED("CASE WHEN l.placement = 0 THEN 0 ELSE l.premium / l.placement END")} AS deposit_premium,
+        {SIZED("CASE WHEN limit_basis = 1 THEN agg_limit WHEN limit_basis IN (4, 7) THEN risk_limit ELSE occ_limit END")} AS deposit_limit FROM layer l JOIN submission s ON s.submission_id = l.submission_id JOIN layer_fx x ON x.layer_id = l.layer_id),
+    m0 AS (SELECT n.*, inception, expiration, status, deposit_premium, deposit_limit, COALESCE(pl.placement, 1.0) AS rp, CAST(CASE WHEN gross = 0 THEN 0 ELSE CAST(net AS DOUBLE) / CAST(gross AS DOUBLE) END AS DECIMAL(16,10)) AS ng,
+        CAST(CAST("end" - "start" + 1 AS DOUBLE) / (expiration - inception + 1) AS DECIMAL(16,10)) AS part
+        FROM net n JOIN t0 ON t0.layer_id = n.layer_id LEFT JOIN placements pl ON pl.layer_id = n.layer_id AND pl.retro_program_id = n.retro_program_id),
+    m1 AS (SELECT *, {MONEY_TIMES("deposit_premium", "part")} AS available FROM m0),
+    m2 AS (SELECT *, {MONEY_TIMES("available", "ng")} AS subject_premium, {MONEY_TIMES("deposit_limit", "ng")} AS subject_limit FROM m1),
+    m AS MATERIALIZED (SELECT *, {MONEY_TIMES("available", "net")} AS ceded_premium, {MONEY_TIMES("subject_premium", "rp")} AS subject_placed_premium, {MONEY_TIMES("subject_limit", "rp")} AS subject_placed_limit, {MONEY_TIMES("deposit_limit", "net")} AS ceded_limit FROM m2)"""
+AS_DOUBLE = lambda value, digits: f"CAST(ROUND({value}, {digits}) AS DOUBLE)"
+ROUND3 = lambda names: ", ".join(f"{AS_DOUBLE(n, 3)} AS {n}" for n in names)
+SUM2 = ", ".join(f"{AS_DOUBLE(f'SUM({n})', 2)} AS {n}" for n in PREMIUMS)
 
 
 def by_layer(t):
@@ -326,39 +337,39 @@ def by_layer(t):
 
 @query("retro_layer_metrics", f'{METRICS} SELECT layer_id, CAST(level AS INT) AS level, retro_program_id, "start", "end", status, {ROUND3(("deposit_premium",) + PREMIUMS + LIMITS)} FROM m')
 def retro_layer_metrics(t):
-    return settled(by_layer(t).select("layer_id", "level", "retro_program_id", "start", "end", "status", "deposit_premium", *PREMIUMS, *LIMITS), "deposit_premium", *PREMIUMS, *LIMITS, digits=3)
+    return exact(by_layer(t).select("layer_id", "level", "retro_program_id", "start", "end", "status", "deposit_premium", *PREMIUMS, *LIMITS), "deposit_premium", *PREMIUMS, *LIMITS, digits=3)
 
 
-PEAK = """(SELECT retro_program_id, MAX(v) AS peak FROM (SELECT a.retro_program_id, a.d, SUM(b.{0}) AS v FROM (SELECT DISTINCT retro_program_id, "start" AS d FROM m UNION SELECT retro_program_id, "end" + 1 FROM m) a JOIN m b ON b.retro_program_id = a.retro_program_id AND b."start" <= a.d AND b."end" >= a.d GROUP BY ALL) GROUP BY 1)"""
+PEAK = """(SELECT retro_program_id, MAX(v) AS peak FROM (SELECT retro_program_id, SUM(v) OVER w AS v, SUM(n) OVER w AS n FROM (SELECT retro_program_id, d, SUM(v) AS v, SUM(n) AS n FROM (SELECT retro_program_id, "start" AS d, {0} AS v, 1 AS n FROM m UNION ALL SELECT retro_program_id, "end" + 1, -{0}, -1 FROM m) GROUP BY 1, 2) WINDOW w AS (PARTITION BY retro_program_id ORDER BY d)) WHERE n > 0 GROUP BY 1)"""
 
 
-@query("retro_metrics", f"""{METRICS} SELECT s.*, {settled_sql("p.peak", 2)} AS peak_ceded_limit, {settled_sql("q.peak", 2)} AS peak_subject_limit FROM (SELECT retro_program_id, {SUM2} FROM m GROUP BY 1) s
+@query("retro_metrics", f"""{METRICS} SELECT s.*, {AS_DOUBLE("p.peak", 2)} AS peak_ceded_limit, {AS_DOUBLE("q.peak", 2)} AS peak_subject_limit FROM (SELECT retro_program_id, {SUM2} FROM m GROUP BY 1) s
     JOIN {PEAK.format('ceded_limit')} p USING (retro_program_id) JOIN {PEAK.format('subject_limit')} q USING (retro_program_id)""")
 def retro_metrics(t):
-    return settled(metrics.program_metrics(by_layer(t)), *PREMIUMS, "peak_ceded_limit", "peak_subject_limit", digits=2)
+    return exact(metrics.program_metrics(by_layer(t)), *PREMIUMS, "peak_ceded_limit", "peak_subject_limit", digits=2)
 
 
 @query("retro_premium_metrics", f"{METRICS} SELECT retro_program_id, {SUM2} FROM m WHERE status IN (10, 22) GROUP BY 1")
 def retro_premium_metrics(t):
     kept = by_layer(t).where(F.col("status").isin(10, 22))
-    return settled(kept.groupBy("retro_program_id").agg(*[F.sum(n).alias(n) for n in PREMIUMS]), *PREMIUMS, digits=2)
+    return exact(kept.groupBy("retro_program_id").agg(*[F.sum(n).alias(n) for n in PREMIUMS]), *PREMIUMS, digits=2)
 
 
-@query("premium_by_profile", f"""{METRICS} SELECT g.retro_profile_id, {settled_sql("SUM(ceded_premium) FILTER (year(m.inception) = 1996)", 2)} AS y1996, {settled_sql("SUM(ceded_premium) FILTER (year(m.inception) = 1997)", 2)} AS y1997
+@query("premium_by_profile", f"""{METRICS} SELECT g.retro_profile_id, {AS_DOUBLE("SUM(ceded_premium) FILTER (year(m.inception) = 1996)", 2)} AS y1996, {AS_DOUBLE("SUM(ceded_premium) FILTER (year(m.inception) = 1997)", 2)} AS y1997
     FROM m JOIN retro_program g ON g.retro_program_id = m.retro_program_id WHERE year(m.inception) IN (1996, 1997) GROUP BY 1""")
 def premium_by_profile(t):
     met = by_layer(t).join(t.retro_program.select("retro_program_id", "retro_profile_id"), "retro_program_id")
     wide = met.where(F.year("inception").isin(1996, 1997)).withColumn("uw_year", F.concat(F.lit("y"), F.year("inception").cast("string"))).groupBy("retro_profile_id").pivot("uw_year", ["y1996", "y1997"]).agg(F.sum("ceded_premium"))
-    return settled(wide, "y1996", "y1997", digits=2)
+    return exact(wide, "y1996", "y1997", digits=2)
 
 
-PEAK_C = 'WITH m AS (SELECT retro_program_id, l.inception AS "start", l.expiration AS "end", occ_limit * k.cession_gross AS v ' + PAIRS.replace("JOIN retro_program r ON r.retro_program_id = k.retro_program_id", "") + ")"
+PEAK_C = 'WITH m AS (SELECT retro_program_id, l.inception AS "start", l.expiration AS "end", CAST(CAST(occ_limit AS DECIMAL(20,8)) * CAST(k.cession_gross AS DECIMAL(16,10)) AS DECIMAL(20,8)) AS v ' + PAIRS.replace("JOIN retro_program r ON r.retro_program_id = k.retro_program_id", "") + ")"
 
 
-@query("peak_daily_limit", f"{PEAK_C} SELECT retro_program_id, ROUND(peak, 4) AS peak FROM {PEAK.format('v')}")
+@query("peak_daily_limit", f"{PEAK_C} SELECT retro_program_id, CAST(ROUND(peak, 4) AS DOUBLE) AS peak FROM {PEAK.format('v')}")
 def peak_daily_limit(t):
-    met = t.port_layer_cession.withColumn("layer_id", F.floor(F.col("port_layer_id") / 10).cast("int")).join(t.layer, "layer_id").withColumn("v", F.col("occ_limit") * F.col("cession_gross"))
-    return rounded(metrics.peak_limits(met, ["retro_program_id"], "inception", "expiration", "v"), "peak", digits=4)
+    met = t.port_layer_cession.withColumn("layer_id", F.floor(F.col("port_layer_id") / 10).cast("int")).join(t.layer, "layer_id").withColumn("v", x.times(F.col("occ_limit").cast(x.MONEY), F.col("cession_gross")))
+    return exact(metrics.peak_limits(met, ["retro_program_id"], "inception", "expiration", "v"), "peak", digits=4)
 
 
 # --- event losses ---------------------------------------------------------------------------------------------------
