@@ -4,9 +4,10 @@ Each text becomes its set of word shingles and a signature of minwise values. Te
 branches the classes by some of their minwise values: the children of a node are the values that its members have at the
 coordinates that the node's own number picks. Members of small nodes are compared with each other. A large node's members
 are compared with one of them, its centre; if that leaves its members in more than one component, the node branches
-again, unless its members are much alike: those branching can't part, so they are compared exhaustively, block against
-block on full sets, as are the large nodes that are left at the last depth. Comparisons within a component are left out:
-they can't change it. Other candidates are first held against their signatures, then confirmed on full sets.
+again. Nodes of bounded size whose members are much alike, which branching parts slowly, are compared exhaustively, block
+against block on full sets, and so are those left after some levels; larger ones branch on until they are small enough.
+Comparisons within a component are left out: they can't change it. Other candidates are first held against their
+signatures, then confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inuring.llm.scratch import written
+from inuring.llm.scratch import intermediate, written
 from inuring.llm.text import NON_SPACE, Texts, add_columns, fresh, list_array
 
 SHINGLE = 5
@@ -29,14 +30,19 @@ LEAST = 75
 #: Independent trees, coordinates that a node branches by, and minwise values in a signature. Two sets of the least similarity
 #: share a first node with probability 1 - 0.25**10; a path of three forks survives in one of the trees with 1 - 0.1**5.
 TREES, FORKS, SIGNATURE = 5, 2, 64
-DEPTH = 3
-#: Members up to which a node is compared exhaustively.
-SMALL = 16
+#: Levels after which nodes of at most MOST_TOGETHER members are compared exhaustively, and after which every node is: members
+#: that share so many values have set similarities well over the least one, so the centre has linked them before.
+DEPTH, LAST_DEPTH = 3, 30
+#: Members up to which a node is compared exhaustively, at once and in blocks.
+SMALL, MOST_TOGETHER = 16, 8192
 #: Mean share of signature values that a large node's members have in common with its centre, from which they are compared
 #: exhaustively; shingles of a block then, and those that are looked at together.
 ALIKE, BLOCK_SHINGLES, COLUMNS = 0.45, 1 << 20, 1 << 15
-#: Equal signature values that a candidate needs: more than four standard deviations below the expected number.
-LEAST_EQUAL = 32
+#: Equal signature values that a candidate needs before full sets are compared: a pair of the least similarity has 48 on
+#: average, and fewer than these with a probability below 1e-9.
+LEAST_EQUAL = 24
+#: Pairs of a class that are compared in one task; a class with more is dealt to several.
+PAIRS_A_TASK = 256
 
 _RANDOM = np.random.default_rng(75)
 _ODD = lambda n: _RANDOM.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,7 +104,8 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, n, cls, sig): the size of each set, its digest and its signature; the last two are null for an empty set."""
+    """(id, key, n, cls, sig): what to find the row by, the size of its set, the digest and the signature; the last two are null
+    for an empty set."""
 
     def sketch(texts: Texts, _) -> list:
         sets = shingle_sets(texts, shingle)
@@ -108,15 +115,21 @@ def sketches(df: DataFrame, id: str, text: str, shingle: int = SHINGLE) -> DataF
         lists = list_array(np.where(sizes > 0, SIGNATURE, 0), pa.array(flat, pa.int32()))
         return [sizes, pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()), lists]
 
-    plain = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    plain = df.select(F.col(id).alias("id"), F.col(text).alias("text"), _key(id, text).alias("key"), F.xxhash64(text).alias("hash"))
     fields = [T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType()), T.StructField("sig", T.ArrayType(T.IntegerType()))]
     return add_columns(plain, "text", fields, sketch).drop("text")
 
 
+def _key(id: str, text: str) -> Column:
+    """A number to read a row's text by again: of its id, or of the text itself where the id is null. Rows of one number are
+    told apart by their class."""
+    return F.when(F.col(id).isNotNull(), F.xxhash64(id)).otherwise(F.xxhash64(F.lit(1), text))
+
+
 def full_sets(df: DataFrame, id: str, text: str, classes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(cls, shingles) of the classes (cls, rep): the texts of their representatives are read again."""
-    reps = classes.select(F.col("rep").alias("id")).distinct()
-    texts = df.select(F.col(id).alias("id"), F.col(text).alias("text")).join(reps, "id", "left_semi")
+    """(cls, shingles) of the classes (cls, key): the texts of their representatives are read again."""
+    reps = classes.select("key").distinct()
+    texts = df.select(_key(id, text).alias("key"), F.col(text).alias("text")).join(reps, "key", "left_semi")
 
     def sets(texts: Texts, _) -> list:
         found = shingle_sets(texts, shingle)
@@ -160,10 +173,14 @@ def labels(links: DataFrame) -> DataFrame:
     return two.groupBy(F.col("a").alias("cls")).agg(F.min("root").alias("root"))
 
 
-def _children(members: DataFrame) -> DataFrame:
-    """The nodes below: for each fork the coordinate comes from the node's number, the child from the value there."""
+def _children(members: DataFrame, deep: bool = False) -> DataFrame:
+    """The nodes below: for each fork the coordinate comes from the node's number, the child from the value there. Deep nodes
+    fork once, and one in three twice: so members of the least similarity share as many paths below as above, and those of
+    a lower one fewer and fewer, however deep it goes."""
     forks = [F.xxhash64("node", F.lit(k), F.element_at("sig", (F.pmod(F.xxhash64(F.lit(k), "node"), F.lit(SIGNATURE)) + 1).cast("int"))) for k in range(FORKS)]
-    return members.select(F.explode(F.array(*forks)).alias("node"), "cls")
+    if deep:
+        forks[1:] = [F.when(F.pmod(F.xxhash64(F.lit(-1), "node"), F.lit(3)) == 0, f) for f in forks[1:]]
+    return members.select(F.explode(F.array(*forks)).alias("node"), "cls").where("node is not null")
 
 
 def _roots(classes: DataFrame) -> DataFrame:
@@ -226,7 +243,7 @@ def _exhaustive(df: DataFrame, id: str, text: str, members: DataFrame, classes:
     """Links (a, b) between members of one node in different components. Nodes are cut into blocks by their shingles; two
     members that share several of the nodes are compared in that of the smallest number."""
     members = members.distinct()
-    wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "rep", "n")
+    wanted = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "key", "n")
     sets = written(full_sets(df, id, text, wanted, shingle))
     sizes = members.join(wanted.select("cls", "n"), "cls").groupBy("node").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     nodes = members.groupBy("cls").agg(F.array_sort(F.collect_set("node")).alias("nodes"))  # at most one for each path of the trees
@@ -258,71 +275,99 @@ def _exhaustive(df: DataFrame, id: str, text: str, members: DataFrame, classes:
 
 
 def _confirmed(df: DataFrame, id: str, text: str, pairs: DataFrame, classes: DataFrame, least: int, shingle: int) -> DataFrame:
-    """The pairs whose full sets are similar enough, after a look at sizes and signatures."""
-    a = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("rep").alias("ra"))
-    b = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("rep").alias("rb"))
+    """The pairs whose full sets are similar enough, after a look at sizes and signatures. A class with many pairs, as a
+    centre has, is dealt to several tasks with a copy of its set each."""
+    a = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"), F.col("key").alias("ka"))
+    b = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"), F.col("key").alias("kb"))
     likely = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= least * F.greatest("na", "nb"))
     equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    likely = written(likely.where(equal >= LEAST_EQUAL).select("a", "b", "na", "nb", "ra", "rb"))
-    wanted = likely.select(F.col("a").alias("cls"), F.col("ra").alias("rep")).union(likely.select(F.col("b").alias("cls"), F.col("rb").alias("rep"))).distinct()
-    sets = written(full_sets(df, id, text, wanted, shingle))
-    both = likely.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
+    likely = written(likely.where(equal >= LEAST_EQUAL).select("a", "b", "na", "nb", "ka", "kb"))
+    ends = likely.select(F.col("a").alias("cls"), F.col("ka").alias("key")).union(likely.select(F.col("b").alias("cls"), F.col("kb").alias("key")))
+    wanted = ends.groupBy("cls").agg(F.min("key").alias("key"), F.ceil(F.count("*") / PAIRS_A_TASK).cast("int").alias("parts"))
+    wanted = written(wanted)
+    sets = full_sets(df, id, text, wanted, shingle).join(wanted.select("cls", "parts"), "cls")
+    sets = written(sets.select("cls", "shingles", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    parts = wanted.where("parts > 1").select("cls", "parts")
+    for end, other in (("a", "b"), ("b", "a")):
+        likely = likely.join(parts.withColumnsRenamed({"cls": end, "parts": f"parts_{end}"}), end, "left")
+        likely = likely.withColumn(f"part_{end}", F.coalesce(F.pmod(F.xxhash64(other), F.col(f"parts_{end}")).cast("int"), F.lit(0)))
+    of = lambda end, name: sets.select(F.col("cls").alias(end), F.col("part").alias(f"part_{end}"), F.col("shingles").alias(name))
+    both = likely.join(of("b", "y"), ["b", "part_b"]).join(of("a", "x"), ["a", "part_a"])
     common = F.size(F.array_intersect("x", "y"))
     return both.withColumn("common", common).where(100 * F.col("common") >= least * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
-    """(id, n_shingles, component_id) for each row: the size of its shingle set and the smallest id reachable over links.
-
-    Words are runs without white space, after A-Z are lower-cased. Null, empty and blank texts have no shingles and are
-    alone: their component is their own id. Rows of equal sets, repeated rows among them, are linked; a null id takes part
-    but is never the smallest, so a component of null ids only has a null id. An empty table gives an empty table.
-    """
+def _row_components(df: DataFrame, id: str, text: str, least: int, shingle: int) -> DataFrame:
+    """(id, hash, n, cls, root) of each row: the hash of its text and the name of its component, null for an empty set."""
     sketch = written(sketches(df, id, text, shingle))
-    classes = written(sketch.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    own = F.min(F.struct(F.col("id").isNull().alias("none"), "key"))["key"]
+    classes = written(sketch.where("n > 0").groupBy("cls").agg(own.alias("key"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     links: list[DataFrame] = []
     rest: list[DataFrame] = []
     members = _roots(classes)
     roots = None
-    for depth in range(DEPTH):
+    for depth in range(LAST_DEPTH):
         pairs, large = _candidates(members, roots)
         large = written(large)
         links.append(written(_confirmed(df, id, text, pairs, classes, least, shingle)))
         roots = written(labels(reduce(DataFrame.union, links)))
-        named = large.join(roots, "cls", "left").groupBy("node").agg(F.min(F.coalesce("root", "cls")).alias("r0"), F.max(F.coalesce("root", "cls")).alias("r1"))
-        large = written(large.join(named.where("r0 != r1").select("node"), "node", "left_semi"))
+        named = large.join(roots, "cls", "left").groupBy("node").agg(F.count("*").alias("size"), F.min(F.coalesce("root", "cls")).alias("r0"), F.max(F.coalesce("root", "cls")).alias("r1"))
+        open_ = written(named.where("r0 != r1").select("node", "size"))
+        large = written(large.join(open_.select("node"), "node", "left_semi"))
         if large.isEmpty():
             break
-        if depth + 1 == DEPTH:
+        if depth + 1 == LAST_DEPTH:
             rest.append(large)
             break
-        alike = written(_alike(large, classes))
-        rest.append(large.join(alike, "node", "left_semi"))
-        members = written(_children(large.join(alike, "node", "left_anti").join(classes.select("cls", "sig"), "cls")).distinct())
+        together = open_.where(F.col("size") <= MOST_TOGETHER).select("node")
+        if depth + 1 < DEPTH:
+            together = together.join(_alike(large, classes), "node", "left_semi")
+        together = written(together)
+        rest.append(large.join(together, "node", "left_semi"))
+        members = written(_children(large.join(together, "node", "left_anti").join(classes.select("cls", "sig"), "cls"), depth + 1 >= DEPTH).distinct())
         if members.isEmpty():
             break
     if rest:
         links.append(written(_exhaustive(df, id, text, written(reduce(DataFrame.union, rest)), classes, roots, least, shingle)))
     roots = written(components(reduce(DataFrame.union, links)))
-    whole = classes.select("cls", "rep").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = whole.groupBy("root").agg(F.min("rep").alias("component"))
-    by_class = whole.join(smallest, "root").select("cls", "component")
-    out = sketch.select("id", "n", "cls").join(by_class, "cls", "left")
-    n_shingles, component = fresh(df.select(id), "n_shingles", "component_id")
-    return out.select(F.col("id").alias(id), F.col("n").alias(n_shingles), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component")).alias(component))
+    return sketch.select("id", "hash", "n", "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
+    """(id, n_shingles, component_id) for each row: the size of its shingle set and the smallest id reachable over links.
+
+    Words are runs without white space, after A-Z are lower-cased. Null, empty and blank texts have no shingles and are
+    alone: their component is their own id. Rows of equal sets, repeated rows among them, are linked; a null id takes part
+    but is never the smallest, so a component of null ids only has a null id. An empty table gives an empty table.
+    """
+    with intermediate(df.sparkSession) as results:
+        rows = written(_row_components(df, id, text, least, shingle))
+        smallest = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("component"))
+        out = rows.select("id", "n", "root").join(smallest, "root", "left")
+        n_shingles, component = fresh(df.select(id), "n_shingles", "component_id")
+        results.append(out.select(F.col("id").alias(id), F.col("n").alias(n_shingles), F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component")).alias(component)))
+    return results[0]
 
 
 def deduplicate(df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """One row of ``df`` for each component of near-duplicates, that with the smallest id, with its columns as they were.
 
-    Of rows that share an id one stays. Rows with a null id all stay if one of them is not a copy of a row with an id.
+    Null ids come last. Rows that share an id are told apart by their texts; of rows equal in both one stays. Rows without
+    words are alone and all stay. Different texts are never dropped for sharing an id or having none.
     """
-    found = near_duplicates(df, id, text, least, shingle)
-    _, component = fresh(df.select(id), "n_shingles", "component_id")
-    kept = written(found.where(F.col(id).eqNullSafe(F.col(component))).groupBy(F.col(id).alias("kept_id")).agg(F.count("*").alias("copies")))
-    out = df.join(kept.select("kept_id"), df[id].eqNullSafe(F.col("kept_id")), "left_semi")
-    again = kept.where("copies > 1 and kept_id is not null").select("kept_id")
-    if again.isEmpty():
-        return out
-    single = out.join(again, out[id] == F.col("kept_id"), "left_anti")
-    return single.union(out.join(again, out[id] == F.col("kept_id"), "left_semi").dropDuplicates([id]))
+    key, mark = fresh(df, "own_hash", "mark")
+    blank = F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
+    with intermediate(df.sparkSession) as results:
+        rows = written(_row_components(df, id, text, least, shingle))
+        first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("p"))
+        kept = first.select(F.col("p.id").alias("kept_id"), F.col("p.hash").alias("kept_hash")).distinct()
+        same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+        results.append(rows.where("root is not null").join(kept, same).groupBy("kept_id", "kept_hash").agg(F.count("*").alias("kept_rows")))
+    kept = results[0].withColumn(mark, F.lit(True))
+    hashed = df.withColumn(key, F.when(~blank, F.xxhash64(text)))
+    out = hashed.join(kept.withColumnsRenamed({"kept_id": f"{mark}_id", "kept_hash": f"{mark}_hash", "kept_rows": f"{mark}_rows"}), df[id].eqNullSafe(F.col(f"{mark}_id")) & (F.col(key) == F.col(f"{mark}_hash")), "left")
+    out = out.where(F.col(mark).isNotNull() | F.col(key).isNull())
+    if kept.where("kept_rows > 1").isEmpty():
+        return out.select(*df.columns)
+    once = F.coalesce(F.col(f"{mark}_rows"), F.lit(1)) == 1
+    return out.where(once).select(*df.columns).union(out.where(~once).dropDuplicates([id, key]).select(*df.columns))

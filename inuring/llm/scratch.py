@@ -4,13 +4,24 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Paths of the tables that the innermost ``intermediate`` blocks have to remove.
+_open: list[list[str]] = []
+
+
 def folder(spark: SparkSession) -> str:
-    """A new path in ``spark.checkpoint.dir``; where that is unset, as in tests, a local folder takes its place."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "/tmp/inuring-scratch"
+    """A new path in ``spark.checkpoint.dir``. Only a local master, as in tests, may leave that unset: a local folder takes its
+    place there."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "/tmp/inuring-scratch"
     return f"{base.rstrip('/')}/inuring-{uuid.uuid4().hex}"
 
 
@@ -24,14 +35,36 @@ def remove(spark: SparkSession, path: str) -> None:
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: its lineage ends there and survives lost executors.
 
-    The table goes when the program ends, if the session is still there to delete it.
+    Inside an ``intermediate`` block the table goes at its end, else when the program ends, if the session is still there to
+    delete it.
     """
     spark, path = df.sparkSession, folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_forget, spark, path)
+    if _open:
+        _open[-1].append(path)
+    else:
+        atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables written in the block are removed at its end. The frames put into the list that it gives are written first, as
+    tables of the block around, and take their places in the list."""
+    _open.append([])
+    results: list[DataFrame] = []
+    try:
+        yield results
+        own = _open.pop()
+        try:
+            results[:] = [written(df) for df in results]
+        finally:
+            _open.append(own)
+    finally:
+        for path in _open.pop():
+            _forget(spark, path)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         remove(spark, path)
