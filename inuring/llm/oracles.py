@@ -24,7 +24,9 @@ CRC32 = f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_tr
     lambda c, b: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, b) & 255) + 1])))"""
 
 OP1 = f"""WITH r AS (SELECT doc_id, source, CAST(octet_length(encode(COALESCE(text, ''))) + 8 AS BIGINT) AS size, {CRC32} AS text_crc32, md5('17:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS shuffle FROM documents),
-    f AS (SELECT *, (2 * (ROW_NUMBER() OVER (PARTITION BY source ORDER BY shuffle, doc_id NULLS FIRST, size, text_crc32) - 1) + 1) / (2 * COUNT(*) OVER (PARTITION BY source)) AS fraction, COUNT(*) OVER () AS n FROM r),
+    c AS (SELECT source, total, ROW_NUMBER() OVER (PARTITION BY total ORDER BY md5('17:' || COALESCE(source, '')), source NULLS FIRST) - 1 AS k, COUNT(*) OVER (PARTITION BY total) AS alike FROM (SELECT source, COUNT(*) AS total FROM r GROUP BY source)),
+    h AS (SELECT source, total, (k + CAST(('0x' || substr(md5('17:' || total), 1, 8))::BIGINT AS DOUBLE) / 4294967296) / alike AS phase FROM c),
+    f AS (SELECT r.*, (ROW_NUMBER() OVER (PARTITION BY r.source ORDER BY shuffle, doc_id NULLS FIRST, size, text_crc32) - 1 + phase) / total AS fraction, COUNT(*) OVER () AS n FROM r JOIN h ON h.source IS NOT DISTINCT FROM r.source),
     p AS (SELECT *, ROW_NUMBER() OVER (ORDER BY fraction, source NULLS FIRST, shuffle, doc_id NULLS FIRST, size, text_crc32) - 1 AS place FROM f)
     SELECT doc_id, source, size, text_crc32, 'rows' AS law, CAST(place * 24 // n AS INT) AS shard, CAST(place - (place * 24 // n * n + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard FROM p"""
 

@@ -38,9 +38,14 @@ def place(docs, shards, seed=sharding.SEED):
     by = collections.defaultdict(list)
     for r in rows:
         by[r[4]].append(r)
-    order = []
+    order, sizes = [], collections.defaultdict(list)
+    seeded = lambda x: hashlib.md5(f"{seed}:{x}".encode()).hexdigest()
+    for source in sorted(by, key=lambda x: (seeded(x or ""), x is not None)):
+        sizes[len(by[source])].append(source)
     for source, own in by.items():
-        order += [((2 * k + 1) / (2 * len(own)), (source is not None, source or ""), key(r), r) for k, r in enumerate(sorted(own, key=key))]
+        alike = sizes[len(own)]
+        phase = (alike.index(source) + int(seeded(len(own))[:8], 16) / 2**32) / len(alike)
+        order += [((k + phase) / len(own), (source is not None, source or ""), key(r), r) for k, r in enumerate(sorted(own, key=key))]
     order.sort(key=lambda x: x[:3])
     counts, out = collections.Counter(), []
     for p, x in enumerate(order):
@@ -65,7 +70,19 @@ def test_shards_match_the_mixture(spark):
     out = sharding.assign_shards(df, 24).groupBy("shard", "source").count().collect()
     for source in {r.source for r in out}:
         mine = [r["count"] for r in out if r.source == source]
-        assert len(mine) == 24 and max(mine) - min(mine) <= 6  # sources of equal size tie, a cut falls among them
+        assert len(mine) == 24 and max(mine) - min(mine) <= 2
+
+
+def test_small_sources_leave_the_mixture_as_it_is(spark):
+    """1,200 rows of one source among 1,200 sources of one row, and sources of many sizes."""
+    df = spark.createDataFrame([(i, "t", "big" if i < 1200 else f"s{i}") for i in range(2400)], "doc_id long, text string, source string")
+    out = sharding.assign_shards(df, 24).where("source = 'big'").groupBy("shard").count().collect()
+    assert len(out) == 24 and max(r["count"] for r in out) - min(r["count"] for r in out) <= 2
+    sizes = [(k, j) for k in range(1, 60) for j in range(k)]
+    df = spark.createDataFrame([(i, "t", f"s{k}") for i, (k, _) in enumerate(sizes)], "doc_id long, text string, source string")
+    for r in sharding.assign_shards(df, 6).groupBy("source").pivot("shard", list(range(6))).count().fillna(0).collect():
+        own = [r[str(k)] for k in range(6)]
+        assert max(own) - min(own) <= 3, r
 
 
 # --- 2 --------------------------------------------------------------------------------------------------------------
@@ -300,6 +317,35 @@ def test_deduplicate(spark):
     assert sorted(r.doc_id for r in neardup.deduplicate(df).collect()) == [0, 2, 3, 4]
 
 
+def test_near_duplicates_with_null_ids(spark):
+    """Near copies without ids are linked, and bridge others; ids may repeat and may be strings."""
+    w = [f"u{k}" for k in range(60)]
+    chain = [" ".join(w[k : k + 50]) for k in (0, 3, 6)]
+    other = " ".join(f"x{k}" for k in range(50))
+    rows = [("d5", chain[0], 1), (None, chain[1], 2), (None, chain[1] + " ", 3), ("d2", chain[2], 4), ("d2", other, 5), ("d9", other, 6), (None, None, 7), (None, "", 8), ("d7", " ", 9), ("d7", " ", 10), ("d1", "q r s", 11), ("d1", "q r s", 12)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, mark int").repartition(3)
+    out = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in neardup.near_duplicates(df).collect())
+    assert out == sorted([("d5", 46, "d2"), ("None", 46, "d2"), ("None", 46, "d2"), ("d2", 46, "d2"), ("d2", 46, "d2"), ("d9", 46, "d2"), ("None", 0, None), ("None", 0, None), ("d7", 0, "d7"), ("d7", 0, "d7"), ("d1", 1, "d1"), ("d1", 1, "d1")])
+    kept = sorted(r["mark"] for r in neardup.deduplicate(df).collect())
+    assert [k if k not in (11, 12) else 11 for k in kept] == [4, 5, 7, 8, 9, 10, 11] and neardup.deduplicate(df).columns == df.columns
+
+
+def test_near_duplicates_of_an_empty_table(spark):
+    df = frame(spark, ["a"]).limit(0)
+    assert neardup.near_duplicates(df).count() == 0 and neardup.deduplicate(df).count() == 0
+
+
+def test_large_nodes_branch_on(spark, monkeypatch):
+    """Bounds so low that nodes branch below the usual depth and hot classes are dealt to several tasks."""
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "MOST_TOGETHER", 40)
+    monkeypatch.setattr(neardup, "LAST_DEPTH", 5)
+    monkeypatch.setattr(neardup, "PAIRS_A_TASK", 3)
+    docs = near_copies()
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(frame(spark, docs)).collect()}
+    assert out == plain.near_groups(enumerate(docs))
+
+
 def test_common_counts():
     rnd = np.random.default_rng(3)
     sets = [[np.unique(rnd.integers(0, 300, rnd.integers(0, 200))) for _ in range(n)] for n in (20, 15)]
