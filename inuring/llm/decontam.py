@@ -1,9 +1,12 @@
 """Benchmark decontamination by suffix arrays of the training texts.
 
 The training table is cut into shards (chunks of bounded size inside the tasks). Each shard gets a suffix array over its
-words, every suffix of every benchmark item is binary-searched in it, and the range found gives all places of the match;
-places that continue each other on one diagonal are one longest verbatim match. The benchmark goes to the tasks in blocks
-of bounded size, one pass of the same stage for each block, so neither side is ever held whole.
+words, every distinct window of the benchmark is binary-searched in it, and the range found gives all places of the match;
+places that continue each other are one longest verbatim match. The benchmark goes to the tasks in blocks of bounded size,
+which a task's one worker searches one after another.
+
+A window that stands many times, in one item or in many, is searched once; a place of a text then belongs to the items of its
+window, so the work grows with places and not with pairs of places.
 
 A shard word that no item of the block has can't be part of a match, so it ends the training string before it; suffixes
 shorter than the shortest window are left out of the array.
@@ -26,17 +29,23 @@ from inuring.llm.text import WORD, Texts, Words, add_columns, fresh, list_array,
 WINDOW = 10
 #: Bytes of benchmark text that are sent to the tasks at a time.
 BLOCK_BYTES = 8 << 20
+#: Blocks up to which a worker keeps them all at hand; of more it holds one at a time.
+HELD_BLOCKS = 4
 
 
 @dataclass
 class Block:
-    """Benchmark items as numbered words: 0 ends an item, ``need[p]`` is the window length at p (0: none starts there)."""
+    """Benchmark items as numbered words, 0 after each item, and their distinct windows: ``place`` is where a window stands
+    first, ``need`` its length. The items of window w are ``item[first[w] : first[w + 1]]``, and ``at`` its position in each,
+    -1 where it stands several times."""
 
     vocabulary: pa.Array
     words: np.ndarray
+    place: np.ndarray
     need: np.ndarray
+    first: np.ndarray
     item: np.ndarray
-    position: np.ndarray
+    at: np.ndarray
     names: list[str]
 
     @staticmethod
@@ -45,13 +54,27 @@ class Block:
         number, vocabulary = words.encoded()
         shape = words.counts + 1  # an end after each item
         ends = np.cumsum(shape)
-        flat = np.zeros(ends[-1] if len(ends) else 0, np.int64)
+        flat = np.zeros(ends[-1] if len(ends) else 0, np.int32)
         position = np.arange(len(flat)) - np.repeat(ends - shape, shape)
         item = np.repeat(np.arange(len(names)), shape)
         length = np.minimum(words.counts, window)[item]
         flat[position < words.counts[item]] = number + 1
-        need = np.where((length > 0) & (position + length <= words.counts[item]), length, 0)
-        return Block(vocabulary, flat, need, item, position, names)
+        place = np.flatnonzero((length > 0) & (position + length <= words.counts[item]))
+        length = length[place]
+        rows = np.zeros((len(place), window), np.int32)
+        for k in range(window):
+            inside = k < length
+            rows[inside, k] = flat[place[inside] + k]
+        _, some, own = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+        own = own.ravel()
+        order = np.lexsort([position[place], item[place], own])
+        own, own_item, own_at = own[order], item[place][order], position[place][order]
+        new = np.ones(len(own), bool)
+        new[1:] = (own[1:] != own[:-1]) | (own_item[1:] != own_item[:-1])
+        start = np.flatnonzero(new)
+        times = np.diff(np.append(start, len(own)))
+        first = np.searchsorted(own[start], np.arange(len(some) + 1))
+        return Block(vocabulary, flat, place[some].astype(np.int32), length[some].astype(np.int32), first, own_item[start].astype(np.int32), np.where(times == 1, own_at[start], -1).astype(np.int32), names)
 
 
 def suffix_array(words: np.ndarray, runs: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -74,9 +97,9 @@ def suffix_array(words: np.ndarray, runs: np.ndarray, at: np.ndarray) -> np.ndar
     return at[np.argsort(rank[at], kind="stable")]
 
 
-def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each benchmark suffix the range of the array whose strings begin with its window: two binary searches."""
-    need = block.need[suffixes]
+def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """For each benchmark window the range of the array whose strings begin with it: two binary searches."""
+    need, suffixes = block.need, block.place.astype(np.int64)
     found = []
     for upper in (False, True):
         low, high = np.zeros(len(suffixes), np.int64), np.full(len(suffixes), len(array), np.int64)
@@ -98,10 +121,13 @@ def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block
 
 
 def matches(words: Words, block: Block) -> np.ndarray:
-    """Rows (text, item, start, length) of the longest verbatim matches, at least a window long, by text, item and start."""
-    suffixes = np.flatnonzero(block.need)
+    """Rows (text, item, start, length) of the longest verbatim matches, at least a window long, by text, item and start.
+
+    Windows at neighbouring places are one match if they may stand at neighbouring positions of the item; where an item
+    repeats a window, they always may.
+    """
     none = np.zeros((0, 4), np.int64)
-    if not len(words) or not len(suffixes):
+    if not len(words) or not len(block.place):
         return none
     number = pc.fill_null(pc.index_in(words.array(), value_set=block.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
     ends = np.flatnonzero(number == 0)
@@ -109,7 +135,7 @@ def matches(words: Words, block: Block) -> np.ndarray:
     stop = np.unique(stop)
     runs = stop[np.searchsorted(stop, np.arange(len(number)), side="right")] - np.arange(len(number)) if len(stop) else np.zeros(0, np.int64)
     runs[number == 0] = 0
-    least = int(block.need[suffixes].min())
+    least = int(block.need.min())
     keep = np.flatnonzero(runs >= least)
     if not len(keep):
         return none
@@ -120,25 +146,28 @@ def matches(words: Words, block: Block) -> np.ndarray:
     used = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
     small, short = number[used], runs[used]
     array = suffix_array(small, short, np.searchsorted(used, keep))
-    low, high = _bounds(small, short, array, block, suffixes)
+    low, high = _bounds(small, short, array, block)
     many = high - low
     if not many.any():
         return none
-    which = np.repeat(np.arange(len(suffixes)), many)
-    rows = array[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]
-    place = used[rows]
-    suffix = suffixes[which]
-    doc, item, start, need = words.doc[place], block.item[suffix], place - words.first[words.doc[place]], block.need[suffix]
-    order = np.lexsort([start, start - block.position[suffix], item, doc])
-    doc, item, start, need, line = doc[order], item[order], start[order], need[order], (start - block.position[suffix])[order]
+    which = np.repeat(np.arange(len(many)), many)
+    place = used[array[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]]
+    items = np.diff(block.first)[which]
+    entry = np.arange(items.sum()) - np.repeat(np.cumsum(items) - items, items) + np.repeat(block.first[which], items)
+    place, need = np.repeat(place, items), np.repeat(block.need[which], items).astype(np.int64)
+    doc = words.doc[place]
+    item, start, at = block.item[entry].astype(np.int64), place - words.first[doc], block.at[entry]
+    order = np.lexsort([start, item, doc])
+    doc, item, start, need, at = doc[order], item[order], start[order], need[order], at[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (line[1:] != line[:-1]) | (start[1:] != start[:-1] + 1)
+    apart = (at[1:] >= 0) & (at[:-1] >= 0) & (at[1:] != at[:-1] + 1)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] != start[:-1] + 1) | apart
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(doc)]]) - 1
     return np.column_stack([doc[first], item[first], start[first], start[last] + need[last] - start[first]])
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
+def benchmark_parts(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
     """The items in as many parts as keep each near ``block_bytes``, dealt by a hash of the text."""
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0)).alias("n")).first()["n"]
@@ -160,28 +189,25 @@ def find_matches(df: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     spark = df.sparkSession
     n_words, found = fresh(df, "n_words", "matches")
     match = T.StructType([T.StructField("item", T.StringType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
-    out, parts = df, []
-    for k, part in enumerate(benchmark_blocks(benchmark, item_id, item_text, block_bytes)):
-        rows = part.collect()
-        block = Block.of([r.item for r in rows], texts_of(pa.array([r.text for r in rows], pa.string())), window)
-        sent = spark.sparkContext.broadcast(block)
-
-        def search(texts: Texts, _, sent=sent, first=k == 0) -> list:
-            words = texts.words(WORD, lower=True)
-            hits = matches(words, sent.value)
-            names = pa.array(sent.value.names, pa.string()).take(pa.array(hits[:, 1]))
-            values = pa.StructArray.from_arrays([names, pa.array(hits[:, 2]), pa.array(hits[:, 3])], names=["item", "start", "length"])
-            made = [list_array(np.bincount(hits[:, 0], minlength=len(texts)), values)]
-            return [pa.array(words.counts.astype(np.int64)), *made] if first else made
-
-        (name,) = fresh(out, found)
-        fields = [T.StructField(name, T.ArrayType(match))]
-        out = add_columns(out, text, [T.StructField(n_words, T.LongType()), *fields] if k == 0 else fields, search)
-        parts.append(name)
-    if len(parts) > 1:
-        every = F.concat(*parts)
-        out = out.withColumn(parts[0], every).drop(*parts[1:])
-    return out
+    sent = []
+    for part in benchmark_parts(benchmark, item_id, item_text, block_bytes):
+        rows = part.collect()  # near block_bytes
+        sent.append(spark.sparkContext.broadcast(Block.of([r.item for r in rows], texts_of(pa.array([r.text for r in rows], pa.string())), window)))
+
+    def search(texts: Texts, _) -> list:
+        words = texts.words(WORD, lower=True)
+        hits, names = [np.zeros((0, 4), np.int64)], [pa.array([], pa.string())]
+        for block in sent:
+            hits.append(matches(words, block.value))
+            names.append(pa.array(block.value.names, pa.string()).take(pa.array(hits[-1][:, 1])))
+            if len(sent) > HELD_BLOCKS:
+                vars(block).pop("_value", None)  # read from the executor's disk again for the next chunk
+        every, named = np.concatenate(hits), pa.concat_arrays(names)
+        order = np.argsort(every[:, 0], kind="stable")
+        values = pa.StructArray.from_arrays([named.take(pa.array(order)), pa.array(every[order, 2]), pa.array(every[order, 3])], names=["item", "start", "length"])
+        return [pa.array(words.counts.astype(np.int64)), list_array(np.bincount(every[:, 0], minlength=len(texts)), values)]
+
+    return add_columns(df, text, [T.StructField(n_words, T.LongType()), T.StructField(found, T.ArrayType(match))], search)
 
 
 def words_hit(found: Column) -> Column:
