@@ -19,6 +19,8 @@ from inuring.llm.text import NON_SPACE, Texts, add_columns, fresh
 
 #: Node numbers of the two roots.
 START, INNER = 0, 1
+#: Words below which they don't go forward side by side any more.
+FEW = 16
 
 
 class Automaton:
@@ -105,16 +107,35 @@ class Automaton:
             rows = rows[~hit & (have >= 0)]
         return out
 
+    def _walk(self, node: int, n: int, data: bytes) -> tuple[int, int]:
+        """The node and the pieces popped after one word's bytes, the same walk as in ``counts``."""
+        if not hasattr(self, "_edges"):
+            used = np.flatnonzero(self.slot_key >= 0)
+            self._edges = dict(zip(self.slot_key[used].tolist(), self.slot_to[used].tolist()))
+            self._links = self.link.tolist(), self.pops.tolist()
+        edges, (link, pops) = self._edges, self._links
+        for b in data:
+            while node >= 0:
+                to = edges.get(node << 8 | b)
+                if to is not None:
+                    node = to
+                    break
+                n, node = n + pops[node], link[node]
+            if node < 0:
+                break
+        return node, n
+
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Pieces of each word, -1 if it can't be split. The words go forward side by side, the longest first."""
+        """Pieces of each word, -1 if it can't be split. The words go forward side by side, the longest first, and the last FEW
+        are finished one by one, so the work is linear in the bytes whatever the longest word."""
         lengths = np.diff(offsets)
         order = np.argsort(-lengths, kind="stable")
         start, left = offsets[:-1][order], lengths[order]
         node, n = np.zeros(len(order), np.int32), np.zeros(len(order), np.int64)
-        done, live = 0, len(order)
+        done, shortest_last = 0, -left
         while True:
-            live = int(np.searchsorted(-left, -done, side="left"))
-            if not live:
+            live = int(np.searchsorted(shortest_last, -done, side="left"))
+            if live < FEW:
                 break
             rows = np.flatnonzero(node[:live] >= 0)
             byte = data[start[rows] + done]
@@ -128,6 +149,8 @@ class Automaton:
                 open_ = node[rows] >= 0
                 rows, byte = rows[open_], byte[open_]
             done += 1
+        for i in range(live):
+            node[i], n[i] = self._walk(int(node[i]), int(n[i]), data[start[i] + done : start[i] + left[i]].tobytes())
         last = np.where(node >= 0, self.end[np.maximum(node, 0)], -1)
         out = np.empty(len(order), np.int64)
         out[order] = np.where(last >= 0, n + last, -1)
