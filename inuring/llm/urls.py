@@ -1,13 +1,15 @@
 """URL filter: site rules, and a character language-model ratio for the URLs that no rule decides.
 
 The URLs that rules accept and reject train two Markov models over characters. A model's order varies: the next character's
-probability mixes the estimates after two, one and no characters of context, each weighted by how often and with how many
-successors its context was seen (Witten-Bell), so an unseen context falls back to the next shorter one. A URL's score is the
-difference of its log-likelihoods a character; the threshold is the one with the best balanced accuracy on a fifth of the
+probability mixes the estimates after five, four, ... and no characters of context, each weighted by how often and with how
+many successors its context was seen (Witten-Bell), so an unseen context falls back to the next shorter one. A URL's score is
+the difference of its log-likelihoods a character; the threshold is the one with the best balanced accuracy on a fifth of the
 decided URLs that the models have not seen.
 
-All of it is DataFrame operations. Characters are first mapped to an alphabet of fixed size, so the table of all contexts
-has a fixed size too. Log-likelihoods are whole millionths, so sums don't depend on the order of rows.
+All of it is DataFrame operations over the URLs' own characters, so the table of contexts grows with the URLs. It is built
+from the longest contexts down by aggregates and mixed from the shortest up by joins. Grams that stand in very many URLs are
+joined by a broadcast of bounded size, so no join has a hot key. Log-likelihoods are whole millionths, so sums don't depend
+on the order of rows.
 """
 
 from __future__ import annotations
@@ -15,14 +17,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inuring.llm.scratch import written
+from inuring.llm.scratch import intermediate, written
 from inuring.llm.text import fresh
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the URL's path starts with the rule's.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Letters, one sign for all digits, punctuation, one sign for anything else, and one before and after a URL.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-_?=&#:%~^"
-SIZE = len(ALPHABET)
+#: Characters of context at most, and the signs before and after a URL.
+CONTEXT, BEFORE, AFTER = 5, "\x02", "\x03"
+#: A key with more than one in so many of the rows is joined by a broadcast; there are at most so many.
+HOT = 1000
 #: One of so many decided URLs is held out to set the threshold.
 HELD_OUT = 5
 #: Width of the score bins that the threshold is chosen from, in nats a character.
@@ -61,45 +64,45 @@ def held_out(url: Column) -> Column:
 
 
 def grams(urls: DataFrame, url: str, keep: list[str]) -> DataFrame:
-    """``keep`` and ``gram``, a row for each character of the URL and its end: the number of (two characters before, it)."""
-    digits = F.translate(lower(F.col(url)), "123456789", "0" * 9)
-    plain = F.concat(F.lit("^^"), F.regexp_replace(digits, r"[^a-z0/.\-_?=&#:%]", "~"), F.lit("^"))
-    spelled = urls.select(*keep, F.transform(F.split(plain, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1).alias("codes"))
-    three = F.transform(F.slice("codes", 3, F.size("codes")), lambda c, i: (F.get("codes", i) * SIZE + F.get("codes", i + 1)) * SIZE + c)
-    return spelled.select(*keep, F.explode(three).alias("gram"))
-
-
-def _log_probability(n: str) -> list[tuple[str, Column]]:
-    """Columns to add in turn: the mixed estimate of c after a, b from the counts ``n`` of all (a, b, c)."""
-    by = lambda *keys: Window.partitionBy(*keys)
-    seen = (F.col(n) > 0).cast("long")
-    mixed = lambda own, total, kinds, shorter: (F.col(own) + F.col(kinds) * shorter) / (F.col(total) + F.col(kinds))
-    return [
-        ("n_c", F.sum(n).over(by("c"))),
-        ("n_all", F.sum(n).over(by())),
-        ("n_bc", F.sum(n).over(by("b", "c"))),
-        ("n_b", F.sum(n).over(by("b"))),
-        ("first_bc", (F.row_number().over(by("b", "c").orderBy("a")) == 1).cast("long")),
-        ("t_b", F.sum(F.when(F.col("n_bc") > 0, F.col("first_bc")).otherwise(0)).over(by("b"))),
-        ("n_ab", F.sum(n).over(by("a", "b"))),
-        ("t_ab", F.sum(seen).over(by("a", "b"))),
-        ("p0", (F.col("n_c") + 1) / (F.col("n_all") + SIZE)),
-        ("p1", F.when(F.col("n_b") > 0, mixed("n_bc", "n_b", "t_b", F.col("p0"))).otherwise(F.col("p0"))),
-        ("p2", F.when(F.col("n_ab") > 0, mixed(n, "n_ab", "t_ab", F.col("p1"))).otherwise(F.col("p1"))),
-    ]
+    """``keep`` and ``gram``, a row for each character of the URL, lower-cased, and its end: CONTEXT characters before, and it."""
+    signs = F.split(F.concat(F.lit(BEFORE * CONTEXT), lower(F.col(url)), F.lit(AFTER)), "")
+    spelled = urls.select(*keep, signs.alias("signs"))
+    starts = F.sequence(F.lit(1), F.size("signs") - CONTEXT)
+    return spelled.select(*keep, F.explode(F.transform(starts, lambda i: F.array_join(F.slice("signs", i, CONTEXT + 1), ""))).alias("gram"))
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
-    """(gram, ratio) of every possible gram, SIZE**3 rows: the accepted model's log-probability less the rejected one's, in
-    millionths. ``counts`` has gram, accepted and rejected."""
-    every = counts.sparkSession.range(SIZE**3).select(F.col("id").cast("int").alias("gram"))
-    grid = every.join(counts, "gram", "left").fillna(0, ["accepted", "rejected"])
-    grid = grid.select("gram", F.expr(f"gram div {SIZE * SIZE}").alias("a"), F.expr(f"gram div {SIZE} % {SIZE}").alias("b"), (F.col("gram") % SIZE).alias("c"), "accepted", "rejected")
-    for n in ("accepted", "rejected"):
-        for name, column in _log_probability(n):
-            grid = grid.withColumn(name, column)
-        grid = grid.withColumn(f"log_{n}", F.log("p2"))
-    return grid.select("gram", F.round((F.col("log_accepted") - F.col("log_rejected")) * 1e6).cast("long").alias("ratio"))
+    """(gram, n, ratio): the accepted model's log-probability of the last character less the rejected one's, in millionths.
+
+    ``counts`` has each gram of the URLs once, with ``n`` (all URLs), ``accepted`` and ``rejected`` (those to train on).
+    """
+    orders = [counts.select("gram", "n", "accepted", "rejected")]
+    for k in range(CONTEXT, 0, -1):  # without the character furthest away
+        shorter = orders[-1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(*[F.sum(c).alias(c) for c in ("n", "accepted", "rejected")])
+        orders.append(written(shorter))
+    least = orders.pop()
+    whole = least.agg(F.count("*").alias("signs"), F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).first()
+    own = lambda n: (F.col(n) + 1) / F.lit(float((whole[n] or 0) + whole["signs"] + 1))
+    mixed = least.select("gram", own("accepted").alias("accepted_p"), own("rejected").alias("rejected_p"))
+    for k, table in enumerate(reversed(orders), 1):
+        # a context has as many rows as there are characters
+        context = Window.partitionBy(F.substring("gram", 1, k))
+        for n in ("accepted", "rejected"):
+            table = table.withColumns({f"{n}_all": F.sum(n).over(context), f"{n}_kinds": F.sum((F.col(n) > 0).cast("long")).over(context)})
+        lower_order = mixed.select(F.col("gram").alias("shorter"), F.col("accepted_p").alias("accepted_s"), F.col("rejected_p").alias("rejected_s"))
+        table = table.join(lower_order, F.substring("gram", 2, k) == F.col("shorter"))
+        blend = lambda n: F.when(F.col(f"{n}_all") > 0, (F.col(n) + F.col(f"{n}_kinds") * F.col(f"{n}_s")) / (F.col(f"{n}_all") + F.col(f"{n}_kinds"))).otherwise(F.col(f"{n}_s"))
+        mixed = written(table.select("gram", "n", blend("accepted").alias("accepted_p"), blend("rejected").alias("rejected_p")))
+    return mixed.select("gram", "n", F.round((F.log("accepted_p") - F.log("rejected_p")) * 1e6).cast("long").alias("ratio"))
+
+
+def _joined(rows: DataFrame, keys: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``keys``, which has every ``key`` of theirs once and its ``weight`` (rows): the HOT keys at
+    most that more than one in HOT rows have are broadcast, so no task gets all rows of one."""
+    hot = F.col(weight) * HOT > total
+    common = keys.where(hot).drop(weight)
+    rest = rows.join(F.broadcast(common.select(key)), key, "left_anti").join(keys.where(~hot).drop(weight), key)
+    return rows.join(F.broadcast(common), key).unionByName(rest)
 
 
 def threshold(scores: DataFrame) -> float:
@@ -124,22 +127,26 @@ def judge_urls(df: DataFrame, url: str = "url", rules: tuple[tuple[str, str, str
     rest is allowed. An empty table stays empty. Names that ``df`` has already get underscores.
     """
     address = F.coalesce(F.col(url), F.lit(""))
-    urls = df.select(address.alias("u")).groupBy("u").agg(F.count("*").alias("weight"))
-    urls = urls.withColumn("verdict", matching_rule(*host_and_path(F.col("u")), rules)["verdict"]).withColumn("held", held_out(F.col("u")))
-    urls = written(urls)
-    seen = grams(urls.where("verdict is not null and not held"), "u", ["weight", "verdict"])
-    times = lambda v: F.sum(F.when(F.col("verdict") == v, F.col("weight")).otherwise(0))
-    ratios = written(log_ratios(seen.groupBy("gram").agg(times("allow").alias("accepted"), times("block").alias("rejected"))))
-    spread = grams(urls, "u", ["u", "weight", "verdict", "held"])
-    # SIZE**3 rows whatever the data
-    scores = spread.join(F.broadcast(ratios), "gram").groupBy("u", "weight", "verdict", "held").agg((F.sum("ratio") / F.count("*")).alias("score"))
-    scores = written(scores)
-    least = threshold(scores.where("held and verdict is not null"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = fresh(df, "host", "path", "rule", "score", "verdict")
-    key, value, rule = fresh(df, "url_key", "url_score", "url_rule")
+    key, value, rule, many = fresh(df, "url_key", "url_score", "url_rule", "url_rows")
+    with intermediate(df.sparkSession) as results:
+        urls = df.select(address.alias("u")).groupBy("u").agg(F.count("*").alias("weight"))
+        urls = urls.withColumn("verdict", matching_rule(*host_and_path(F.col("u")), rules)["verdict"]).withColumn("held", held_out(F.col("u")))
+        urls = written(urls.repartition(parts, "u").withColumn("number", F.monotonically_increasing_id()))
+        spread = grams(urls, "u", ["number", "weight", "verdict", "held"])
+        times = lambda v: F.sum(F.when((F.col("verdict") == v) & ~F.col("held"), F.col("weight")).otherwise(0))
+        counts = written(spread.groupBy("gram").agg(F.count("*").alias("n"), times("allow").alias("accepted"), times("block").alias("rejected")))
+        ratios = written(log_ratios(counts))
+        total = ratios.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        scores = _joined(spread.select("number", "gram"), ratios, "gram", "n", total).groupBy("number").agg((F.sum("ratio") / F.count("*")).alias("score"))
+        scores = written(urls.join(scores, "number").select("u", "weight", "verdict", "held", "score"))
+        least = threshold(scores.where("held and verdict is not null"))
+        results.append(scores.select(F.col("u").alias(key), F.col("weight").alias(many), ((F.col("score") - least) / 1e6).alias(value)))
+    scored = results[0]
     host, path = host_and_path(F.col(url))
-    scored = scores.select(F.col("u").alias(key), ((F.col("score") - least) / 1e6).alias(value))
     out = df.withColumns({names[0]: host, names[1]: path}).withColumn(rule, matching_rule(F.col(names[0]), F.col(names[1]), rules))
-    out = out.join(scored, address == F.col(key), "left")
+    out = _joined(out.withColumn(key, address), scored, key, many, df.count())
     chosen = F.coalesce(F.col(rule)["verdict"], F.when(F.col(value) >= 0, "allow").otherwise("block"))
-    return out.withColumns({names[2]: F.col(rule)["rule"], names[3]: F.col(value), names[4]: chosen}).drop(key, value, rule)
+    out = out.withColumns({names[2]: F.col(rule)["rule"], names[3]: F.col(value), names[4]: chosen})
+    return out.select(*df.columns, *names)
