@@ -1,11 +1,13 @@
 """DuckDB SQL of the queries that SQL can express over whole tables.
 
-The others have none: op3 walks an automaton, op5 needs places of pattern matches,
-op6 ranks words of templates, op7 writes files, op10 trains and fits. Tests hold those against brute-force versions.
+The others have none: op3 walks an automaton over a vocabulary file, op7 writes files, op10 trains and fits. Tests hold those
+against brute-force versions.
 """
 
 from __future__ import annotations
 
+from inuring.llm.secrets import BASE_RULES, RULES
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = f"translate(COALESCE(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
@@ -41,28 +43,32 @@ OP2 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN s ON s.doc_id = d.doc_id"""
 
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-_?=&#:%~^"
-A = len(ALPHABET)
+CONTEXT = 5
 ADDRESS = f"""SELECT *, CASE WHEN strpos(u, '://') > 0 THEN translate(regexp_extract(substr(u, strpos(u, '://') + 3), '^[^/?#]*'), '{UPPER}', '{UPPER.lower()}') ELSE '' END AS host,
     CASE WHEN strpos(u, '://') > 0 THEN regexp_extract(regexp_replace(substr(u, strpos(u, '://') + 3), '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path"""
 RULED = """SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/' WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule"""
 
 
-def _model(n: str) -> str:
-    """Log-probability of every (a, b, c) from the counts n, each context's estimate mixed with the shorter one's."""
-    return f"""SELECT gram, ln(CASE WHEN n_ab > 0 THEN (n + t_ab * p1) / (n_ab + t_ab) ELSE p1 END) AS log_p FROM (SELECT *, CASE WHEN n_b > 0 THEN (n_bc + t_b * p0) / (n_b + t_b) ELSE p0 END AS p1
-        FROM (SELECT *, (n_c + 1) / (n_all + {A}) AS p0, SUM(CASE WHEN n_bc > 0 AND a = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY b) AS t_b FROM (SELECT gram, a, b, c, {n} AS n, SUM({n}) OVER (PARTITION BY c) AS n_c, SUM({n}) OVER () AS n_all,
-            SUM({n}) OVER (PARTITION BY b, c) AS n_bc, SUM({n}) OVER (PARTITION BY b) AS n_b, SUM({n}) OVER (PARTITION BY a, b) AS n_ab, SUM(CASE WHEN {n} > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY a, b) AS t_ab FROM grid)))"""
+def _orders() -> str:
+    """Tables g0, g1, ...: each gram's counts; p0, p1, ...: its probabilities, mixed with those of the shorter context."""
+    out = []
+    for k in range(CONTEXT - 1, -1, -1):
+        out.append(f"g{k} AS MATERIALIZED (SELECT substr(gram, 2) AS gram, SUM(accepted) AS accepted, SUM(rejected) AS rejected FROM g{k + 1} GROUP BY 1)")
+    out.append("p0 AS MATERIALIZED (SELECT gram, " + ", ".join(f"(({n} + 1) / (SUM({n}) OVER () + COUNT(*) OVER () + 1))::DOUBLE AS p_{n}" for n in ("accepted", "rejected")) + " FROM g0)")
+    for k in range(1, CONTEXT + 1):
+        blend = lambda n: f"CASE WHEN SUM(g.{n}) OVER w > 0 THEN (g.{n} + SUM(CASE WHEN g.{n} > 0 THEN 1 ELSE 0 END) OVER w * s.p_{n})::DOUBLE / (SUM(g.{n}) OVER w + SUM(CASE WHEN g.{n} > 0 THEN 1 ELSE 0 END) OVER w) ELSE s.p_{n} END AS p_{n}"  # noqa: B023, E731
+        out.append(f"p{k} AS MATERIALIZED (SELECT g.gram, {blend('accepted')}, {blend('rejected')} FROM g{k} g JOIN p{k - 1} s ON s.gram = substr(g.gram, 2) WINDOW w AS (PARTITION BY substr(g.gram, 1, {k})))")
+    return ",\n    ".join(out)
 
 
 OP4 = rf"""WITH u AS (SELECT COALESCE(url, '') AS u, COUNT(*) AS weight FROM pages GROUP BY 1), r AS ({RULED} FROM ({ADDRESS} FROM u)),
     v AS (SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS given, ('0x' || substr(md5(u), 1, 8))::BIGINT % 5 = 0 AS held FROM r),
-    s AS (SELECT *, '^^' || regexp_replace(translate(u, '{UPPER}123456789', '{UPPER.lower()}000000000'), '[^a-z0/.\-_?=&#:%]', '~', 'g') || '^' AS t FROM v),
-    g AS (SELECT u, weight, given, held, ((strpos('{ALPHABET}', substr(t, i, 1)) - 1) * {A} + strpos('{ALPHABET}', substr(t, i + 1, 1)) - 1) * {A} + strpos('{ALPHABET}', substr(t, i + 2, 1)) - 1 AS gram FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM s)),
-    n AS (SELECT gram, SUM(CASE WHEN given = 'allow' THEN weight ELSE 0 END) AS accepted, SUM(CASE WHEN given = 'block' THEN weight ELSE 0 END) AS rejected FROM g WHERE given IS NOT NULL AND NOT held GROUP BY gram),
-    grid AS (SELECT k AS gram, k // {A * A} AS a, k // {A} % {A} AS b, k % {A} AS c, CAST(COALESCE(accepted, 0) AS BIGINT) AS accepted, CAST(COALESCE(rejected, 0) AS BIGINT) AS rejected FROM range({A**3}) x(k) LEFT JOIN n ON n.gram = k),
-    m AS (SELECT p.gram, CAST(round((p.log_p - q.log_p) * 1e6) AS BIGINT) AS ratio FROM ({_model("accepted")}) p JOIN ({_model("rejected")}) q ON q.gram = p.gram),
+    s AS (SELECT *, repeat(chr(2), {CONTEXT}) || translate(u, '{UPPER}', '{UPPER.lower()}') || chr(3) AS t FROM v),
+    g AS MATERIALIZED (SELECT u, weight, given, held, substr(t, i, {CONTEXT + 1}) AS gram FROM (SELECT *, unnest(range(1, length(t) - {CONTEXT} + 1)) AS i FROM s)),
+    g{CONTEXT} AS MATERIALIZED (SELECT gram, CAST(SUM(CASE WHEN given = 'allow' AND NOT held THEN weight ELSE 0 END) AS DOUBLE) AS accepted, CAST(SUM(CASE WHEN given = 'block' AND NOT held THEN weight ELSE 0 END) AS DOUBLE) AS rejected FROM g GROUP BY gram),
+    {_orders()},
+    m AS (SELECT gram, CAST(round((ln(p_accepted) - ln(p_rejected)) * 1e6) AS BIGINT) AS ratio FROM p{CONTEXT}),
     sc AS (SELECT u, weight, given, held, CAST(SUM(ratio) AS BIGINT) / COUNT(*) AS score FROM g JOIN m ON m.gram = g.gram GROUP BY ALL),
     bins AS (SELECT CAST(floor(score / 10000) AS BIGINT) AS bin, SUM(CASE WHEN given = 'allow' THEN weight ELSE 0 END) AS good, SUM(CASE WHEN given = 'block' THEN weight ELSE 0 END) AS bad FROM sc WHERE held AND given IS NOT NULL GROUP BY 1),
     cuts AS (SELECT bin, COALESCE(LAG(bin) OVER (ORDER BY bin) + 1, bin) AS free, SUM(good) OVER () AS goods, SUM(bad) OVER () AS bads, COALESCE(SUM(good) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lost,
@@ -90,4 +96,16 @@ OP9 = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{B
     SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, LEAST(d.doc_id, COALESCE(MIN(reach.w), d.doc_id)) AS component_id, d.doc_id <= COALESCE(MIN(reach.w), d.doc_id) AS kept
     FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.v = d.doc_id GROUP BY d.doc_id, n.n"""
 
-ORACLE_SQL = {"op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
+def _spans(order: int, kind: str, pattern: str, least: int, group: int) -> str:
+    """(doc_id, kind, ord, a, b) of the leftmost matches without overlap, in code points. Each match is put between two signs
+    that no text has; what stands between two first signs is a match, its second sign and what follows."""
+    length = f"length(regexp_extract(m, '{pattern}', {group}))"
+    return rf"""SELECT doc_id, '{kind}' AS kind, {order} AS ord, a, a + length(m) AS b FROM (SELECT doc_id, i, split_part(p, chr(2), 1) AS m, SUM(length(p) - CASE WHEN i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) - (length(p) - 1) AS a
+        FROM (SELECT doc_id, unnest(parts) AS p, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(regexp_replace(COALESCE(text, ''), '({pattern})', chr(1) || '\1' || chr(2), 'g'), chr(1)) AS parts FROM documents))) WHERE i > 1 AND {length} >= {least}"""
+
+
+OP5 = f"""WITH s AS ({" UNION ALL ".join(_spans(k, r.kind, r.pattern.decode().replace("'", "''"), r.least, r.group) for k, r in enumerate(RULES))}),
+    j AS (SELECT doc_id, {", ".join(f"COUNT(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) FILTER (ord < {len(BASE_RULES)}) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) AS spans FROM s GROUP BY doc_id)
+    SELECT d.doc_id, {", ".join(f"COALESCE(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)}, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans FROM documents d LEFT JOIN j ON j.doc_id = d.doc_id"""
+
+ORACLE_SQL = {"op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}

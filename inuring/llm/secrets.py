@@ -1,7 +1,8 @@
 """Secret scans: all rules compiled into one deterministic automaton that reads each byte once.
 
 The combined automaton tells which rules match somewhere in a segment of text (segments end where every state falls back
-to the start, so no match crosses them). Segments with a match are rare; there the rule's own automaton gives the spans.
+to the start, so no match crosses them). Segments with a match are rare; there the rule's own automata give the spans: one
+reads backward and finds where matches begin, one reads each match from there to its last end. Both are linear.
 """
 
 from __future__ import annotations
@@ -46,24 +47,26 @@ RULES = BASE_RULES + MORE_RULES
 
 
 @lru_cache(maxsize=8)
-def compiled(rules: tuple[Rule, ...]) -> tuple[Dfa, tuple[Dfa, ...]]:
-    """The automaton of all rules together, and an anchored one for each."""
-    return Dfa([r.pattern for r in rules]), tuple(Dfa([r.pattern], anchored=True) for r in rules)
+def compiled(rules: tuple[Rule, ...]) -> tuple[Dfa, tuple[tuple[Dfa, Dfa], ...]]:
+    """The automaton of all rules together, and for each rule one that reads backward and an anchored one."""
+    return Dfa([r.pattern for r in rules]), tuple((Dfa([r.pattern], backward=True), Dfa([r.pattern], anchored=True)) for r in rules)
 
 
-def find_spans(texts: Texts, rules: tuple[Rule, ...], together: Dfa, alone: tuple[Dfa, ...]) -> list[tuple[int, int, int, int]]:
+def find_spans(texts: Texts, rules: tuple[Rule, ...], together: Dfa, alone: tuple[tuple[Dfa, Dfa], ...]) -> list[tuple[int, int, int, int]]:
     """(text, start, rule, end) in code points of each text, in that order."""
     data = texts.data
     cut = np.unique(np.concatenate([np.flatnonzero(together.resets[data]), texts.bounds[texts.bounds < len(data)], [len(data)]]))
     starts, ends = cut[:-1], cut[1:]
     bits = together.scan(data, starts, ends)
     out = []
-    for i in np.flatnonzero(bits):
+    for i in np.flatnonzero(bits.any(axis=1)):
         segment = data[starts[i] : ends[i]].tobytes()
         doc = int(np.searchsorted(texts.bounds, starts[i], side="right")) - 1
         for r, rule in enumerate(rules):
-            if bits[i] >> r & 1:
-                for a, b in alone[r].longest(segment):
+            if int(bits[i, r // 64]) >> r % 64 & 1:
+                backward, forward = alone[r]
+                begins = [len(segment) - at for at in reversed(backward.ends(segment[::-1]))]
+                for a, b in forward.longest(segment, begins):
                     if not rule.least or len(re.fullmatch(rule.pattern, segment[a:b])[rule.group]) >= rule.least:
                         out.append((doc, int(starts[i]) + a, r, int(starts[i]) + b))
     points = {}

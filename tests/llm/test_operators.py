@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -109,6 +110,18 @@ def test_longest_matches(spark):
     assert decontam.decontaminate(frame(spark, docs).limit(0), bench).count() == 0
 
 
+def test_repeated_words_take_linear_time(spark):
+    """A million equal words against an item that repeats the same word, and a line that every item has."""
+    line = " ".join(f"p{k}" for k in range(12))
+    items = [(0, "the " * 500)] + [(k, f"{line} " + " ".join(f"i{k}x{j}" for j in range(8))) for k in range(1, 300)]
+    docs = ["the " * 1_000_000, f"x {line} y", " ".join(f"i7x{j}" for j in range(8))]
+    began = time.perf_counter()
+    found = decontam.find_matches(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    rows = {r.doc_id: r for r in found.select("doc_id", decontam.words_hit(F.col("matches")).alias("hit"), F.size(decontam.items_hit(F.col("matches"))).alias("items")).collect()}
+    assert {k: (r.hit, r["items"]) for k, r in rows.items()} == {0: (1_000_000, 1), 1: (12, 299), 2: (0, 0)}
+    assert time.perf_counter() - began < 60
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------
 def greedy(word, initial, inner):
     n = i = 0
@@ -141,6 +154,26 @@ def test_token_counts(spark):
         assert out[i] == (len(each), sum(1 if n < 0 else n for n in each), sum(n < 0 for n in each))
 
 
+def test_long_words_take_linear_time():
+    """One word of a megabyte among many short ones."""
+    rnd = random.Random(3)
+    initial, inner = [b"a", b"ab", b"b"], [b"a", b"b", b"ba", b"bab"]
+    words = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 12))) for _ in range(50_000)] + [bytes(rnd.choice(b"ab") for _ in range(1 << 20))]
+    began = time.perf_counter()
+    got = wordpiece.Automaton(initial, inner).counts(np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])]))
+    assert time.perf_counter() - began < 20
+    assert got[-200:].tolist() == [greedy(w, set(initial), set(inner)) for w in words[-200:-1]] + [long_greedy(words[-1], initial, inner)]
+
+
+def long_greedy(word, initial, inner):
+    n, i, most = 0, 0, max(map(len, initial + inner))
+    while i < len(word):
+        own = initial if i == 0 else inner
+        i += next(k for k in range(most, 0, -1) if word[i : i + k] in own and i + k <= len(word))
+        n += 1
+    return n
+
+
 # --- 4 --------------------------------------------------------------------------------------------------------------
 def test_url_rules(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "nothing", "c"), (4, "http://x.ORG/fr/ü?a", "d"), (5, "http://net", "e"), (6, "http://a.net/x#y", "e"), (7, "http://m.example.net/en/3?q", "e"), (8, "http://anet/x", "e")]
@@ -163,6 +196,45 @@ def test_url_models_on_held_out(spark):
     assert len(held) > 50 and right >= 0.95 * len(held)
 
 
+def plain_ratio(train, k, gram, n):
+    """Probability of a gram's last character after the k before it, by counting over the texts each time."""
+    signs = {c for t, _ in n for c in t[urls.CONTEXT :]}
+    if k == 0:
+        return (sum(w * t[urls.CONTEXT :].count(gram) for t, w in train) + 1) / (sum(w * (len(t) - urls.CONTEXT) for t, w in train) + len(signs) + 1)
+    after = collections.Counter()
+    for t, w in train:
+        for i in range(urls.CONTEXT, len(t)):
+            if t[i - k : i] == gram[:-1]:
+                after[t[i]] += w
+    shorter, all_ = plain_ratio(train, k - 1, gram[1:], n), sum(after.values())
+    return (after[gram[-1]] + len(after) * shorter) / (all_ + len(after)) if all_ else shorter
+
+
+def test_url_models_against_plain_counts(spark):
+    """Every gram's ratio, with digits, other scripts and repeated URLs."""
+    rnd = random.Random(5)
+    addresses = [f"http://{rnd.choice(['ab', 'ba', 'ηλ', '中'])}{rnd.randint(0, 9)}.{rnd.choice(['net', 'org'])}/{rnd.choice(['fr', 'x'])}/{rnd.randint(0, 20)}" for _ in range(60)]
+    df = spark.createDataFrame([(a, 1 + k % 2, "allow" if ".org/fr" in a else "block" if ".net" in a else None, k % 5 == 0) for k, a in enumerate(addresses)], "u string, weight int, verdict string, held boolean")
+    spread = urls.grams(df, "u", ["weight", "verdict", "held"])
+    times = lambda v: F.sum(F.when((F.col("verdict") == v) & ~F.col("held"), F.col("weight")).otherwise(0))
+    counts = spread.groupBy("gram").agg(F.count("*").alias("n"), times("allow").alias("accepted"), times("block").alias("rejected"))
+    got = {r.gram: r.ratio for r in urls.log_ratios(counts).collect()}
+    spelled = [(urls.BEFORE * urls.CONTEXT + a + urls.AFTER, 1 + k % 2, ".org/fr" in a, ".net" in a, k % 5 == 0) for k, a in enumerate(addresses)]
+    allow, block = ([(t, w) for t, w, a, b, h in spelled if not h and (a if k == 0 else b)] for k in (0, 1))
+    every = [(t, w) for t, w, *_ in spelled]
+    for gram in rnd.sample(sorted(got), 60):
+        expected = np.log(plain_ratio(allow, urls.CONTEXT, gram, every)) - np.log(plain_ratio(block, urls.CONTEXT, gram, every))
+        assert abs(got[gram] / 1e6 - expected) < 1e-5
+
+
+def test_hot_and_repeated_urls(spark):
+    """Rows of one URL, null ones among them, get one score each and all rows stay."""
+    rows = [(i, None if i % 3 == 0 else "http://a.net/x" if i % 3 == 1 else f"http://b{i}.org/fr/1") for i in range(900)]
+    out = urls.judge_urls(spark.createDataFrame(rows, "page_id int, url string")).collect()
+    assert sorted(r.page_id for r in out) == list(range(900))
+    assert len({(r.score, r.verdict) for r in out if r.page_id % 3 == 0}) == 1 and {r.verdict for r in out if r.page_id % 3 == 1} == {"block"}
+
+
 # --- 5 --------------------------------------------------------------------------------------------------------------
 PLAIN_RULES = (("assign", r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 12, 2, re.I | re.A), ("access", "AKIA[A-Z0-9]+", 18, 0, 0), ("hex", "[0-9a-f]+", 16, 0, 0))
 
@@ -178,9 +250,48 @@ def test_secrets(spark):
 
 
 def test_more_secrets(spark):
-    docs = ["x ghp_" + "a1B2" * 9 + " y", "-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "ab" * 20 + "." + "cd" * 10 + ".sig-x"]
-    out = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets if s.kind not in ("assign", "access", "hex")] for r in secrets.scan_secrets(frame(spark, docs)).collect()}
-    assert out == {0: [("github", 2, 42)], 1: [("private_key", 0, 31)], 2: [("jwt", 0, len(docs[2]))]}
+    """The added rules against plain patterns, on texts of their parts."""
+    rnd = random.Random(2)
+    parts = ["ghp_", "gho_", "xoxb-", "xoxz-", "AIza", "eyJ", ".", "-----BEGIN ", "RSA ", "PRIVATE KEY-----", "a1B2" * 9, "cd" * 10, "_", "-", " ", "é", "\n", "AKIA", "0" * 20]
+    docs = ["x ghp_" + "a1B2" * 9 + " y", "-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "ab" * 20 + "." + "cd" * 10 + ".sig-x", "xoxb-" + "1" * 15 + " AIza" + "x" * 35]
+    docs += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(600)]
+    some = 0
+    for r in secrets.scan_secrets(frame(spark, docs)).collect():
+        expected = [(m.start(), k, rule.kind, m.end()) for k, rule in enumerate(secrets.MORE_RULES) for m in re.finditer(rule.pattern.decode(), docs[r.doc_id]) if len(m[rule.group]) >= rule.least]
+        got = [(s.start, s.kind, s.end) for s in r.secrets if s.kind not in ("assign", "access", "hex")]
+        assert got == [(a, n, b) for a, _, n, b in sorted(expected)], docs[r.doc_id]
+        some += len(got)
+    assert some > 100
+
+
+def test_many_rules(spark):
+    """Seventy rules, more than a machine word has bits."""
+    rules = tuple(secrets.Rule(f"k{i}", f"key{i:02d}x".encode(), 0) for i in range(70))
+    docs = [" ".join(f"key{i:02d}x" for i in range(70)), "key69x key68", None]
+    out = {r.doc_id: [s.kind for s in r.secrets] for r in secrets.scan_secrets(frame(spark, docs), rules=rules).collect()}
+    assert out == {0: [f"k{i}" for i in range(70)], 1: ["k69"], 2: []}
+    assert secrets.scan_secrets(frame(spark, docs).limit(0)).count() == 0
+
+
+def test_secret_segments_take_linear_time(spark):
+    docs = ["eyJaaaa.bbb.cc." + "eyJ" * 350_000, "token=" * 170_000 + "abcdefghijklmnop", "ghp_" * 250_000]
+    began = time.perf_counter()
+    out = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets] for r in secrets.scan_secrets(frame(spark, docs)).collect()}
+    assert time.perf_counter() - began < 60
+    assert out[0] == [] and out[1] == [("assign", 0, len(docs[1]))] and len(out[2]) <= 1
+
+
+@pytest.mark.parametrize("pattern", [rb"a(b|cd)*e?", rb"[^a-c]x{2,3}", rb"(?:ab|a)b+\x20?", rb"\.[a\-z]{2}"])
+def test_patterns_against_re(pattern):
+    from inuring.llm.automaton import Dfa
+
+    rnd = random.Random(7)
+    for _ in range(300):
+        data = bytes(rnd.choice(b"abcdex. -z") for _ in range(rnd.randint(0, 15)))
+        anchored = Dfa([pattern], anchored=True)
+        begins = [i for i in range(len(data)) if re.compile(pattern).match(data, i)]
+        assert [len(data) - at for at in reversed(Dfa([pattern], backward=True).ends(data[::-1]))] == begins
+        assert all(any(re.compile(pattern).fullmatch(data, a, b) for _ in [0]) for a, b in anchored.longest(data, begins))
 
 
 # --- 6 --------------------------------------------------------------------------------------------------------------
