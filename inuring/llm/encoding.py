@@ -2,7 +2,8 @@
 
 Ids are replaced by their rank by frequency over the whole table, so that the common ones take one byte. Four ranks share a
 control byte with two bits each (bytes - 1); the ranks' bytes follow in a column of their own. The files are Parquet tables
-of one row a document, in ascending order of ids, and of the id at each rank. Decoding looks the control bytes up in a table.
+of one row a document, in ascending order of ids within and over the files by name, and of the id at each rank. Decoding looks
+the control bytes up in a table.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inuring.llm.scratch import folder, remove
+from inuring.llm.scratch import remove, temporary
 from inuring.llm.text import CHUNK_BYTES, SPACE, Texts, add_columns, byte_table, list_array
 
 #: Distinct pieces of text whose ids a worker keeps at hand.
 CACHE_PIECES = 600_000
-#: Ranges of document ids that the table is dealt into, for each shuffle partition, and in all.
-RANGES_A_PARTITION, MOST_RANGES = 4, 20_000
+#: Ranges of document ids that the table is dealt into at most, and ids that their bounds are taken from for each.
+MOST_RANGES, IDS_A_RANGE = 20_000, 20
 #: White space, or the lead byte of a character that may be.
 _MAY_BE_SPACE = SPACE | byte_table([(0xC2, 0xC2), (0xE1, 0xE3)])
 _ALNUM = byte_table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)])
@@ -194,26 +195,52 @@ def id_by_rank(ids: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
     return np.argsort(-total, kind="stable").astype(np.uint32)
 
 
+def id_bounds(plain: DataFrame, ranges: int) -> list:
+    """At most ``ranges`` - 1 ids that part the table into ranges of about equal size: quantiles of numbers, of other types
+    those of a sample by hash. They only balance the files; any bounds give the same order."""
+    if ranges < 2:
+        return []
+    if isinstance(plain.schema["id"].dataType, T.NumericType):
+        return sorted(set(plain.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], IDS_A_RANGE * ranges).alias("b")).first()["b"] or []))
+    wanted = IDS_A_RANGE * ranges
+    rows = plain.where("id is not null").agg(F.count("*").alias("n")).first()["n"]
+    some = plain.where("id is not null").where(F.pmod(F.xxhash64("id"), F.lit(max(1, rows // wanted))) == 0).select("id").distinct()
+    found = [r["id"] for r in some.orderBy(F.xxhash64("id")).limit(4 * wanted).orderBy("id").collect()]
+    return sorted({found[len(found) * k // ranges] for k in range(1, ranges)}) if found else []
+
+
 def write_tokens(df: DataFrame, path: str, tokenizer_file: str, end_id: int, id: str = "doc_id", text: str = "text") -> None:
     """Encode all texts and write them to ``path``/tokens in ascending order of ids, and the ids by rank to ``path``/ranks.
 
-    Null and empty texts have the end id only. Null ids come first; rows of one id are ordered by length and content, so
-    equal rows give the same files in any order. An empty table gives empty files. Texts are encoded once, to a table in the
-    shared folder that is deleted at the end; packed ids are shuffled once, to ranges of document ids.
+    Ids may be of any type that has an order. Null ids come first, dealt by a hash of the text; rows of one id are ordered by
+    that hash, length and content, so equal rows give the same files in any order. Null and empty texts have the end id only.
+    An empty table gives empty files. Texts are encoded once, to a table in the shared folder that is deleted at the end;
+    packed ids are shuffled once, to ranges of document ids, a file for each.
     """
     spark = df.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
         tokenizer = f.read()
+    encoded = f"{path}/encoded"
+    try:
+        _write_tokens(df, path, encoded, tokenizer, end_id, id, text)
+    finally:
+        remove(spark, encoded)
+
+
+def _write_tokens(df: DataFrame, path: str, encoded: str, tokenizer: str, end_id: int, id: str, text: str) -> None:
+    spark = df.sparkSession
     vocabulary = Encoder(tokenizer).vocabulary
     size = max(vocabulary, end_id + 1)
     kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
     sent = spark.sparkContext.broadcast(tokenizer)
     plain = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = min(MOST_RANGES, RANGES_A_PARTITION * parts)
-    bounds = plain.agg(F.percentile_approx("id", [k / n for k in range(1, n)], 20 * n).alias("b")).first()["b"] or []
-    ranged = plain.withColumn("part", _range(sorted(set(bounds))))
-    encoded = f"{path}/encoded"
+    parts = min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counts = plain.agg(F.count("*").alias("n"), F.count("id").alias("known")).first()
+    nulls = -(-parts * (counts["n"] - counts["known"]) // max(counts["n"], 1))
+    bounds = id_bounds(plain, max(1, parts - nulls))
+    part = F.when(F.col("id").isNull(), F.pmod(F.col("hash"), F.lit(max(nulls, 1))).cast("int")).otherwise(_range(bounds) + nulls)
+    ranged = plain.withColumn("hash", F.xxhash64("text")).withColumn("part", part)
+    files = nulls + len(bounds) + 1
     token_ids(ranged, "text", sent, end_id, vocabulary).drop("text").write.option("compression", "zstd").parquet(encoded)
     ids = spark.read.parquet(encoded)
     by_rank = id_by_rank(ids, kind, size)
@@ -228,10 +255,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, end_id: int, id:
                 part = batch.slice(a, 500)
                 get = lambda k: part.column(part.schema.get_field_index(k))  # noqa: B023, E731
                 control, data, n_control, n_data = pack(ranks.value[_raw(get("ids")).view(kind)], get("n_tokens").to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([get("id"), get("part"), get("n_tokens"), _binaries(control, n_control), _binaries(data, n_data)], names=["id", "part", "n_tokens", "control", "data"])
+                yield pa.RecordBatch.from_arrays([get("id"), get("hash"), get("part"), get("n_tokens"), _binaries(control, n_control), _binaries(data, n_data)], names=["id", "hash", "part", "n_tokens", "control", "data"])
 
     schema = T.StructType([*ids.drop("ids").schema.fields, T.StructField("control", T.BinaryType()), T.StructField("data", T.BinaryType())])
-    in_order = ids.mapInArrow(packed, schema).repartition(parts, "part").sortWithinPartitions("part", "id", "n_tokens", "control", "data")
+    in_order = ids.mapInArrow(packed, schema).repartitionById(files, F.col("part")).sortWithinPartitions("part", "id", "hash", "n_tokens", "control", "data")
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = None, 0
@@ -250,18 +277,16 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, end_id: int, id:
 
     schema = T.StructType([*schema.fields, T.StructField("before", T.LongType())])
     in_order.mapInArrow(running, schema).write.option("compression", "zstd").parquet(f"{path}/tokens")
-    remove(spark, encoded)
 
 
 def _range(bounds: list) -> Column:
-    """How many of the sorted bounds lie below the id, found among every 64th first; -1 for a null id."""
+    """How many of the sorted bounds lie below the id, found among every 64th first."""
     below = lambda values: F.aggregate(F.array(*[F.lit(b) for b in values]) if isinstance(values, list) else values, F.lit(0), lambda k, b: k + (F.col("id") > b).cast("int"))
-    none = F.when(F.col("id").isNull(), F.lit(-1))
     if not bounds:
-        return none.otherwise(F.lit(0))
+        return F.lit(0)
     block = below(bounds[::64])
     rows = F.array(*[F.array(*[F.lit(b) for b in bounds[a : a + 64]]) for a in range(0, len(bounds), 64)])
-    return none.when(block == 0, F.lit(0)).otherwise((block - 1) * 64 + below(F.element_at(rows, F.greatest(block, F.lit(1)))))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * 64 + below(F.element_at(rows, F.greatest(block, F.lit(1)))))
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
@@ -298,7 +323,8 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
 
 
 def token_output(df: DataFrame, tokenizer_file: str, end_id: int, id: str = "doc_id", text: str = "text", path: str | None = None, ids: bool = False) -> DataFrame:
-    """Write the table's tokens to ``path`` (a new shared folder if not given) and read the files back; see both."""
-    path = path or folder(df.sparkSession)
+    """Write the table's tokens to ``path`` and read the files back; see both. Without a path they go to a new shared folder that
+    is removed when the program ends."""
+    path = path or temporary(df.sparkSession)
     write_tokens(df, path, tokenizer_file, end_id, id, text)
     return read_tokens(df.sparkSession, path, ids)

@@ -32,18 +32,24 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def temporary(spark: SparkSession) -> str:
+    """As ``folder``; what is written there goes at the end of the ``intermediate`` block, else of the program."""
+    path = folder(spark)
+    if _open:
+        _open[-1].append(path)
+    else:
+        atexit.register(_forget, spark, path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: its lineage ends there and survives lost executors.
 
     Inside an ``intermediate`` block the table goes at its end, else when the program ends, if the session is still there to
     delete it.
     """
-    spark, path = df.sparkSession, folder(df.sparkSession)
+    spark, path = df.sparkSession, temporary(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
-    if _open:
-        _open[-1].append(path)
-    else:
-        atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
