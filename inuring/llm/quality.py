@@ -1,8 +1,9 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule's cost and share of rejections are estimated on a bounded sample; the rules then run in the order of rejections
-per second, and a text that one rule rejects is not shown to the rules after it. A text is kept if no rule rejects it, so
-the order changes the work and not the verdict.
+Each rule's cost and share of rejections are estimated on a bounded sample: the rule with the most rejections per second
+comes first, the others are then estimated again on the texts that it leaves and with the measures that it has made, and so
+on. A text that one rule rejects is not shown to the rules after it. A text is kept if no rule rejects it, so the order
+changes the work and not the verdict.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from inuring.llm.text import NON_SPACE, Texts, add_columns, byte_table, chunks,
 SYMBOLS = byte_table([(ord(c), ord(c)) for c in "#*$%&|<>"])
 UPPER = byte_table([(ord("A"), ord("Z"))])
 LETTER = byte_table([(ord("A"), ord("Z")), (ord("a"), ord("z")), (0x80, 0xFF)])
-#: Texts that the costs and rejections of the rules are estimated on.
-SAMPLE_ROWS = 1000
+#: Texts that the costs and rejections of the rules are estimated on, and their bytes, but for one longer text.
+SAMPLE_ROWS, SAMPLE_BYTES = 1000, 32 << 20
 
 
 class Features:
@@ -46,6 +47,12 @@ class Features:
         out._made = {k: v[rows] for k, v in self._made.items() if k not in ("texts", "words")}
         return out
 
+    def again(self) -> Features:
+        """The same texts with the measures made so far; what is made from now on stays apart."""
+        out = Features(self._from, self._rows)
+        out._made = dict(self._made)
+        return out
+
     def _texts(self):
         return self._from if self._rows is None else self._from.take(self._rows)
 
@@ -136,25 +143,43 @@ def cascade(features: Features, rules: tuple[Rule, ...]) -> np.ndarray:
     return kept
 
 
+def greedy_order(parts: list[Features], rules: tuple[Rule, ...]) -> list[tuple[str, float, float]]:
+    """(name, seconds a text, share rejected), each on the texts that the rules before it leave and beside their measures."""
+    out, rest = [], list(rules)
+    while rest:
+        found = []
+        for rule in rest:
+            began = time.perf_counter()
+            bad = [np.asarray(rule.rejects(part.again()), bool) for part in parts]
+            seconds, n = time.perf_counter() - began, sum(map(len, parts))
+            found.append((sum(map(np.count_nonzero, bad)) / max(seconds, 1e-9), -len(found), seconds / max(n, 1), sum(map(np.count_nonzero, bad)) / max(n, 1), rule))
+        _, _, seconds, share, best = max(found, key=lambda x: x[:2])
+        out.append((best.name, seconds, share))
+        rest.remove(best)
+        parts = [part.take(np.flatnonzero(~np.asarray(best.rejects(part), bool))) for part in parts]
+    return out
+
+
 def rule_order(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(name, seconds a text, share rejected) by falling rejections per second, from at most ``sample_rows`` texts.
+    """(name, seconds a text, share rejected) in the order to run, from at most ``sample_rows`` texts of SAMPLE_BYTES in all.
 
-    Without rows the rules keep their order. Each rule is timed on its own, with the measures it needs.
+    Without rows the rules keep their order.
     """
     n = df.count()
     sample = df.select(text) if n <= sample_rows else df.select(text).sample(fraction=min(1.0, 1.3 * sample_rows / n), seed=8).limit(sample_rows)
 
     def timed(batches):
+        held, room = [], SAMPLE_BYTES
         for batch in batches:
             for _, texts in chunks(batch, text):
-                for rule in rules:
-                    began = time.perf_counter()
-                    bad = int(np.count_nonzero(rule.rejects(Features(texts))))
-                    yield pa.RecordBatch.from_pydict({"rule": [rule.name], "s": [time.perf_counter() - began], "n": [len(texts)], "bad": [bad]})
-
-    found = {r.rule: r for r in sample.mapInArrow(timed, "rule string, s double, n long, bad long").groupBy("rule").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("bad").alias("bad")).collect()}
-    costs = [(rule.name, found[rule.name].s / found[rule.name].n, found[rule.name].bad / found[rule.name].n) if rule.name in found else (rule.name, 0.0, 0.0) for rule in rules]
-    return sorted(costs, key=lambda x: -x[2] / max(x[1], 1e-12))
+                if not held or len(texts.data) <= room:
+                    held.append(Features(texts))
+                    room -= len(texts.data)
+        found = greedy_order(held, rules) if held else []
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(found)), pa.int64()), "rule": pa.array([x[0] for x in found], pa.string()), "s": pa.array([x[1] for x in found], pa.float64()), "bad": pa.array([x[2] for x in found], pa.float64())})
+
+    rows = sample.repartition(1).mapInArrow(timed, "place long, rule string, s double, bad double").collect()  # a row for each rule
+    return [(r.rule, r.s, r.bad) for r in sorted(rows, key=lambda r: r.place)] or [(rule.name, 0.0, 0.0) for rule in rules]
 
 
 def ordered(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
