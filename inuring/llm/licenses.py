@@ -1,9 +1,9 @@
 """License scans with a positional index of words.
 
 Templates (notices) are indexed by word and position. Each licence word of a file is looked up at every place; the postings
-that agree on where the template would start are its words in place, counted exactly. A template is then verified for its
-key phrases. A key phrase is looked up by its own rarest word, by IDF over the whole table, at every place, so each of its
-occurrences is found whatever else the file holds.
+that agree on where the template would start are its words in place, counted exactly. A template that stands is then verified
+for its key phrases, which must lie in the notice as placed. A key phrase is looked up by its own rarest word, by IDF over the
+whole table, at every place, so each of its occurrences is found whatever else the file holds.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from inuring.llm.text import WORD, Texts, Words, add_columns, chunks, fresh, lis
 
 @dataclass(frozen=True)
 class Template:
-    """A notice, with phrases of which each must stand in the file for the label to be given."""
+    """A notice, with phrases of which each must stand in it, as the file has it, for the label to be given."""
 
     label: str
     text: str
@@ -32,19 +32,92 @@ class Template:
 
 #: (phrase, label): each occurrence counts.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+#: One-line notices, then the wording of common licences without names and years.
 TEMPLATES = (
     Template("mit", "released under the mit license", ("mit license",)),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
     Template("apache-2.0", "licensed under the apache license version 2 0", ("apache license", "version 2 0")),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "source and binary forms")),
     Template("gpl", "this work is licensed under the gnu general public license version 3", ("gnu general public license",)),
-    Template("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("general public license",)),
     Template("mpl", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
     Template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
     Template("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted", "free of charge")),
+    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use", "source and binary forms")),
+    Template("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("general public license",)),
+    Template(
+        "mit",
+        """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+        files the software to deal in the software without restriction including without limitation the rights to use copy modify
+        merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+        furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be
+        included in all copies or substantial portions of the software the software is provided as is without warranty of any kind
+        express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and
+        noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability
+        whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or
+        other dealings in the software""",
+        ("permission is hereby granted", "free of charge", "without warranty of any kind"),
+    ),
+    Template(
+        "bsd",
+        """redistribution and use in source and binary forms with or without modification are permitted provided that the following
+        conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and
+        the following disclaimer in the documentation and or other materials provided with the distribution""",
+        ("redistribution and use", "source and binary forms", "following disclaimer"),
+    ),
+    Template(
+        "isc",
+        """permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided
+        that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author
+        disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness""",
+        ("with or without fee", "author disclaims all warranties"),
+    ),
+    Template(
+        "zlib",
+        """this software is provided as is without any express or implied warranty in no event will the authors be held liable for any
+        damages arising from the use of this software permission is granted to anyone to use this software for any purpose including
+        commercial applications and to alter it and redistribute it freely subject to the following restrictions""",
+        ("held liable for any damages", "alter it and redistribute it freely"),
+    ),
+    Template(
+        "unlicense",
+        """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell
+        or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial
+        and by any means""",
+        ("free and unencumbered software", "public domain"),
+    ),
+    Template(
+        "apache-2.0",
+        """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you
+        may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in
+        writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind
+        either express or implied see the license for the specific language governing permissions and limitations under the license""",
+        ("apache license", "version 2 0", "as is basis"),
+    ),
+    Template(
+        "gpl",
+        """this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as
+        published by the free software foundation either version 3 of the license or at your option any later version this program is
+        distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability
+        or fitness for a particular purpose see the gnu general public license for more details""",
+        ("gnu general public license", "without any warranty"),
+    ),
+    Template(
+        "lgpl",
+        """this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license
+        as published by the free software foundation""",
+        ("gnu lesser general public license",),
+    ),
+    Template(
+        "mpl",
+        """this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with
+        this file you can obtain one at http mozilla org mpl 2 0""",
+        ("mozilla public license", "source code form"),
+    ),
 )
 #: Share of a template's words that have to stand at their places.
 LEAST_SHARE = 0.8
+#: How far a key phrase may lie outside the notice as placed, as a share of the notice.
+SLACK = 0.25
 
 
 class Index:
@@ -77,25 +150,36 @@ class Index:
             at = at[number[at + k] == w]
         return at
 
-    def shares(self, number: np.ndarray, words: Words) -> np.ndarray:
-        """By template and text: the largest share of the template's words that one placement, where two at least stand,
-        has in place. Every posting of every licence word counts, so it is exact however much else the text holds."""
+    def shares(self, number: np.ndarray, words: Words, least: float) -> tuple[np.ndarray, list[set[int]]]:
+        """By template and text: the largest share of the template's words that one placement, where two at least stand, has
+        in place; and by template the texts where a placement with ``least`` of them has all its key phrases. Every posting
+        of every licence word counts, so it is exact however much else the text holds."""
         at = np.flatnonzero(number >= 0)
-        gap = max(map(len, self.template_words), default=0)  # apart by so much, texts have no placement in common
+        gap = 2 * max(map(len, self.template_words), default=0)  # apart by so much, texts have no placement in common
+        shift = lambda p: p + words.doc[p] * gap + gap
         base = words.first[:-1] + np.arange(len(words.counts)) * gap
-        place = at + words.doc[at] * gap + gap
+        place = shift(at)
         order = np.argsort(number[at], kind="stable")
         first = np.searchsorted(number[at][order], np.arange(len(self.vocabulary) + 1))
-        best = np.zeros((len(self.template_words), len(base)))
+        best, labelled = np.zeros((len(self.template_words), len(base))), []
         for t, line in enumerate(self.template_words):
+            labelled.append(set())
             # a template may begin before its file does or run over its end: those words are not in place
             agree = np.bincount(np.concatenate([place[order[first[w] : first[w + 1]]] - i for i, w in enumerate(line)]))
             start = np.flatnonzero(agree >= 2)
             doc = np.searchsorted(base, start) - 1
             own = np.flatnonzero(np.diff(doc, prepend=-1))
-            if len(own):
-                best[t, doc[own]] = np.maximum.reduceat(agree[start], own) / len(line)
-        return best
+            if not len(own):
+                continue
+            best[t, doc[own]] = np.maximum.reduceat(agree[start], own) / len(line)
+            good = agree[start] / len(line) >= least
+            start, doc, slack = start[good], doc[good], int(SLACK * len(line))
+            for key in self.key_words[t] if len(start) else ():
+                where = shift(self.places(number, words, key))  # rising
+                low, high = np.searchsorted(where, start - slack), np.searchsorted(where, start + len(line) + slack - len(key), side="right")
+                start, doc = start[high > low], doc[high > low]
+            labelled[-1] = set(doc.tolist())
+        return best, labelled
 
 
 def word_counts(df: DataFrame, text: str, index: Index) -> tuple[int, np.ndarray]:
@@ -144,12 +228,11 @@ def scan_licenses(
         index, words = sent.value, texts.words(WORD, lower=True)
         number = index.numbers(words)
         found = sorted((int(words.doc[a]), int(a - words.first[words.doc[a]]), label) for (_, label), phrase in zip(index.phrases, index.phrase_words) for a in index.places(number, words, phrase))
-        share, labels = index.shares(number, words), [set() for _ in range(len(texts))]
-        score = share.max(axis=0, initial=0.0)
-        for t in np.flatnonzero((share >= least_share).any(axis=1)):
-            has = set.intersection(*({int(d) for d in words.doc[index.places(number, words, key)]} for key in index.key_words[t]))
-            for d in has.intersection(np.flatnonzero(share[t] >= least_share).tolist()):
-                labels[d].add(index.templates[t].label)
+        share, labelled = index.shares(number, words, least_share)
+        score, labels = share.max(axis=0, initial=0.0), [set() for _ in range(len(texts))]
+        for template, docs in zip(index.templates, labelled):
+            for d in docs:
+                labels[d].add(template.label)
         for d, _, label in found:
             labels[d].add(label)
             score[d] = 1.0
