@@ -20,13 +20,13 @@ def _summed(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def reset_cessions(t, investor: bool) -> DataFrame:
     keys = ["retro_program_id", "start_date", "retro_program_reset_id"] + ["retro_investor_id"] * investor
-    return _summed(t.retro_investor_reset.join(t.retro_program_reset, "retro_program_reset_id"), keys)
+    return _summed(t.retro_investor_reset.drop("row_version").join(t.retro_program_reset.drop("row_version"), "retro_program_reset_id"), keys)
 
 
 def initial_cessions(t, investor: bool) -> DataFrame:
     """As at the program's inception, with reset id -1."""
     keys = ["retro_program_id"] + ["retro_investor_id"] * investor
-    sums = _summed(t.retro_investor.join(t.sp_insurer, "sp_insurer_id"), keys)
+    sums = _summed(t.retro_investor.drop("row_version").join(t.sp_insurer.drop("row_version"), "sp_insurer_id"), keys)
     return sums.join(t.retro_program.select("retro_program_id", F.col("inception").alias("start_date")), "retro_program_id").withColumn("retro_program_reset_id", F.lit(-1).cast("int"))
 
 
@@ -59,7 +59,7 @@ def as_of_periods(requests: DataFrame, periods: DataFrame, keys: list[str], at:
 
 def allocations(t, periods: DataFrame | None = None) -> DataFrame:
     """Allocation with program, layer terms, placement (1 without zone) and the investor's cession as of the inception."""
-    ra = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer, "sp_insurer_id").drop("sp_insurer_id")
+    ra = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id").drop("sp_insurer_id")
     ra = ra.join(t.layer.select("layer_id", F.col("inception").alias("l_inception"), F.col("expiration").alias("l_expiration")), "layer_id")
     ra = ra.join(placements(t), ["layer_id", "retro_program_id"], "left").withColumn("placement", F.coalesce("placement", F.lit(1.0))).drop("row_version")
     return as_of_periods(ra, cession_periods(t) if periods is None else periods, ["retro_investor_id", "retro_program_id"], "l_inception")

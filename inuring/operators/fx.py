@@ -19,9 +19,9 @@ def closest_dates(asked: DataFrame, dates: DataFrame) -> DataFrame:
     return both.select(F.col("at").alias("asked"), latest.alias("fx_date"))
 
 
-def rates_as_of(requests: DataFrame, fx: DataFrame, date: str, base: str, currency: str, name: str = "rate") -> DataFrame:
+def rates_as_of(requests: DataFrame, fx: DataFrame, date: str, base: str, currency: str, name: str = "rate", fail: bool = False) -> DataFrame:
     """``requests`` with the rate from base to currency: 1 for the same, the direct rate, else the ratio of the rates in the
-    smallest other base that quotes both that day, else null."""
+    smallest other base that quotes both that day, else null, or a failure when it runs with ``fail``."""
     asked = requests.select(F.col(date).alias("asked")).where(F.col(date).isNotNull()).distinct()
     found = closest_dates(asked, fx.select("fx_date").distinct())
     direct = fx.select(F.col("fx_date").alias("d1"), F.col("base_currency").alias("b1"), F.col("currency").alias("c1"), F.col("rate").alias("direct"))
@@ -32,6 +32,8 @@ def rates_as_of(requests: DataFrame, fx: DataFrame, date: str, base: str, curren
     out = out.join(direct, (F.col("fx_date_") == F.col("d1")) & (F.col(base) == F.col("b1")) & (F.col(currency) == F.col("c1")), "left")
     out = out.join(cross, (F.col("fx_date_") == F.col("d2")) & (F.col(base) == F.col("b2")) & (F.col(currency) == F.col("c2")), "left")
     rate = F.when(F.col(base) == F.col(currency), 1.0).otherwise(F.coalesce("direct", "crossed"))
+    if fail:
+        rate = F.coalesce(rate, F.raise_error(F.concat_ws(" ", F.lit("no rate for"), base, currency, F.col(date).cast("string"))).cast("double"))
     return out.withColumn(name, rate).drop("asked_", "fx_date_", "d1", "b1", "c1", "d2", "b2", "c2", "direct", "crossed")
 
 

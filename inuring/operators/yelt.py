@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inuring.functions.terms import LOSS_VIEWS, PERILS, remapped_view, view_priority
+from inuring.functions.terms import LOSS_VIEWS, MONEY, PERILS, SHARE, remapped_view, times, view_priority
 
 KEY = ["day", "year", "peril_id", "event_id"]
 
@@ -29,7 +29,7 @@ def selected_views(analyses: DataFrame) -> DataFrame:
 
 def retro_layers(t) -> DataFrame:
     """(layer_id, retro_program_id, row_version): the layers ceded to a program with the highest version of an allocation."""
-    met = t.retro_allocation.join(t.retro_investor, "retro_investor_id").join(t.sp_insurer, "sp_insurer_id")
+    met = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id")
     return met.groupBy("layer_id", "retro_program_id").agg(F.max("row_version").alias("row_version"))
 
 
@@ -46,14 +46,15 @@ def merged_keys(yelt: DataFrame) -> DataFrame:
     return yelt.select(*KEY).distinct()
 
 
-def event_index(yelt: DataFrame, parts: int = 365) -> DataFrame:
-    """Each distinct key with its place (from 0) in the order of day, year, peril, event: places inside a day plus the keys
-    of the days before, so no task sorts all keys."""
-    keys = merged_keys(yelt)
-    before = F.sum("own").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = keys.groupBy("day").agg(F.count("*").alias("own")).select("day", F.coalesce(before, F.lit(0)).alias("before"))  # a row for each day of the year
-    inside = F.row_number().over(Window.partitionBy("day").orderBy("year", "peril_id", "event_id")) - 1
-    return keys.withColumn("inside", inside).join(F.broadcast(offsets), "day").select(*KEY, (F.col("inside") + F.col("before")).cast("long").alias("place"))
+def event_index(yelt: DataFrame) -> DataFrame:
+    """Each distinct key with its place (from 0) in the order of day, year, peril, event: places inside a day and a hundred
+    years plus the keys of the slices before, so no task sorts all keys or a whole day."""
+    keys = merged_keys(yelt).withColumn("slice", F.floor(F.col("year") / 100).cast("int"))
+    before = F.sum("own").over(Window.orderBy("day", "slice").rowsBetween(Window.unboundedPreceding, -1))
+    # a row for each day of the year and hundred years: as many whatever the layers
+    offsets = keys.groupBy("day", "slice").agg(F.count("*").alias("own")).select("day", "slice", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("day", "slice").orderBy("year", "peril_id", "event_id")) - 1
+    return keys.withColumn("inside", inside).join(offsets, ["day", "slice"]).select(*KEY, (F.col("inside") + F.col("before")).cast("long").alias("place"))
 
 
 def event_losses(yelt: DataFrame, cessions: DataFrame) -> DataFrame:
@@ -66,9 +67,39 @@ def gu_yelt(entries: DataFrame) -> DataFrame:
 
 
 def peril_loads(analyses: DataFrame) -> DataFrame:
-    """(loss_analysis_id, peril_id, load): (1 + peril) (1 + growth) of the perils that have loads."""
-    loads = F.array(*[F.struct(F.lit(PERILS[p]).alias("peril_id"), ((1 + F.col(f"peril_{p}")) * (1 + F.col("growth"))).alias("load")) for p in ("eq", "ws")])
-    return analyses.select("loss_analysis_id", F.explode(loads).alias("p")).select("loss_analysis_id", "p.*")
+    """(loss_analysis_id, peril_id, load, load_x_lae, lae_load) of the perils that have loads, as decimals: the product of one
+    plus each of peril, growth, social, cedent and inflation, with and without that of loss adjustment expenses. Perils
+    without a row have loads of 1."""
+    one = lambda kind, p: 1 + F.col(f"{kind}_{p}").cast(SHARE)
+    own = []
+    for p, code in PERILS.items():
+        without = times(one("peril", p), one("growth", p), one("social", p), one("cedent", p), 1 + F.col("inflation").cast(SHARE), kind=SHARE)
+        own.append(F.struct(F.lit(code).alias("peril_id"), times(without, one("lae", p), kind=SHARE).alias("load"), without.alias("load_x_lae"), one("lae", p).cast(SHARE).alias("lae_load")))
+    return analyses.select("loss_analysis_id", F.explode(F.array(*own)).alias("p")).select("loss_analysis_id", "p.*")
+
+
+def loaded_gu_losses(analyses: DataFrame, entries: DataFrame, layers: DataFrame, rates: DataFrame) -> DataFrame:
+    """(loss_analysis_id, layer_id, KEY, loss, loss_with_lae): ground-up loss x load x rate in the layer's currency; loads and
+    rates that are missing are 1. ``analyses`` has loads and gu_analysis_id, ``rates`` a rate by analysis and submission."""
+    met = analyses.select("loss_analysis_id", "layer_id", "gu_analysis_id").join(gu_yelt(entries), "gu_analysis_id").join(layers.select("layer_id", "submission_id"), "layer_id")
+    met = met.join(peril_loads(analyses), ["loss_analysis_id", "peril_id"], "left").join(rates, ["gu_analysis_id", "submission_id"], "left")
+    or_one = lambda c: F.coalesce(F.col(c).cast(SHARE), F.lit(1).cast(SHARE))
+    loss = times(F.col("loss").cast(MONEY), or_one("load_x_lae"), or_one("fx_rate"))
+    return met.withColumn("loss", loss).select("loss_analysis_id", "layer_id", *KEY, "loss", times(F.col("loss"), or_one("lae_load")).alias("loss_with_lae"))
+
+
+def year_major(yelt: DataFrame, key: list[str]) -> DataFrame:
+    """``yelt`` with ``place`` (from 1) of each entry of a key in the order of year, day, peril and event."""
+    return yelt.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy("year", "day", "peril_id", "event_id")).cast("long"))
+
+
+def checked_ranges(ranges: DataFrame, key: list[str]) -> DataFrame:
+    """``ranges`` (key, first_day, last_day) with ``place`` in the order of their days, ties by the last day; fails when it runs
+    if two of a key overlap."""
+    w = Window.partitionBy(*key).orderBy("first_day", "last_day")
+    out = ranges.withColumns({"place": F.row_number().over(w).cast("int"), "_before": F.lag("last_day").over(w)})
+    apart = F.col("_before").isNull() | (F.col("_before") < F.col("first_day"))
+    return out.where(F.when(apart, True).otherwise(F.raise_error(F.lit("day ranges overlap")).cast("boolean"))).drop("_before")
 
 
 def reconciliation(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:

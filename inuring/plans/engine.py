@@ -223,6 +223,13 @@ def portfolio_net_cessions(t):
     return exact(intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"]), "gross", "net")
 
 
+@query("net_to_gross", f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} SELECT port_layer_id, retro_program_id, \"start\", \"end\", CAST(CAST(CASE WHEN gross = 0 THEN 0 ELSE CAST(net AS DOUBLE) / CAST(gross AS DOUBLE) END AS DECIMAL(16,10)) AS DOUBLE) AS ratio FROM net")
+def net_to_gross(t):
+    """The share of each port layer's gross cession that the levels below leave it."""
+    net = intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"])
+    return net.select("port_layer_id", "retro_program_id", "start", "end", x.ratio(F.col("net").cast("double"), F.col("gross").cast("double")).cast(SHARE).cast("double").alias("ratio"))
+
+
 # --- intervals ------------------------------------------------------------------------------------------------------
 PAIRS = "FROM port_layer_cession k JOIN layer l ON l.layer_id = k.port_layer_id // 10 JOIN retro_program r ON r.retro_program_id = k.retro_program_id"
 
@@ -330,9 +337,15 @@ ROUND3 = lambda names: ", ".join(f"{AS_DOUBLE(n, 3)} AS {n}" for n in names)  #
 SUM2 = ", ".join(f"{AS_DOUBLE(f'SUM({n})', 2)} AS {n}" for n in PREMIUMS)
 
 
-def by_layer(t):
-    net = intervals.net_cessions(c.cession_view(t, x.RAD), "layer_id", ["retro_program_id"])
-    return metrics.layer_metrics(net, t.layer, t.submission, fx.layer_rates(t.layer, t.submission, t.fx_rate, True, FX_DATE, BASE, x.BOUND), c.placements(t))
+def by_layer(t, reset_type=x.RAD, current=FX_DATE, base=BASE, use_bound=True, programs=None, statuses=None):
+    """Metrics of each piece of net cession. ``reset_type`` chooses the periods, ``base`` the currency, ``use_bound`` the bound
+    rates of layers rather than those of the ``current`` date; ``programs`` and ``statuses`` keep some retro programs (after
+    all have been netted) and layers of some statuses."""
+    net = intervals.net_cessions(c.cession_view(t, reset_type), "layer_id", ["retro_program_id"])
+    if programs is not None:
+        net = net.where(F.col("retro_program_id").isin(*programs))
+    layers = t.layer if statuses is None else t.layer.where(F.col("status").isin(*statuses))
+    return metrics.layer_metrics(net, layers, t.submission, fx.layer_rates(t.layer, t.submission, t.fx_rate, use_bound, current, base, x.BOUND), c.placements(t))
 
 
 @query("retro_layer_metrics", f'{METRICS} SELECT layer_id, CAST(level AS INT) AS level, retro_program_id, "start", "end", status, {ROUND3(("deposit_premium",) + PREMIUMS + LIMITS)} FROM m')
@@ -351,7 +364,7 @@ def retro_metrics(t):
 
 @query("retro_premium_metrics", f"{METRICS} SELECT retro_program_id, {SUM2} FROM m WHERE status IN (10, 22) GROUP BY 1")
 def retro_premium_metrics(t):
-    kept = by_layer(t).where(F.col("status").isin(10, 22))
+    kept = by_layer(t, statuses=(10, 22))
     return exact(kept.groupBy("retro_program_id").agg(*[F.sum(n).alias(n) for n in PREMIUMS]), *PREMIUMS, digits=2)
 
 
@@ -445,9 +458,9 @@ def portfolio_layer_yelts(t):
 
 
 @query("retro_event_losses", f"""SELECT r.retro_program_id, e.day, e.year, e.peril_id, e.event_id, ROUND(SUM(e.loss_pct * g.cession), 7) AS loss FROM (SELECT layer_id, retro_program_id, SUM(cession_gross) AS cession FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) GROUP BY 1, 2) g
-    JOIN {RETRO} r ON r.layer_id = g.layer_id AND r.retro_program_id = g.retro_program_id JOIN (SELECT layer_id FROM ({PROJECTED}) WHERE loss_view = 3) a ON a.layer_id = r.layer_id JOIN layer_yelt e ON e.layer_id = r.layer_id WHERE r.retro_program_id < 10 GROUP BY ALL""")
+    JOIN {RETRO} r ON r.layer_id = g.layer_id AND r.retro_program_id = g.retro_program_id JOIN (SELECT layer_id FROM ({PROJECTED}) WHERE loss_view = 3) a ON a.layer_id = r.layer_id JOIN layer_yelt e ON e.layer_id = r.layer_id GROUP BY ALL""")
 def retro_event_losses(t):
-    ceded = t.retro_allocation.join(t.retro_investor, "retro_investor_id").join(t.sp_insurer, "sp_insurer_id").where("retro_program_id < 10").groupBy("layer_id", "retro_program_id").agg(F.sum("cession_gross").alias("cession"))
+    ceded = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id").groupBy("layer_id", "retro_program_id").agg(F.sum("cession_gross").alias("cession"))
     chosen = y.projected_analyses(t.layer_loss_analysis).where("loss_view = 3").select("layer_id")
     met = t.layer_yelt.join(ceded.join(chosen, "layer_id"), "layer_id")
     return rounded(met.groupBy("retro_program_id", *y.KEY).agg(F.sum(F.col("loss_pct") * F.col("cession")).alias("loss")), "loss")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from inuring.functions import terms as x
 from inuring.operators import yelt as y
 from inuring.plans.registry import query
+from inuring.functions.terms import PERILS
 from inuring.sources import sinks
+from inuring.sources.shared import new_folder
 from inuring.sources.tables import Tables
 from inuring.streaming import cdc
 
@@ -53,10 +53,10 @@ query("scan_submission_gu_analyses", "SELECT * FROM submission_gu_analysis")(lam
 
 @query("scan_retro_programs", "SELECT retro_program_id, retro_profile_id, inception, expiration, retro_program_type, CAST(stored_level + 1 AS INT) AS retro_level FROM retro_program")
 def scan_retro_programs(t):
-    return t.retro_program.withColumn("retro_level", F.col("stored_level") + 1).drop("stored_level")
+    return t.retro_program.withColumn("retro_level", F.col("stored_level") + 1).drop("stored_level", "row_version")
 
 
-RETRO_LAYERS = "SELECT layer_id, retro_program_id, MAX(row_version) AS row_version FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) GROUP BY layer_id, retro_program_id"
+RETRO_LAYERS = "SELECT layer_id, retro_program_id, MAX(retro_allocation.row_version) AS row_version FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) GROUP BY layer_id, retro_program_id"
 
 
 @query("retro_layers", RETRO_LAYERS)
@@ -64,7 +64,7 @@ def retro_layers(t):
     return y.retro_layers(t)
 
 
-@query("retro_layers_incremental", f"{RETRO_LAYERS} HAVING MAX(row_version) > {MARK}")
+@query("retro_layers_incremental", f"{RETRO_LAYERS} HAVING MAX(retro_allocation.row_version) > {MARK}")
 def retro_layers_incremental(t):
     return cdc.since(y.retro_layers(t), MARK)
 
@@ -96,12 +96,12 @@ def loss_analyses(t):
     return y.selected_views(t.layer_loss_analysis).join(t.layer.select("layer_id"), "layer_id").select("loss_analysis_id", "layer_id", "loss_view", "row_version")
 
 
-@query("loss_analyses_extended", "SELECT loss_analysis_id, layer_id, loss_view, row_version, COALESCE(gu_analysis_id, own_gu_analysis_id) AS gu_analysis_id, lae, growth, peril_eq, peril_ws, inflation FROM layer_loss_analysis WHERE loss_view IN (1, 10, 3, 30, 4)")
+@query("loss_analyses_extended", "SELECT loss_analysis_id, layer_id, loss_view, row_version, COALESCE(gu_analysis_id, own_gu_analysis_id) AS gu_analysis_id, * EXCLUDE (loss_analysis_id, layer_id, loss_view, row_version, gu_analysis_id, own_gu_analysis_id) FROM layer_loss_analysis WHERE loss_view IN (1, 10, 3, 30, 4)")
 def loss_analyses_extended(t):
     return y.selected_views(t.layer_loss_analysis).withColumn("gu_analysis_id", F.coalesce("gu_analysis_id", "own_gu_analysis_id")).drop("own_gu_analysis_id")
 
 
-VERSIONED = ("layer", "reinstatement", "retro_allocation", "fx_rate", "layer_loss_analysis")
+VERSIONED = ("retro_allocation", "retro_investor", "sp_insurer", "layer", "retro_program", "retro_zone", "retro_investor_reset", "retro_program_reset", "reinstatement", "fx_rate", "layer_loss_analysis")
 MARKS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST(COALESCE(MAX(row_version), 0) AS BIGINT) AS row_version FROM {n}" for n in VERSIONED)
 
 
@@ -110,10 +110,14 @@ def latest_row_versions(t):
     return cdc.high_water_marks({n: getattr(t, n) for n in VERSIONED})
 
 
-@query("changed_tables", f"SELECT * FROM ({MARKS}) WHERE row_version > {MARK}")
+OLD_MARKS = " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST(COALESCE(MAX(row_version), 0) AS BIGINT) AS row_version FROM {n} WHERE row_version <= {MARK}" for n in VERSIONED)
+
+
+@query("changed_tables", f"SELECT now.* FROM ({MARKS}) now JOIN ({OLD_MARKS}) old USING (table_name) WHERE now.row_version > old.row_version")
 def changed_tables(t):
-    now = cdc.high_water_marks({n: getattr(t, n) for n in VERSIONED})
-    return cdc.changed(now.withColumn("row_version", F.lit(MARK).cast("long")), now)
+    """Tables with a higher mark than a copy of them has that was taken at a version."""
+    copy = cdc.high_water_marks({n: getattr(t, n).where(f"row_version <= {MARK}") for n in VERSIONED})
+    return cdc.changed(copy, cdc.high_water_marks({n: getattr(t, n) for n in VERSIONED}))
 
 
 @query("incremental_pull", f"SELECT * FROM layer_loss_analysis WHERE row_version > {MARK}")
@@ -180,35 +184,86 @@ query("itd_quarter_metrics", ITD.format(", q.acct_period"))(lambda t: _itd(t, Tr
 @query("csv_roundtrip", "SELECT layer_id, segment, occ_limit FROM layer")
 def csv_roundtrip(t):
     rows = t.layer.select("layer_id", "segment", "occ_limit")
-    path = f"{_folder(rows)}/csv"
+    path = new_folder(rows.sparkSession, "csv")
     sinks.write_csv(rows, path)
     return sinks.read_csv(rows.sparkSession, path, rows.schema)
 
 
-@query("versioned_yelt", "SELECT l.loss_analysis_id, l.row_version, y.layer_id, y.year, y.day, y.peril_id, y.event_id, y.loss_pct FROM layer_yelt y JOIN (SELECT layer_id, MAX(row_version) AS row_version, CAST(MAX(layer_id) % 10 AS INT) AS loss_analysis_id FROM layer WHERE layer_id < 40 GROUP BY layer_id) l USING (layer_id) QUALIFY l.row_version = MAX(l.row_version) OVER (PARTITION BY l.loss_analysis_id)")
+OWN = "CAST(layer_id % 50 AS INT) AS loss_analysis_id, CAST(1 + layer_id % 3 AS BIGINT) AS row_version"
+
+
+@query("versioned_yelt", f"SELECT loss_analysis_id, row_version, layer_id, year, day, peril_id, event_id, loss_pct FROM (SELECT *, {OWN} FROM layer_yelt) QUALIFY row_version = MAX(row_version) OVER (PARTITION BY loss_analysis_id)")
 def versioned_yelt(t):
-    own = t.layer.where("layer_id < 40").select("layer_id", "row_version", (F.col("layer_id") % 10).alias("loss_analysis_id"))
-    rows = t.layer_yelt.join(own, "layer_id").select("loss_analysis_id", "row_version", "layer_id", "year", "day", "peril_id", "event_id", "loss_pct")
-    path = f"{_folder(rows)}/yelt"
+    """All layers' entries, as three versions of 50 analyses; superseded ones are archived before the rest is read."""
+    rows = t.layer_yelt.withColumns({"loss_analysis_id": F.col("layer_id") % 50, "row_version": 1 + F.col("layer_id") % 3}).select("loss_analysis_id", "row_version", "layer_id", "year", "day", "peril_id", "event_id", "loss_pct")
+    spark, path = rows.sparkSession, new_folder(rows.sparkSession, "yelt")
     sinks.write_versioned(rows, path)
-    return sinks.read_latest(rows.sparkSession, path).select(F.col("loss_analysis_id").cast("int"), F.col("row_version").cast("long"), *rows.columns[2:])
-
+    sinks.archive_superseded(spark, path, f"{path}-archive")
+    return sinks.read_latest(spark, path).select(F.col("loss_analysis_id").cast("int"), F.col("row_version").cast("long"), *rows.columns[2:])
 
-def _folder(df) -> str:
-    """A folder that driver and executors share; a local one only where none is set, as in tests."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or df.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base is None:
-        return tempfile.mkdtemp(prefix="inuring-")
-    import uuid
 
-    return f"{base.rstrip('/')}/sink-{uuid.uuid4().hex}"
+@query("two_layer_round_trip", """SELECT y.layer_id, k.* FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY day, year, peril_id, event_id) - 1 AS place FROM (SELECT DISTINCT day, year, peril_id, event_id FROM layer_yelt WHERE layer_id IN (SELECT layer_id FROM layer ORDER BY 1 LIMIT 2) AND day BETWEEN 2 AND 364)) k
+    JOIN (SELECT * FROM layer_yelt WHERE layer_id IN (SELECT layer_id FROM layer ORDER BY 1 LIMIT 2)) y USING (day, year, peril_id, event_id)""")
+def two_layer_round_trip(t):
+    """The first two layers' tables written as versions, read back, cut to a range of days, merged, and mapped to the merged keys."""
+    two = t.layer.select("layer_id").orderBy("layer_id").limit(2)
+    rows = t.layer_yelt.join(two, "layer_id", "left_semi").withColumns({"loss_analysis_id": F.col("layer_id"), "row_version": F.lit(1).cast("long")})
+    path = new_folder(rows.sparkSession, "two")
+    sinks.write_versioned(rows, path)
+    back = y.day_partition(sinks.read_latest(rows.sparkSession, path), 2, 364)
+    return back.select("layer_id", *y.KEY).join(y.event_index(back), y.KEY).select("layer_id", *y.KEY, "place")
 
 
 @query("idempotent_append", "SELECT layer_id, segment FROM layer")
 def idempotent_append(t):
+    """A third of the rows loaded, then all, then all again."""
     rows = t.layer.select("layer_id", "segment")
-    loaded = rows.where("layer_id % 3 = 0")
-    return loaded.union(sinks.new_rows(rows, loaded, ["layer_id"]))
+    path = new_folder(rows.sparkSession, "load")
+    for part in (rows.where("layer_id % 3 = 0"), rows, rows):
+        sinks.append_once(part, path, ["layer_id"])
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@query("appended_runs", "SELECT CAST(1 AS BIGINT) AS run_id, layer_id, status FROM layer WHERE status = 10 UNION ALL SELECT CAST(2 AS BIGINT), layer_id, status FROM layer WHERE status = 22")
+def appended_runs(t):
+    """Two runs appended to tables that are made if missing, each under the next id."""
+    rows = t.layer.select("layer_id", "status")
+    path = new_folder(rows.sparkSession, "runs")
+    for status in (10, 22):
+        sinks.append_run(rows.where(F.col("status") == status), path, f"status {status}")
+    return sinks.read_runs(rows.sparkSession, path).select("run_id", "layer_id", "status")
+
+
+@query("itd_calculation", ITD.format("").replace("SELECT q.layer_id", "SELECT CAST(1 AS BIGINT) AS run_id, q.layer_id"))
+def itd_calculation(t):
+    """Inception-to-date metrics exported under the id of a new calculation."""
+    rows = _itd(t, False)
+    path = new_folder(rows.sparkSession, "itd")
+    sinks.append_run(rows, path, "itd")
+    return sinks.read_runs(rows.sparkSession, path).select("run_id", *rows.columns)
+
+
+@query("allocations_checked", "SELECT a.layer_id, a.retro_investor_id, i.sp_insurer_id FROM retro_allocation a JOIN retro_investor i USING (retro_investor_id)")
+def allocations_checked(t):
+    """A join that fails if an allocation's investor is missing."""
+    return sinks.join_or_fail(t.retro_allocation.select("layer_id", "retro_investor_id"), t.retro_investor.select("retro_investor_id", "sp_insurer_id"), ["retro_investor_id"]).select("layer_id", "retro_investor_id", "sp_insurer_id")
+
+
+@query("missing_partners", "SELECT submission_id, COUNT(*) AS n FROM (SELECT CAST(layer_id % 101 AS INT) AS submission_id FROM layer) l WHERE NOT EXISTS (SELECT 1 FROM submission s WHERE s.submission_id = l.submission_id) GROUP BY 1")
+def missing_partners(t):
+    """How many rows would find no partner, by key."""
+    return sinks.missing_keys(t.layer.select((F.col("layer_id") % 101).alias("submission_id")), t.submission, ["submission_id"])
+
+
+@query("yelt_year_major", "SELECT layer_id, ROW_NUMBER() OVER (PARTITION BY layer_id ORDER BY year, day, peril_id, event_id) AS place, year, day, peril_id, event_id FROM layer_yelt")
+def yelt_year_major(t):
+    return y.year_major(t.layer_yelt, ["layer_id"]).select("layer_id", "place", "year", "day", "peril_id", "event_id")
+
+
+@query("sorted_day_ranges", "SELECT layer_id, first_day, last_day, CAST(ROW_NUMBER() OVER (PARTITION BY layer_id ORDER BY first_day, last_day) AS INT) AS place FROM (SELECT layer_id, CAST(d * 100 + 1 AS INT) AS first_day, CAST(d * 100 + 1 + layer_id % 100 AS INT) AS last_day FROM layer, (VALUES (2), (0), (1)) v(d))")
+def sorted_day_ranges(t):
+    three = t.layer.select("layer_id", F.explode(F.array(*[F.lit(d) for d in (2, 0, 1)])).alias("d"))
+    return y.checked_ranges(three.selectExpr("layer_id", "d * 100 + 1 AS first_day", "d * 100 + 1 + layer_id % 100 AS last_day"), ["layer_id"])
 
 
 @query("next_calculation_id", "SELECT CAST(COALESCE(MAX(layer_id), 0) + 1 AS BIGINT) AS next_id FROM layer")
@@ -264,11 +319,6 @@ def linear_premium(t):
     return met.select("layer_id", F.round(F.col("premium") * x.days(day, F.col("expiration")) / x.days(F.col("inception"), F.col("expiration")), 6).alias("premium"))
 
 
-@query("net_to_gross", "SELECT layer_id, CASE WHEN signed_share = 0 THEN 0 ELSE ROUND(signed_share / estimated_share, 6) END AS ratio FROM layer")
-def net_to_gross(t):
-    return t.layer.select("layer_id", F.when(F.col("signed_share") == 0, 0.0).otherwise(F.round(x.ratio(F.col("signed_share"), F.col("estimated_share")), 6)).alias("ratio"))
-
-
 @query("cession_before_placement", "SELECT retro_investor_id, ROUND(CASE WHEN target_collateral = 0 THEN investment_signed ELSE investment_signed_amt / target_collateral END, 9) AS cession FROM retro_investor")
 def cession_before_placement(t):
     from inuring.operators.cessions import before_placement
@@ -276,24 +326,38 @@ def cession_before_placement(t):
     return t.retro_investor.select("retro_investor_id", F.round(before_placement(F.col("investment_signed_amt"), F.col("target_collateral"), F.col("investment_signed")), 9).alias("cession"))
 
 
-LOADS = "SELECT loss_analysis_id, CAST(3 AS INT) AS peril_id, (1 + peril_eq) * (1 + growth) AS load FROM layer_loss_analysis UNION ALL SELECT loss_analysis_id, CAST(16 AS INT), (1 + peril_ws) * (1 + growth) FROM layer_loss_analysis"
+def _product(*factors: str) -> str:
+    out = factors[0]
+    for f in factors[1:]:
+        out = f"CAST({out} * {f} AS DECIMAL(16,10))"
+    return out
+
 
+ONE = lambda kind, p: f"(1 + CAST({kind}_{p} AS DECIMAL(16,10)))"
+WITHOUT = lambda p: _product(f"CAST({ONE('peril', p)} AS DECIMAL(16,10))", *(f"CAST({ONE(k, p)} AS DECIMAL(16,10))" for k in ("growth", "social", "cedent")), "CAST(1 + CAST(inflation AS DECIMAL(16,10)) AS DECIMAL(16,10))")
+LOADS = " UNION ALL ".join(f"SELECT loss_analysis_id, CAST({code} AS INT) AS peril_id, {_product(WITHOUT(p), f'CAST({ONE("lae", p)} AS DECIMAL(16,10))')} AS load, {WITHOUT(p)} AS load_x_lae, CAST({ONE('lae', p)} AS DECIMAL(16,10)) AS lae_load FROM layer_loss_analysis" for p, code in PERILS.items())
+AS_DOUBLES = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in ("load", "load_x_lae", "lae_load"))
 
-@query("peril_loads", f"SELECT loss_analysis_id, peril_id, ROUND(load, 9) AS load FROM ({LOADS})")
+
+@query("peril_loads", f"SELECT loss_analysis_id, peril_id, {AS_DOUBLES} FROM ({LOADS})")
 def peril_loads(t):
-    return y.peril_loads(t.layer_loss_analysis).withColumn("load", F.round("load", 9))
+    return y.peril_loads(t.layer_loss_analysis).withColumns({n: F.col(n).cast("double") for n in ("load", "load_x_lae", "lae_load")})
+
+
+MONEY_SQL = lambda a, b: f"CAST({a} * {b} AS DECIMAL(20,8))"
+NEWEST = "SELECT * FROM layer_loss_analysis WHERE loss_view = 1 QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id ORDER BY row_version DESC) = 1"
 
 
-@query("gu_loss_loaded", f"""SELECT a.loss_analysis_id, g.year, g.event_id, g.peril_id, g.day, ROUND(g.loss * COALESCE(p.load, 1) * COALESCE(f.fx_rate, 1), 6) AS loss
-    FROM (SELECT * FROM layer_loss_analysis WHERE loss_analysis_id < 300) a
-    JOIN (SELECT gu_analysis_id, year, event_id, peril_id, day, CAST(SUM(loss) AS DOUBLE) AS loss FROM gu_yelt_entry GROUP BY ALL) g ON g.gu_analysis_id = a.own_gu_analysis_id
+@query("gu_loss_loaded", f"""SELECT loss_analysis_id, layer_id, day, year, peril_id, event_id, CAST(ROUND(loss, 6) AS DOUBLE) AS loss, CAST(ROUND({MONEY_SQL("loss", "lae")}, 6) AS DOUBLE) AS loss_with_lae FROM (
+    SELECT a.loss_analysis_id, a.layer_id, g.day, g.year, g.peril_id, g.event_id, {MONEY_SQL(MONEY_SQL("CAST(g.loss AS DECIMAL(20,8))", "COALESCE(p.load_x_lae, CAST(1 AS DECIMAL(16,10)))"), "COALESCE(CAST(f.fx_rate AS DECIMAL(16,10)), CAST(1 AS DECIMAL(16,10)))")} AS loss, COALESCE(p.lae_load, CAST(1 AS DECIMAL(16,10))) AS lae
+    FROM ({NEWEST}) a JOIN (SELECT gu_analysis_id, year, event_id, peril_id, day, CAST(SUM(loss) AS DOUBLE) AS loss FROM gu_yelt_entry GROUP BY ALL) g ON g.gu_analysis_id = a.own_gu_analysis_id
     JOIN layer l ON l.layer_id = a.layer_id LEFT JOIN ({LOADS}) p ON p.loss_analysis_id = a.loss_analysis_id AND p.peril_id = g.peril_id
-    LEFT JOIN submission_gu_analysis f ON f.gu_analysis_id = a.own_gu_analysis_id AND f.submission_id = l.submission_id""")
+    LEFT JOIN submission_gu_analysis f ON f.gu_analysis_id = a.own_gu_analysis_id AND f.submission_id = l.submission_id)""")
 def gu_loss_loaded(t):
-    own = t.layer_loss_analysis.where("loss_analysis_id < 300").withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
-    met = own.select("loss_analysis_id", "layer_id", "gu_analysis_id").join(y.gu_yelt(t.gu_yelt_entry), "gu_analysis_id").join(t.layer.select("layer_id", "submission_id"), "layer_id")
-    met = met.join(y.peril_loads(own), ["loss_analysis_id", "peril_id"], "left").join(t.submission_gu_analysis, ["gu_analysis_id", "submission_id"], "left")
-    return met.select("loss_analysis_id", "year", "event_id", "peril_id", "day", F.round(F.col("loss") * F.coalesce("load", F.lit(1.0)) * F.coalesce("fx_rate", F.lit(1.0)), 6).alias("loss"))
+    """Ground-up losses of each layer's newest stressed-view analysis, loaded and in its currency."""
+    newest = y.latest_analyses(t.layer_loss_analysis.where("loss_view = 1")).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    out = y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis)
+    return out.withColumns({n: F.round(n, 6).cast("double") for n in ("loss", "loss_with_lae")})
 
 
 PACK = "(CAST(day AS BIGINT) << 54) | (CAST(year AS BIGINT) << 39) | (CAST(peril_id AS BIGINT) << 33) | (event_id & 8589934591)"

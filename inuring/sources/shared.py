@@ -27,3 +27,30 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The ``name=value`` folders in a folder, sorted; none if there is no such folder."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(x.getPath().toString() for x in files.listStatus(target) if x.isDirectory() and "=" in x.getPath().getName())
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the folder around the new name is made if there is none."""
+    files, target = _file_system(spark, path)
+    _, new = _file_system(spark, to)
+    files.mkdirs(new.getParent())
+    if not files.rename(target, new):
+        raise OSError(f"{path} can't be moved to {to}")

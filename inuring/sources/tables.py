@@ -1,5 +1,6 @@
-"""Domain tables. In production they are Parquet, JDBC or catalog tables; here they derive from the test tables by SQL text
-that Spark and the oracle both run, so a query and its oracle see the same rows."""
+"""Domain tables. In production they are Parquet, JDBC or catalog tables, named by the setting ``spark.inuring.tables`` or given as
+a reader; without either they derive from the test tables by SQL text that Spark and the oracle both run, so a query and its
+oracle see the same rows."""
 
 from __future__ import annotations
 
@@ -10,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+PERILS = ("eq", "ws", "cs", "wt", "fl", "wf")
+LOADS = ("peril", "growth", "lae", "social", "cedent")
+#: Hundredths by which a load of a peril differs from analysis to analysis.
+_LOAD_COLUMNS = ", ".join(f"CAST(((o_orderkey + {7 * k}) % {5 + k % 4}) / 100.0 AS DOUBLE) AS {load}_{peril}" for k, (load, peril) in enumerate((x, y) for x in LOADS for y in PERILS))
+
 FIXTURES = {
     "layer": """
         SELECT CAST(p_partkey AS INT) AS layer_id, CAST(p_partkey % 97 AS INT) AS submission_id,
@@ -41,26 +47,28 @@ FIXTURES = {
     "retro_program": """
         SELECT CAST(s_suppkey AS INT) AS retro_program_id, CAST(s_nationkey AS INT) AS retro_profile_id,
                DATE '1995-01-01' + CAST((s_suppkey * 97) % 1500 AS INT) AS inception, DATE '1995-01-01' + CAST((s_suppkey * 97) % 1500 + 729 AS INT) AS expiration,
-               CAST(s_suppkey % 2 + 1 AS INT) AS retro_program_type, CAST(s_suppkey % 3 AS INT) AS stored_level
+               CAST(s_suppkey % 2 + 1 AS INT) AS retro_program_type, CAST(s_suppkey % 3 AS INT) AS stored_level, CAST(s_suppkey * 90 AS BIGINT) AS row_version
         FROM {supplier}""",
     "retro_profile": "SELECT CAST(n_nationkey AS INT) AS retro_profile_id, n_name AS name FROM {nation}",
-    "sp_insurer": "SELECT CAST(s_suppkey + 100000 AS INT) AS sp_insurer_id, CAST(s_suppkey AS INT) AS retro_program_id FROM {supplier}",
+    "sp_insurer": "SELECT CAST(s_suppkey + 100000 AS INT) AS sp_insurer_id, CAST(s_suppkey AS INT) AS retro_program_id, CAST(s_suppkey * 30 AS BIGINT) AS row_version FROM {supplier}",
     "retro_investor": """
         SELECT CAST(s_suppkey * 2 + r_regionkey AS INT) AS retro_investor_id, CAST(s_suppkey + 100000 AS INT) AS sp_insurer_id,
                CASE WHEN s_suppkey % 7 = 0 THEN 0.0 ELSE CAST(1000 + s_suppkey AS DOUBLE) END AS target_collateral,
-               CAST(100 * (r_regionkey + 1) + s_suppkey AS DOUBLE) AS investment_signed_amt, CAST((r_regionkey + 1) / 10.0 AS DOUBLE) AS investment_signed
+               CAST(100 * (r_regionkey + 1) + s_suppkey AS DOUBLE) AS investment_signed_amt, CAST((r_regionkey + 1) / 10.0 AS DOUBLE) AS investment_signed,
+               CAST(s_suppkey * 50 + r_regionkey AS BIGINT) AS row_version
         FROM {supplier} INNER JOIN {region} ON r_regionkey < 2""",
     "retro_program_reset": """
         SELECT CAST(s_suppkey * 2 + r_regionkey AS INT) AS retro_program_reset_id, CAST(s_suppkey AS INT) AS retro_program_id,
-               DATE '1995-01-01' + CAST((s_suppkey * 97) % 1500 + 365 * r_regionkey AS INT) AS start_date
+               DATE '1995-01-01' + CAST((s_suppkey * 97) % 1500 + 365 * r_regionkey AS INT) AS start_date, CAST(s_suppkey * 20 + r_regionkey AS BIGINT) AS row_version
         FROM {supplier} INNER JOIN {region} ON r_regionkey < 2 AND s_suppkey % 3 = 0""",
     "retro_investor_reset": """
         SELECT CAST(s_suppkey * 4 + r_regionkey AS INT) AS retro_investor_reset_id, CAST(s_suppkey * 2 + r_regionkey % 2 AS INT) AS retro_investor_id,
                CAST(s_suppkey * 2 + FLOOR(r_regionkey / 2.0) AS INT) AS retro_program_reset_id, CAST(2000 + s_suppkey AS DOUBLE) AS target_collateral,
-               CAST(150 * (r_regionkey + 1) AS DOUBLE) AS investment_signed_amt, CAST((r_regionkey + 1) / 20.0 AS DOUBLE) AS investment_signed
+               CAST(150 * (r_regionkey + 1) AS DOUBLE) AS investment_signed_amt, CAST((r_regionkey + 1) / 20.0 AS DOUBLE) AS investment_signed,
+               CAST(s_suppkey * 80 + r_regionkey AS BIGINT) AS row_version
         FROM {supplier} INNER JOIN {region} ON r_regionkey < 4 AND s_suppkey % 3 = 0""",
     "retro_zone": """
-        SELECT CAST(s_suppkey AS INT) AS retro_program_id, CAST(r_regionkey AS INT) AS top_up_zone_id, CAST((5 + r_regionkey) / 10.0 AS DOUBLE) AS cession
+        SELECT CAST(s_suppkey AS INT) AS retro_program_id, CAST(r_regionkey AS INT) AS top_up_zone_id, CAST((5 + r_regionkey) / 10.0 AS DOUBLE) AS cession, CAST(s_suppkey * 70 + r_regionkey AS BIGINT) AS row_version
         FROM {supplier} INNER JOIN {region} ON r_regionkey < 3 AND s_suppkey % 4 = 0""",
     "retro_allocation": """
         SELECT CAST(l_partkey AS INT) AS layer_id, CAST(l_suppkey * 2 + l_linenumber % 2 AS INT) AS retro_investor_id,
@@ -85,8 +93,9 @@ FIXTURES = {
         SELECT CAST(o_orderkey AS INT) AS loss_analysis_id, CAST(o_custkey AS INT) AS layer_id,
                CAST(CASE SUBSTRING(o_orderpriority, 1, 1) WHEN '1' THEN 1 WHEN '2' THEN 10 WHEN '3' THEN 3 WHEN '4' THEN 30 ELSE 2 END AS INT) AS loss_view,
                CAST(o_orderkey AS BIGINT) AS row_version, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 100 AS INT) END AS gu_analysis_id,
-               CAST(o_orderkey % 100 AS INT) AS own_gu_analysis_id, CAST((o_orderkey % 7) / 100.0 AS DOUBLE) AS lae, CAST((o_orderkey % 5) / 100.0 AS DOUBLE) AS growth,
-               CAST((o_orderkey % 3) / 50.0 AS DOUBLE) AS peril_eq, CAST((o_orderkey % 4) / 50.0 AS DOUBLE) AS peril_ws, CAST(0.02 AS DOUBLE) AS inflation
+               CAST(o_orderkey % 100 AS INT) AS own_gu_analysis_id, """
+    + _LOAD_COLUMNS
+    + """, CAST(0.02 AS DOUBLE) AS inflation
         FROM {orders}""",
     "submission_gu_analysis": "SELECT CAST(s_suppkey AS INT) AS gu_analysis_id, CAST(s_suppkey % 97 AS INT) AS submission_id, CAST((90 + s_suppkey % 20) / 100.0 AS DOUBLE) AS fx_rate FROM {supplier} WHERE s_suppkey % 2 = 0",
     "px_section": """
@@ -121,20 +130,52 @@ FIXTURES = {
 
 
 class Tables:
-    """The domain tables of one directory as DataFrames, by attribute: ``Tables(spark, sf_dir).layer``."""
+    """The domain tables as DataFrames, by attribute: ``Tables(spark, sf_dir).layer``. ``reader`` gives a table by its name;
+    without one it is what ``spark.inuring.tables`` names, else the fixtures of one directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str = "", reader: Callable[[str], DataFrame] | None = None):
+        self._spark, self._dir, self._reader = spark, sf_dir, reader or configured(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         if name in RAW:
             return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
         if name not in FIXTURES:
             raise AttributeError(name)
+        if self._reader is not None:
+            return self._reader(name)
         raw = {r: getattr(self, r) for r in RAW if f"{{{r}}}" in FIXTURES[name]}
         return self._spark.sql(FIXTURES[name], **raw)
 
 
+def parquet_tables(spark: SparkSession, path: str) -> Callable[[str], DataFrame]:
+    """A reader of the tables in one folder, a folder or file of its name each."""
+    return lambda name: spark.read.parquet(f"{path.rstrip('/')}/{name}")
+
+
+def catalog_tables(spark: SparkSession, database: str) -> Callable[[str], DataFrame]:
+    """A reader of the tables of a database in the session's catalog."""
+    return lambda name: spark.table(f"{database}.{name}")
+
+
+def configured(spark: SparkSession) -> Callable[[str], DataFrame] | None:
+    """The reader that ``spark.inuring.tables`` names: ``parquet:<folder>``, ``catalog:<database>`` or ``jdbc:...`` (a URL, its
+    properties under ``spark.inuring.jdbc.``); None without the setting."""
+    where = spark.conf.get("spark.inuring.tables", None)
+    if not where:
+        return None
+    kind, _, rest = where.partition(":")
+    if kind == "parquet":
+        return parquet_tables(spark, rest)
+    if kind == "catalog":
+        return catalog_tables(spark, rest)
+    if kind == "jdbc":
+        start = "spark.inuring.jdbc."
+        return jdbc_tables(spark, where, {k[len(start) :]: v for k, v in spark.conf.getAll.items() if k.startswith(start)})
+    raise ValueError(f"spark.inuring.tables must begin with parquet:, catalog: or jdbc:, not {kind}:")
+
+
 def with_fixtures(sql: str) -> str:
     """Oracle SQL with the domain tables that it names as common table expressions in front."""
     used = [n for n in FIXTURES if re.search(rf"\b{n}\b", sql)]

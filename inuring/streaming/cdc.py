@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from inuring.sources.shared import exists, subfolders
+
 
 def high_water_marks(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_version): the highest version of each table, 0 for an empty one."""
@@ -43,16 +45,35 @@ def stream_upserts(spark: SparkSession, source: str, schema: StructType, target:
 
 
 class VersionedTable:
-    """State kept as one Parquet folder a batch: ``apply`` writes the upserted state of batch n from that of batch n - 1, so
-    a replayed batch rewrites the same folder."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
-        self.spark, self.path, self.keys, self.last = spark, path, keys, None
+    """State in buckets of keys: ``apply`` upserts batch n into the state of the batches before it and writes only the buckets
+    that the batch touches, to a folder of its own. A bucket's state is that of the newest finished batch which has it.
+
+    What there is stands in the folders alone: a replayed batch starts from the batches below it and replaces its own folder,
+    and a new object after a restart goes on where the last one ended. A batch that was cut off has no ``_SUCCESS`` and is
+    not seen.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
+
+    def _newest(self, below: int | None = None) -> dict[int, str]:
+        """The folder of each bucket that has one, of the newest batch (below a number)."""
+        out: dict[int, tuple[int, str]] = {}
+        for batch in subfolders(self.spark, self.path):
+            number = int(batch.rpartition("=")[2])
+            if (below is None or number < below) and exists(self.spark, f"{batch}/_SUCCESS"):
+                for folder in subfolders(self.spark, batch):
+                    bucket = int(folder.rpartition("=")[2])
+                    out[bucket] = max(out.get(bucket, (-1, "")), (number, folder))
+        return {bucket: folder for bucket, (_, folder) in out.items()}
 
     def apply(self, batch: DataFrame, number: int) -> None:
-        state = self.spark.read.parquet(f"{self.path}/{self.last}") if self.last is not None and self.last != number else None
-        upsert(state, batch, self.keys).write.mode("overwrite").parquet(f"{self.path}/{number}")
-        self.last = number
+        dealt = batch.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        touched = {r.bucket for r in dealt.select("bucket").distinct().collect()}  # as many as there are buckets
+        before = [folder for bucket, folder in self._newest(number).items() if bucket in touched]
+        state = self.spark.read.schema(batch.schema).parquet(*before) if before else None
+        new = upsert(state, batch, self.keys).withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch={number}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self.last}")
+        return self.spark.read.parquet(*self._newest().values())

@@ -18,13 +18,13 @@ def cessions(spark, rows):
 
 def test_two_levels(spark):
     c = cessions(spark, [(1, 1, 1, D(2024, 1, 1), D(2024, 6, 30), 0.4), (1, 2, 2, D(2024, 1, 1), D(2024, 12, 31), 0.5)])
-    out = {(r.p, r.start, r.end): round(r.net, 9) for r in intervals.net_cessions(c, "layer", ["p"]).collect()}
+    out = {(r.p, r.start, r.end): round(float(r.net), 9) for r in intervals.net_cessions(c, "layer", ["p"]).collect()}
     assert out == {(1, D(2024, 1, 1), D(2024, 6, 30)): 0.4, (2, D(2024, 1, 1), D(2024, 6, 30)): 0.3, (2, D(2024, 7, 1), D(2024, 12, 31)): 0.5}
 
 
 def test_adjacent_equal_periods_stay_apart(spark):
     c = cessions(spark, [(1, 1, 1, D(2024, 1, 1), D(2024, 3, 31), 0.2), (1, 1, 2, D(2024, 4, 1), D(2024, 6, 30), 0.2), (1, 2, 3, D(2024, 1, 1), D(2024, 6, 30), 0.5)])
-    out = sorted((r.start, r.end, round(r.net, 9)) for r in intervals.net_cessions(c, "layer", ["p"]).where("p = 3").collect())
+    out = sorted((r.start, r.end, round(float(r.net), 9)) for r in intervals.net_cessions(c, "layer", ["p"]).where("p = 3").collect())
     assert out == [(D(2024, 1, 1), D(2024, 3, 31), 0.4), (D(2024, 4, 1), D(2024, 6, 30), 0.4)]
 
 
@@ -38,7 +38,7 @@ def test_net_cessions_by_day(spark, seed):
         rows.append((p % 3, rnd.randint(1, 4), p, start + timedelta(a), start + timedelta(a + rnd.randint(0, 30)), rnd.randint(1, 30) / 100))
     pieces = intervals.net_cessions(cessions(spark, rows), "layer", ["p"]).collect()
     for layer, level, p, s, e, gross in rows:
-        mine = sorted((r.start, r.end, r.net) for r in pieces if r.p == p)
+        mine = sorted((r.start, r.end, float(r.net)) for r in pieces if r.p == p)
         assert mine[0][0] == s and mine[-1][1] == e
         assert all(a[1] + timedelta(1) == b[0] for a, b in zip(mine, mine[1:]))
         for a, b, net in mine:
@@ -115,3 +115,65 @@ def test_layering_by_hand(spark):
     df = spark.createDataFrame([(1, k, loss) for k, loss in enumerate([50.0, 80.0, 100.0])], "layer int, at int, loss double").withColumns({"ret": F.lit(60.0), "lim": F.lit(100.0)})
     out = layering.aggregate_losses(df, ["layer"], ["at"], "loss", "ret", "lim").orderBy("at").collect()
     assert [r.layer_loss for r in out] == [0.0, 70.0, 30.0]
+
+
+def test_missing_rate_fails_on_demand(spark):
+    rates = spark.createDataFrame([(D(2024, 1, 1), "USD", "EUR", 0.9)], "fx_date date, base_currency string, currency string, rate double")
+    asked = spark.createDataFrame([(D(2024, 1, 2), "USD", "GBP")], "d date, b string, c string")
+    assert fx.rates_as_of(asked, rates, "d", "b", "c").first().rate is None
+    with pytest.raises(Exception, match="no rate for USD GBP"):
+        fx.rates_as_of(asked, rates, "d", "b", "c", fail=True).collect()
+
+
+def test_halves_are_rounded_up_and_nothing_else(spark):
+    """10.004 stays 10.00 and 10.005 becomes 10.01, sums are exact, and a net cession that ends in a half is no matter of its
+    last bit."""
+    from inuring.plans.engine import exact
+
+    df = spark.createDataFrame([(1, D(2024, 1, 1), D(2024, 12, 31), 10.004), (2, D(2024, 1, 1), D(2024, 12, 31), 10.005)], "p int, s date, e date, v double").withColumn("v", F.col("v").cast(terms.MONEY))
+    assert [r.peak for r in exact(metrics.peak_limits(df, ["p"], "s", "e", "v"), "peak", digits=2).orderBy("p").collect()] == [10.0, 10.01]
+    c = cessions(spark, [(1, 1, 1, D(2024, 1, 1), D(2024, 1, 31), 0.0005), (1, 2, 2, D(2024, 1, 1), D(2024, 1, 31), 0.0029)])
+    out = {r.p: r.net for r in exact(intervals.net_cessions(c, "layer", ["p"]), "net").collect()}
+    assert out == {1: 0.0005, 2: 0.0028986}  # 0.00289855
+
+
+def test_loads_of_all_perils(spark):
+    from inuring.operators import yelt
+    from inuring.sources.tables import LOADS, PERILS
+
+    columns = {f"{k}_{p}": (i + 1) / 100 for i, (k, p) in enumerate((k, p) for k in LOADS for p in PERILS)}
+    df = spark.createDataFrame([(7, *columns.values(), 0.03)], f"loss_analysis_id int, {', '.join(f'{c} double' for c in columns)}, inflation double")
+    out = {r.peril_id: r for r in yelt.peril_loads(df).collect()}
+    assert set(out) == set(terms.PERILS.values())
+    for p, code in terms.PERILS.items():
+        without = (1 + columns[f"peril_{p}"]) * (1 + columns[f"growth_{p}"]) * (1 + columns[f"social_{p}"]) * (1 + columns[f"cedent_{p}"]) * 1.03
+        assert abs(float(out[code].load_x_lae) - without) < 1e-9 and abs(float(out[code].load) - without * (1 + columns[f"lae_{p}"])) < 1e-9
+        assert abs(float(out[code].lae_load) - 1 - columns[f"lae_{p}"]) < 1e-12
+
+
+def test_overlapping_day_ranges_fail(spark):
+    from inuring.operators import yelt
+
+    df = spark.createDataFrame([(1, 50, 60), (1, 1, 49), (2, 5, 9)], "k int, first_day int, last_day int")
+    assert sorted((r.k, r.place, r.first_day) for r in yelt.checked_ranges(df, ["k"]).collect()) == [(1, 1, 1), (1, 2, 50), (2, 1, 5)]
+    with pytest.raises(Exception, match="overlap"):
+        yelt.checked_ranges(df.union(spark.createDataFrame([(1, 60, 70)], df.schema)), ["k"]).collect()
+
+
+def test_tables_by_configuration(spark, sf_dir, tmp_path):
+    from inuring.sources.tables import Tables
+
+    fixtures = Tables(spark, sf_dir)
+    for name in ("layer", "retro_allocation"):
+        getattr(fixtures, name).limit(20).write.parquet(str(tmp_path / name))
+    spark.conf.set("spark.inuring.tables", f"parquet:{tmp_path}")
+    try:
+        assert Tables(spark).layer.count() == 20 and Tables(spark).retro_allocation.columns == fixtures.retro_allocation.columns
+        spark.conf.set("spark.inuring.tables", "catalog:default")
+        getattr(fixtures, "layer").limit(5).createOrReplaceTempView("layer_view")
+        assert Tables(spark, reader=lambda n: spark.table(f"{n}_view")).layer.count() == 5
+        spark.conf.set("spark.inuring.tables", "files:x")
+        with pytest.raises(ValueError, match="must begin"):
+            Tables(spark)
+    finally:
+        spark.conf.unset("spark.inuring.tables")

@@ -19,6 +19,56 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, state.read().select(*df.columns).collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_replay_and_restart_keep_all_rows(spark, tmp_path):
+    """A batch applied twice, a new object for each batch, and only touched buckets written."""
+    batches = [[(k, 1, n * 100 + k) for k in range(n, n + 6)] for n in range(4)]
+    frames = [spark.createDataFrame([(k, v + n, x) for k, v, x in rows], "layer_id int, row_version long, value int") for n, rows in enumerate(batches)]
+    path = str(tmp_path / "state")
+    for number, df in enumerate(frames):
+        cdc.VersionedTable(spark, path, ["layer_id"], buckets=8).apply(df, number)
+        cdc.VersionedTable(spark, path, ["layer_id"], buckets=8).apply(df, number)
+    state = cdc.VersionedTable(spark, path, ["layer_id"], buckets=8)
+    expected = cdc.upsert(None, frames[0].union(frames[1]).union(frames[2]).union(frames[3]), ["layer_id"])
+    assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, expected.collect()))
+    state.apply(frames[0].where("layer_id = 0"), 4)
+    assert len(list((tmp_path / "state" / "batch=4").glob("bucket=*"))) == 1
+    assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_unfinished_batch_is_not_seen(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, "a")], "k int, row_version long, v string")
+    state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["k"])
+    state.apply(df, 0)
+    state.apply(df.withColumns({"row_version": F.lit(2).cast("long"), "v": F.lit("cut off")}), 1)
+    (tmp_path / "state" / "batch=1" / "_SUCCESS").unlink()
+    assert [tuple(r) for r in state.read().collect()] == [(1, 1, "a")]
+
+
+def test_runs_get_the_next_id(spark, tmp_path):
+    path, rows = str(tmp_path / "runs"), spark.createDataFrame([(1,), (2,)], "k int")
+    assert [sinks.append_run(rows, path, "first"), sinks.append_run(rows.limit(1), path, "second")] == [1, 2]
+    rows.write.parquet(f"{path}/rows/run_id=3")  # cut off before its header
+    assert sorted((r.run_id, r.k) for r in sinks.read_runs(spark, path).collect())[:2] == [(1, 1), (1, 2)] and sinks.read_runs(spark, path).count() == 3
+    assert sinks.append_run(rows.limit(0), path, "third") == 3
+
+
+def test_joins_that_fail(spark):
+    left, right = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception, match="no partner"):
+        sinks.join_or_fail(left, right, ["k"]).collect()
+    assert [tuple(r) for r in sinks.join_or_fail(left.where("k = 1"), right, ["k"]).collect()] == [(1, "a")]
+    assert [tuple(r) for r in sinks.missing_keys(left, right, ["k"]).collect()] == [(2, 1)]
+
+
+def test_superseded_versions_are_archived(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, 5, 1, 3, 1), (1, 2, 6, 1, 3, 1), (1, 10, 8, 1, 3, 1), (2, 1, 7, 1, 3, 1)], "loss_analysis_id int, row_version long, day int, year int, peril_id int, event_id long")
+    path, archive = str(tmp_path / "yelt"), str(tmp_path / "old")
+    sinks.write_versioned(rows, path)
+    assert sorted((r.loss_analysis_id, r.day) for r in sinks.read_latest(spark, path).collect()) == [(1, 8), (2, 7)]
+    assert sinks.archive_superseded(spark, path, archive) == 2 and sinks.archive_superseded(spark, path, archive) == 0
+    assert sorted(r.day for r in spark.read.parquet(archive).collect()) == [5, 6] and spark.read.parquet(path).count() == 2
+
+
 def test_stale_version_changes_nothing(spark):
     old = spark.createDataFrame([(1, 5, "new")], "k int, row_version long, v string")
     late = spark.createDataFrame([(1, 4, "stale")], "k int, row_version long, v string")
