@@ -177,8 +177,8 @@ def benchmark_parts(benchmark: DataFrame, item_id: str, text: str, block_bytes:
     return [items.where(F.pmod(F.xxhash64("text", "item"), F.lit(n)) == k) for k in range(n)]
 
 
-def find_matches(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``df`` with ``n_words`` and ``matches``: an array of (item, start, length), the longest verbatim matches of at least
+def find_matches(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep_text: bool = True) -> DataFrame:
+    """``df`` (without its text, unless ``keep_text``) with ``n_words`` and ``matches``: an array of (item, start, length), the longest verbatim matches of at least
     ``window`` words with a benchmark item, in words of the document from 0.
 
     Words are runs of digits, a-z and characters beyond ASCII, after A-Z are lower-cased. An item with fewer words than a
@@ -207,7 +207,7 @@ def find_matches(df: DataFrame, benchmark: DataFrame, text: str = "text", item_i
         values = pa.StructArray.from_arrays([named.take(pa.array(order)), pa.array(every[order, 2]), pa.array(every[order, 3])], names=["item", "start", "length"])
         return [pa.array(words.counts.astype(np.int64)), list_array(np.bincount(every[:, 0], minlength=len(texts)), values)]
 
-    return add_columns(df, text, [T.StructField(n_words, T.LongType()), T.StructField(found, T.ArrayType(match))], search)
+    return add_columns(df, text, [T.StructField(n_words, T.LongType()), T.StructField(found, T.ArrayType(match))], search, drop=() if keep_text else (text,))
 
 
 def words_hit(found: Column) -> Column:

@@ -168,14 +168,14 @@ def _raw(column: pa.Array) -> np.ndarray:
 
 
 def token_ids(df: DataFrame, text: str, tokenizer, end_id: int, vocabulary: int) -> DataFrame:
-    """``df`` with ``n_tokens`` and ``ids``, little-endian numbers of two bytes where the vocabulary allows, else of four."""
+    """``df`` without its text, with ``n_tokens`` and ``ids``, little-endian numbers of two bytes where the vocabulary allows, else of four."""
     kind = np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
 
     def encode(texts: Texts, _) -> list:
         ids, counts = _encoder(tokenizer).encode(texts, end_id)
         return [counts, _binaries(ids.astype(kind).view(np.uint8), counts * kind.itemsize)]
 
-    return add_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], encode, limit=2 * CHUNK_BYTES)
+    return add_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], encode, limit=2 * CHUNK_BYTES, drop=(text,))
 
 
 def id_by_rank(ids: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
@@ -241,7 +241,7 @@ def _write_tokens(df: DataFrame, path: str, encoded: str, tokenizer: str, end_id
     part = F.when(F.col("id").isNull(), F.pmod(F.col("hash"), F.lit(max(nulls, 1))).cast("int")).otherwise(_range(bounds) + nulls)
     ranged = plain.withColumn("hash", F.xxhash64("text")).withColumn("part", part)
     files = nulls + len(bounds) + 1
-    token_ids(ranged, "text", sent, end_id, vocabulary).drop("text").write.option("compression", "zstd").parquet(encoded)
+    token_ids(ranged, "text", sent, end_id, vocabulary).write.option("compression", "zstd").parquet(encoded)
     ids = spark.read.parquet(encoded)
     by_rank = id_by_rank(ids, kind, size)
     rank = np.empty_like(by_rank)

@@ -210,8 +210,9 @@ def scan_licenses(
     phrases: tuple[tuple[str, str], ...] = PHRASES,
     templates: tuple[Template, ...] = TEMPLATES,
     least_share: float = LEAST_SHARE,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """``df`` with ``n_words``, ``phrases`` (array of (label, start) of every key phrase, by start and label), ``labels``
+    """``df`` (without its text, unless ``keep_text``) with ``n_words``, ``phrases`` (array of (label, start) of every key phrase, by start and label), ``labels``
     (sorted, of phrases and verified templates) and ``score`` (1 with a phrase, else the best share of a template in place).
 
     Words are runs of digits, a-z and characters beyond ASCII, after A-Z are lower-cased, counted from 0. Null and empty
@@ -243,4 +244,4 @@ def scan_licenses(
     names = fresh(df, "n_words", "phrases", "labels", "score")
     place = T.StructType([T.StructField("label", T.StringType()), T.StructField("start", T.LongType())])
     kinds = (T.LongType(), T.ArrayType(place), T.ArrayType(T.StringType()), T.DoubleType())
-    return add_columns(df, text, [T.StructField(n, k) for n, k in zip(names, kinds)], scan)
+    return add_columns(df, text, [T.StructField(n, k) for n, k in zip(names, kinds)], scan, drop=() if keep_text else (text,))

@@ -117,7 +117,7 @@ def sketches(df: DataFrame, id: str, text: str, shingle: int = SHINGLE) -> DataF
 
     plain = df.select(F.col(id).alias("id"), F.col(text).alias("text"), _key(id, text).alias("key"), F.xxhash64(text).alias("hash"))
     fields = [T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType()), T.StructField("sig", T.ArrayType(T.IntegerType()))]
-    return add_columns(plain, "text", fields, sketch).drop("text")
+    return add_columns(plain, "text", fields, sketch, drop=("text",))
 
 
 def _key(id: str, text: str) -> Column:
@@ -137,7 +137,7 @@ def full_sets(df: DataFrame, id: str, text: str, classes: DataFrame, shingle: in
         return [pa.array([_digest(s) if len(s) else None for s in found], pa.binary()), list_array(np.array([len(s) for s in found]), pa.array(flat))]
 
     fields = [T.StructField("cls", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))]
-    made = add_columns(texts, "text", fields, sets).select("cls", "shingles")
+    made = add_columns(texts, "text", fields, sets, drop=("key", "text"))
     return made.join(classes.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 

@@ -6,6 +6,7 @@ against brute-force versions.
 
 from __future__ import annotations
 
+from inuring.llm.licenses import LEAST_SHARE, PHRASES, SLACK, TEMPLATES
 from inuring.llm.secrets import BASE_RULES, RULES
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -108,4 +109,20 @@ OP5 = f"""WITH s AS ({" UNION ALL ".join(_spans(k, r.kind, r.pattern.decode().re
     j AS (SELECT doc_id, {", ".join(f"COUNT(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)}, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) FILTER (ord < {len(BASE_RULES)}) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, ord) AS spans FROM s GROUP BY doc_id)
     SELECT d.doc_id, {", ".join(f"COALESCE(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)}, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans FROM documents d LEFT JOIN j ON j.doc_id = d.doc_id"""
 
-ORACLE_SQL = {"op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
+_list = lambda text: "[" + ", ".join(f"'{w}'" for w in text.split()) + "]"
+OP6 = f"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS ws FROM documents),
+    phrases(label, k) AS (VALUES {", ".join(f"('{label}', {_list(phrase)})" for phrase, label in PHRASES)}),
+    templates(t, label, words) AS (VALUES {", ".join(f"({i}, '{x.label}', {_list(x.text)})" for i, x in enumerate(TEMPLATES))}),
+    keys(t, k) AS (VALUES {", ".join(f"({i}, {_list(key)})" for i, x in enumerate(TEMPLATES) for key in x.key_phrases)}),
+    found AS (SELECT doc_id, label, unnest(list_filter(range(len(ws)), lambda q: ws[q + 1 : q + len(k)] = k)) AS q FROM d, phrases),
+    base AS (SELECT doc_id, COUNT(*) AS n_base, MIN(q) AS first_word, MAX(q) AS last_word FROM found GROUP BY doc_id),
+    standing AS MATERIALIZED (SELECT w.doc_id, x.t, w.p - x.j AS a, COUNT(*) AS n FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM d) w JOIN (SELECT t, unnest(words) AS w, unnest(range(len(words))) AS j FROM templates) x ON x.w = w.w GROUP BY ALL HAVING COUNT(*) >= 2),
+    shares AS (SELECT s.doc_id, MAX(n / len(words)) AS share FROM standing s JOIN templates x ON x.t = s.t GROUP BY s.doc_id),
+    good AS (SELECT s.doc_id, s.t, s.a, x.label, len(x.words) AS n, CAST(floor({SLACK} * len(x.words)) AS BIGINT) AS slack FROM standing s JOIN templates x ON x.t = s.t WHERE s.n / len(x.words) >= {LEAST_SHARE}),
+    verified AS (SELECT g.doc_id, g.label FROM good g JOIN d ON d.doc_id = g.doc_id JOIN keys k ON k.t = g.t
+        GROUP BY g.doc_id, g.t, g.a, g.label HAVING bool_and(len(list_filter(range(GREATEST(0, a - slack), LEAST(len(ws), a + n + slack - len(k) + 1)), lambda q: ws[q + 1 : q + len(k)] = k)) > 0)),
+    labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label, bool_or(is_base) AS is_base FROM (SELECT doc_id, label, TRUE AS is_base FROM found UNION ALL SELECT doc_id, label, FALSE FROM verified) GROUP BY ALL) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE COALESCE(share, 0.0)::DOUBLE END AS score
+    FROM d LEFT JOIN base ON base.doc_id = d.doc_id LEFT JOIN labels ON labels.doc_id = d.doc_id LEFT JOIN shares ON shares.doc_id = d.doc_id"""
+
+ORACLE_SQL = {"op6_license_scans": OP6, "op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}

@@ -200,8 +200,8 @@ def quality_filter(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     return out.drop(name)
 
 
-def quality_report(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """All rows of ``df`` with the cascade's verdict ``kept`` and the measures of the whole text, rejected or not.
+def quality_report(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, keep_text: bool = True) -> DataFrame:
+    """All rows of ``df`` (without their text, unless ``keep_text``) with the cascade's verdict ``kept`` and the measures of the whole text, rejected or not.
 
     Names that ``df`` has already get underscores. Null and empty texts have zeros and are not kept.
     """
@@ -210,6 +210,7 @@ def quality_report(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
     def measured(texts: Texts, _) -> list:
         features = Features(texts)
-        return [*(getattr(features, k).astype(np.int64) for k in MEASURES), cascade(features, rules)]
+        kept = cascade(features, rules)  # first: what its rules measure of all texts is at hand then
+        return [*(getattr(features, k).astype(np.int64) for k in MEASURES), kept]
 
-    return add_columns(df, text, [T.StructField(n, T.LongType()) for n in names[:-1]] + [T.StructField(names[-1], T.BooleanType())], measured)
+    return add_columns(df, text, [T.StructField(n, T.LongType()) for n in names[:-1]] + [T.StructField(names[-1], T.BooleanType())], measured, drop=() if keep_text else (text,))

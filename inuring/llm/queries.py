@@ -25,24 +25,28 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal counts (law ``rows``)."""
     placed = assign_shards(table(spark, sf_dir, "documents", "doc_id", "source", "text"), 24)
     return placed.select("doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    """Words of each document inside a benchmark window, and the items whose windows it has."""
+    found = find_matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
     found = found.select("doc_id", "n_words", words_hit(F.col("matches")).alias("n_hit"), items_hit(F.col("matches")).alias("items"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy pieces of each document by the 50k byte vocabulary."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return count_tokens(docs, *byte_pieces(public_tokenizers.path("byte_bpe_50k.json"))).drop("text")
+    return count_tokens(docs, *byte_pieces(public_tokenizers.path("byte_bpe_50k.json")), keep_text=False)
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of each page's URL, by rule or model."""
     return judge_urls(table(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "score", "verdict")
 
 
@@ -56,7 +60,8 @@ def _of_kinds(kinds: list[str]) -> Column:
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"), name="found")
+    """Secrets of each document: counts of the base rules, their digest, and the spans of all rules."""
+    found = scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"), name="found", keep_text=False)
     base = [r.kind for r in BASE_RULES]
     counts = [F.size(_of_kinds([k])).cast("long").alias(f"n_{k}") for k in base]
     digest = F.sha2(_joined(_of_kinds(base)), 256)
@@ -64,7 +69,8 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    """Licence phrases and labels of each document."""
+    found = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     starts = F.transform("phrases", lambda p: p["start"])
     base = F.array_sort(F.array_distinct(F.transform("phrases", lambda p: p["label"])))
     return found.select(
@@ -80,6 +86,7 @@ def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files hold of each document: start, number and checksum of its ids."""
     import public_tokenizers
 
     found = token_output(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -87,12 +94,14 @@ def op7_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+    """Measures of each document and the verdict of all rules."""
+    report = quality_report(table(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept")
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of each document, and whether it is the one to keep."""
     found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -102,6 +111,7 @@ TARGETS = {"good": 0.92, "poor": 0.07, "toxic": 0.01}
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain probabilities, rate and copies of each document for the target shares."""
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     mixed = mix(docs, label_domains(table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")), TARGETS, keep_text=False)
     return mixed.select("doc_id", "source", "n_tokens", *[F.col("memberships")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")

@@ -76,8 +76,8 @@ def find_spans(texts: Texts, rules: tuple[Rule, ...], together: Dfa, alone: tupl
     return sorted((d, int(points[d][a - texts.bounds[d]]), r, int(points[d][b - texts.bounds[d]])) for d, a, r, b in out)
 
 
-def scan_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, name: str = "secrets") -> DataFrame:
-    """``df`` with an array of (kind, start, end) of the secrets in the whole text: code points, end exclusive, by start and
+def scan_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, name: str = "secrets", keep_text: bool = True) -> DataFrame:
+    """``df`` (without its text, unless ``keep_text``) with an array of (kind, start, end) of the secrets in the whole text: code points, end exclusive, by start and
     then in the order of the rules.
 
     Null and empty texts have an empty array. Each row stands for itself, so repeated rows get equal arrays; an empty
@@ -93,4 +93,4 @@ def scan_secrets(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RU
         return [list_array(np.bincount(found[:, 0], minlength=len(texts)), values)]
 
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    return add_columns(df, text, [T.StructField(name, T.ArrayType(span))], spans)
+    return add_columns(df, text, [T.StructField(name, T.ArrayType(span))], spans, drop=() if keep_text else (text,))

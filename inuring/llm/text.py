@@ -165,20 +165,23 @@ def add_columns(
     compute: Callable[[Texts, pa.RecordBatch], list],
     keep: Callable[[list], np.ndarray] | None = None,
     limit: int = CHUNK_BYTES,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """``df`` with columns that ``compute`` makes from whole texts, a chunk at a time and without a shuffle.
 
     ``compute`` gets a chunk and its batch and gives an array for each field. ``keep`` may turn those arrays into a row
     mask; rows outside it are left out. Fields whose name the frame has already must be renamed by the caller (``fresh``).
+    Columns in ``drop`` don't come back from the tasks' Python.
     """
-    schema = T.StructType([*df.schema.fields, *fields])
+    kept = [k for k, name in enumerate(df.columns) if name not in drop]
+    schema = T.StructType([*(df.schema.fields[k] for k in kept), *fields])
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch, text, limit):
                 made = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x) for x in compute(texts, part)]
-                out = pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *(f.name for f in fields)])
+                out = pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), *made], names=[*(part.schema.names[k] for k in kept), *(f.name for f in fields)])
                 yield out if keep is None else out.filter(pa.array(keep(made)))
 
     return df.mapInArrow(run, schema)

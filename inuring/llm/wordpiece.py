@@ -173,8 +173,8 @@ def byte_pieces(vocabulary_file: str) -> tuple[list[bytes], list[bytes]]:
     return every + initial, every + [w for w in raw if w[:1] != b" "]
 
 
-def count_tokens(df: DataFrame, initial: list[bytes], inner: list[bytes], text: str = "text") -> DataFrame:
-    """``df`` with ``n_words``, ``n_tokens`` and ``n_unknown``: words are runs without white space, each is split greedily
+def count_tokens(df: DataFrame, initial: list[bytes], inner: list[bytes], text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``df`` (without its text, unless ``keep_text``) with ``n_words``, ``n_tokens`` and ``n_unknown``: words are runs without white space, each is split greedily
     into the longest pieces (``initial`` first, then ``inner``), and a word that can't be split counts as one token.
 
     Null and empty texts have zeros, repeated rows equal counts, an empty table stays empty; words of any length are walked
@@ -191,4 +191,4 @@ def count_tokens(df: DataFrame, initial: list[bytes], inner: list[bytes], text:
         total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[words.first]).astype(np.int64)
         return [words.counts.astype(np.int64), total(np.where(each < 0, 1, each)), total(each < 0)]
 
-    return add_columns(df, text, [T.StructField(n, T.LongType()) for n in fresh(df, "n_words", "n_tokens", "n_unknown")], count)
+    return add_columns(df, text, [T.StructField(n, T.LongType()) for n in fresh(df, "n_words", "n_tokens", "n_unknown")], count, drop=() if keep_text else (text,))
