@@ -10,6 +10,7 @@ from inuring.operators import fx, graph, intervals, layering, metrics
 from inuring.operators import yelt as y
 from inuring.functions.terms import SHARE
 from inuring.operators.metrics import LIMITS, PREMIUMS
+from inuring.plans import scans
 from inuring.plans.registry import query
 
 FX_DATE, BASE = "1998-06-15", "USD"
@@ -515,25 +516,54 @@ def layer_losses(t):
     return rounded(priced.select("layer_id", "year", "day", "peril_id", "event_id", "layer_loss", "reinst_premium"), "layer_loss", "reinst_premium", digits=4)
 
 
-@query("conditional_yelt", f"WITH {ENGINE.format("WHERE GREATEST(DATE '1997-06-30', l.inception) <= l.expiration AND e.day >= dayofyear(GREATEST(DATE '1997-06-30', l.inception))")} SELECT layer_id, year, day, peril_id, event_id, ROUND(layer_loss, 4) + 0 AS layer_loss FROM f WHERE layer_loss > 0.00005")
+DEPTHS = 4  # of the fixtures' graph
+YELT_KEY = "day, year, peril_id, event_id"
+
+
+def _conditional_sql(eroded: bool) -> str:
+    money = lambda x: f"CAST({x} AS DECIMAL(20,8))"
+    steps = []
+    for d in range(DEPTHS):
+        fed = "".join(f" UNION ALL SELECT p.px_layer_id, {YELT_KEY}, occ FROM o{k} JOIN (SELECT DISTINCT layer_id, px_layer_id FROM px_section) p USING (layer_id) JOIN depths q ON q.v = p.px_layer_id WHERE q.depth = {d}" for k in range(d))
+        steps.append(f"""o{d} AS MATERIALIZED (SELECT layer_id, {YELT_KEY}, {money(f"LEAST(GREATEST(loss - {money('occ_retention')}, 0), {money('occ_limit')})")} AS occ
+        FROM (SELECT layer_id, {YELT_KEY}, SUM(loss) AS loss FROM (SELECT g.layer_id, {YELT_KEY}, loss FROM g LEFT JOIN depths q ON q.v = g.layer_id WHERE COALESCE(q.depth, 0) = {d}{fed}) GROUP BY ALL) JOIN layer USING (layer_id))""")
+    erosion = money("COALESCE(erosion, 0)") if eroded else "0"
+    every = " UNION ALL ".join(f"SELECT * FROM o{d}" for d in range(DEPTHS))
+    return f"""WITH RECURSIVE walk AS (SELECT v, 0 AS depth FROM (SELECT layer_id AS v FROM px_section UNION SELECT px_layer_id FROM px_section) UNION SELECT p.px_layer_id, r.depth + 1 FROM walk r JOIN px_section p ON p.layer_id = r.v),
+    depths AS MATERIALIZED (SELECT v, MAX(depth) AS depth FROM walk GROUP BY v), g AS MATERIALIZED (SELECT layer_id, {YELT_KEY}, {scans.LOADED_WITH_LAE} AS loss FROM ({scans.LOADED})), {", ".join(steps)},
+    terms AS (SELECT layer_id, GREATEST(DATE '1997-06-30', inception) AS from_date, {money(f"GREATEST({money('agg_limit')} - {erosion}, 0)")} AS lim, CASE WHEN {erosion} > 0 THEN 0 ELSE {money("agg_retention")} END AS ret
+        FROM layer LEFT JOIN (SELECT layer_id, SUM(loss_ult) * 100 AS erosion FROM qtd WHERE rc = 1 GROUP BY 1) e USING (layer_id) WHERE GREATEST(DATE '1997-06-30', inception) <= expiration),
+    s AS (SELECT o.*, ret, lim, SUM(occ) OVER (PARTITION BY layer_id, year ORDER BY day, peril_id, event_id ROWS UNBOUNDED PRECEDING) AS run FROM ({every}) o JOIN terms USING (layer_id) WHERE day >= dayofyear(from_date) AND lim > 0)
+    SELECT layer_id, {YELT_KEY}, CAST(ROUND(layer_loss, 4) AS DOUBLE) AS layer_loss FROM (SELECT *, LEAST(GREATEST(run - ret, 0), lim) - LEAST(GREATEST(run - occ - ret, 0), lim) AS layer_loss FROM s) WHERE layer_loss > 0"""
+
+
+@query("conditional_yelt", _conditional_sql(True))
 def conditional_yelt(t):
-    def terms(df):
-        out = df.withColumn("from_date", F.greatest(F.to_date(F.lit("1997-06-30")), "inception")).where("from_date <= expiration")
-        return out
+    """With erosion by the losses to date."""
+    return exact(layering.conditional_losses(t, "1997-06-30", True), "layer_loss", digits=4)
 
-    met = t.layer_yelt.join(terms(t.layer.select("layer_id", "occ_limit", "occ_retention", "agg_limit", "agg_retention", "inception", "expiration")), "layer_id").where(F.col("day") >= F.dayofyear("from_date"))
-    met = met.withColumn("occ", layering.occurrence_loss(F.col("loss_pct") * F.col("occ_limit") * 3, F.col("occ_retention"), F.col("occ_limit")))
-    out = layering.aggregate_losses(met, ["layer_id", "year"], ["day", "peril_id", "event_id"], "occ", "agg_retention", "agg_limit").where("layer_loss > 0.00005")
-    return rounded(out.select("layer_id", "year", "day", "peril_id", "event_id", "layer_loss"), "layer_loss", digits=4)
+
+@query("conditional_yelt_uneroded", _conditional_sql(False))
+def conditional_yelt_uneroded(t):
+    return exact(layering.conditional_losses(t, "1997-06-30", False), "layer_loss", digits=4)
+
+
+SCENARIO_MONEY = lambda x: f"CAST({x} AS DECIMAL(20,8))"
+SCENARIO_TERM = lambda k: SCENARIO_MONEY(f"CASE WHEN limit_basis = 1 THEN agg_{k} WHEN limit_basis IN (4, 7) THEN risk_{k} ELSE occ_{k} END / e.fx_rate_to_layer_currency")
 
 
-@query("scenario_loss_aggregate", """SELECT e.scenario_id, e.layer_id, COUNT(*) AS events, ROUND(SUM(LEAST(GREATEST(e.gu_loss - l.occ_retention / e.fx_rate_to_layer_currency, 0.0), l.occ_limit / e.fx_rate_to_layer_currency)), 4) + 0 AS loss
-    FROM scenario_loss_event e JOIN scenario s USING (scenario_id) JOIN layer l ON l.layer_id = e.layer_id WHERE s.is_active AND NOT s.is_deleted AND e.loss_currency = 'USD' AND e.event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' GROUP BY 1, 2""")
+@query("scenario_loss_aggregate", f"""WITH o AS (SELECT e.scenario_id, e.layer_id, {SCENARIO_MONEY(f"LEAST(GREATEST({SCENARIO_MONEY('e.gu_loss')} - {SCENARIO_TERM('retention')}, 0), {SCENARIO_TERM('limit')})")} AS occ, {SCENARIO_TERM('limit')} AS lim,
+        {SCENARIO_MONEY("agg_retention / e.fx_rate_to_layer_currency")} AS agg_ret, {SCENARIO_MONEY("agg_limit / e.fx_rate_to_layer_currency")} AS agg_lim, premium
+        FROM scenario_loss_event e JOIN scenario s USING (scenario_id) JOIN layer l ON l.layer_id = e.layer_id WHERE s.is_active AND NOT s.is_deleted AND e.loss_currency = 'USD' AND e.event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20'),
+    a AS (SELECT scenario_id, layer_id, COUNT(*) AS events, MAX(lim) AS lim, MAX(premium) AS premium, LEAST(GREATEST(SUM(occ) - MAX(agg_ret), 0), MAX(agg_lim)) AS loss FROM o GROUP BY 1, 2),
+    r AS (SELECT layer_id, SUM(quantity) AS quantity, SUM(quantity * premium_share) AS paid FROM reinstatement GROUP BY 1 HAVING SUM(quantity) > 0)
+    SELECT scenario_id, layer_id, events, CAST(ROUND(loss, 4) AS DOUBLE) AS loss, CAST(ROUND(CASE WHEN lim = 0 OR quantity IS NULL THEN 0 ELSE {SCENARIO_MONEY(f"{SCENARIO_MONEY('premium * paid / quantity')} * CAST(LEAST(CAST(loss AS DOUBLE) / CAST(lim AS DOUBLE), quantity) AS DECIMAL(16,10))")} END, 4) AS DOUBLE) AS reinst_premium FROM a LEFT JOIN r USING (layer_id)""")
 def scenario_loss_aggregate(t):
+    """Losses of each active scenario and layer under occurrence and aggregate terms in the loss currency, and the premium that
+    reinstates the limit used, as often as the layer allows."""
     met = t.scenario_loss_event.where((F.col("loss_currency") == "USD") & F.col("event_date").between("2024-01-01", "2024-01-20"))
-    met = met.join(t.scenario.where("is_active AND NOT is_deleted").select("scenario_id"), "scenario_id").join(t.layer.select("layer_id", "occ_limit", "occ_retention"), "layer_id")
-    loss = layering.occurrence_loss(F.col("gu_loss"), F.col("occ_retention") / F.col("fx_rate_to_layer_currency"), F.col("occ_limit") / F.col("fx_rate_to_layer_currency"))
-    return rounded(met.groupBy("scenario_id", "layer_id").agg(F.count("*").alias("events"), F.sum(loss).alias("loss")), "loss", digits=4)
+    met = met.join(t.scenario.where("is_active AND NOT is_deleted").select("scenario_id"), "scenario_id").join(t.layer, "layer_id")
+    return exact(layering.scenario_losses(met, t.reinstatement), "loss", "reinst_premium", digits=4)
 
 
 @query("scenario_reinstatements", "SELECT DISTINCT e.scenario_id, r.layer_id, r.reinstatement_id, r.reinstatement_order, r.quantity, r.premium_share FROM scenario_loss_event e JOIN reinstatement r ON r.layer_id = e.layer_id WHERE r.quantity > 0")

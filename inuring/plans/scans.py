@@ -348,11 +348,14 @@ MONEY_SQL = lambda a, b: f"CAST({a} * {b} AS DECIMAL(20,8))"
 NEWEST = "SELECT * FROM layer_loss_analysis WHERE loss_view = 1 QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id ORDER BY row_version DESC) = 1"
 
 
-@query("gu_loss_loaded", f"""SELECT loss_analysis_id, layer_id, day, year, peril_id, event_id, CAST(ROUND(loss, 6) AS DOUBLE) AS loss, CAST(ROUND({MONEY_SQL("loss", "lae")}, 6) AS DOUBLE) AS loss_with_lae FROM (
-    SELECT a.loss_analysis_id, a.layer_id, g.day, g.year, g.peril_id, g.event_id, {MONEY_SQL(MONEY_SQL("CAST(g.loss AS DECIMAL(20,8))", "COALESCE(p.load_x_lae, CAST(1 AS DECIMAL(16,10)))"), "COALESCE(CAST(f.fx_rate AS DECIMAL(16,10)), CAST(1 AS DECIMAL(16,10)))")} AS loss, COALESCE(p.lae_load, CAST(1 AS DECIMAL(16,10))) AS lae
+LOADED = f"""SELECT a.loss_analysis_id, a.layer_id, g.day, g.year, g.peril_id, g.event_id, {MONEY_SQL(MONEY_SQL("CAST(g.loss AS DECIMAL(20,8))", "COALESCE(p.load_x_lae, CAST(1 AS DECIMAL(16,10)))"), "COALESCE(CAST(f.fx_rate AS DECIMAL(16,10)), CAST(1 AS DECIMAL(16,10)))")} AS loss, COALESCE(p.lae_load, CAST(1 AS DECIMAL(16,10))) AS lae
     FROM ({NEWEST}) a JOIN (SELECT gu_analysis_id, year, event_id, peril_id, day, CAST(SUM(loss) AS DOUBLE) AS loss FROM gu_yelt_entry GROUP BY ALL) g ON g.gu_analysis_id = a.own_gu_analysis_id
     JOIN layer l ON l.layer_id = a.layer_id LEFT JOIN ({LOADS}) p ON p.loss_analysis_id = a.loss_analysis_id AND p.peril_id = g.peril_id
-    LEFT JOIN submission_gu_analysis f ON f.gu_analysis_id = a.own_gu_analysis_id AND f.submission_id = l.submission_id)""")
+    LEFT JOIN submission_gu_analysis f ON f.gu_analysis_id = a.own_gu_analysis_id AND f.submission_id = l.submission_id"""
+LOADED_WITH_LAE = MONEY_SQL("loss", "lae")
+
+
+@query("gu_loss_loaded", f"SELECT loss_analysis_id, layer_id, day, year, peril_id, event_id, CAST(ROUND(loss, 6) AS DOUBLE) AS loss, CAST(ROUND({LOADED_WITH_LAE}, 6) AS DOUBLE) AS loss_with_lae FROM ({LOADED})")
 def gu_loss_loaded(t):
     """Ground-up losses of each layer's newest stressed-view analysis, loaded and in its currency."""
     newest = y.latest_analyses(t.layer_loss_analysis.where("loss_view = 1")).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))

@@ -177,3 +177,22 @@ def test_tables_by_configuration(spark, sf_dir, tmp_path):
             Tables(spark)
     finally:
         spark.conf.unset("spark.inuring.tables")
+
+
+def test_sections_feed_their_layers(spark):
+    """1 and 2 are sections of 3, which is one of 4; each layer's own loss counts too."""
+    key = "day int, year int, peril_id int, event_id long"
+    losses = spark.createDataFrame([(1, 5, 1, 3, 9, 100.0), (2, 5, 1, 3, 9, 50.0), (3, 5, 1, 3, 9, 10.0), (9, 5, 1, 3, 9, 7.0)], f"layer_id int, {key}, loss double").withColumn("loss", F.col("loss").cast(terms.MONEY))
+    sections = spark.createDataFrame([(1, 3), (2, 3), (3, 4)], "layer_id int, px_layer_id int")
+    limits = spark.createDataFrame([(1, 20.0, 60.0), (2, 0.0, 100.0), (3, 30.0, 70.0), (4, 0.0, 65.0), (9, 0.0, 5.0)], "layer_id int, occ_retention double, occ_limit double").select("layer_id", *[F.col(c).cast(terms.MONEY).alias(c) for c in ("occ_retention", "occ_limit")])
+    out = {r.layer_id: float(r.occ) for r in layering.sectioned_losses(losses, sections, limits).collect()}
+    assert out == {1: 60.0, 2: 50.0, 3: 70.0, 4: 65.0, 9: 5.0}
+
+
+def test_scenario_losses_by_hand(spark):
+    """Two events of 100 over 20 up to 50, 15 of it retained for the year; half the limit and more is reinstated once."""
+    columns = "scenario_id long, layer_id int, gu_loss double, fx_rate_to_layer_currency double, limit_basis int, premium double, occ_limit double, agg_limit double, risk_limit double, occ_retention double, agg_retention double, risk_retention double"
+    rows = [(1, 1, 100.0, 1.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 15.0, 0.0)] * 2 + [(1, 2, 100.0, 2.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 0.0, 0.0)]
+    reinstatements = spark.createDataFrame([(1, 1.0, 0.5)], "layer_id int, quantity double, premium_share double")
+    out = {r.layer_id: (r.events, float(r.loss), float(r.reinst_premium)) for r in layering.scenario_losses(spark.createDataFrame(rows, columns), reinstatements).collect()}
+    assert out == {1: (2, 80.0, 5.0), 2: (1, 25.0, 0.0)}
