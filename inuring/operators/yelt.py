@@ -33,8 +33,10 @@ def retro_layers(t) -> DataFrame:
     return met.groupBy("layer_id", "retro_program_id").agg(F.max("row_version").alias("row_version"))
 
 
-def portfolio_retro_layers(t) -> DataFrame:
-    return t.port_layer_cession.join(t.port_layer, "port_layer_id").select("layer_id", "retro_program_id", "port_layer_id", "portfolio_id").distinct()
+def portfolio_retro_layers(t, mark: int | None = None) -> DataFrame:
+    """Layers that portfolios cede to programs; with ``mark`` those of cessions of a higher row version."""
+    cessions = t.port_layer_cession if mark is None else t.port_layer_cession.where(F.col("row_version") > mark)
+    return cessions.join(t.port_layer, "port_layer_id").select("layer_id", "retro_program_id", "port_layer_id", "portfolio_id").distinct()
 
 
 def day_partition(yelt: DataFrame, first: int, last: int) -> DataFrame:

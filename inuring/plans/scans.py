@@ -74,6 +74,11 @@ def portfolio_retro_layers(t):
     return y.portfolio_retro_layers(t)
 
 
+@query("portfolio_retro_layers_incremental", f"SELECT DISTINCT layer_id, retro_program_id, port_layer_id, portfolio_id FROM port_layer_cession JOIN port_layer USING (port_layer_id) WHERE row_version > {MARK}")
+def portfolio_retro_layers_incremental(t):
+    return y.portfolio_retro_layers(t, MARK)
+
+
 @query("allocations_for_programs", "SELECT a.* FROM retro_allocation a JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) WHERE retro_program_id IN (3, 5, 8)")
 def allocations_for_programs(t):
     wanted = t.retro_investor.join(t.sp_insurer, "sp_insurer_id").where(F.col("retro_program_id").isin(3, 5, 8)).select("retro_investor_id")
@@ -87,7 +92,7 @@ def semi_join_retros(t):
 
 @query("portlayer_cessions", "SELECT port_layer_cession_id, port_layer_id, retro_program_id, cession_gross, CAST(port_layer_cession_id % 8 AS INT) AS part FROM port_layer_cession WHERE cession_gross > 0 AND should_cession_apply")
 def portlayer_cessions(t):
-    kept = t.port_layer_cession.where("cession_gross > 0 AND should_cession_apply").drop("should_cession_apply")
+    kept = t.port_layer_cession.where("cession_gross > 0 AND should_cession_apply").drop("should_cession_apply", "row_version")
     return kept.withColumn("part", F.pmod("port_layer_cession_id", F.lit(8)).cast("int"))
 
 
@@ -162,6 +167,23 @@ def scenario_occ_losses(t):
     return t.scenario_loss_event.where("gu_loss <> 0").groupBy("scenario_id", "layer_id").agg(F.round(F.sum("gu_loss"), 4).alias("gu_loss"))
 
 
+for _name in ("scenario_layer_loss", "scenario_layer_section", "scenario_layer_reinstatement", "scenario_retro_cession", "scenario_retro_cession_loss"):
+    _scan(_name)
+
+
+@query("scenario_layer_losses_nonzero", f"SELECT * FROM scenario_layer_loss WHERE gu_loss <> 0 AND scenario_id IN (SELECT scenario_id FROM scenario WHERE {ACTIVE})")
+def scenario_layer_losses_nonzero(t):
+    """Layer losses of active scenarios that aren't null or zero."""
+    return t.scenario_layer_loss.where("gu_loss <> 0").join(t.scenario.where(ACTIVE).select("scenario_id"), "scenario_id", "left_semi")
+
+
+@query("scenario_retro_losses", "SELECT scenario_id, retro_program_id, l.event_key, CAST(CAST(CAST(l.loss AS DECIMAL(20,8)) * CAST(c.cession AS DECIMAL(16,10)) AS DECIMAL(20,8)) AS DOUBLE) AS ceded_loss FROM scenario_retro_cession_loss l JOIN scenario_retro_cession c USING (scenario_id, retro_program_id) WHERE l.loss IS NOT NULL")
+def scenario_retro_losses(t):
+    """Retro losses of scenarios with the program's cession applied."""
+    met = t.scenario_retro_cession_loss.where("loss IS NOT NULL").join(t.scenario_retro_cession, ["scenario_id", "retro_program_id"])
+    return met.select("scenario_id", "retro_program_id", "event_key", x.times(F.col("loss").cast(x.MONEY), F.col("cession")).cast("double").alias("ceded_loss"))
+
+
 ITD = """SELECT q.layer_id, l.submission_id, s.is_multiyear, s.is_cancellable, q.uw_year{0}, l.segment, q.perspective_id, q.currency, q.facility,
     CAST(SUM(wp) AS DOUBLE) AS wp, CAST(SUM(wp - rip) AS DOUBLE) AS wpxrp, CAST(SUM(rip) AS DOUBLE) AS rp, CAST(SUM(ep) AS DOUBLE) AS ep, CAST(SUM(loss_ult) AS DOUBLE) AS ult_loss
     FROM qtd q JOIN (SELECT DISTINCT layer_id FROM retro_allocation WHERE cession_gross > 0) a ON a.layer_id = q.layer_id JOIN layer l ON l.layer_id = q.layer_id JOIN submission s ON s.submission_id = l.submission_id

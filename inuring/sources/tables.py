@@ -82,7 +82,7 @@ FIXTURES = {
         FROM {part} INNER JOIN {region} ON p_partkey % 5 = r_regionkey""",
     "port_layer_cession": """
         SELECT CAST(MIN(l_orderkey) * 8 + MIN(l_linenumber) AS BIGINT) AS port_layer_cession_id, CAST(l_partkey * 10 + l_partkey % 5 AS INT) AS port_layer_id,
-               CAST(l_suppkey AS INT) AS retro_program_id, CAST(MAX(l_discount) * 0.5 AS DOUBLE) AS cession_gross, MIN(l_linenumber) < 7 AS should_cession_apply
+               CAST(l_suppkey AS INT) AS retro_program_id, CAST(MAX(l_discount) * 0.5 AS DOUBLE) AS cession_gross, MIN(l_linenumber) < 7 AS should_cession_apply, CAST(MAX(l_orderkey) AS BIGINT) AS row_version
         FROM {lineitem} GROUP BY l_partkey, l_suppkey""",
     "fx_rate": """
         SELECT CAST(o_orderdate AS DATE) AS fx_date, 'USD' AS base_currency,
@@ -120,6 +120,24 @@ FIXTURES = {
                CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) AS gu_loss, CAST(user_id AS INT) AS layer_id, CASE WHEN event_id % 17 = 0 THEN 'EUR' ELSE 'USD' END AS loss_currency,
                CAST((80 + event_id % 40) / 100.0 AS DOUBLE) AS fx_rate_to_layer_currency
         FROM {events}""",
+    "scenario_layer_loss": """
+        SELECT CAST(event_id % 50 AS BIGINT) AS scenario_id, CAST(user_id AS INT) AS layer_id, MIN(event_id) % 7 = 0 AS is_fhcf, CAST(1 + (MIN(event_id) % 5) / 100.0 AS DOUBLE) AS lae, 'USD' AS loss_currency,
+               CAST((80 + MIN(event_id) % 40) / 100.0 AS DOUBLE) AS fx_rate_to_layer_currency, CASE WHEN MIN(event_id) % 6 = 0 THEN NULL WHEN MIN(event_id) % 6 = 1 THEN 0.0 ELSE CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) END AS gu_loss
+        FROM {events} GROUP BY event_id % 50, user_id""",
+    "scenario_layer_section": """
+        SELECT CAST(r_regionkey AS BIGINT) AS scenario_id, CAST(p_partkey AS BIGINT) AS layer_id, CAST(p_partkey + 1 AS BIGINT) AS section_id, CAST(p_size % 3 AS INT) AS roll_up_type, CAST(1.0 AS DOUBLE) AS fx_rate_to_parent
+        FROM {part} INNER JOIN {region} ON p_partkey % 5 <> r_regionkey""",
+    "scenario_layer_reinstatement": """
+        SELECT CAST(r_regionkey AS BIGINT) AS scenario_id, CAST(p_partkey AS BIGINT) AS layer_id, CAST(p_partkey * 5 + r_regionkey AS INT) AS reinstatement_id, CAST(1 AS INT) AS reinstatement_order,
+               CASE WHEN p_size % 4 = 0 THEN NULL ELSE CAST(p_size % 3 AS DOUBLE) END AS quantity, CAST(1.0 AS DOUBLE) AS premium_share, CAST(0.1 AS DOUBLE) AS brokerage_percentage
+        FROM {part} INNER JOIN {region} ON p_partkey % 5 = r_regionkey""",
+    "scenario_retro_cession": """
+        SELECT CAST(r_regionkey AS BIGINT) AS scenario_id, CAST(s_suppkey AS BIGINT) AS retro_program_id, CAST(s_suppkey % 3 + 1 AS INT) AS level, CAST((s_suppkey % 50) / 100.0 AS DOUBLE) AS cession, s_name AS name
+        FROM {supplier} INNER JOIN {region} ON r_regionkey < 3""",
+    "scenario_retro_cession_loss": """
+        SELECT CAST(event_id % 50 AS BIGINT) AS scenario_id, CAST(event_id AS VARCHAR(20)) AS event_key, CAST(user_id % 20 AS BIGINT) AS retro_program_id, 'USD' AS currency,
+               CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(CAST(value AS DECIMAL(18,4)) AS DOUBLE) END AS loss
+        FROM {events}""",
     "qtd": """
         SELECT CAST(l_partkey AS INT) AS layer_id, CAST(year(l_shipdate) AS INT) AS uw_year, CAST(year(l_shipdate) * 100 + 12 AS INT) AS acct_period,
                CAST(l_linenumber % 4 + 1 AS INT) AS perspective_id, CASE WHEN l_returnflag = 'A' THEN 'EUR' ELSE 'USD' END AS currency, l_linestatus AS facility,
