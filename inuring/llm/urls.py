@@ -133,8 +133,9 @@ def judge_urls(df: DataFrame, url: str = "url", rules: tuple[tuple[str, str, str
     with intermediate(df.sparkSession) as results:
         urls = df.select(address.alias("u")).groupBy("u").agg(F.count("*").alias("weight"))
         urls = urls.withColumn("verdict", matching_rule(*host_and_path(F.col("u")), rules)["verdict"]).withColumn("held", held_out(F.col("u")))
-        urls = written(urls.repartition(parts, "u").withColumn("number", F.monotonically_increasing_id()))
-        spread = grams(urls, "u", ["number", "weight", "verdict", "held"])
+        urls = written(urls.withColumn("number", F.monotonically_increasing_id()))
+        # URLs are small but for their grams, so they are dealt to all tasks again
+        spread = grams(urls.repartition(parts, "number"), "u", ["number", "weight", "verdict", "held"])
         times = lambda v: F.sum(F.when((F.col("verdict") == v) & ~F.col("held"), F.col("weight")).otherwise(0))
         counts = written(spread.groupBy("gram").agg(F.count("*").alias("n"), times("allow").alias("accepted"), times("block").alias("rejected")))
         ratios = written(log_ratios(counts))

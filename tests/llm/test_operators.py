@@ -98,6 +98,15 @@ def test_decontamination(spark, trial, block):
     assert {r.doc_id: (r.n_words_, r.hit, list(r["items"])) for r in rows} == plain.windows(enumerate(docs), items)
 
 
+def test_decontamination_of_repeated_rows_and_shared_names(spark):
+    """Rows that repeat get equal results; items of one name count once; a null name is the empty one."""
+    text = " ".join(VOCABULARY[:12])
+    bench = spark.createDataFrame([("i", text), ("i", "q " + text), (None, text)], "item_id string, text string")
+    df = frame(spark, [text]).union(frame(spark, [text]))
+    rows = decontam.find_matches(df, bench).select(decontam.words_hit(F.col("matches")).alias("hit"), decontam.items_hit(F.col("matches")).alias("items")).collect()
+    assert [(r.hit, list(r["items"])) for r in rows] == [(12, ["", "i"])] * 2
+
+
 def test_longest_matches(spark):
     item = " ".join(VOCABULARY[:30])
     docs = ["q " + " ".join(VOCABULARY[5:20]) + " q " + " ".join(VOCABULARY[:12]), "q"]
@@ -354,6 +363,13 @@ def test_license_templates_against_brute_force(spark):
             assert labels >= ({"mit", "bsd"}, {"apache-2.0", "mpl", "bsd"}, {"mit", "cc-by-nc", "gpl"}, {"apache-2.0"})[r.doc_id]
 
 
+def test_licenses_of_repeated_rows_and_empty_tables(spark):
+    df = frame(spark, ["cc by", None, ""]).union(frame(spark, ["cc by"]))
+    out = sorted((r.doc_id, r.n_words_, r.labels_, r.score) for r in licenses.scan_licenses(df).collect())
+    assert out == [(0, 2, ["cc-by"], 1.0), (0, 2, ["cc-by"], 1.0), (1, 0, [], 0.0), (2, 0, [], 0.0)]
+    assert licenses.scan_licenses(df.limit(0)).count() == 0 and "text" not in licenses.scan_licenses(df, keep_text=False).columns
+
+
 # --- 7 --------------------------------------------------------------------------------------------------------------
 def test_pack_round_trip():
     rnd = np.random.default_rng(1)
@@ -420,6 +436,12 @@ def test_quality(spark):
     assert quality.quality_filter(frame(spark, docs).limit(0)).count() == 0
 
 
+def test_quality_report_of_repeated_rows_and_empty_tables(spark):
+    df = frame(spark, ["a b"]).union(frame(spark, ["a b"]))
+    out = [(r.n_words_, r.word_chars, r.kept) for r in quality.quality_report(df).collect()]
+    assert out == [(2, 2, False)] * 2 and quality.quality_report(df.limit(0)).count() == 0
+
+
 def test_rules_are_ordered_on_what_is_left():
     """A rule whose rejections an earlier one has taken comes last, however many it has on all texts."""
     import pyarrow as pa
