@@ -224,6 +224,13 @@ def portfolio_net_cessions(t):
     return exact(intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"]), "gross", "net")
 
 
+@query("cessions_in_force", f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} {NET_OUT.format(u='port_layer_id')} WHERE \"start\" <= DATE '1997-06-30' AND \"end\" >= DATE '1997-06-30'")
+def cessions_in_force(t):
+    """Gross and net cessions by level on a day."""
+    net = intervals.net_cessions(portfolio_cessions(t), "port_layer_id", ["retro_program_id"])
+    return exact(net.where("start <= DATE '1997-06-30' AND end >= DATE '1997-06-30'"), "gross", "net")
+
+
 @query("net_to_gross", f"{PORT_C}, {NET.format(c='c', u='port_layer_id')} SELECT port_layer_id, retro_program_id, \"start\", \"end\", CAST(CAST(CASE WHEN gross = 0 THEN 0 ELSE CAST(net AS DOUBLE) / CAST(gross AS DOUBLE) END AS DECIMAL(16,10)) AS DOUBLE) AS ratio FROM net")
 def net_to_gross(t):
     """The share of each port layer's gross cession that the levels below leave it."""
@@ -491,6 +498,12 @@ def connected_components(t):
     return graph.connected_components(t.px_section, "layer_id", "px_layer_id")
 
 
+@query("px_adjacency", "SELECT layer_id, string_agg(CAST(px_layer_id AS VARCHAR), ',' ORDER BY px_layer_id) AS px_layers FROM (SELECT DISTINCT layer_id, px_layer_id FROM px_section) GROUP BY layer_id")
+def px_adjacency(t):
+    """The layers that each layer is a section of; a layer is one of few."""
+    return t.px_section.groupBy("layer_id").agg(F.array_join(F.array_sort(F.collect_set("px_layer_id")).cast("array<string>"), ",").alias("px_layers"))
+
+
 @query("topological_depth", """WITH RECURSIVE r AS (SELECT v, 0 AS depth FROM (SELECT layer_id AS v FROM px_section UNION SELECT px_layer_id FROM px_section) UNION SELECT p.px_layer_id, r.depth + 1 FROM r JOIN px_section p ON p.layer_id = r.v)
     SELECT v AS vertex, CAST(MAX(depth) AS INT) AS depth FROM r GROUP BY v""")
 def topological_depth(t):

@@ -439,3 +439,17 @@ def scenario_layer_terms(t):
     met = t.scenario_loss_event.where("loss_currency = 'USD'").join(t.layer, "layer_id")
     scaled = lambda k: F.round(x.by_basis(F.col("limit_basis"), F.col(f"agg_{k}"), F.col(f"risk_{k}"), F.col(f"occ_{k}")) / F.col("fx_rate_to_layer_currency"), 6).alias(f"occ_{k}")
     return met.select("scenario_id", "event_key", "layer_id", scaled("limit"), scaled("retention"))
+
+
+@query("yelt_file_names", "SELECT loss_analysis_id, layer_id, row_version, 'Yelt_' || loss_analysis_id || '_' || layer_id || '_' || row_version AS name, CAST(split_part('Yelt_' || loss_analysis_id || '_' || layer_id || '_' || row_version, '_', 4) AS BIGINT) AS version_of_name FROM layer_loss_analysis")
+def yelt_file_names(t):
+    """The name of each analysis's versioned file, and the version read back from it."""
+    named = t.layer_loss_analysis.select("loss_analysis_id", "layer_id", "row_version", F.concat_ws("_", F.lit("Yelt"), "loss_analysis_id", "layer_id", "row_version").alias("name"))
+    return named.withColumn("version_of_name", F.split_part("name", F.lit("_"), F.lit(4)).cast("long"))
+
+
+@query("program_layer_investors", "SELECT retro_program_id, layer_id, string_agg(CAST(retro_investor_id AS VARCHAR), ',' ORDER BY retro_investor_id) AS investors FROM (SELECT DISTINCT i.retro_program_id, a.layer_id, a.retro_investor_id FROM retro_allocation a JOIN retro_investor v USING (retro_investor_id) JOIN sp_insurer i USING (sp_insurer_id)) GROUP BY 1, 2")
+def program_layer_investors(t):
+    """The investors of each program that a layer is allocated to; a program has few."""
+    met = t.retro_allocation.select("layer_id", "retro_investor_id").join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id")
+    return met.groupBy("retro_program_id", "layer_id").agg(F.array_join(F.array_sort(F.collect_set("retro_investor_id")).cast("array<string>"), ",").alias("investors"))

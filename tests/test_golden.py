@@ -196,3 +196,9 @@ def test_scenario_losses_by_hand(spark):
     reinstatements = spark.createDataFrame([(1, 1.0, 0.5)], "layer_id int, quantity double, premium_share double")
     out = {r.layer_id: (r.events, float(r.loss), float(r.reinst_premium)) for r in layering.scenario_losses(spark.createDataFrame(rows, columns), reinstatements).collect()}
     assert out == {1: (2, 80.0, 5.0), 2: (1, 25.0, 0.0)}
+
+
+def test_franchise(spark):
+    df = spark.createDataFrame([(50.0,), (50.5,), (200.0,)], "loss double")
+    out = df.select(layering.occurrence_loss(F.col("loss"), F.lit(10.0), F.lit(100.0), F.lit(50.0)).alias("x")).collect()
+    assert [r.x for r in out] == [0.0, 40.5, 100.0]
