@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inuring.functions.terms import LOD, RAD, SHARE, times
+from inuring.sources.shared import cut
 
 
 def left_of(df: DataFrame, s: str, e: str, other_s: str) -> DataFrame:
@@ -63,7 +64,7 @@ def net_cessions(c: DataFrame, unit: str, program: list[str]) -> DataFrame:
     their product the share that is left to each level between two dates. Programs then meet the dates of their unit and
     level. So nothing is gathered, and the work on a layer grows with its programs and dates, not with their pairs.
     """
-    c = c.withColumn("gross", F.col("gross").cast(SHARE))
+    c = cut(c.withColumn("gross", F.col("gross").cast(SHARE)))  # it is read several times
     levels = sorted(r.level for r in c.select("level").distinct().collect())  # as many as the data model has
     moves = changes(c, "start", "end", {"gross": F.col("gross")}, [unit, "level"])
     own = [F.sum(F.when(F.col("level") == q, F.col("gross"))).alias(f"c{q}") for q in levels] + [F.count(F.when(F.col("level") == q, 1)).alias(f"n{q}") for q in levels]
