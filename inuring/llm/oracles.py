@@ -23,9 +23,13 @@ def _crc_table() -> list[int]:
     return out
 
 
-CRC32 = f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(COALESCE(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)),
     lambda c, b: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, b) & 255) + 1])))"""
 
+
+CRC32 = _crc32("COALESCE(text, '')")
+
 OP1 = f"""WITH r AS (SELECT doc_id, source, CAST(octet_length(encode(COALESCE(text, ''))) + 8 AS BIGINT) AS size, {CRC32} AS text_crc32, md5('17:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS shuffle FROM documents),
     c AS (SELECT source, total, ROW_NUMBER() OVER (PARTITION BY total ORDER BY md5('17:' || COALESCE(source, '')), source NULLS FIRST) - 1 AS k, COUNT(*) OVER (PARTITION BY total) AS alike FROM (SELECT source, COUNT(*) AS total FROM r GROUP BY source)),
     h AS (SELECT source, total, (k + CAST(('0x' || substr(md5('17:' || total), 1, 8))::BIGINT AS DOUBLE) / 4294967296) / alike AS phase FROM c),
@@ -125,4 +129,34 @@ OP6 = f"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '
     SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE COALESCE(share, 0.0)::DOUBLE END AS score
     FROM d LEFT JOIN base ON base.doc_id = d.doc_id LEFT JOIN labels ON labels.doc_id = d.doc_id LEFT JOIN shares ON shares.doc_id = d.doc_id"""
 
-ORACLE_SQL = {"op6_license_scans": OP6, "op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
+# every period of a text up to a third of its words, every pair of equal words that far apart
+OP12 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '{BLACK}+') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+    g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS times FROM d),
+    x AS MATERIALIZED (SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // times) + 1] END) ELSE w END AS w FROM g),
+    o AS MATERIALIZED (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x),
+    e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM o x JOIN o y ON y.doc_id = x.doc_id AND y.word = x.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+    t AS (SELECT doc_id, q, MIN(i) AS start, COUNT(*) + q AS length FROM (SELECT *, i - ROW_NUMBER() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e) GROUP BY doc_id, q, island HAVING COUNT(*) + q >= GREATEST(24, 3 * q)),
+    r AS MATERIALIZED (SELECT doc_id, start, length, MIN(q) AS period FROM t GROUP BY ALL),
+    s AS (SELECT doc_id, COUNT(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+    b AS (SELECT * FROM r QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY length::DECIMAL(38, 16) / period DESC, start, period) = 1),
+    k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM o WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = o.doc_id AND o.i >= r.start + r.period AND o.i < r.start + r.length) GROUP BY doc_id)
+    SELECT d.doc_id, COALESCE(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256, sha256(COALESCE(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN b ON b.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id"""
+
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_share = lambda n, total: f"CAST(1 + 1000000000::HUGEINT * ({n} + 2) // ({total} + 2 * v) AS BIGINT)"
+OP13 = rf"""WITH d AS (SELECT ROW_NUMBER() OVER () AS row, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, regexp_extract_all({LOWERED}, '{TERM}') AS ts FROM documents),
+    w AS MATERIALIZED (SELECT row, lang, source, unnest(ts) AS term FROM d),
+    k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING COUNT(DISTINCT row) >= 10),
+    c AS MATERIALIZED (SELECT w.lang, w.source, w.term, COUNT(*) AS n FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL),
+    l AS (SELECT g.lang, COALESCE(v, 0) AS v, COALESCE(total, 0) AS total FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN (SELECT lang, COUNT(*) AS v FROM k GROUP BY lang) USING (lang) LEFT JOIN (SELECT lang, SUM(n) AS total FROM c GROUP BY lang) USING (lang)),
+    g AS MATERIALIZED (SELECT g.lang, g.source, l.v, COALESCE(t.total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g JOIN l ON l.lang = g.lang LEFT JOIN (SELECT lang, source, SUM(n) AS total FROM c GROUP BY lang, source) t ON t.lang = g.lang AND t.source = g.source),
+    p AS MATERIALIZED (SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n, {_share("COALESCE(c.n, 0)", "g.total")} AS p FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    q AS (SELECT lang, term, {_share("n", "total")} AS q FROM (SELECT lang, term, SUM(n) AS n FROM c GROUP BY ALL) JOIN l USING (lang)),
+    f AS (SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+    u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(f.value, 0) AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+        UNION ALL SELECT p.lang, p.source, 'term', p.term, (p.p - q.q) * (p.p - q.q) // (p.p + q.q) FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q),
+    r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM r WHERE part = 'pair' OR rank <= 10"""
+
+ORACLE_SQL = {"op12_periodic_runs": OP12, "op13_source_divergence": OP13, "op6_license_scans": OP6, "op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}

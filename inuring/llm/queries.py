@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inuring.llm.decontam import find_matches, items_hit, words_hit
+from inuring.llm.divergence import source_divergence
 from inuring.llm.encoding import token_output
 from inuring.llm.licenses import scan_licenses
 from inuring.llm.mixing import label_domains, mix
 from inuring.llm.neardup import near_duplicates
 from inuring.llm.oracles import ORACLE_SQL  # noqa: F401
+from inuring.llm.periodic import collapse_runs
 from inuring.llm.quality import quality_report
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 from inuring.llm.sharding import assign_shards
@@ -117,6 +119,38 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_tokens", *[F.col("memberships")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")
 
 
+def planted(doc_id: Column, text: Column) -> Column:
+    """The text, or for a tenth of the ids (by crc32) its words with the tail made periodic, joined by one space."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(doc_id.cast("string"))
+    g, n = F.floor(h / 10).cast("long"), F.size(words).cast("long")
+
+    def tail(w: Column) -> Column:
+        a = (g % F.size(w)).cast("int")
+        p = (1 + F.floor((F.size(w) - a) / (3 + g % 8))).cast("int")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
+
+    # the words are found once: a lambda over an array that holds them
+    return F.when((h % 10 == 0) & (n > 0), F.transform(F.array(words), tail)[0]).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of each document, the one with the greatest exponent, and digests of all and of the collapsed text."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = collapse_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")), keep_text=False)
+    more = lambda a, b: F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a)
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), more)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    found = found.withColumns({"best": best, "lines": lines})
+    exponent = F.call_function("div", 1000 * F.col("best.length"), F.col("best.period"))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", exponent.alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language diverge, and the terms that mark each source."""
+    return source_divergence(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -128,4 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_mixing": op10_mixing,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
 }
