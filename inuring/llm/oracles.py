@@ -129,6 +129,18 @@ OP6 = f"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '
     SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE COALESCE(share, 0.0)::DOUBLE END AS score
     FROM d LEFT JOIN base ON base.doc_id = d.doc_id LEFT JOIN labels ON labels.doc_id = d.doc_id LEFT JOIN shares ON shares.doc_id = d.doc_id"""
 
+# every string of 400 bytes, two hexadecimal digits a byte
+OP11 = """WITH d AS (SELECT ROW_NUMBER() OVER () AS row, doc_id, hex(encode(COALESCE(text, ''))) AS x FROM documents),
+    g AS MATERIALIZED (SELECT row, unnest(range(length(x) // 2 - 399)) AS i, unnest(list_transform(range(length(x) // 2 - 399), lambda i: md5(substr(x, 2 * i + 1, 800)))) AS g FROM d WHERE length(x) >= 800),
+    r AS (SELECT row, i FROM g SEMI JOIN (SELECT g FROM g GROUP BY g HAVING COUNT(*) > 1) USING (g)),
+    e AS (SELECT *, CASE WHEN i - LAG(i) OVER (PARTITION BY row ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM r),
+    s AS MATERIALIZED (SELECT row, MIN(i) AS a, MAX(i) + 400 AS b FROM (SELECT *, SUM(new) OVER (PARTITION BY row ORDER BY i) AS span FROM e) GROUP BY row, span),
+    n AS (SELECT row, SUM(b - a) AS n_removed, COUNT(*) AS n_spans FROM s GROUP BY row),
+    k AS (SELECT row, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept FROM (SELECT s.row, x, s.b AS a, LEAD(s.a, 1, length(x) // 2) OVER (PARTITION BY s.row ORDER BY s.a) AS b FROM s JOIN d ON d.row = s.row
+        UNION ALL SELECT d.row, x, 0, MIN(s.a) FROM s JOIN d ON d.row = s.row GROUP BY ALL) GROUP BY row)
+    SELECT doc_id, length(x) // 2 AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans, sha256(unhex(COALESCE(kept, x))) AS kept_sha256
+    FROM d LEFT JOIN n ON n.row = d.row LEFT JOIN k ON k.row = d.row"""
+
 # every period of a text up to a third of its words, every pair of equal words that far apart
 OP12 = rf"""WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '{BLACK}+') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
     g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS times FROM d),
@@ -159,4 +171,4 @@ OP13 = rf"""WITH d AS (SELECT ROW_NUMBER() OVER () AS row, COALESCE(lang, '') AS
     r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
     SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM r WHERE part = 'pair' OR rank <= 10"""
 
-ORACLE_SQL = {"op12_periodic_runs": OP12, "op13_source_divergence": OP13, "op6_license_scans": OP6, "op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}
+ORACLE_SQL = {"op11_suffix_array_dedup": OP11, "op12_periodic_runs": OP12, "op13_source_divergence": OP13, "op6_license_scans": OP6, "op5_secret_scans": OP5, "op1_sharding": OP1, "op2_decontamination": OP2, "op4_url_filters": OP4, "op8_quality_rules": OP8, "op9_minhash_near_dedup": OP9}

@@ -16,6 +16,7 @@ from inuring.llm.neardup import near_duplicates
 from inuring.llm.oracles import ORACLE_SQL  # noqa: F401
 from inuring.llm.periodic import collapse_runs
 from inuring.llm.quality import quality_report
+from inuring.llm.repeats import find_repeats, kept_bytes
 from inuring.llm.secrets import BASE_RULES, scan_secrets
 from inuring.llm.sharding import assign_shards
 from inuring.llm.urls import judge_urls
@@ -119,6 +120,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_tokens", *[F.col("memberships")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document inside 400-byte strings that stand more than once, and the digest of the others."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    found = find_repeats(docs, derive=lambda text, removed: {"kept_sha256": F.sha2(kept_bytes(text, removed), 256)}, keep_text=False)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def planted(doc_id: Column, text: Column) -> Column:
     """The text, or for a tenth of the ids (by crc32) its words with the tail made periodic, joined by one space."""
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
@@ -162,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_mixing": op10_mixing,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_source_divergence": op13_source_divergence,
 }

@@ -6,12 +6,13 @@ import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-#: Paths of the tables that the innermost ``intermediate`` blocks have to remove.
-_open: list[list[str]] = []
+#: Paths of the tables that this thread's ``intermediate`` blocks have to remove, the innermost block's last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def folder(spark: SparkSession) -> str:
@@ -35,8 +36,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def temporary(spark: SparkSession) -> str:
     """As ``folder``; what is written there goes at the end of the ``intermediate`` block, else of the program."""
     path = folder(spark)
-    if _open:
-        _open[-1].append(path)
+    if _open.get():
+        _open.get()[-1].append(path)
     else:
         atexit.register(_forget, spark, path)
     return path
@@ -57,17 +58,16 @@ def written(df: DataFrame) -> DataFrame:
 def intermediate(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Tables written in the block are removed at its end. The frames put into the list that it gives are written first, as
     tables of the block around, and take their places in the list."""
-    _open.append([])
+    around, own = _open.get(), []
     results: list[DataFrame] = []
+    _open.set((*around, own))
     try:
         yield results
-        own = _open.pop()
-        try:
-            results[:] = [written(df) for df in results]
-        finally:
-            _open.append(own)
+        _open.set(around)
+        results[:] = [written(df) for df in results]
     finally:
-        for path in _open.pop():
+        _open.set(around)
+        for path in own:
             _forget(spark, path)
 
 
