@@ -65,10 +65,10 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if width > size else values
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def anchors(data: np.ndarray, bounds: np.ndarray, length: int, step: int = STEP_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For all windows inside texts, a section after the other: place, text, hash of the anchor and place of the anchor."""
-    for begin in range(0, max(len(data) - length + 1, 0), STEP_BYTES):
-        part = data[begin : begin + STEP_BYTES + length - 1]
+    for begin in range(0, max(len(data) - length + 1, 0), step):
+        part = data[begin : begin + step + length - 1]
         h = _hashes(part)
         # of equal hashes the last
         packed = (h & ~np.uint64(_POSITION)) | (np.uint64(_POSITION) - np.arange(len(h), dtype=np.uint64))
@@ -88,7 +88,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _anchor_rows(length: int) -> Callable:
+def _anchor_rows(length: int, step: int) -> Callable:
     """(id, text) to (id, value, start, windows, places): neighbouring windows of one anchor value, and how many places of that
     value they have."""
     most = length - ANCHOR + 1
@@ -97,7 +97,7 @@ def _anchor_rows(length: int) -> Callable:
         for batch in batches:
             for part, texts in chunks(batch, "text", STEP_BYTES):
                 ids = part.column("id").to_numpy(zero_copy_only=False)
-                for place, text, value, at in anchors(texts.data, texts.bounds, length):
+                for place, text, value, at in anchors(texts.data, texts.bounds, length, step):
                     if not len(place):
                         continue
                     new = _runs(text, value)
@@ -290,7 +290,9 @@ def repeated_spans(index: RunIndex, length: int) -> tuple[np.ndarray, np.ndarray
     """(string, from, to): bytes covered by substrings of the length that stand at another place too."""
     at = np.flatnonzero((index.matching_statistics() >= length) & (index.left >= length))
     own = index.own[at]
-    new = _runs(own) if len(at) else np.zeros(0, bool)
+    if not len(at):
+        return own, at, at
+    new = _runs(own)
     new[1:] |= at[1:] - at[:-1] > length  # substrings that touch are one span
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
@@ -298,7 +300,7 @@ def repeated_spans(index: RunIndex, length: int) -> tuple[np.ndarray, np.ndarray
     return own, at[first] - index.bounds[own], at[last] - index.bounds[own] + length
 
 
-def _search(length: int) -> Callable:
+def _search(length: int, index_bytes: int) -> Callable:
     """Distinct pieces, sorted by value, to spans (id, from, to) of those that stand once. An index holds whole anchors."""
 
     def spans(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -321,7 +323,7 @@ def _search(length: int) -> Callable:
             at, before = 0, value[-1]
             while True:
                 # the first change of anchors after which the index is full
-                k = np.searchsorted(bytes_[change], INDEX_BYTES - size + bytes_[at])
+                k = np.searchsorted(bytes_[change], index_bytes - size + bytes_[at])
                 if k == len(change):
                     break
                 held.append(batch.slice(at, change[k] - at))
@@ -338,6 +340,8 @@ def _search(length: int) -> Callable:
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, spans) to (id, removed): spans that touch or overlap are one, in order."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         spans = batch.column("spans")
         begin, end = (x.to_numpy(zero_copy_only=False) for x in spans.flatten().flatten())
         row = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
@@ -366,9 +370,9 @@ def _dealt(rows: DataFrame, keys: DataFrame, key: str, weight: str, by: list[str
     return dealt.join(keys.withColumn(salt, F.explode(copies)), [key, salt], how).drop(salt)
 
 
-def _all_spans(texts: DataFrame, length: int) -> DataFrame:
+def _all_spans(texts: DataFrame, length: int, crowd: int, step: int, index_bytes: int) -> DataFrame:
     """(id, from, to) of the repeated bytes of distinct texts (id, text, n); they may overlap."""
-    found = written(texts.select("id", "text").mapInArrow(_anchor_rows(length), "id long, value long, start long, windows long, places long"))
+    found = written(texts.select("id", "text").mapInArrow(_anchor_rows(length, step), "id long, value long, start long, windows long, places long"))
     again = written(found.groupBy("value").agg(F.sum("places").alias("many")).where("many > 1"))
     places = _dealt(found, again, "value", "many", ["id", "start"])
     lists = places.groupBy("id").agg(F.collect_list(F.struct("value", "start", "windows")).alias("found"))
@@ -377,11 +381,11 @@ def _all_spans(texts: DataFrame, length: int) -> DataFrame:
     halvings = (length - ANCHOR).bit_length()
     for level in range(halvings + 1):
         distinct = written(rows.groupBy("value", "digest", "piece", "core", "size").agg(F.sum("n").alias("n"), F.max("id").alias("id"), F.max("start").alias("start")))
-        crowded = written(distinct.groupBy("value").agg(F.count("*").alias("pieces")).where(F.col("pieces") > CROWD))
+        crowded = written(distinct.groupBy("value").agg(F.count("*").alias("pieces")).where(F.col("pieces") > crowd))
         last = level == halvings or crowded.isEmpty()
         few = distinct if last else distinct.join(crowded, "value", "left_anti")
         few = few.select("value", "id", "start", "n", "piece").repartition("value").sortWithinPartitions("value")
-        spans.append(written(few.mapInArrow(_search(length), "id long, from long, to long")))
+        spans.append(written(few.mapInArrow(_search(length, index_bytes), "id long, from long, to long")))
         # a text that stands once may still share whole pieces
         several = distinct.where("n > 1").groupBy("digest").agg(F.sum("n").alias("n"))
         single = rows.where("n = 1").select("id", "digest", F.col("start").alias("from"), (F.col("start") + F.octet_length("piece")).alias("to"))
@@ -405,7 +409,16 @@ def kept_bytes(text: Column, removed: Column) -> Column:
     return F.aggregate(parts, F.lit(bytearray()), lambda x, part: F.concat(x, part))
 
 
-def find_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, derive: Callable[[Column, Column], dict[str, Column]] | None = None, keep_text: bool = True) -> DataFrame:
+def find_repeats(
+    df: DataFrame,
+    text: str = "text",
+    length: int = LENGTH,
+    derive: Callable[[Column, Column], dict[str, Column]] | None = None,
+    keep_text: bool = True,
+    crowd: int = CROWD,
+    step: int = STEP_BYTES,
+    index_bytes: int = INDEX_BYTES,
+) -> DataFrame:
     """``df`` (without its text, unless ``keep_text``) with ``removed``: the spans (start, end) of the text's UTF-8 bytes that are covered by
     strings of ``length`` bytes which start anywhere else too, in the same text or another; spans that touch are one. Strings are
     judged on the texts as they are and don't cross from one text to the next. ``derive`` may give further columns from the text and the
@@ -413,7 +426,8 @@ def find_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, derive
 
     A null text counts as empty; texts shorter than the length have no spans; repeated rows and equal texts are repeats of each
     other and are removed whole; rows without an id or with extra columns take part as they are; an empty table stays empty. Names that
-    ``df`` has get underscores. ``length`` must be at least twice ANCHOR.
+    ``df`` has get underscores. ``length`` must be at least twice ANCHOR. ``crowd``, ``step`` and ``index_bytes`` bound the
+    memory of a task and do not change the result.
     """
     if length < 2 * ANCHOR:
         raise ValueError(f"the length must be at least {2 * ANCHOR}")
@@ -426,7 +440,7 @@ def find_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, derive
     with intermediate(spark) as results:
         long = df.select(F.coalesce(F.col(text), F.lit("")).alias("text")).where(F.octet_length("text") >= length)
         texts = written(long.groupBy("text").agg(F.count("*").alias("n")).select(F.monotonically_increasing_id().alias("id"), F.md5("text").alias("key"), "text", "n"))
-        merged = _all_spans(texts, length).groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+        merged = _all_spans(texts, length, crowd, step, index_bytes).groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
         merged = merged.mapInArrow(_merge, "id long, removed array<struct<start:long,end:long>>")
         made = [c.alias(name) for name, c in zip(names[1:], derive(F.col("text"), F.col("removed")).values())]
         results.append(texts.join(merged, "id").select(F.col("key").alias(key), F.col("n").alias(weight), F.col("removed").alias(names[0]), *made))
