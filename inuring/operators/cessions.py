@@ -107,3 +107,15 @@ def cession_view(t, reset_type: int) -> DataFrame:
     met = met.withColumns({"start": F.when(one, F.col("o_start")).otherwise(F.greatest("o_start", "start_date")), "end": F.when(one, F.col("o_end")).otherwise(last)}).where("start <= end")
     met = met.join(period_gross(alloc, periods), ["retro_program_id", "layer_id", "start_date"], "left").where(one | F.col("gross").isNotNull())
     return met.select("layer_id", "level", "retro_program_id", "start", "end", F.when(one, F.col("whole_gross")).otherwise(F.col("gross")).alias("gross"))
+
+
+def portfolio_year(df: DataFrame, kind: str, as_of: str, inception: str) -> DataFrame:
+    """``df`` with the inception moved by the portfolio's type and ``expiration`` a year after it, less a day.
+
+    Type 0 leaves it, type 1 adds a year. Type 2 moves a layer of the as-of year not at all and one of the year before by a
+    year; type 3 by a year more each. Rows of other years and of other types are dropped.
+    """
+    behind = F.year(as_of) - F.year(inception)
+    years = F.when(F.col(kind) == 0, 0).when(F.col(kind) == 1, 1).when(F.col(kind).isin(2, 3) & behind.isin(0, 1), F.col(kind) - 2 + behind)
+    moved = df.withColumn(inception, F.add_months(inception, (12 * years).cast("int"))).where(F.col(inception).isNotNull())
+    return moved.withColumn("expiration", F.date_sub(F.add_months(inception, 12), 1))

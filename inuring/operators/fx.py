@@ -38,13 +38,16 @@ def rates_as_of(requests: DataFrame, fx: DataFrame, date: str, base: str, curren
 
 
 def layer_rates(layers: DataFrame, submissions: DataFrame, fx: DataFrame, use_bound: bool, current: str, base: str, bound_status: int) -> DataFrame:
-    """(layer_id, fx): 1 if the submission is in the base currency; with ``use_bound`` the bound layer's own rate, or the
-    submission's where the layer isn't bound, times the base rate of that date; else the current rate."""
-    both = layers.join(submissions.select("submission_id", "base_currency", "currency", F.col("fx_rate").alias("s_rate"), F.col("fx_date").alias("s_date")), "submission_id")
+    """(layer_id, fx, asked): 1 if the submission is in the base currency; with ``use_bound`` the bound layer's own rate, or the
+    submission's where the layer isn't bound, times the base rate of that date; else the current rate. ``asked`` names the
+    currencies and the date of the rate; where there is none, ``fx`` is null and whoever uses it decides."""
+    own = submissions.select("submission_id", "base_currency", "currency", F.col("fx_rate").alias("s_rate"), F.col("fx_date").alias("s_date"))
+    both = layers.join(own, "submission_id")
     unbound = (F.col("status") != bound_status) | F.col("bound_fx_date").isNull() | F.col("bound_fx_rate").isNull()
-    both = both.withColumns({"wanted": F.lit(base), "at": F.when(unbound, F.col("s_date")).otherwise(F.col("bound_fx_date")), "own": F.when(unbound, F.col("s_rate")).otherwise(F.col("bound_fx_rate")), "now": F.to_date(F.lit(current))})
-    if use_bound:
-        priced = rates_as_of(both, fx, "at", "wanted", "base_currency", "inner_rate").withColumn("fx", F.col("inner_rate") * F.col("own"))
-    else:
-        priced = rates_as_of(both, fx, "now", "wanted", "currency", "fx")
-    return priced.select("layer_id", F.when(F.col("currency") == base, 1.0).otherwise(F.col("fx")).alias("fx"))
+    dated = F.when(unbound, F.col("s_date")).otherwise(F.col("bound_fx_date"))
+    both = both.withColumns({"wanted": F.lit(base), "at": dated, "own": F.when(unbound, F.col("s_rate")).otherwise(F.col("bound_fx_rate")), "now": F.to_date(F.lit(current))})
+    date, to = ("at", "base_currency") if use_bound else ("now", "currency")
+    priced = rates_as_of(both, fx, date, "wanted", to, "inner_rate")
+    rate = F.col("inner_rate") * F.col("own") if use_bound else F.col("inner_rate")
+    asked = F.concat_ws(" ", "wanted", to, F.col(date).cast("string"))
+    return priced.select("layer_id", F.when(F.col("currency") == base, 1.0).otherwise(rate).alias("fx"), asked.alias("asked"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inuring.functions.terms import MONEY, SHARE, by_basis, days, ratio, share, sign, times
+from inuring.operators.audit import DEFAULT, DROP, FAIL, Audit
 from inuring.operators.intervals import changes
 
 PREMIUMS, LIMITS = ("ceded_premium", "subject_premium", "subject_placed_premium"), ("deposit_limit", "subject_limit", "subject_placed_limit", "ceded_limit")
@@ -26,16 +27,27 @@ def peak_limits(df: DataFrame, key: list[str], s: str, e: str, value: str) -> Da
     return peaks(df, key, s, e, [value]).withColumnRenamed(f"peak_{value}", "peak")
 
 
-def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rates: DataFrame, placements: DataFrame) -> DataFrame:
+def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rates: DataFrame, placements: DataFrame, missing: str = FAIL, audit: Audit | None = None) -> DataFrame:
     """Premiums and limits of each piece of net cession (layer_id, level, retro_program_id, start, end, gross, net), as
-    decimals: quotients are rounded once, products after each factor, sums are exact."""
-    terms = layers.select("layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status")
+    decimals: quotients are rounded once, products after each factor, sums are exact.
+
+    A piece whose layer has no rate fails the run; with ``missing`` it is left out or counts at a rate of 1, and is counted in the
+    ``audit``. Pieces of layers or submissions that aren't there are left out, pairs without a placement count whole; the audit
+    has both.
+    """
+    audit = audit or Audit()
+    terms = layers.select(
+        "layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status"
+    )
     own = terms.join(submissions.select("submission_id", "tran_type"), "submission_id").join(rates, "layer_id")
+    out = audit.join(net, own, ["layer_id"], "layers of net cessions", DROP)
+    out = audit.settle(out, F.col("fx").isNotNull(), "rates", F.col("asked"), missing).withColumn("fx", F.coalesce("fx", F.lit(1.0)))
     sized: list[Column] = [share(F.col("signed_share"), F.col("estimated_share")), F.col("fx"), sign(F.col("tran_type"))]
     limit = by_basis(F.col("limit_basis"), F.col("agg_limit"), F.col("risk_limit"), F.col("occ_limit"))
-    own = own.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
-    out = net.join(own.select("layer_id", "inception", "expiration", "status", "deposit_premium", "deposit_limit"), "layer_id")
-    out = out.join(placements.withColumnRenamed("placement", "retro_placement"), ["layer_id", "retro_program_id"], "left").withColumn("retro_placement", F.coalesce("retro_placement", F.lit(1.0)))
+    out = out.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
+    out = out.select(*net.columns, "inception", "expiration", "status", "deposit_premium", "deposit_limit")
+    placed = placements.select("layer_id", "retro_program_id", F.col("placement").alias("retro_placement"))
+    out = audit.join(out, placed, ["layer_id", "retro_program_id"], "placements", DEFAULT, {"retro_placement": 1.0})
     part = (days(F.col("start"), F.col("end")) / days(F.col("inception"), F.col("expiration"))).cast(SHARE)
     kept = ratio(F.col("net").cast("double"), F.col("gross").cast("double")).cast(SHARE)
     out = out.withColumns({"available": times(F.col("deposit_premium"), part), "net_to_gross": kept})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inuring.functions.terms import LOSS_VIEWS, MONEY, PERILS, SHARE, remapped_view, times, view_priority
+from inuring.operators import intervals
 
 KEY = ["day", "year", "peril_id", "event_id"]
 
@@ -23,6 +24,13 @@ def projected_analyses(analyses: DataFrame) -> DataFrame:
     return ranked.groupBy("layer_id", "loss_view").agg(F.max(F.struct("first", "row_version", *own)).alias("r")).select("layer_id", "loss_view", "r.*").drop("first")
 
 
+def analysis_entries(entries: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The entries of the chosen analyses (loss_analysis_id, layer_id and more), with what else ``chosen`` says of each. Both keys
+    have to fit, as an analysis may have entries of several layers."""
+    rows = entries.drop("row_version", *[c for c in chosen.columns if c not in ("loss_analysis_id", "layer_id") and c in entries.columns])
+    return rows.join(chosen, ["loss_analysis_id", "layer_id"])
+
+
 def selected_views(analyses: DataFrame) -> DataFrame:
     return analyses.where(F.col("loss_view").isin(*LOSS_VIEWS))
 
@@ -33,6 +41,29 @@ def retro_layers(t) -> DataFrame:
     return met.groupBy("layer_id", "retro_program_id").agg(F.max("row_version").alias("row_version"))
 
 
+def program_periods(t) -> DataFrame:
+    """(layer_id, retro_program_id, cession, start, end): the cession of each layer to each program, over the period in which the
+    program covers the layer."""
+    met = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id")
+    met = met.join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id")
+    ceded = met.groupBy("layer_id", "retro_program_id").agg(F.sum("cession_gross").alias("cession"))
+    ceded = ceded.join(t.layer.select("layer_id", F.col("inception").alias("l_inception"), F.col("expiration").alias("l_expiration")), "layer_id")
+    programs = t.retro_program.select("retro_program_id", "retro_program_type", F.col("inception").alias("r_inception"), F.col("expiration").alias("r_expiration"))
+    out = intervals.layer_overlap(ceded.join(programs, "retro_program_id"), F.col("retro_program_type"))
+    return out.select("layer_id", "retro_program_id", "cession", "start", "end")
+
+
+def program_losses(entries: DataFrame, periods: DataFrame, by: list[str]) -> DataFrame:
+    """(retro_program_id, by, KEY, loss): loss share of each event under each program, of the days on which it covers the layer.
+
+    ``entries`` has the columns ``by``, layer_id, KEY and loss_pct, ``periods`` is that of ``program_periods``. A period is one or two
+    ranges of days, and an entry meets the ranges of its layer's programs.
+    """
+    ranges = intervals.day_ranges(periods, "start", "end").drop("start", "end")
+    met = entries.join(ranges, "layer_id").where(F.col("day").between(F.col("first_day"), F.col("last_day")))
+    return met.groupBy("retro_program_id", *by, *KEY).agg(F.sum(F.col("loss_pct") * F.col("cession")).alias("loss"))
+
+
 def portfolio_retro_layers(t, mark: int | None = None) -> DataFrame:
     """Layers that portfolios cede to programs; with ``mark`` those of cessions of a higher row version."""
     cessions = t.port_layer_cession if mark is None else t.port_layer_cession.where(F.col("row_version") > mark)
@@ -104,11 +135,10 @@ def checked_ranges(ranges: DataFrame, key: list[str]) -> DataFrame:
     return out.where(F.when(apart, True).otherwise(F.raise_error(F.lit("day ranges overlap")).cast("boolean"))).drop("_before")
 
 
-def reconciliation(a: DataFrame, b: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Counts and sums of two tables by layer, and whether their difference is a warning."""
-    one = a.groupBy("layer_id").agg(F.sum("loss_pct").alias("sum_a"), F.count("*").alias("n_a"))
-    two = b.groupBy("layer_id").agg(F.sum("loss_pct").alias("sum_b"), F.count("*").alias("n_b"))
-    both = one.join(two, "layer_id", "full").fillna(0, ["sum_a", "n_a", "sum_b", "n_b"])
-    return both.withColumn("warn", F.abs(F.col("sum_a") - F.col("sum_b")) > tolerance)
-
-
+def reconciliation(before: DataFrame, after: DataFrame, every: DataFrame, key: list[str], tolerance: float) -> DataFrame:
+    """(key, sum_before, n_before, sum_after, n_after, warn) of each key in ``every``: sums and counts of ``share`` in two tables, and
+    whether the sums differ by more than the tolerance."""
+    side = lambda df, name: df.groupBy(*key).agg(F.sum("share").cast("double").alias(f"sum_{name}"), F.count("*").alias(f"n_{name}"))
+    both = every.select(*key).join(side(before, "before"), key, "left").join(side(after, "after"), key, "left")
+    both = both.fillna(0, ["sum_before", "n_before", "sum_after", "n_after"])
+    return both.withColumn("warn", F.abs(F.col("sum_before") - F.col("sum_after")) > tolerance)

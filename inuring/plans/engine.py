@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 
 from inuring.functions import terms as x
 from inuring.operators import cessions as c
-from inuring.operators import fx, graph, intervals, layering, metrics
+from inuring.operators import conditional, fx, graph, intervals, layering, metrics
 from inuring.operators import yelt as y
 from inuring.functions.terms import SHARE
 from inuring.operators.metrics import LIMITS, PREMIUMS
 from inuring.plans import scans
 from inuring.plans.registry import query
+from inuring.sources import sinks
+from inuring.sources.shared import temporary
 
 FX_DATE, BASE = "1998-06-15", "USD"
+YELT_KEY = "day, year, peril_id, event_id"
 
 # --- cessions -------------------------------------------------------------------------------------------------------
 BEFORE = "CASE WHEN MAX(target_collateral) = 0 THEN SUM(investment_signed) ELSE SUM(investment_signed_amt) / MAX(target_collateral) END"
@@ -179,33 +182,39 @@ def gross_cession_view(t):
 
 
 # --- portfolios -----------------------------------------------------------------------------------------------------
-INCEPTION = """CASE portfolio_type WHEN 0 THEN l.inception WHEN 1 THEN CASE WHEN l.expiration < as_of_date THEN CAST(l.inception + INTERVAL 12 MONTH AS DATE) ELSE l.inception END
-    WHEN 2 THEN CAST(l.inception + TO_MONTHS(CAST(12 * (year(as_of_date) - year(l.inception)) AS INTEGER)) AS DATE) WHEN 3 THEN CAST(l.inception + TO_MONTHS(CAST(12 * (year(as_of_date) + 1 - year(l.inception)) AS INTEGER)) AS DATE) END"""
-PORT = f"port AS (SELECT pl.port_layer_id, pl.layer_id, pl.portfolio_id, {INCEPTION} AS inception, CAST(l.expiration - l.inception AS INTEGER) AS span FROM port_layer pl JOIN portfolio p USING (portfolio_id) JOIN layer l ON l.layer_id = pl.layer_id WHERE portfolio_type <= 3)"
-PORT_C = f"""WITH {PORT}, c AS (SELECT k.port_layer_id, r.stored_level + 1 AS level, k.retro_program_id, CASE WHEN r.retro_program_type = 2 THEN p.inception ELSE GREATEST(p.inception, r.inception) END AS "start",
-    CASE WHEN r.retro_program_type = 2 THEN p.inception + p.span ELSE LEAST(p.inception + p.span, r.expiration) END AS "end", k.cession_gross AS gross
+PORT = """moved AS (SELECT pl.port_layer_id, pl.layer_id, pl.portfolio_id, l.inception,
+        CASE WHEN portfolio_type = 0 THEN 0 WHEN portfolio_type = 1 THEN 1
+            WHEN portfolio_type IN (2, 3) AND year(as_of_date) - year(l.inception) IN (0, 1) THEN portfolio_type - 2 + year(as_of_date) - year(l.inception) END AS years
+        FROM port_layer pl JOIN portfolio p USING (portfolio_id) JOIN layer l ON l.layer_id = pl.layer_id),
+    port AS (SELECT port_layer_id, layer_id, portfolio_id, CAST(inception + TO_YEARS(CAST(years AS INTEGER)) AS DATE) AS inception,
+        CAST(CAST(inception + TO_YEARS(CAST(years AS INTEGER)) AS DATE) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE) AS expiration FROM moved WHERE years IS NOT NULL)"""
+PORT_C = f"""WITH {PORT}, c AS (SELECT k.port_layer_id, r.stored_level + 1 AS level, k.retro_program_id,
+        CASE WHEN r.retro_program_type = 2 THEN p.inception ELSE GREATEST(p.inception, r.inception) END AS "start",
+        CASE WHEN r.retro_program_type = 2 THEN p.expiration ELSE LEAST(p.expiration, r.expiration) END AS "end", k.cession_gross AS gross
     FROM port_layer_cession k JOIN port p ON p.port_layer_id = k.port_layer_id JOIN retro_program r ON r.retro_program_id = k.retro_program_id
-    WHERE k.cession_gross > 0 AND k.should_cession_apply AND p.inception <= r.expiration AND p.inception + p.span >= r.inception AND (r.retro_program_type = 1 OR p.inception >= r.inception))"""
+    WHERE k.cession_gross > 0 AND k.should_cession_apply AND p.inception <= r.expiration AND p.expiration >= r.inception
+        AND (r.retro_program_type = 1 OR p.inception >= r.inception))"""
 
 
 def portfolio_periods(t):
-    """Port layers with the inception shifted for the portfolio's type: as it is; a year on if expired at the as-of date; to
-    the as-of year; to the year after. Other types are dropped."""
-    met = t.port_layer.join(t.portfolio, "portfolio_id").join(t.layer.select("layer_id", "inception", "expiration"), "layer_id").where("portfolio_type <= 3")
-    moved = lambda years: F.add_months("inception", (12 * years).cast("int"))
-    to_year = F.year("as_of_date") - F.year("inception")
-    kind = F.col("portfolio_type")
-    shifted = F.when(kind == 0, F.col("inception")).when(kind == 1, F.when(F.col("expiration") < F.col("as_of_date"), F.add_months("inception", 12)).otherwise(F.col("inception"))).when(kind == 2, moved(to_year)).when(kind == 3, moved(to_year + 1))
-    return met.withColumn("span", F.datediff("expiration", "inception")).withColumn("inception", shifted).select("port_layer_id", "layer_id", "portfolio_id", "inception", "span")
+    """Port layers with the year from the inception that their portfolio's type gives them (see ``cessions.portfolio_year``)."""
+    met = t.port_layer.join(t.portfolio, "portfolio_id").join(t.layer.select("layer_id", "inception"), "layer_id")
+    met = c.portfolio_year(met, "portfolio_type", "as_of_date", "inception")
+    return met.select("port_layer_id", "layer_id", "portfolio_id", "inception", "expiration")
 
 
 def portfolio_cessions(t):
     met = t.port_layer_cession.where("cession_gross > 0 AND should_cession_apply").join(portfolio_periods(t), "port_layer_id")
-    met = met.join(t.retro_program.select("retro_program_id", "retro_program_type", F.col("inception").alias("ri"), F.col("expiration").alias("re"), (F.col("stored_level") + 1).alias("level")), "retro_program_id")
-    end, attached = F.date_add("inception", F.col("span")), F.col("retro_program_type") == x.RAD
-    met = met.withColumn("l_end", end).where("inception <= re AND l_end >= ri").where(~attached | (F.col("inception") >= F.col("ri")))
-    start = F.when(attached, F.col("inception")).otherwise(F.greatest("inception", "ri"))
-    return met.select("port_layer_id", "level", "retro_program_id", start.alias("start"), F.when(attached, F.col("l_end")).otherwise(F.least("l_end", "re")).alias("end"), F.col("cession_gross").alias("gross"))
+    programs = t.retro_program.select(
+        "retro_program_id", "retro_program_type", F.col("inception").alias("ri"), F.col("expiration").alias("re"), (F.col("stored_level") + 1).alias("level")
+    )
+    met = met.join(programs, "retro_program_id").where("inception <= re AND expiration >= ri")
+    kind = F.col("retro_program_type")
+    # but for losses occurring, a layer has to incept after the program
+    met = met.where((kind == x.LOD) | (F.col("inception") >= F.col("ri")))
+    start = F.when(kind == x.RAD, F.col("inception")).otherwise(F.greatest("inception", "ri"))
+    end = F.when(kind == x.RAD, F.col("expiration")).otherwise(F.least("expiration", "re"))
+    return met.select("port_layer_id", "level", "retro_program_id", start.alias("start"), end.alias("end"), F.col("cession_gross").alias("gross"))
 
 
 @query("portfolio_inception", f"WITH {PORT} SELECT * FROM port")
@@ -320,12 +329,12 @@ LAYER_FX = f"""b AS (SELECT l.layer_id, s.base_currency AS own_base, s.currency
 
 @query("layer_fx_rate", f"WITH {LAYER_FX} SELECT layer_id, ROUND(fx, 9) AS fx FROM layer_fx")
 def layer_fx_rate(t):
-    return rounded(fx.layer_rates(t.layer, t.submission, t.fx_rate, True, FX_DATE, BASE, x.BOUND), "fx", digits=9)
+    return rounded(fx.layer_rates(t.layer, t.submission, t.fx_rate, True, FX_DATE, BASE, x.BOUND).drop("asked"), "fx", digits=9)
 
 
 @query("layer_fx_rate_current", f"WITH b AS (SELECT l.layer_id, s.currency AS own, {CLOSEST.format(f"DATE '{FX_DATE}'")} AS d FROM layer l JOIN submission s ON s.submission_id = l.submission_id) SELECT layer_id, ROUND({RATE.format(b=f"'{BASE}'", c='b.own', d='b.d')}, 9) AS fx FROM b")
 def layer_fx_rate_current(t):
-    return rounded(fx.layer_rates(t.layer, t.submission, t.fx_rate, False, FX_DATE, BASE, x.BOUND), "fx", digits=9)
+    return rounded(fx.layer_rates(t.layer, t.submission, t.fx_rate, False, FX_DATE, BASE, x.BOUND).drop("asked"), "fx", digits=9)
 
 
 # --- metrics --------------------------------------------------------------------------------------------------------
@@ -345,15 +354,16 @@ ROUND3 = lambda names: ", ".join(f"{AS_DOUBLE(n, 3)} AS {n}" for n in names)  #
 SUM2 = ", ".join(f"{AS_DOUBLE(f'SUM({n})', 2)} AS {n}" for n in PREMIUMS)
 
 
-def by_layer(t, reset_type=x.RAD, current=FX_DATE, base=BASE, use_bound=True, programs=None, statuses=None):
+def by_layer(t, reset_type=x.RAD, current=FX_DATE, base=BASE, use_bound=True, programs=None, statuses=None, missing="fail", audit=None):
     """Metrics of each piece of net cession. ``reset_type`` chooses the periods, ``base`` the currency, ``use_bound`` the bound
     rates of layers rather than those of the ``current`` date; ``programs`` and ``statuses`` keep some retro programs (after
-    all have been netted) and layers of some statuses."""
+    all have been netted) and layers of some statuses. A missing rate fails the run; see ``metrics.layer_metrics`` for other ways."""
     net = intervals.net_cessions(c.cession_view(t, reset_type), "layer_id", ["retro_program_id"])
     if programs is not None:
         net = net.where(F.col("retro_program_id").isin(*programs))
     layers = t.layer if statuses is None else t.layer.where(F.col("status").isin(*statuses))
-    return metrics.layer_metrics(net, layers, t.submission, fx.layer_rates(t.layer, t.submission, t.fx_rate, use_bound, current, base, x.BOUND), c.placements(t))
+    rates = fx.layer_rates(t.layer, t.submission, t.fx_rate, use_bound, current, base, x.BOUND)
+    return metrics.layer_metrics(net, layers, t.submission, rates, c.placements(t), missing, audit)
 
 
 @query("retro_layer_metrics", f'{METRICS} SELECT layer_id, CAST(level AS INT) AS level, retro_program_id, "start", "end", status, {ROUND3(("deposit_premium",) + PREMIUMS + LIMITS)} FROM m')
@@ -454,30 +464,61 @@ def latest_projected(t):
 RETRO = "(SELECT DISTINCT layer_id, retro_program_id FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id))"
 
 
-@query("retro_layer_yelts", f"SELECT r.retro_program_id, r.layer_id, a.loss_analysis_id, n.entries FROM {RETRO} r JOIN ({PROJECTED}) a ON a.layer_id = r.layer_id AND a.loss_view = 1 JOIN (SELECT layer_id, COUNT(*) AS entries FROM layer_yelt GROUP BY 1) n ON n.layer_id = r.layer_id")
+ENTRIES = f"""chosen AS MATERIALIZED ({PROJECTED}), entries AS MATERIALIZED (SELECT c.loss_view, c.loss_analysis_id, c.layer_id, y.day, y.year, y.peril_id, y.event_id, y.loss_pct
+        FROM layer_analysis_yelt y JOIN chosen c ON c.loss_analysis_id = y.loss_analysis_id AND c.layer_id = y.layer_id),
+    counted AS (SELECT loss_view, loss_analysis_id, layer_id, COUNT(*) AS entries FROM entries GROUP BY ALL)"""
+PERIODS = """g AS (SELECT layer_id, retro_program_id, SUM(cession_gross) AS cession FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) GROUP BY 1, 2),
+    o AS (SELECT g.*, CASE WHEN retro_program_type = 1 THEN GREATEST(l.inception, r.inception) ELSE l.inception END AS "start", CASE WHEN retro_program_type = 1 THEN LEAST(l.expiration, r.expiration) ELSE l.expiration END AS "end"
+        FROM g JOIN layer l ON l.layer_id = g.layer_id JOIN retro_program r ON r.retro_program_id = g.retro_program_id
+        WHERE (retro_program_type = 1 AND l.inception <= r.expiration AND l.expiration >= r.inception) OR (retro_program_type = 2 AND l.inception BETWEEN r.inception AND r.expiration)),
+    d AS (SELECT *, LEAST(dayofyear("start"), 365) AS a, LEAST(dayofyear("end"), 365) AS b, "end" - "start" + 1 >= 365 AS whole FROM o),
+    ranges AS (SELECT layer_id, retro_program_id, cession, CASE WHEN whole THEN 1 ELSE a END AS first_day, CASE WHEN whole OR a > b THEN 365 ELSE b END AS last_day FROM d
+        UNION ALL SELECT layer_id, retro_program_id, cession, 1, b FROM d WHERE NOT whole AND a > b)"""
+
+
+def _chosen_entries(t):
+    """Entries of each layer's chosen analysis of each view, after revised views have taken the place of those they revise."""
+    chosen = y.projected_analyses(t.layer_loss_analysis.select("layer_id", "loss_view", "loss_analysis_id", "row_version"))
+    return y.analysis_entries(t.layer_analysis_yelt, chosen.select("layer_id", "loss_view", "loss_analysis_id"))
+
+
+def _counted(t):
+    return _chosen_entries(t).groupBy("loss_view", "loss_analysis_id", "layer_id").agg(F.count("*").alias("entries"))
+
+
+@query("retro_layer_yelts", f"WITH {ENTRIES} SELECT r.retro_program_id, r.layer_id, n.loss_view, n.loss_analysis_id, n.entries FROM {RETRO} r JOIN counted n ON n.layer_id = r.layer_id")
 def retro_layer_yelts(t):
-    chosen = y.projected_analyses(t.layer_loss_analysis).where("loss_view = 1").select("layer_id", "loss_analysis_id")
-    return y.retro_layers(t).drop("row_version").join(chosen, "layer_id").join(t.layer_yelt.groupBy("layer_id").agg(F.count("*").alias("entries")), "layer_id").select("retro_program_id", "layer_id", "loss_analysis_id", "entries")
+    """The loss tables of the layers ceded to each program: of the chosen analysis of each view."""
+    return y.retro_layers(t).drop("row_version").join(_counted(t), "layer_id").select("retro_program_id", "layer_id", "loss_view", "loss_analysis_id", "entries")
 
 
-@query("portfolio_layer_yelts", "SELECT DISTINCT k.retro_program_id, p.portfolio_id, p.layer_id, n.entries FROM port_layer_cession k JOIN port_layer p USING (port_layer_id) JOIN (SELECT layer_id, COUNT(*) AS entries FROM layer_yelt GROUP BY 1) n ON n.layer_id = p.layer_id")
+@query("portfolio_layer_yelts", f"WITH {ENTRIES} SELECT DISTINCT k.retro_program_id, p.portfolio_id, p.layer_id, n.loss_view, n.loss_analysis_id, n.entries FROM port_layer_cession k JOIN port_layer p USING (port_layer_id) JOIN counted n ON n.layer_id = p.layer_id")
 def portfolio_layer_yelts(t):
-    return y.portfolio_retro_layers(t).select("retro_program_id", "portfolio_id", "layer_id").distinct().join(t.layer_yelt.groupBy("layer_id").agg(F.count("*").alias("entries")), "layer_id").select("retro_program_id", "portfolio_id", "layer_id", "entries")
+    layers = y.portfolio_retro_layers(t).select("retro_program_id", "portfolio_id", "layer_id").distinct()
+    return layers.join(_counted(t), "layer_id").select("retro_program_id", "portfolio_id", "layer_id", "loss_view", "loss_analysis_id", "entries")
 
 
-@query("retro_event_losses", f"""SELECT r.retro_program_id, e.day, e.year, e.peril_id, e.event_id, ROUND(SUM(e.loss_pct * g.cession), 7) AS loss FROM (SELECT layer_id, retro_program_id, SUM(cession_gross) AS cession FROM retro_allocation JOIN retro_investor USING (retro_investor_id) JOIN sp_insurer USING (sp_insurer_id) GROUP BY 1, 2) g
-    JOIN {RETRO} r ON r.layer_id = g.layer_id AND r.retro_program_id = g.retro_program_id JOIN (SELECT layer_id FROM ({PROJECTED}) WHERE loss_view = 3) a ON a.layer_id = r.layer_id JOIN layer_yelt e ON e.layer_id = r.layer_id GROUP BY ALL""")
-def retro_event_losses(t):
-    ceded = t.retro_allocation.join(t.retro_investor.select("retro_investor_id", "sp_insurer_id"), "retro_investor_id").join(t.sp_insurer.select("sp_insurer_id", "retro_program_id"), "sp_insurer_id").groupBy("layer_id", "retro_program_id").agg(F.sum("cession_gross").alias("cession"))
-    chosen = y.projected_analyses(t.layer_loss_analysis).where("loss_view = 3").select("layer_id")
-    met = t.layer_yelt.join(ceded.join(chosen, "layer_id"), "layer_id")
-    return rounded(met.groupBy("retro_program_id", *y.KEY).agg(F.sum(F.col("loss_pct") * F.col("cession")).alias("loss")), "loss")
+@query("analysis_store", f"WITH {ENTRIES} SELECT loss_view, loss_analysis_id, layer_id, {YELT_KEY}, loss_pct FROM entries")
+def analysis_store(t):
+    """The chosen analyses' entries, read from a store of all analyses of which only the slices with some of them are opened."""
+    spark = t.layer_analysis_yelt.sparkSession
+    path = temporary(spark, "analyses")
+    sinks.write_analyses(t.layer_analysis_yelt, path)
+    chosen = y.projected_analyses(t.layer_loss_analysis.select("layer_id", "loss_view", "loss_analysis_id", "row_version"))
+    rows = sinks.read_analyses(spark, path, chosen.withColumnRenamed("layer_id", "own_layer")).where("layer_id = own_layer")
+    return rows.select("loss_view", "loss_analysis_id", "layer_id", *y.KEY, "loss_pct")
 
 
-@query("yelt_reconciliation", """SELECT COALESCE(a.layer_id, b.layer_id) AS layer_id, ROUND(COALESCE(s, 0), 6) AS sum_a, COALESCE(n, 0) AS n_a, ROUND(COALESCE(u, 0), 6) AS sum_b, COALESCE(m, 0) AS n_b, ABS(ROUND(COALESCE(s, 0), 6) - ROUND(COALESCE(u, 0), 6)) > 0.0105 AS warn
-    FROM (SELECT layer_id, SUM(loss_pct) AS s, COUNT(*) AS n FROM layer_yelt GROUP BY 1) a FULL JOIN (SELECT layer_id, SUM(loss_pct) AS u, COUNT(*) AS m FROM layer_yelt WHERE loss_type = 1 GROUP BY 1) b ON a.layer_id = b.layer_id""")
-def yelt_reconciliation(t):
-    return rounded(y.reconciliation(t.layer_yelt, t.layer_yelt.where("loss_type = 1"), 0.0105), "sum_a", "sum_b", digits=6)
+@query("program_day_ranges", f"WITH {PERIODS} SELECT layer_id, retro_program_id, CAST(first_day AS INT) AS first_day, CAST(last_day AS INT) AS last_day FROM ranges")
+def program_day_ranges(t):
+    """The days on which each program covers each layer: two ranges where the period crosses a year's end."""
+    return intervals.day_ranges(y.program_periods(t), "start", "end").select("layer_id", "retro_program_id", "first_day", "last_day")
+
+
+@query("retro_event_losses", f"""WITH {ENTRIES}, {PERIODS} SELECT r.retro_program_id, e.loss_view, {YELT_KEY}, ROUND(SUM(e.loss_pct * r.cession), 7) AS loss FROM entries e JOIN ranges r ON r.layer_id = e.layer_id AND e.day BETWEEN r.first_day AND r.last_day GROUP BY ALL""")
+def retro_event_losses(t):
+    """Event losses of all programs and views: entries of the chosen analyses on the days on which a program covers their layer."""
+    return rounded(y.program_losses(_chosen_entries(t), y.program_periods(t), ["loss_view"]), "loss")
 
 
 @query("layer_only_perils", "SELECT DISTINCT layer_id, peril_id FROM layer_yelt EXCEPT SELECT l.layer_id, g.peril_id FROM layer l JOIN gu_yelt_entry g ON g.gu_analysis_id = l.layer_id % 1000")
@@ -530,35 +571,99 @@ def layer_losses(t):
 
 
 DEPTHS = 4  # of the fixtures' graph
-YELT_KEY = "day, year, peril_id, event_id"
+CUTOFF = "1997-06-30"
+VIEWS = ", ".join(map(str, x.LOSS_VIEWS))
+DEC = lambda value: f"CAST({value} AS DECIMAL(20,8))"
 
 
-def _conditional_sql(eroded: bool) -> str:
-    money = lambda x: f"CAST({x} AS DECIMAL(20,8))"
+def _conditional_sql(eroded: bool, layer_loss: str, out: str) -> str:
+    """The run as common table expressions (layers that fit ``layer_loss`` take their own table), and ``out`` from them."""
     steps = []
     for d in range(DEPTHS):
-        fed = "".join(f" UNION ALL SELECT p.px_layer_id, {YELT_KEY}, occ FROM o{k} JOIN (SELECT DISTINCT layer_id, px_layer_id FROM px_section) p USING (layer_id) JOIN depths q ON q.v = p.px_layer_id WHERE q.depth = {d}" for k in range(d))
-        steps.append(f"""o{d} AS MATERIALIZED (SELECT layer_id, {YELT_KEY}, {money(f"LEAST(GREATEST(loss - {money('occ_retention')}, 0), {money('occ_limit')})")} AS occ
-        FROM (SELECT layer_id, {YELT_KEY}, SUM(loss) AS loss FROM (SELECT g.layer_id, {YELT_KEY}, loss FROM g LEFT JOIN depths q ON q.v = g.layer_id WHERE COALESCE(q.depth, 0) = {d}{fed}) GROUP BY ALL) JOIN layer USING (layer_id))""")
-    erosion = money("COALESCE(erosion, 0)") if eroded else "0"
+        fed = "".join(
+            f" UNION ALL SELECT loss_view, p.px_layer_id, {YELT_KEY}, occ FROM o{k} JOIN (SELECT DISTINCT layer_id, px_layer_id FROM px_section) p USING (layer_id) JOIN depths q ON q.v = p.px_layer_id WHERE q.depth = {d}"
+            for k in range(d)
+        )
+        steps.append(f"""o{d} AS MATERIALIZED (SELECT loss_view, layer_id, {YELT_KEY}, {DEC("LEAST(GREATEST(loss - occ_retention, 0), occ_limit)")} AS occ
+        FROM (SELECT loss_view, layer_id, {YELT_KEY}, SUM(loss) AS loss FROM (SELECT loss_view, g.layer_id, {YELT_KEY}, loss FROM g LEFT JOIN depths q ON q.v = g.layer_id WHERE COALESCE(q.depth, 0) = {d}{fed}) GROUP BY ALL) JOIN terms USING (layer_id))""")
+    basis = lambda k: DEC(f"CASE WHEN limit_basis = 1 THEN agg_{k} WHEN limit_basis IN (4, 7) THEN risk_{k} ELSE occ_{k} END")
+    erosion = DEC("COALESCE(recorded, 0)") if eroded else "0"
+    start = f"GREATEST(DATE '{CUTOFF}', inception)" if eroded else "inception"
     every = " UNION ALL ".join(f"SELECT * FROM o{d}" for d in range(DEPTHS))
+    first = "CAST(date_trunc('year', from_date) AS DATE)"
     return f"""WITH RECURSIVE walk AS (SELECT v, 0 AS depth FROM (SELECT layer_id AS v FROM px_section UNION SELECT px_layer_id FROM px_section) UNION SELECT p.px_layer_id, r.depth + 1 FROM walk r JOIN px_section p ON p.layer_id = r.v),
-    depths AS MATERIALIZED (SELECT v, MAX(depth) AS depth FROM walk GROUP BY v), g AS MATERIALIZED (SELECT layer_id, {YELT_KEY}, {scans.LOADED_WITH_LAE} AS loss FROM ({scans.LOADED})), {", ".join(steps)},
-    terms AS (SELECT layer_id, GREATEST(DATE '1997-06-30', inception) AS from_date, {money(f"GREATEST({money('agg_limit')} - {erosion}, 0)")} AS lim, CASE WHEN {erosion} > 0 THEN 0 ELSE {money("agg_retention")} END AS ret
-        FROM layer LEFT JOIN (SELECT layer_id, SUM(loss_ult) * 100 AS erosion FROM qtd WHERE rc = 1 GROUP BY 1) e USING (layer_id) WHERE GREATEST(DATE '1997-06-30', inception) <= expiration),
-    s AS (SELECT o.*, ret, lim, SUM(occ) OVER (PARTITION BY layer_id, year ORDER BY day, peril_id, event_id ROWS UNBOUNDED PRECEDING) AS run FROM ({every}) o JOIN terms USING (layer_id) WHERE day >= dayofyear(from_date) AND lim > 0)
-    SELECT layer_id, {YELT_KEY}, CAST(ROUND(layer_loss, 4) AS DOUBLE) AS layer_loss FROM (SELECT *, LEAST(GREATEST(run - ret, 0), lim) - LEAST(GREATEST(run - occ - ret, 0), lim) AS layer_loss FROM s) WHERE layer_loss > 0"""
-
-
-@query("conditional_yelt", _conditional_sql(True))
+    depths AS MATERIALIZED (SELECT v, MAX(depth) AS depth FROM walk GROUP BY v),
+    terms AS MATERIALIZED (SELECT layer_id, status, {start} AS from_date, expiration, {basis("limit")} AS occ_limit, {basis("retention")} AS occ_retention, recorded,
+        {DEC(f"GREATEST({DEC('agg_limit')} - {erosion}, 0)")} AS limit_left, CASE WHEN {erosion} > 0 THEN 0 ELSE {DEC("agg_retention")} END AS agg_retention
+        FROM layer LEFT JOIN (SELECT layer_id, {DEC("SUM(loss_ult) * 100")} AS recorded FROM qtd WHERE rc = 1 GROUP BY 1) e USING (layer_id)),
+    chosen AS MATERIALIZED (SELECT loss_view, layer_id, loss_analysis_id, own_gu_analysis_id AS gu_id, layer_id IN (SELECT layer_id FROM layer WHERE {layer_loss}) AS own_loss
+        FROM layer_loss_analysis WHERE loss_view IN ({VIEWS}) QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id, loss_view ORDER BY row_version DESC) = 1),
+    g AS MATERIALIZED (SELECT c.loss_view, l.layer_id, {YELT_KEY}, {scans.LOADED_WITH_LAE} AS loss FROM ({scans.loaded(f"loss_view IN ({VIEWS})")}) l JOIN chosen c ON c.loss_analysis_id = l.loss_analysis_id WHERE NOT own_loss),
+    {", ".join(steps)},
+    e AS MATERIALIZED (SELECT c.*, {", ".join("y." + k for k in YELT_KEY.split(", "))}, loss_pct FROM layer_analysis_yelt y JOIN chosen c ON c.loss_analysis_id = y.loss_analysis_id AND c.layer_id = y.layer_id),
+    u AS MATERIALIZED (SELECT * FROM e WHERE NOT own_loss AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT gu_analysis_id, peril_id FROM gu_yelt_entry) p WHERE p.gu_analysis_id = e.gu_id AND p.peril_id = e.peril_id)),
+    a AS (SELECT loss_view, layer_id, {YELT_KEY}, {DEC("SUM(occ)")} AS occ FROM ({every} UNION ALL SELECT loss_view, layer_id, {YELT_KEY}, {DEC(f"{DEC('loss_pct')} * occ_limit")} AS occ FROM (SELECT * FROM u UNION ALL SELECT * FROM e WHERE own_loss) JOIN terms USING (layer_id)) GROUP BY ALL),
+    d AS (SELECT a.*, c.loss_analysis_id, CASE WHEN own_loss THEN 0 ELSE agg_retention END AS ret, limit_left AS lim, expiration,
+        CASE WHEN {first} + day - 1 >= from_date THEN {first} + day - 1 ELSE CAST({first} + INTERVAL 1 YEAR AS DATE) + day - 1 END AS event_date
+        FROM a JOIN chosen c ON c.loss_view = a.loss_view AND c.layer_id = a.layer_id JOIN terms t ON t.layer_id = a.layer_id WHERE from_date <= expiration AND limit_left > 0),
+    s AS (SELECT *, SUM(occ) OVER (PARTITION BY loss_view, layer_id, year ORDER BY event_date, peril_id, event_id ROWS UNBOUNDED PRECEDING) AS run FROM d WHERE event_date <= expiration),
+    f AS MATERIALIZED (SELECT * FROM (SELECT *, LEAST(GREATEST(run - ret, 0), lim) - LEAST(GREATEST(run - occ - ret, 0), lim) AS layer_loss FROM s) WHERE layer_loss > 0)
+    {out}"""
+
+
+CONDITIONAL_OUT = f"SELECT loss_view, layer_id, loss_analysis_id, {YELT_KEY}, event_date, CAST(ROUND(layer_loss, 4) AS DOUBLE) AS layer_loss FROM f"
+#: Layers that take their own loss table: non-cat quota shares, which have no ground-up events behind them.
+LAYER_LOSS = "limit_basis = 7"
+
+
+@query("conditional_yelt", _conditional_sql(True, "FALSE", CONDITIONAL_OUT))
 def conditional_yelt(t):
-    """With erosion by the losses to date."""
-    return exact(layering.conditional_losses(t, "1997-06-30", True), "layer_loss", digits=4)
+    """From the cutoff on, with erosion by the recorded losses; every loss view."""
+    return exact(conditional.conditional_run(t, CUTOFF, True).losses, "layer_loss", digits=4)
 
 
-@query("conditional_yelt_uneroded", _conditional_sql(False))
+@query("conditional_yelt_uneroded", _conditional_sql(False, "FALSE", CONDITIONAL_OUT))
 def conditional_yelt_uneroded(t):
-    return exact(layering.conditional_losses(t, "1997-06-30", False), "layer_loss", digits=4)
+    """The whole periods of the layers, with full limits."""
+    return exact(conditional.conditional_run(t, CUTOFF, False).losses, "layer_loss", digits=4)
+
+
+@query("conditional_layer_losses", _conditional_sql(True, LAYER_LOSS, CONDITIONAL_OUT))
+def conditional_layer_losses(t):
+    """As ``conditional_yelt``, but layers without ground-up events take their own loss tables."""
+    return exact(conditional.conditional_run(t, CUTOFF, True, by_layer_loss=t.layer.where(LAYER_LOSS)).losses, "layer_loss", digits=4)
+
+
+RECONCILED = f"""SELECT c.loss_view, c.layer_id, COALESCE(CAST(x.s AS DOUBLE), 0) AS sum_before, COALESCE(x.n, 0) AS n_before,
+        COALESCE(CAST(z.s / occ_limit AS DOUBLE), 0) AS sum_after, COALESCE(z.n, 0) AS n_after, ABS(COALESCE(CAST(x.s AS DOUBLE), 0) - COALESCE(z.s / occ_limit, 0)) > 0.01 AS warn
+    FROM chosen c JOIN terms t ON t.layer_id = c.layer_id LEFT JOIN (SELECT loss_view, layer_id, SUM({DEC("loss_pct")}) AS s, COUNT(*) AS n FROM e GROUP BY ALL) x ON x.loss_view = c.loss_view AND x.layer_id = c.layer_id
+    LEFT JOIN (SELECT loss_view, layer_id, CAST(SUM(layer_loss) AS DOUBLE) AS s, COUNT(*) AS n FROM f GROUP BY ALL) z ON z.loss_view = c.loss_view AND z.layer_id = c.layer_id WHERE occ_limit > 0"""
+
+
+@query("yelt_reconciliation", _conditional_sql(False, "FALSE", f"SELECT loss_view, layer_id, ROUND(sum_before, 6) AS sum_before, n_before, ROUND(sum_after, 6) AS sum_after, n_after, warn FROM ({RECONCILED})"))
+def yelt_reconciliation(t):
+    """Counts and sums of each chosen analysis's own losses against those recalculated from ground up, as shares of the limit."""
+    run = conditional.conditional_run(t, CUTOFF, False)
+    return rounded(run.reconciliation, "sum_before", "sum_after", digits=6)
+
+
+LOG_OUT = f"""SELECT loss_view, layer_id, CAST(place AS INT) AS place, level, message FROM (
+    SELECT v.loss_view, t.layer_id, 1 AS place, 'Warning' AS level, 'no analysis; status ' || status || '; ' || CASE WHEN recorded IS NULL THEN 'no loss recorded' ELSE 'recorded loss ' || CAST(recorded AS DECIMAL(20,2)) END AS message
+        FROM terms t, (SELECT CAST(unnest([{VIEWS}]) AS INT) AS loss_view) v WHERE NOT EXISTS (SELECT 1 FROM chosen c WHERE c.layer_id = t.layer_id AND c.loss_view = v.loss_view)
+    UNION ALL SELECT loss_view, layer_id, 2, 'Information', 'layer losses taken for perils ' || array_to_string(list_sort(list(DISTINCT peril_id)), ',') FROM u GROUP BY loss_view, layer_id
+    UNION ALL SELECT loss_view, layer_id, 3, 'Warning', 'no period in force from ' || from_date || ' to ' || expiration FROM chosen JOIN terms USING (layer_id) WHERE from_date > expiration
+    UNION ALL SELECT loss_view, layer_id, 4, 'Warning', 'limit exhausted' FROM chosen JOIN terms USING (layer_id) WHERE from_date <= expiration AND limit_left = 0
+    UNION ALL SELECT loss_view, layer_id, 5, CASE WHEN ABS(sum_before - sum_after) > 0.01 THEN 'Warning' ELSE 'Information' END, 'sum of losses ' || sum_before || ' before, ' || sum_after || ' after; entries ' || n_before || ', ' || n_after FROM (
+        SELECT c.loss_view, c.layer_id, COALESCE(CAST(x.s AS DECIMAL(20,6)), 0) AS sum_before, COALESCE(CASE WHEN occ_limit = 0 THEN 0 ELSE CAST(CAST(z.s AS DOUBLE) / CAST(occ_limit AS DOUBLE) AS DECIMAL(20,6)) END, 0) AS sum_after, COALESCE(x.n, 0) AS n_before, COALESCE(z.n, 0) AS n_after
+        FROM chosen c JOIN terms t ON t.layer_id = c.layer_id LEFT JOIN (SELECT loss_view, layer_id, SUM({DEC("loss_pct")}) AS s, COUNT(*) AS n FROM e GROUP BY ALL) x ON x.loss_view = c.loss_view AND x.layer_id = c.layer_id
+        LEFT JOIN (SELECT loss_view, layer_id, SUM(layer_loss) AS s, COUNT(*) AS n FROM f GROUP BY ALL) z ON z.loss_view = c.loss_view AND z.layer_id = c.layer_id WHERE from_date <= expiration AND limit_left > 0))"""
+
+
+@query("simulation_log", _conditional_sql(True, LAYER_LOSS, LOG_OUT))
+def simulation_log(t):
+    """What a conditional run skipped, filled in and found different: missing analyses, perils without ground-up losses, periods
+    that have ended, limits used up, and sums of losses before and after."""
+    return conditional.conditional_run(t, CUTOFF, True, by_layer_loss=t.layer.where(LAYER_LOSS)).log
 
 
 SCENARIO_MONEY = lambda x: f"CAST({x} AS DECIMAL(20,8))"
@@ -582,9 +687,3 @@ def scenario_loss_aggregate(t):
 @query("scenario_reinstatements", "SELECT DISTINCT e.scenario_id, r.layer_id, r.reinstatement_id, r.reinstatement_order, r.quantity, r.premium_share FROM scenario_loss_event e JOIN reinstatement r ON r.layer_id = e.layer_id WHERE r.quantity > 0")
 def scenario_reinstatements(t):
     return t.scenario_loss_event.select("scenario_id", "layer_id").distinct().join(t.reinstatement.where("quantity > 0"), "layer_id").select("scenario_id", "layer_id", "reinstatement_id", "reinstatement_order", "quantity", "premium_share")
-
-
-@query("simulation_log", "SELECT layer_id, CASE WHEN placement = 0 THEN 'Warning' ELSE 'Information' END AS level, CONCAT_WS('; ', CASE WHEN placement = 0 THEN 'no placement' END, CASE WHEN signed_share = 0 THEN 'no signed share' END, 'status ' || status) AS message FROM layer")
-def simulation_log(t):
-    parts = F.concat_ws("; ", F.when(F.col("placement") == 0, "no placement"), F.when(F.col("signed_share") == 0, "no signed share"), F.concat(F.lit("status "), F.col("status")))
-    return t.layer.select("layer_id", F.when(F.col("placement") == 0, "Warning").otherwise("Information").alias("level"), parts.alias("message"))

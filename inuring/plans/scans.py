@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from inuring.functions import terms as x
+from inuring.operators import conditional
 from inuring.operators import yelt as y
 from inuring.plans.registry import query
 from inuring.functions.terms import PERILS
@@ -367,20 +368,24 @@ def peril_loads(t):
 
 
 MONEY_SQL = lambda a, b: f"CAST({a} * {b} AS DECIMAL(20,8))"
-NEWEST = "SELECT * FROM layer_loss_analysis WHERE loss_view = 1 QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id ORDER BY row_version DESC) = 1"
 
 
-LOADED = f"""SELECT a.loss_analysis_id, a.layer_id, g.day, g.year, g.peril_id, g.event_id, {MONEY_SQL(MONEY_SQL("CAST(g.loss AS DECIMAL(20,8))", "COALESCE(p.load_x_lae, CAST(1 AS DECIMAL(16,10)))"), "COALESCE(CAST(f.fx_rate AS DECIMAL(16,10)), CAST(1 AS DECIMAL(16,10)))")} AS loss, COALESCE(p.lae_load, CAST(1 AS DECIMAL(16,10))) AS lae
-    FROM ({NEWEST}) a JOIN (SELECT gu_analysis_id, year, event_id, peril_id, day, CAST(SUM(loss) AS DOUBLE) AS loss FROM gu_yelt_entry GROUP BY ALL) g ON g.gu_analysis_id = a.own_gu_analysis_id
+def loaded(where: str) -> str:
+    """Loaded ground-up losses of the newest analysis of each layer and view that fits."""
+    newest = f"SELECT * FROM layer_loss_analysis WHERE {where} QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id, loss_view ORDER BY row_version DESC) = 1"
+    return f"""SELECT a.loss_analysis_id, a.layer_id, g.day, g.year, g.peril_id, g.event_id, {MONEY_SQL(MONEY_SQL("CAST(g.loss AS DECIMAL(20,8))", "COALESCE(p.load_x_lae, CAST(1 AS DECIMAL(16,10)))"), "COALESCE(CAST(f.fx_rate AS DECIMAL(16,10)), CAST(1 AS DECIMAL(16,10)))")} AS loss, COALESCE(p.lae_load, CAST(1 AS DECIMAL(16,10))) AS lae
+    FROM ({newest}) a JOIN (SELECT gu_analysis_id, year, event_id, peril_id, day, CAST(SUM(loss) AS DOUBLE) AS loss FROM gu_yelt_entry GROUP BY ALL) g ON g.gu_analysis_id = a.own_gu_analysis_id
     JOIN layer l ON l.layer_id = a.layer_id LEFT JOIN ({LOADS}) p ON p.loss_analysis_id = a.loss_analysis_id AND p.peril_id = g.peril_id
     LEFT JOIN submission_gu_analysis f ON f.gu_analysis_id = a.own_gu_analysis_id AND f.submission_id = l.submission_id"""
+
+
 LOADED_WITH_LAE = MONEY_SQL("loss", "lae")
 
 
-@query("gu_loss_loaded", f"SELECT loss_analysis_id, layer_id, day, year, peril_id, event_id, CAST(ROUND(loss, 6) AS DOUBLE) AS loss, CAST(ROUND({LOADED_WITH_LAE}, 6) AS DOUBLE) AS loss_with_lae FROM ({LOADED})")
+@query("gu_loss_loaded", f"SELECT loss_analysis_id, layer_id, day, year, peril_id, event_id, CAST(ROUND(loss, 6) AS DOUBLE) AS loss, CAST(ROUND({LOADED_WITH_LAE}, 6) AS DOUBLE) AS loss_with_lae FROM ({loaded('TRUE')})")
 def gu_loss_loaded(t):
-    """Ground-up losses of each layer's newest stressed-view analysis, loaded and in its currency."""
-    newest = y.latest_analyses(t.layer_loss_analysis.where("loss_view = 1")).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    """Ground-up losses of each layer's newest analysis of each view, loaded and in its currency."""
+    newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
     out = y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis)
     return out.withColumns({n: F.round(n, 6).cast("double") for n in ("loss", "loss_with_lae")})
 
@@ -414,10 +419,12 @@ def day_of_year(t):
     return t.layer.select("layer_id", F.dayofyear("inception").alias("first_day"), F.dayofyear("expiration").alias("last_day"))
 
 
-@query("conditional_date", "SELECT layer_id, GREATEST(DATE '1997-06-30', inception) AS conditional_date FROM layer WHERE GREATEST(DATE '1997-06-30', inception) <= expiration")
+@query("conditional_date", """SELECT layer_id, eroded, CASE WHEN eroded THEN GREATEST(DATE '1997-06-30', inception) ELSE inception END AS conditional_date FROM layer, (VALUES (TRUE), (FALSE)) e(eroded)
+    WHERE CASE WHEN eroded THEN GREATEST(DATE '1997-06-30', inception) ELSE inception END <= expiration""")
 def conditional_date(t):
-    out = t.layer.withColumn("conditional_date", F.greatest(F.to_date(F.lit("1997-06-30")), "inception"))
-    return out.where("conditional_date <= expiration").select("layer_id", "conditional_date")
+    """The day from which a layer's losses count, with erosion and without, for layers that are then still in force."""
+    both = [F.struct(F.lit(e).alias("eroded"), conditional.conditional_date("1997-06-30", F.col("inception"), e).alias("conditional_date")) for e in (True, False)]
+    return t.layer.select("layer_id", "expiration", F.inline(F.array(*both))).where("conditional_date <= expiration").select("layer_id", "eroded", "conditional_date")
 
 
 @query("remaining_limit", """WITH e AS (SELECT layer_id, CAST(SUM(loss_ult) AS DOUBLE) * 100 AS erosion FROM qtd WHERE rc = 1 GROUP BY layer_id)

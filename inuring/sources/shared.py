@@ -22,11 +22,20 @@ def new_folder(spark: SparkSession, kind: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from the shared folder from then on."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """``df`` computed once, as a Parquet table in the shared folder: lineage ends there and columns stay prunable. The table is
+    removed when the driver's JVM ends, whether the session has been stopped before or not."""
+    path = temporary(df.sparkSession, "cut")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def temporary(spark: SparkSession, kind: str) -> str:
+    """As ``new_folder``; what is written there is removed when the driver's JVM ends."""
+    path = new_folder(spark, kind)
+    files, target = _file_system(spark, path)
+    files.mkdirs(target.getParent())
+    files.deleteOnExit(target)
+    return path
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -54,3 +63,39 @@ def move(spark: SparkSession, path: str, to: str) -> None:
     files.mkdirs(new.getParent())
     if not files.rename(target, new):
         raise OSError(f"{path} can't be moved to {to}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    files, target = _file_system(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(target)] if files.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    files, target = _file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in its place at once: written beside it and then renamed; an older one is replaced."""
+    files, target = _file_system(spark, path)
+    _, beside = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.exists(target):
+        files.delete(target, False)
+    if not files.rename(beside, target):
+        raise OSError(f"{path} can't be written")

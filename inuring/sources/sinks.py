@@ -35,6 +35,23 @@ def archive_superseded(spark: SparkSession, path: str, archive: str) -> int:
     return len(old)
 
 
+def write_analyses(entries: DataFrame, path: str, slices: int = 64) -> None:
+    """Loss tables by analysis (loss_analysis_id, row_version, ...): a folder for each of so many slices of the ids, each sorted by
+    analysis. A slice of many entries is split over several files; the number of slices is part of the path."""
+    dealt = entries.withColumn("slice", F.pmod("loss_analysis_id", F.lit(slices)).cast("int"))
+    dealt = dealt.hint("rebalance", F.col("slice")).sortWithinPartitions("slice", "loss_analysis_id", "row_version")
+    dealt.write.mode("overwrite").partitionBy("slice").parquet(f"{path}/slices={slices}")
+
+
+def read_analyses(spark: SparkSession, path: str, chosen: DataFrame) -> DataFrame:
+    """The entries of the chosen analyses (loss_analysis_id, row_version and more) from what ``write_analyses`` wrote: the slices
+    without any of them are pruned when the join runs."""
+    (stored,) = subfolders(spark, path)
+    slices = int(stored.rpartition("=")[2])
+    wanted = chosen.withColumn("slice", F.pmod("loss_analysis_id", F.lit(slices)).cast("int"))
+    return spark.read.parquet(stored).join(wanted, ["slice", "loss_analysis_id", "row_version"]).drop("slice")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

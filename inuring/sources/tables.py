@@ -86,9 +86,9 @@ FIXTURES = {
         FROM {lineitem} GROUP BY l_partkey, l_suppkey""",
     "fx_rate": """
         SELECT CAST(o_orderdate AS DATE) AS fx_date, 'USD' AS base_currency,
-               CASE SUBSTRING(o_orderpriority, 1, 1) WHEN '1' THEN 'EUR' WHEN '2' THEN 'GBP' WHEN '3' THEN 'JPY' WHEN '4' THEN 'CAD' ELSE 'AUD' END AS currency,
-               CAST((MAX(o_orderkey) % 100 + 50) / 100.0 AS DOUBLE) AS rate, CAST(MAX(o_orderkey) AS BIGINT) AS row_version
-        FROM {orders} GROUP BY CAST(o_orderdate AS DATE), SUBSTRING(o_orderpriority, 1, 1)""",
+               CASE r_regionkey WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' WHEN 2 THEN 'JPY' WHEN 3 THEN 'CAD' ELSE 'USD' END AS currency,
+               CASE WHEN r_regionkey = 4 THEN CAST(1.0 AS DOUBLE) ELSE CAST((MAX(o_orderkey) * (r_regionkey + 1) % 100 + 50) / 100.0 AS DOUBLE) END AS rate, CAST(MAX(o_orderkey) AS BIGINT) AS row_version
+        FROM {orders} INNER JOIN {region} ON r_regionkey < 5 GROUP BY CAST(o_orderdate AS DATE), r_regionkey""",
     "layer_loss_analysis": """
         SELECT CAST(o_orderkey AS INT) AS loss_analysis_id, CAST(o_custkey AS INT) AS layer_id,
                CAST(CASE SUBSTRING(o_orderpriority, 1, 1) WHEN '1' THEN 1 WHEN '2' THEN 10 WHEN '3' THEN 3 WHEN '4' THEN 30 ELSE 2 END AS INT) AS loss_view,
@@ -107,6 +107,13 @@ FIXTURES = {
                CAST(SUM(CAST(l_discount AS DECIMAL(18,4))) AS DOUBLE) AS loss_pct, CAST(SUM(CAST(l_tax AS DECIMAL(18,4))) AS DOUBLE) AS rp,
                CAST(MIN(l_linenumber) % 4 + 1 AS INT) AS loss_type
         FROM {lineitem} GROUP BY l_partkey, l_orderkey""",
+    "layer_analysis_yelt": """
+        SELECT CAST(o_orderkey AS INT) AS loss_analysis_id, CAST(o_orderkey AS BIGINT) AS row_version, CAST(l_partkey AS INT) AS layer_id,
+               CAST(l_orderkey % 10000 + 1 AS INT) AS year, CAST(l_orderkey % 365 + 1 AS INT) AS day,
+               CAST(CASE l_orderkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 16 WHEN 2 THEN 1 ELSE 14 END AS INT) AS peril_id, CAST(l_orderkey + 1 AS BIGINT) AS event_id,
+               CAST(SUM(CAST(l_discount AS DECIMAL(18,4))) AS DOUBLE) AS loss_pct, CAST(SUM(CAST(l_tax AS DECIMAL(18,4))) AS DOUBLE) AS rp,
+               CAST(MIN(l_linenumber) % 4 + 1 AS INT) AS loss_type
+        FROM {lineitem} INNER JOIN {orders} ON o_custkey = l_partkey AND o_orderkey % 5 = l_orderkey % 5 GROUP BY o_orderkey, l_partkey, l_orderkey""",
     "gu_yelt_entry": """
         SELECT CAST(l_suppkey AS INT) AS gu_analysis_id, CAST(l_orderkey % 1000 + 1 AS INT) AS year, CAST(l_orderkey % 365 + 1 AS INT) AS day,
                CAST(CASE l_orderkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 16 ELSE 1 END AS INT) AS peril_id, CAST(l_orderkey % 500 AS BIGINT) AS event_id,

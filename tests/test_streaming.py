@@ -1,5 +1,7 @@
 """Upserts by row version from a stream of files, and the sinks."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,29 +21,122 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, state.read().select(*df.columns).collect())) == sorted(map(tuple, expected.collect()))
 
 
+def batches_of(spark, many):
+    rows = [[(k, 1, n * 100 + k) for k in range(n, n + 6)] for n in range(many)]
+    return [spark.createDataFrame([(k, v + n, x) for k, v, x in own], "layer_id int, row_version long, value int") for n, own in enumerate(rows)]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def test_replay_and_restart_keep_all_rows(spark, tmp_path):
     """A batch applied twice, a new object for each batch, and only touched buckets written."""
-    batches = [[(k, 1, n * 100 + k) for k in range(n, n + 6)] for n in range(4)]
-    frames = [spark.createDataFrame([(k, v + n, x) for k, v, x in rows], "layer_id int, row_version long, value int") for n, rows in enumerate(batches)]
-    path = str(tmp_path / "state")
+    frames, path = batches_of(spark, 4), str(tmp_path / "state")
     for number, df in enumerate(frames):
-        cdc.VersionedTable(spark, path, ["layer_id"], buckets=8).apply(df, number)
-        cdc.VersionedTable(spark, path, ["layer_id"], buckets=8).apply(df, number)
-    state = cdc.VersionedTable(spark, path, ["layer_id"], buckets=8)
+        cdc.VersionedTable(spark, path, ["layer_id"]).apply(df, number)
+        cdc.VersionedTable(spark, path, ["layer_id"]).apply(df, number)
+    state = cdc.VersionedTable(spark, path, ["layer_id"])
     expected = cdc.upsert(None, frames[0].union(frames[1]).union(frames[2]).union(frames[3]), ["layer_id"])
-    assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, expected.collect()))
+    assert rows_of(state.read()) == rows_of(expected)
+    before = state.manifest()
     state.apply(frames[0].where("layer_id = 0"), 4)
-    assert len(list((tmp_path / "state" / "batch=4").glob("bucket=*"))) == 1
-    assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, expected.collect()))
+    after = state.manifest()
+    assert after["number"] == 4 and sum(after["folders"][b] != f for b, f in before["folders"].items()) == 1
+    assert rows_of(state.read()) == rows_of(expected)
 
 
 def test_unfinished_batch_is_not_seen(spark, tmp_path):
     df = spark.createDataFrame([(1, 1, "a")], "k int, row_version long, v string")
     state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["k"])
     state.apply(df, 0)
-    state.apply(df.withColumns({"row_version": F.lit(2).cast("long"), "v": F.lit("cut off")}), 1)
-    (tmp_path / "state" / "batch=1" / "_SUCCESS").unlink()
-    assert [tuple(r) for r in state.read().collect()] == [(1, 1, "a")]
+    cut_off = df.withColumns({"row_version": F.lit(2).cast("long"), "v": F.lit("cut off")})
+    cut_off.write.parquet(str(tmp_path / "state" / "data" / "1-0000" / "bucket=0"))  # its rows, but no manifest
+    assert rows_of(state.read()) == [(1, 1, "a")]
+    state.apply(df.withColumn("row_version", F.lit(3).cast("long")), 1)
+    assert rows_of(state.read()) == [(1, 3, "a")] and not (tmp_path / "state" / "data" / "1-0000").exists()
+
+
+def test_empty_state_and_empty_batch(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, "a")], "k int, row_version long, v string")
+    state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["k"])
+    assert rows_of(state.read(df.schema)) == []
+    with pytest.raises(ValueError, match="no batch yet"):
+        state.read()
+    state.apply(df.limit(0), 0)
+    assert rows_of(state.read()) == []
+    state.apply(df, 1)
+    state.apply(df.limit(0), 2)
+    assert rows_of(state.read()) == [(1, 1, "a")]
+
+
+def test_many_batches_list_one_manifest(spark, tmp_path, monkeypatch):
+    """Forty batches leave the folders of the buckets that they last wrote; a read opens one manifest."""
+    state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["layer_id"], buckets=4)
+    rows = [(k % 5, k, k) for k in range(40)]
+    for number, row in enumerate(rows):
+        state.apply(spark.createDataFrame([row], "layer_id int, row_version long, value int"), number)
+    assert sorted(p.name for p in (tmp_path / "state" / "manifest").iterdir() if p.name.isdigit()) == ["38", "39"]
+    assert len(list((tmp_path / "state" / "data").iterdir())) <= 2 * 4
+    opened = []
+    monkeypatch.setattr(cdc, "read_text", lambda s, path, own=cdc.read_text: (opened.append(path), own(s, path))[1])
+    assert rows_of(state.read()) == [(k, 35 + k, 35 + k) for k in range(5)]
+    assert len(opened) == 1
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path):
+    state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["k"], buckets=1, rows_a_bucket=50)
+    df = spark.range(400).select(F.col("id").cast("int").alias("k"), F.lit(1).cast("long").alias("row_version"))
+    state.apply(df.where("k < 40"), 0)
+    assert state.manifest()["buckets"] == 1
+    state.apply(df.where("k >= 30"), 1)
+    now = state.manifest()
+    assert now["buckets"] >= 8 and sum(now["rows"].values()) == 400 and state.read().select("k").distinct().count() == 400
+    state.apply(df.where("k < 5").withColumn("row_version", F.lit(2).cast("long")), 2)
+    assert state.manifest()["buckets"] == now["buckets"] and state.read().where("row_version = 2").count() == 5
+
+
+def test_refresh_runs_until_it_is_stopped(spark, tmp_path):
+    """New files are taken while the job runs; what comes while it is stopped is taken after the next start."""
+    frames = batches_of(spark, 3)
+    state = cdc.VersionedTable(spark, str(tmp_path / "state"), ["layer_id"])
+    frames[0].coalesce(1).write.parquet(str(tmp_path / "in"))
+    job = cdc.Refresh(spark, str(tmp_path / "in"), frames[0].schema, state.apply, str(tmp_path / "check"), 0.2)
+    job.start()
+    job.start()
+    wait_for(lambda: state.manifest() is not None and rows_of(state.read()) == rows_of(frames[0]))
+    frames[1].coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    expected = cdc.upsert(None, frames[0].union(frames[1]), ["layer_id"])
+    wait_for(lambda: rows_of(state.read()) == rows_of(expected))
+    job.stop()
+    assert not job.running
+    frames[2].coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    again = cdc.Refresh(spark, str(tmp_path / "in"), frames[0].schema, cdc.VersionedTable(spark, str(tmp_path / "state"), ["layer_id"]).apply, str(tmp_path / "check"), 0.2)
+    again.start()
+    expected = cdc.upsert(None, frames[0].union(frames[1]).union(frames[2]), ["layer_id"])
+    wait_for(lambda: rows_of(state.read()) == rows_of(expected))
+    again.stop()
+
+
+def test_a_failed_batch_ends_the_job(spark, tmp_path):
+    df = batches_of(spark, 1)[0]
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+
+    def fail(batch, number):
+        raise ValueError("the disk is full")
+
+    job = cdc.Refresh(spark, str(tmp_path / "in"), df.schema, fail, str(tmp_path / "check"), 0.2)
+    job.start()
+    wait_for(lambda: not job.running)
+    with pytest.raises(Exception, match="the disk is full"):
+        job.stop()
+
+
+def wait_for(condition, seconds=60):
+    until = time.monotonic() + seconds
+    while not condition():
+        assert time.monotonic() < until
+        time.sleep(0.2)
 
 
 def test_runs_get_the_next_id(spark, tmp_path):
