@@ -1,6 +1,6 @@
 """Divergence of sources by wide term vectors.
 
-Occurrences are summed up map-side by language, source and term. Each kept term is then pivoted into an array with a place for
+Occurrences are counted by language, source and term, chunk by chunk in numpy, and summed up map-side. Each kept term is then pivoted into an array with a place for
 every source of its language; higher-order functions turn the arrays into shares and emit the contribution of each pair of
 sources, a place after the other, and the contributions are summed map-side again. So what is shuffled grows with the distinct
 terms and with the pairs of sources, which are the result, and not with documents or with occurrences.
@@ -8,14 +8,18 @@ terms and with the pairs of sources, which are the result, and not with document
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inuring.llm.scratch import intermediate, written
+from inuring.llm.text import CHUNK_BYTES, bound_batches, byte_table, chunks
 
-#: Letters and characters beyond ASCII, after A-Z are lower-cased.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: ``[^\x00-\x40\x5B-\x60\x7B-\x7F]``: letters and characters beyond ASCII
+TERM = ~byte_table([(0x00, 0x40), (0x5B, 0x60), (0x7B, 0x7F)])
 #: Documents of a language that a kept term has to be in.
 LEAST_DOCS = 10
 #: Terms that a source is reported with.
@@ -44,13 +48,29 @@ def divergence_of(p: Column, q: Column) -> Column:
     return _div((p - q) * (p - q), p + q)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) to (lang, source, term, n, docs): each term of a chunk's languages and sources once."""
+    for batch in batches:
+        for part, texts in chunks(batch, "text", 2 * CHUNK_BYTES):
+            words = texts.words(TERM, lower=True)
+            code, terms = words.encoded()
+            names = [part.column(c).dictionary_encode() for c in ("lang", "source")]
+            lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in names)
+            group = lang * (len(names[1].dictionary) + 1) + source
+            in_doc, n = np.unique(words.doc * (len(terms) + 1) + code, return_counts=True)
+            doc, code = np.divmod(in_doc, len(terms) + 1)
+            in_group, own = np.unique(group[doc] * (len(terms) + 1) + code, return_inverse=True)
+            group, code = np.divmod(in_group, len(terms) + 1)
+            lang, source = np.divmod(group, len(names[1].dictionary) + 1)
+            columns = [names[0].dictionary.take(pa.array(lang)), names[1].dictionary.take(pa.array(source)), terms.take(pa.array(code)).cast(pa.string())]
+            counts = [pa.array(np.bincount(own, weights=w, minlength=len(in_group)).astype(np.int64)) for w in (n, np.ones(len(n)))]
+            yield pa.RecordBatch.from_arrays([*columns, *counts], names=["lang", "source", "term", "n", "docs"])
+
+
 def term_counts(df: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs) of (lang, source, text): occurrences, and rows with the term."""
-    terms = F.regexp_extract_all(F.translate("text", UPPER, UPPER.lower()), F.lit(TERM), F.lit(0))
-    rows = df.select("lang", "source", terms.alias("terms"))
-    found = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("docs")))
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("docs")))
-    each = rows.select("lang", "source", F.inline(F.concat(found, once)))
+    """(lang, source, term, n, docs) of (lang, source, text): occurrences, and rows with the term. A-Z are lower-cased."""
+    bound_batches(df.sparkSession)
+    each = df.mapInArrow(_count, "lang string, source string, term string, n long, docs long")
     return each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
