@@ -667,21 +667,49 @@ def simulation_log(t):
 
 
 SCENARIO_MONEY = lambda x: f"CAST({x} AS DECIMAL(20,8))"
+SCENARIO_SHARE = lambda value: f"CAST({value} AS DECIMAL(16,10))"
 SCENARIO_TERM = lambda k: SCENARIO_MONEY(f"CASE WHEN limit_basis = 1 THEN agg_{k} WHEN limit_basis IN (4, 7) THEN risk_{k} ELSE occ_{k} END / e.fx_rate_to_layer_currency")
 
 
-@query("scenario_loss_aggregate", f"""WITH o AS (SELECT e.scenario_id, e.layer_id, {SCENARIO_MONEY(f"LEAST(GREATEST({SCENARIO_MONEY('e.gu_loss')} - {SCENARIO_TERM('retention')}, 0), {SCENARIO_TERM('limit')})")} AS occ, {SCENARIO_TERM('limit')} AS lim,
+SCENARIO_EVENTS = f"""o AS (SELECT e.scenario_id, e.layer_id, e.event_key, e.event_date, {SCENARIO_MONEY(f"LEAST(GREATEST({SCENARIO_MONEY('e.gu_loss')} - {SCENARIO_TERM('retention')}, 0), {SCENARIO_TERM('limit')})")} AS occ, {SCENARIO_TERM('limit')} AS lim,
         {SCENARIO_MONEY("agg_retention / e.fx_rate_to_layer_currency")} AS agg_ret, {SCENARIO_MONEY("agg_limit / e.fx_rate_to_layer_currency")} AS agg_lim, premium
         FROM scenario_loss_event e JOIN scenario s USING (scenario_id) JOIN layer l ON l.layer_id = e.layer_id WHERE s.is_active AND NOT s.is_deleted AND e.loss_currency = 'USD' AND e.event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20'),
-    a AS (SELECT scenario_id, layer_id, COUNT(*) AS events, MAX(lim) AS lim, MAX(premium) AS premium, LEAST(GREATEST(SUM(occ) - MAX(agg_ret), 0), MAX(agg_lim)) AS loss FROM o GROUP BY 1, 2),
-    r AS (SELECT layer_id, SUM(quantity) AS quantity, SUM(quantity * premium_share) AS paid FROM reinstatement GROUP BY 1 HAVING SUM(quantity) > 0)
-    SELECT scenario_id, layer_id, events, CAST(ROUND(loss, 4) AS DOUBLE) AS loss, CAST(ROUND(CASE WHEN lim = 0 OR quantity IS NULL THEN 0 ELSE {SCENARIO_MONEY(f"{SCENARIO_MONEY('premium * paid / quantity')} * CAST(LEAST(CAST(loss AS DOUBLE) / CAST(lim AS DOUBLE), quantity) AS DECIMAL(16,10))")} END, 4) AS DOUBLE) AS reinst_premium FROM a LEFT JOIN r USING (layer_id)""")
-def scenario_loss_aggregate(t):
-    """Losses of each active scenario and layer under occurrence and aggregate terms in the loss currency, and the premium that
-    reinstates the limit used, as often as the layer allows."""
+    t AS (SELECT scenario_id, layer_id, MAX(lim) AS lim, MAX(agg_ret) AS ret, MAX(agg_lim) AS top FROM o GROUP BY 1, 2),
+    r AS (SELECT o.scenario_id, o.layer_id, event_key, occ, t.lim, ret, top, premium, SUM(occ) OVER (PARTITION BY o.scenario_id, o.layer_id ORDER BY event_date, event_key ROWS UNBOUNDED PRECEDING) AS run FROM o JOIN t ON t.scenario_id = o.scenario_id AND t.layer_id = o.layer_id),
+    u AS MATERIALIZED (SELECT *, LEAST(GREATEST(run - occ - ret, 0), top) AS used_before, LEAST(GREATEST(run - ret, 0), top) AS used_after FROM r),
+    b AS (SELECT layer_id, premium_share, brokerage_percentage, quantity, ROW_NUMBER() OVER w AS band, SUM(quantity) OVER w AS upto FROM reinstatement WHERE quantity > 0 WINDOW w AS (PARTITION BY layer_id ORDER BY reinstatement_order, reinstatement_id ROWS UNBOUNDED PRECEDING)),
+    q AS (SELECT u.*, band, premium_share, brokerage_percentage, LEAST({SCENARIO_SHARE("CAST(used_after AS DOUBLE) / CAST(lim AS DOUBLE)")}, {SCENARIO_SHARE("upto")}) - GREATEST({SCENARIO_SHARE("CAST(used_before AS DOUBLE) / CAST(lim AS DOUBLE)")}, {SCENARIO_SHARE("upto - quantity")}) AS times FROM u JOIN b ON b.layer_id = u.layer_id WHERE lim > 0),
+    p AS MATERIALIZED (SELECT scenario_id, layer_id, event_key, band, rp, {SCENARIO_MONEY(f"rp * {SCENARIO_SHARE('brokerage_percentage')}")} AS rb FROM (SELECT *, {SCENARIO_MONEY(f"{SCENARIO_MONEY('premium * ' + SCENARIO_SHARE('premium_share'))} * {SCENARIO_SHARE('times')}")} AS rp FROM q WHERE times > 0))"""
+
+
+def _scenario_events(t):
     met = t.scenario_loss_event.where((F.col("loss_currency") == "USD") & F.col("event_date").between("2024-01-01", "2024-01-20"))
-    met = met.join(t.scenario.where("is_active AND NOT is_deleted").select("scenario_id"), "scenario_id").join(t.layer, "layer_id")
-    return exact(layering.scenario_losses(met, t.reinstatement), "loss", "reinst_premium", digits=4)
+    return met.join(t.scenario.where("is_active AND NOT is_deleted").select("scenario_id"), "scenario_id").join(t.layer, "layer_id")
+
+
+@query("scenario_loss_aggregate", f"""WITH {SCENARIO_EVENTS}, a AS (SELECT scenario_id, layer_id, COUNT(*) AS events, SUM(used_after - used_before) AS loss FROM u GROUP BY 1, 2), s AS (SELECT scenario_id, layer_id, SUM(rp) AS rp, SUM(rb) AS rb FROM p GROUP BY 1, 2)
+    SELECT a.scenario_id, a.layer_id, events, CAST(ROUND(loss, 4) AS DOUBLE) AS loss, CAST(ROUND(COALESCE(rp, 0), 4) AS DOUBLE) AS reinst_premium, CAST(ROUND(COALESCE(rb, 0), 4) AS DOUBLE) AS brokerage FROM a LEFT JOIN s ON s.scenario_id = a.scenario_id AND s.layer_id = a.layer_id""")
+def scenario_loss_aggregate(t):
+    """Losses of each active scenario and layer under occurrence and aggregate terms in the loss currency, and what the
+    reinstatements cost that they use, each at its own share of the premium."""
+    return exact(layering.scenario_losses(_scenario_events(t), t.reinstatement), "loss", "reinst_premium", "brokerage", digits=4)
+
+
+@query("scenario_reinstatement_premiums", f"WITH {SCENARIO_EVENTS} SELECT scenario_id, layer_id, event_key, CAST(band AS INT) AS band, CAST(ROUND(rp, 4) AS DOUBLE) AS reinst_premium, CAST(ROUND(rb, 4) AS DOUBLE) AS brokerage FROM p")
+def scenario_reinstatement_premiums(t):
+    """Which reinstatements each event of a scenario uses, and what they cost."""
+    paid = layering.reinstated(layering.scenario_event_losses(_scenario_events(t)), layering.reinstatement_bands(t.reinstatement), ["scenario_id", "layer_id", "event_key"])
+    return exact(paid, "reinst_premium", "brokerage", digits=4)
+
+
+@query("scenario_retro_cessions", """WITH l AS (SELECT scenario_id, retro_program_id, COUNT(*) AS events, SUM(COALESCE(loss, 0)) AS loss FROM scenario_retro_cession_loss GROUP BY 1, 2)
+    SELECT c.scenario_id, c.retro_program_id, c.level, c.name, c.cession, COALESCE(events, 0) AS events, ROUND(COALESCE(loss, 0), 4) AS loss FROM scenario_retro_cession c LEFT JOIN l ON l.scenario_id = c.scenario_id AND l.retro_program_id = c.retro_program_id""")
+def scenario_retro_cessions(t):
+    """The cessions of scenarios to programs, with the number and sum of the losses ceded."""
+    key = ["scenario_id", "retro_program_id"]
+    losses = t.scenario_retro_cession_loss.groupBy(*key).agg(F.count("*").alias("events"), F.sum(F.coalesce("loss", F.lit(0.0))).alias("loss"))
+    out = t.scenario_retro_cession.join(losses, key, "left").fillna(0, ["events", "loss"])
+    return rounded(out.select(*key, "level", "name", "cession", "events", "loss"), "loss", digits=4)
 
 
 @query("scenario_reinstatements", "SELECT DISTINCT e.scenario_id, r.layer_id, r.reinstatement_id, r.reinstatement_order, r.quantity, r.premium_share FROM scenario_loss_event e JOIN reinstatement r ON r.layer_id = e.layer_id WHERE r.quantity > 0")

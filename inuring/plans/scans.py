@@ -9,8 +9,8 @@ from inuring.operators import conditional
 from inuring.operators import yelt as y
 from inuring.plans.registry import query
 from inuring.functions.terms import PERILS
-from inuring.sources import sinks
-from inuring.sources.shared import new_folder
+from inuring.sources import contracts, sinks
+from inuring.sources.shared import temporary
 from inuring.sources.tables import Tables
 from inuring.streaming import cdc
 
@@ -133,9 +133,12 @@ def incremental_pull(t):
 
 @query("upsert_latest", "SELECT layer_id, loss_view, loss_analysis_id, row_version FROM layer_loss_analysis QUALIFY ROW_NUMBER() OVER (PARTITION BY layer_id, loss_view ORDER BY row_version DESC) = 1")
 def upsert_latest(t):
+    """What was there at the mark, then what came after it, upserted into a stored table and read from its manifest."""
     rows = t.layer_loss_analysis.select("layer_id", "loss_view", "loss_analysis_id", "row_version")
-    first = cdc.upsert(None, rows.where(f"row_version <= {MARK}"), ["layer_id", "loss_view"])
-    return cdc.upsert(first, rows.where(f"row_version > {MARK}"), ["layer_id", "loss_view"])
+    state = cdc.VersionedTable(rows.sparkSession, temporary(rows.sparkSession, "state"), ["layer_id", "loss_view"])
+    state.apply(rows.where(f"row_version <= {MARK}"), 0)
+    state.apply(rows.where(f"row_version > {MARK}"), 1)
+    return state.read()
 
 
 @query("yelt_modelled", "SELECT layer_id, year, day, peril_id, event_id, loss_pct, rp FROM layer_yelt WHERE loss_type = 1")
@@ -178,6 +181,36 @@ def scenario_layer_losses_nonzero(t):
     return t.scenario_layer_loss.where("gu_loss <> 0").join(t.scenario.where(ACTIVE).select("scenario_id"), "scenario_id", "left_semi")
 
 
+def scenario_rows(df, scenarios=None, layers=None):
+    """Rows of a scenario table by scenario, by layer, or both, each a list of ids (a filter that reaches the source) or a table of them."""
+    for column, wanted in (("scenario_id", scenarios), ("layer_id", layers)):
+        if wanted is None:
+            continue
+        df = df.join(wanted.select(column), column, "left_semi") if hasattr(wanted, "select") else df.where(F.col(column).isin(*wanted))
+    return df
+
+
+@query("scenario_losses_of_scenarios", "SELECT * FROM scenario_layer_loss WHERE scenario_id IN (SELECT scenario_id FROM scenario WHERE run_date = (SELECT MAX(run_date) FROM scenario))")
+def scenario_losses_of_scenarios(t):
+    """Layer losses of the scenarios of the newest run."""
+    newest = t.scenario.agg(F.max("run_date").alias("run_date"))
+    return scenario_rows(t.scenario_layer_loss, scenarios=t.scenario.join(F.broadcast(newest), "run_date")).select(t.scenario_layer_loss.columns)
+
+
+@query("scenario_sections_of_layers", "SELECT * FROM scenario_layer_section WHERE layer_id IN (SELECT layer_id FROM layer WHERE status = 10)")
+def scenario_sections_of_layers(t):
+    """Sections of bound layers in all scenarios."""
+    bound = t.layer.where(F.col("status") == x.BOUND).select(F.col("layer_id").cast("long").alias("layer_id"))
+    return scenario_rows(t.scenario_layer_section, layers=bound).select(t.scenario_layer_section.columns)
+
+
+@query("scenario_reinstatements_of_both", "SELECT * FROM scenario_layer_reinstatement WHERE layer_id IN (SELECT layer_id FROM layer WHERE status = 10) AND scenario_id IN (SELECT scenario_id FROM scenario WHERE is_active AND NOT is_deleted)")
+def scenario_reinstatements_of_both(t):
+    """Reinstatements of bound layers in active scenarios."""
+    bound = t.layer.where(F.col("status") == x.BOUND).select(F.col("layer_id").cast("long").alias("layer_id"))
+    return scenario_rows(t.scenario_layer_reinstatement, t.scenario.where(ACTIVE), bound).select(t.scenario_layer_reinstatement.columns)
+
+
 @query("scenario_retro_losses", "SELECT scenario_id, retro_program_id, l.event_key, CAST(CAST(CAST(l.loss AS DECIMAL(20,8)) * CAST(c.cession AS DECIMAL(16,10)) AS DECIMAL(20,8)) AS DOUBLE) AS ceded_loss FROM scenario_retro_cession_loss l JOIN scenario_retro_cession c USING (scenario_id, retro_program_id) WHERE l.loss IS NOT NULL")
 def scenario_retro_losses(t):
     """Retro losses of scenarios with the program's cession applied."""
@@ -185,29 +218,38 @@ def scenario_retro_losses(t):
     return met.select("scenario_id", "retro_program_id", "event_key", x.times(F.col("loss").cast(x.MONEY), F.col("cession")).cast("double").alias("ceded_loss"))
 
 
-ITD = """SELECT q.layer_id, l.submission_id, s.is_multiyear, s.is_cancellable, q.uw_year{0}, l.segment, q.perspective_id, q.currency, q.facility,
+ITD = """SELECT q.master_key, q.master_key_from, l.layer_id, l.submission_id, s.is_multiyear, s.is_cancellable, q.uw_year{0}, g.segment, q.perspective_id, q.currency, q.facility,
     CAST(SUM(wp) AS DOUBLE) AS wp, CAST(SUM(wp - rip) AS DOUBLE) AS wpxrp, CAST(SUM(rip) AS DOUBLE) AS rp, CAST(SUM(ep) AS DOUBLE) AS ep, CAST(SUM(loss_ult) AS DOUBLE) AS ult_loss
-    FROM qtd q JOIN (SELECT DISTINCT layer_id FROM retro_allocation WHERE cession_gross > 0) a ON a.layer_id = q.layer_id JOIN layer l ON l.layer_id = q.layer_id JOIN submission s ON s.submission_id = l.submission_id
-    WHERE rc = 1 AND q.currency = 'USD' AND acct_period <= 199912 AND perspective_id IN (1, 2) GROUP BY ALL"""
-
-
-def _itd(t: Tables, by_period: bool):
-    ceded = t.retro_allocation.where("cession_gross > 0").select("layer_id").distinct()
-    kept = t.qtd.where("rc = 1 AND currency = 'USD' AND acct_period <= 199912").where(F.col("perspective_id").isin(1, 2)).join(ceded, "layer_id", "left_semi")
-    kept = kept.join(t.layer.select("layer_id", "submission_id", "segment"), "layer_id").join(t.submission.select("submission_id", "is_multiyear", "is_cancellable"), "submission_id")
-    keys = ["layer_id", "submission_id", "is_multiyear", "is_cancellable", "uw_year", *["acct_period"] * by_period, "segment", "perspective_id", "currency", "facility"]
+    FROM qtd q JOIN facility_segment g ON g.facility = q.facility JOIN layer l ON l.regis_mkey = q.master_key AND l.regis_mkey <> '' JOIN submission s ON s.submission_id = l.submission_id
+    WHERE l.layer_id IN (SELECT layer_id FROM retro_allocation WHERE cession_gross > 0) AND rc = 1 AND q.currency = 'USD' AND acct_period <= 199912 AND perspective_id IN (1, 2) GROUP BY ALL"""
+ITD_PERIOD = 199912
+
+
+def itd(t: Tables, period: int = ITD_PERIOD, programs: list[int] | None = None, by_period: bool = False):
+    """Premiums and losses up to an accounting period of the layers ceded to the programs (all, or some), found by their master keys;
+    with ``by_period`` for each period. Segments are those of the facility; one with several counts in each. Layers without a master key
+    have none."""
+    ceded = t.retro_allocation.where("cession_gross > 0")
+    if programs is not None:
+        own = t.sp_insurer.where(F.col("retro_program_id").isin(*programs)).select("sp_insurer_id")
+        ceded = ceded.join(t.retro_investor.join(own, "sp_insurer_id", "left_semi").select("retro_investor_id"), "retro_investor_id", "left_semi")
+    layers = t.layer.where("regis_mkey <> ''").join(ceded.select("layer_id").distinct(), "layer_id", "left_semi")
+    layers = layers.select("layer_id", "submission_id", F.col("regis_mkey").alias("master_key")).join(t.submission.select("submission_id", "is_multiyear", "is_cancellable"), "submission_id")
+    kept = t.qtd.where((F.col("rc") == 1) & (F.col("currency") == "USD") & (F.col("acct_period") <= period) & F.col("perspective_id").isin(1, 2)).drop("layer_id")
+    kept = kept.join(t.facility_segment.select("facility", "segment").distinct(), "facility").join(layers, "master_key")
+    keys = ["master_key", "master_key_from", "layer_id", "submission_id", "is_multiyear", "is_cancellable", "uw_year", *["acct_period"] * by_period, "segment", "perspective_id", "currency", "facility"]
     total = lambda c, n: F.sum(c).cast("double").alias(n)
     return kept.groupBy(*keys).agg(total("wp", "wp"), total(F.col("wp") - F.col("rip"), "wpxrp"), total("rip", "rp"), total("ep", "ep"), total("loss_ult", "ult_loss"))
 
 
-query("itd_metrics", ITD.format(""))(lambda t: _itd(t, False))
-query("itd_quarter_metrics", ITD.format(", q.acct_period"))(lambda t: _itd(t, True))
+query("itd_metrics", ITD.format(""))(lambda t: itd(t))
+query("itd_quarter_metrics", ITD.format(", q.acct_period"))(lambda t: itd(t, by_period=True))
 
 
 @query("csv_roundtrip", "SELECT layer_id, segment, occ_limit FROM layer")
 def csv_roundtrip(t):
     rows = t.layer.select("layer_id", "segment", "occ_limit")
-    path = new_folder(rows.sparkSession, "csv")
+    path = temporary(rows.sparkSession, "csv")
     sinks.write_csv(rows, path)
     return sinks.read_csv(rows.sparkSession, path, rows.schema)
 
@@ -219,9 +261,9 @@ OWN = "CAST(layer_id % 50 AS INT) AS loss_analysis_id, CAST(1 + layer_id % 3 AS
 def versioned_yelt(t):
     """All layers' entries, as three versions of 50 analyses; superseded ones are archived before the rest is read."""
     rows = t.layer_yelt.withColumns({"loss_analysis_id": F.col("layer_id") % 50, "row_version": 1 + F.col("layer_id") % 3}).select("loss_analysis_id", "row_version", "layer_id", "year", "day", "peril_id", "event_id", "loss_pct")
-    spark, path = rows.sparkSession, new_folder(rows.sparkSession, "yelt")
+    spark, path = rows.sparkSession, temporary(rows.sparkSession, "yelt")
     sinks.write_versioned(rows, path)
-    sinks.archive_superseded(spark, path, f"{path}-archive")
+    sinks.archive_superseded(spark, path, temporary(spark, "archive"))
     return sinks.read_latest(spark, path).select(F.col("loss_analysis_id").cast("int"), F.col("row_version").cast("long"), *rows.columns[2:])
 
 
@@ -231,7 +273,7 @@ def two_layer_round_trip(t):
     """The first two layers' tables written as versions, read back, cut to a range of days, merged, and mapped to the merged keys."""
     two = t.layer.select("layer_id").orderBy("layer_id").limit(2)
     rows = t.layer_yelt.join(two, "layer_id", "left_semi").withColumns({"loss_analysis_id": F.col("layer_id"), "row_version": F.lit(1).cast("long")})
-    path = new_folder(rows.sparkSession, "two")
+    path = temporary(rows.sparkSession, "two")
     sinks.write_versioned(rows, path)
     back = y.day_partition(sinks.read_latest(rows.sparkSession, path), 2, 364)
     return back.select("layer_id", *y.KEY).join(y.event_index(back), y.KEY).select("layer_id", *y.KEY, "place")
@@ -241,27 +283,27 @@ def two_layer_round_trip(t):
 def idempotent_append(t):
     """A third of the rows loaded, then all, then all again."""
     rows = t.layer.select("layer_id", "segment")
-    path = new_folder(rows.sparkSession, "load")
+    path = temporary(rows.sparkSession, "load")
     for part in (rows.where("layer_id % 3 = 0"), rows, rows):
         sinks.append_once(part, path, ["layer_id"])
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-@query("appended_runs", "SELECT CAST(1 AS BIGINT) AS run_id, layer_id, status FROM layer WHERE status = 10 UNION ALL SELECT CAST(2 AS BIGINT), layer_id, status FROM layer WHERE status = 22")
+@query("appended_runs", "SELECT CAST(CASE status WHEN 10 THEN 1 WHEN 22 THEN 2 ELSE 3 END AS BIGINT) AS run_id, layer_id, status FROM layer")
 def appended_runs(t):
-    """Two runs appended to tables that are made if missing, each under the next id."""
+    """A run for each status, appended to tables that are made if missing, each under the next id."""
     rows = t.layer.select("layer_id", "status")
-    path = new_folder(rows.sparkSession, "runs")
-    for status in (10, 22):
+    path = temporary(rows.sparkSession, "runs")
+    for status in (10, 22, 36):
         sinks.append_run(rows.where(F.col("status") == status), path, f"status {status}")
     return sinks.read_runs(rows.sparkSession, path).select("run_id", "layer_id", "status")
 
 
-@query("itd_calculation", ITD.format("").replace("SELECT q.layer_id", "SELECT CAST(1 AS BIGINT) AS run_id, q.layer_id"))
+@query("itd_calculation", ITD.format("").replace("SELECT q.master_key,", "SELECT CAST(1 AS BIGINT) AS run_id, q.master_key,"))
 def itd_calculation(t):
     """Inception-to-date metrics exported under the id of a new calculation."""
-    rows = _itd(t, False)
-    path = new_folder(rows.sparkSession, "itd")
+    rows = itd(t)
+    path = temporary(rows.sparkSession, "itd")
     sinks.append_run(rows, path, "itd")
     return sinks.read_runs(rows.sparkSession, path).select("run_id", *rows.columns)
 
@@ -294,6 +336,12 @@ def next_calculation_id(t):
     return sinks.next_id(t.layer, "layer_id")
 
 
+@query("contract_violations", contracts.violations_sql())
+def contract_violations(t):
+    """Keys that repeat and references that name nothing, over all tables."""
+    return contracts.violations(t)
+
+
 @query("primary_key_check", "SELECT layer_id, retro_investor_id, cession_gross FROM retro_allocation")
 def primary_key_check(t):
     return sinks.unique_or_fail(t.retro_allocation.select("layer_id", "retro_investor_id", "cession_gross"), ["layer_id", "retro_investor_id"])

@@ -17,10 +17,6 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def new_folder(spark: SparkSession, kind: str) -> str:
-    return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once, as a Parquet table in the shared folder: lineage ends there and columns stay prunable. The table is
     removed when the driver's JVM ends, whether the session has been stopped before or not."""
@@ -30,12 +26,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def temporary(spark: SparkSession, kind: str) -> str:
-    """As ``new_folder``; what is written there is removed when the driver's JVM ends."""
-    path = new_folder(spark, kind)
-    files, target = _file_system(spark, path)
-    files.mkdirs(target.getParent())
-    files.deleteOnExit(target)
-    return path
+    """A new path in the shared folder, in the application's own part of it, which the driver's JVM removes when it ends."""
+    own = f"{shared_folder(spark)}/inuring-{spark.sparkContext.applicationId}"
+    files, target = _file_system(spark, own)
+    if not files.exists(target):
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+    return f"{own}/{kind}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):

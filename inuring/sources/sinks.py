@@ -67,8 +67,11 @@ def new_rows(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def append_once(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Append the rows whose key the table at ``path`` lacks; it is made if there is none. Appending twice changes nothing."""
+    """Append the rows whose key the table at ``path`` lacks; it is made if there is none. Appending twice changes nothing; of rows
+    that repeat a key, the one whose other columns come first is taken."""
     spark = df.sparkSession
+    own = [c for c in df.columns if c not in keys]
+    df = df.groupBy(*keys).agg(F.min(F.struct(*own)).alias("_row")).select(*keys, "_row.*").select(*df.columns) if own else df.distinct()
     if exists(spark, f"{path}/_SUCCESS"):
         df = new_rows(df, spark.read.schema(df.schema).parquet(path), keys)
     df.write.mode("append").parquet(path)

@@ -31,12 +31,13 @@ FIXTURES = {
                CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE CAST(p_partkey % 3 AS INT) END AS top_up_zone_id,
                CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE DATE '1996-01-01' + CAST(p_partkey % 300 AS INT) END AS bound_fx_date,
                CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST((50 + p_partkey % 100) / 100.0 AS DOUBLE) END AS bound_fx_rate,
-               p_partkey % 11 <> 0 AS is_active, p_partkey % 13 = 0 AS is_deleted
+               p_partkey % 11 <> 0 AS is_active, p_partkey % 13 = 0 AS is_deleted,
+               CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CONCAT('MK', CAST(p_partkey AS VARCHAR(20))) END AS regis_mkey
         FROM {part}""",
     "reinstatement": """
         SELECT CAST(p_partkey * 2 + n_nationkey AS INT) AS reinstatement_id, CAST(p_partkey AS INT) AS layer_id,
                CAST(n_nationkey + 1 AS INT) AS reinstatement_order, CAST(p_size % 3 AS DOUBLE) AS quantity,
-               CAST(1.0 AS DOUBLE) AS premium_share, CAST(0.1 AS DOUBLE) AS brokerage_percentage, CAST(p_partkey AS BIGINT) AS row_version
+               CAST((n_nationkey + 1) / 2.0 AS DOUBLE) AS premium_share, CAST((1 + p_partkey % 2) / 10.0 AS DOUBLE) AS brokerage_percentage, CAST(p_partkey AS BIGINT) AS row_version
         FROM {part} INNER JOIN {nation} ON n_nationkey < 2 AND p_partkey % 2 <= n_nationkey""",
     "submission": """
         SELECT CAST(s_suppkey AS INT) AS submission_id, CASE s_suppkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' ELSE 'JPY' END AS base_currency,
@@ -149,8 +150,10 @@ FIXTURES = {
         SELECT CAST(l_partkey AS INT) AS layer_id, CAST(year(l_shipdate) AS INT) AS uw_year, CAST(year(l_shipdate) * 100 + 12 AS INT) AS acct_period,
                CAST(l_linenumber % 4 + 1 AS INT) AS perspective_id, CASE WHEN l_returnflag = 'A' THEN 'EUR' ELSE 'USD' END AS currency, l_linestatus AS facility,
                CAST(l_linenumber % 2 AS INT) AS rc, CAST(l_extendedprice AS DECIMAL(18,4)) AS wp, CAST(l_tax AS DECIMAL(18,4)) AS rip,
-               CAST(l_quantity AS DECIMAL(18,4)) AS ep, CAST(l_discount AS DECIMAL(18,4)) AS loss_ult
+               CAST(l_quantity AS DECIMAL(18,4)) AS ep, CAST(l_discount AS DECIMAL(18,4)) AS loss_ult,
+               CASE WHEN l_partkey % 7 = 1 THEN '' ELSE CONCAT('MK', CAST(l_partkey AS VARCHAR(20))) END AS master_key, CONCAT('MF', CAST(l_partkey % 10 AS VARCHAR(20))) AS master_key_from
         FROM {lineitem}""",
+    "facility_segment": "SELECT DISTINCT l_linestatus AS facility, CASE WHEN l_linestatus = 'O' THEN 'Property' WHEN l_returnflag = 'A' THEN 'Casualty' ELSE 'Marine' END AS segment FROM {lineitem}",
 }
 
 
@@ -186,7 +189,7 @@ def catalog_tables(spark: SparkSession, database: str) -> Callable[[str], DataFr
 
 def configured(spark: SparkSession) -> Callable[[str], DataFrame] | None:
     """The reader that ``spark.inuring.tables`` names: ``parquet:<folder>``, ``catalog:<database>`` or ``jdbc:...`` (a URL, its
-    properties under ``spark.inuring.jdbc.``); None without the setting."""
+    properties under ``spark.inuring.jdbc.``, at most ``spark.inuring.parts`` connections a table); None without the setting."""
     where = spark.conf.get("spark.inuring.tables", None)
     if not where:
         return None
@@ -197,7 +200,8 @@ def configured(spark: SparkSession) -> Callable[[str], DataFrame] | None:
         return catalog_tables(spark, rest)
     if kind == "jdbc":
         start = "spark.inuring.jdbc."
-        return jdbc_tables(spark, where, {k[len(start) :]: v for k, v in spark.conf.getAll.items() if k.startswith(start)})
+        properties = {k[len(start) :]: v for k, v in spark.conf.getAll.items() if k.startswith(start)}
+        return jdbc_tables(spark, where, properties, parts=int(spark.conf.get("spark.inuring.parts", "16")))
     raise ValueError(f"spark.inuring.tables must begin with parquet:, catalog: or jdbc:, not {kind}:")
 
 
@@ -213,13 +217,32 @@ def with_fixtures(sql: str) -> str:
     return f"WITH {ctes} {rest}" if used else rest
 
 
-def jdbc_tables(spark: SparkSession, url: str, properties: dict[str, str], partition: tuple[str, int, int, int] | None = None) -> Callable[[str], DataFrame]:
-    """A reader of tables in a database. ``partition`` (column, lowest, highest, parts) reads in parallel."""
+#: Rows from which a table of a database is read through a further connection.
+ROWS_A_PART = 100_000
+#: Rows for each number from the lowest to the highest key from which ranges of keys count as even.
+EVEN = 0.5
+
+
+def jdbc_tables(spark: SparkSession, url: str, properties: dict[str, str], parts: int = 16, rows_a_part: int = ROWS_A_PART) -> Callable[[str], DataFrame]:
+    """A reader of tables in a database, in parallel: a query for the lowest and highest value of a whole-number column and the number
+    of rows tells how many parts a table has. Where the values are dense the parts are ranges of them, which an index serves; else
+    they go by the remainder, which is even whatever the gaps. Filters and columns reach the database either way.
+    """
 
     def read(name: str) -> DataFrame:
-        if partition is None:
-            return spark.read.jdbc(url, name, properties=properties)
-        column, low, high, parts = partition
-        return spark.read.jdbc(url, name, column=column, lowerBound=low, upperBound=high, numPartitions=parts, properties=properties)
+        whole = spark.read.jdbc(url, name, properties=properties)
+        column = next((f.name for f in whole.schema if f.dataType.typeName() in ("integer", "long", "short")), None)
+        if column is None:
+            return whole
+        own = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+        probe = spark.read.jdbc(url, f"(SELECT MIN({own}) AS low, MAX({own}) AS high, COUNT(*) AS n FROM {name}) probe", properties=properties).first()
+        low, high, n = (int(x) if x is not None else None for x in probe)
+        wanted = min(parts, -(-n // rows_a_part))
+        if wanted <= 1 or low is None or low == high:
+            return whole
+        if n >= EVEN * (high - low + 1):
+            return spark.read.jdbc(url, name, column=column, lowerBound=low, upperBound=high + 1, numPartitions=wanted, properties=properties)
+        rest = lambda k: f"MOD({own}, {wanted}) IN ({k}, {k - wanted})" if k else f"MOD({own}, {wanted}) = 0 OR {own} IS NULL"
+        return spark.read.jdbc(url, name, predicates=[rest(k) for k in range(wanted)], properties=properties)
 
     return read

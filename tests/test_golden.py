@@ -189,13 +189,43 @@ def test_sections_feed_their_layers(spark):
     assert out == {1: 60.0, 2: 50.0, 3: 70.0, 4: 65.0, 9: 5.0}
 
 
+SCENARIO = "scenario_id long, event_key long, event_date date, layer_id int, gu_loss double, fx_rate_to_layer_currency double, limit_basis int, premium double, occ_limit double, agg_limit double, risk_limit double, occ_retention double, agg_retention double, risk_retention double"
+BANDS = "reinstatement_id int, layer_id int, reinstatement_order int, quantity double, premium_share double, brokerage_percentage double"
+
+
 def test_scenario_losses_by_hand(spark):
-    """Two events of 100 over 20 up to 50, 15 of it retained for the year; half the limit and more is reinstated once."""
-    columns = "scenario_id long, layer_id int, gu_loss double, fx_rate_to_layer_currency double, limit_basis int, premium double, occ_limit double, agg_limit double, risk_limit double, occ_retention double, agg_retention double, risk_retention double"
-    rows = [(1, 1, 100.0, 1.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 15.0, 0.0)] * 2 + [(1, 2, 100.0, 2.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 0.0, 0.0)]
-    reinstatements = spark.createDataFrame([(1, 1.0, 0.5)], "layer_id int, quantity double, premium_share double")
-    out = {r.layer_id: (r.events, float(r.loss), float(r.reinst_premium)) for r in layering.scenario_losses(spark.createDataFrame(rows, columns), reinstatements).collect()}
-    assert out == {1: (2, 80.0, 5.0), 2: (1, 25.0, 0.0)}
+    """Two events of 100 over 20 up to 50, 15 of it retained for the year; the first use of the limit is reinstated, at half the premium."""
+    rows = [(1, k, D(2024, 1, k), 1, 100.0, 1.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 15.0, 0.0) for k in (1, 2)]
+    rows += [(1, 3, D(2024, 1, 1), 2, 100.0, 2.0, 3, 10.0, 50.0, 80.0, 0.0, 20.0, 0.0, 0.0)]
+    reinstatements = spark.createDataFrame([(1, 1, 1, 1.0, 0.5, 0.2)], BANDS)
+    out = {r.layer_id: (r.events, *map(float, (r.loss, r.reinst_premium, r.brokerage))) for r in layering.scenario_losses(spark.createDataFrame(rows, SCENARIO), reinstatements).collect()}
+    assert out == {1: (2, 80.0, 5.0, 1.0), 2: (1, 25.0, 0.0, 0.0)}
+
+
+def test_reinstatements_in_their_order(spark):
+    """One free use of a limit of 100, the next at half the premium of 1000, the third at all of it; then none. Events by date, not
+    by key: 60, 100, 100, 140 (up to the limit: 100), of which the last uses 40 of the third and 60 of nothing."""
+    dated = [(4, D(2024, 1, 1), 60.0), (3, D(2024, 1, 2), 100.0), (2, D(2024, 1, 3), 100.0), (1, D(2024, 1, 4), 140.0)]
+    rows = [(1, k, d, 1, x, 1.0, 3, 1000.0, 100.0, 1000.0, 0.0, 0.0, 0.0, 0.0) for k, d, x in dated]
+    bands = spark.createDataFrame([(7, 1, 3, 1.0, 1.0, 0.1), (8, 1, 1, 1.0, 0.0, 0.1), (9, 1, 2, 1.0, 0.5, 0.2), (5, 1, 4, 0.0, 9.0, 0.0)], BANDS)
+    events = layering.scenario_event_losses(spark.createDataFrame(rows, SCENARIO))
+    out = {(r.event_key, r.band): (float(r.reinst_premium), float(r.brokerage)) for r in layering.reinstated(events, layering.reinstatement_bands(bands), ["event_key"]).collect()}
+    assert out == {(4, 1): (0.0, 0.0), (3, 1): (0.0, 0.0), (3, 2): (300.0, 60.0), (2, 2): (200.0, 40.0), (2, 3): (600.0, 60.0), (1, 3): (400.0, 40.0)}
+
+
+def test_a_long_chain_and_what_joins_it(spark):
+    """5,000 edges in a row, a second way into each hundredth vertex, and a ladder of vertices with two edges into each."""
+    edges = [(k, k + 1) for k in range(5000)] + [(10000 + k, k * 1000) for k in range(1, 3)]
+    edges += [(20000 + k, 20001 + k) for k in range(6)] + [(20000 + k, 20002 + k) for k in range(5)]
+    out = {r.vertex: r.depth for r in graph.topological_depth(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect()}
+    assert [out[k] for k in (0, 1, 999, 1000, 1001, 4999, 5000)] == [0, 1, 999, 1000, 1001, 4999, 5000]
+    assert [out[20000 + k] for k in range(7)] == list(range(7)) and out[10001] == 0
+
+
+@pytest.mark.parametrize("edges,named", [([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (9, 8)], r"\[1, 2, 3\]"), ([(1, 2), (2, 3), (3, 2), (5, 2), (3, 6), (6, 7), (5, 7)], r"\[2\]|\[2, 3\]"), ([(1, 1)], r"\[1\]")])
+def test_cycles_are_named(spark, edges, named):
+    with pytest.raises(ValueError, match=f"has a cycle: {named}"):
+        graph.topological_depth(spark.createDataFrame(edges, "a int, b int"), "a", "b")
 
 
 def test_franchise(spark):
