@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -34,20 +33,23 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def temporary(spark: SparkSession) -> str:
-    """As ``folder``; what is written there goes at the end of the ``intermediate`` block, else of the program."""
+    """As ``folder``; what is written there goes at the end of the ``intermediate`` block, else when the driver's JVM ends."""
     path = folder(spark)
     if _open.get():
         _open.get()[-1].append(path)
-    else:
-        atexit.register(_forget, spark, path)
-    return path
+        return path
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return f"{path}/table"
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: its lineage ends there and survives lost executors.
 
-    Inside an ``intermediate`` block the table goes at its end, else when the program ends, if the session is still there to
-    delete it.
+    Inside an ``intermediate`` block the table goes at its end, else when the driver's JVM ends.
     """
     spark, path = df.sparkSession, temporary(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
