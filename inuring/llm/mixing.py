@@ -28,8 +28,11 @@ MOST_LABELLED = 10_000
 #: Words that the classifier looks for: all those in so many documents of a domain that make it likelier by this log-odds
 #: ratio at least, by its z-score.
 LEAST_SEEN, LEAST_ODDS, LEAST_Z = 5, 2.0, 3.0
-#: Steps of the fit at most, and the distance from every target, as a share of it, at which it is met.
-STEPS, CLOSE = 60, 1e-3
+#: The distance from every target, as a share of it, at which it is met.
+CLOSE = 1e-3
+#: Length of a step of the fit, and the share by which a further gradient step would still change the rates (root mean square over
+#: tokens) at which no rates are nearer.
+LONG, STILL = 1e7, 1e-6
 UNIT = 1000
 
 
@@ -152,14 +155,22 @@ def _summed(weights: Column, base: float) -> Column:
     return F.aggregate("found", F.lit(base), lambda s, at: s + F.get(weights, at))
 
 
-def rate(steps: list[list[float]]) -> Column:
-    """The rate after these steps, from 1: each takes the domains' corrections by the document's probabilities, not below 0."""
+def _moved(step: Column, k: int) -> Column:
+    return sum((F.get(step, F.lit(j)) * F.col(f"m{j}") for j in range(k)), F.lit(0.0)) / UNIT
+
+
+def _within(r: Column, most: float | None) -> Column:
+    r = F.greatest(F.lit(0.0), r)
+    return r if most is None else F.least(F.lit(float(most)), r)
+
+
+def rate(steps: list[list[float]], most: float | None = None) -> Column:
+    """The rate after these steps, from 1: each takes the domains' corrections by the document's probabilities, not below 0 nor above
+    ``most``."""
     if not steps:
         return F.lit(1.0)
-    k = len(steps[0])
-    moved = lambda e: sum((F.get(e, F.lit(j)) * F.col(f"m{j}") for j in range(k)), F.lit(0.0)) / UNIT
     every = F.array(*[F.array(*[F.lit(float(x)) for x in e]) for e in steps])
-    return F.aggregate(every, F.lit(1.0), lambda r, e: F.greatest(F.lit(0.0), r - moved(e)))
+    return F.aggregate(every, F.lit(1.0), lambda r, e: _within(r - _moved(e, len(steps[0])), most))
 
 
 @dataclass
@@ -175,50 +186,81 @@ class Fit:
         return max((abs(h - w) / max(w, 1e-6 * whole, 1e-9) for h, w in zip(self.have, self.wanted)), default=0.0)
 
 
-def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, close: float = CLOSE) -> Fit:
-    """Rates that meet ``targets`` (tokens); ``members`` has ``m0``... and the ``n_tokens`` of all documents with these
-    probabilities.
-
-    Projected gradient on the squares of the domains' distances, each in units of the domain's tokens at rate 1. The gradient
-    is taken in the metric of the documents that can still move (rate above 0): with the inverse of their Gram matrix, as
-    many rows as domains, a step meets the targets at once but for rates that end at 0. A step that doesn't lower the squares is
-    shortened twice, then the plain gradient is taken, whose full step is safe: by the units, the system's rows add up to
-    one. It ends when
-    every target is met to ``close``, when no step lowers the squares any more (the targets can't be met then, and the fit is
-    the nearest), or after ``steps`` aggregates. Domains without tokens can't be moved.
+@dataclass
+class _At:
+    """Sums at the rates after a path and one more step: the domains' tokens, the Gram matrix of the documents whose rates can move
+    both ways, the potential whose slope the tokens are, and how far the step has moved the rates (squares by tokens)."""
+
+    have: np.ndarray
+    gram: np.ndarray
+    potential: float
+    moved: float
+
+
+def _sums(members: DataFrame, path: list[list[float]], step: np.ndarray, most: float | None) -> _At:
+    k, n = len(step), F.col("n_tokens") / UNIT
+    before = members.withColumn("before", rate(path, most))
+    free = F.col("before") - _moved(F.array(*[F.lit(float(x)) for x in step]), k)
+    points = before.withColumn("free", free).withColumn("rate", _within(F.col("free"), most))
+    top = F.lit(False) if most is None else F.col("free") >= most
+    inside = (F.col("free") > 0) & ~top
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
+    potential = F.when(F.col("free") <= 0, 0.0).when(top, (most or 0.0) * F.col("free") - (most or 0.0) ** 2 / 2).otherwise(F.col("free") ** 2 / 2)
+    found = points.agg(
+        *[total(F.col("rate") * n * F.col(f"m{j}"), f"e{j}") for j in range(k)],
+        *[total(F.when(inside, n * F.col(f"m{i}") * F.col(f"m{j}") / UNIT), f"g{i}_{j}") for i, j in pairs],
+        total(F.col("n_tokens") * potential, "potential"),
+        total(F.col("n_tokens") * (F.col("rate") - F.col("before")) ** 2, "moved"),
+    ).first()
+    gram = np.zeros((k, k))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = found[f"g{i}_{j}"]
+    return _At(np.array([found[f"e{j}"] for j in range(k)], float), gram, found["potential"], found["moved"])
+
+
+def fit_rates(members: DataFrame, targets: list[float], most: float | None = None, close: float = CLOSE) -> Fit:
+    """Rates from 0 to ``most`` that meet ``targets`` (tokens), or come nearest; ``members`` has ``m0``... and the ``n_tokens`` of all
+    documents with these probabilities.
+
+    Projected gradient on the squares of the domains' distances, each in units of the domain's tokens at rate 1. The steps are
+    long and implicit: a step of length LONG goes along the gradient at the rates where it ends, so it can't go too far, and as the
+    gradient of a document depends on its probabilities only, such a step is one correction a domain. That is found by Newton's
+    method on a convex function of as many numbers as domains, each trial an aggregate. Steps follow until every target is
+    met to ``close``, or until a plain gradient step no longer moves the rates (STILL): then no rates are nearer. Domains
+    without tokens can't be moved.
     """
     k = len(targets)
-    n = F.col("n_tokens") / UNIT
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-
-    def sums(path: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
-        own = [F.coalesce(F.sum(F.col("rate") * n * F.col(f"m{j}")), F.lit(0.0)).alias(f"e{j}") for j in range(k)]
-        gram = [F.coalesce(F.sum(F.when(F.col("rate") > 0, n * F.col(f"m{i}") * F.col(f"m{j}") / UNIT)), F.lit(0.0)).alias(f"g{i}_{j}") for i, j in pairs]
-        found = members.withColumn("rate", rate(path)).agg(*own, *gram).first()
-        matrix = np.zeros((k, k))
-        for i, j in pairs:
-            matrix[i, j] = matrix[j, i] = found[f"g{i}_{j}"]
-        return np.array([found[f"e{j}"] for j in range(k)], float), matrix
-
-    fit = Fit([], list(targets))
-    have, gram = sums([])
+    fit, start = Fit([], list(targets)), _sums(members, [], np.zeros(len(targets)), None)
+    have, whole = start.have, float(start.have.sum())
     fit.have = have.tolist()
-    unit = np.where(have > 0, have, 1.0)
-    whole, goal, live = float(have.sum()), np.array(targets, float), have > 0
-    squares = lambda h: float((np.where(live, h - goal, 0.0) ** 2 / unit).sum())
-    best, tries = squares(have), 0
-    for _ in range(steps):
-        if Fit([], [w for w, ok in zip(targets, live) if ok], have[live].tolist()).residual(whole) <= close or tries > 3:
+    live, unit = have > 0, np.where(have > 0, have, 1.0)
+    goal = np.where(live, np.array(targets, float), 0.0)
+    squares = lambda h: float(((h - goal) ** 2 / unit).sum())
+    while live.any() and Fit([], goal[live].tolist(), have[live].tolist()).residual(whole) > close:
+        if _sums(members, fit.steps, (have - goal) / unit, most).moved <= STILL**2 * whole:
             break
-        off = np.where(live, have - goal, 0.0)
-        step = off / unit if tries == 3 else np.where(live, np.linalg.lstsq(gram, off, rcond=1e-12)[0], 0.0) / 4**tries
-        path = [*fit.steps, [round(float(x), 12) for x in step]]
-        new, new_gram = sums(path)
-        if squares(new) < best * (1 - 1e-5):
-            best, have, gram, tries = squares(new), new, new_gram, 0
-            fit.steps, fit.have = path, have.tolist()
-        else:
-            tries += 1
+        step, at = np.zeros(k), _sums(members, fit.steps, np.zeros(k), most)
+        slope = lambda a, e: a.have - goal - unit * e / LONG
+        height = lambda a, e: a.potential + goal @ e + float((unit * e**2).sum()) / (2 * LONG)
+        while np.abs(slope(at, step) / unit).max() > 1e-9:
+            up = slope(at, step)
+            way, size = np.linalg.solve(at.gram + np.diag(unit / LONG), up), 1.0
+            while size > 1e-9:
+                new = step + size * way
+                tried = _sums(members, fit.steps, new, most)
+                lower = height(tried, new) <= height(at, step) - 1e-4 * size * float(up @ way)
+                if lower or np.abs(slope(tried, new) / unit).max() <= 0.5 * np.abs(up / unit).max():
+                    break
+                size /= 2
+            else:
+                break  # nothing lower in the numbers at hand
+            step, at = new, tried
+        if squares(at.have) >= squares(have) * (1 - 1e-9):
+            break
+        fit.steps.append([float(x) for x in step])
+        have = at.have
+        fit.have = have.tolist()
     if fit.residual(whole) > close:
         warnings.warn(f"domain targets {fit.wanted} are not met: the fitted rates give {fit.have}", stacklevel=2)
     return fit
@@ -233,9 +275,10 @@ def mix(
     relative: bool = False,
     seed: int = 10,
     keep_text: bool = True,
+    most: float | None = None,
 ) -> DataFrame:
-    """``df`` (without its text, unless ``keep_text``) with ``n_tokens``, ``memberships`` (domain -> probability), ``rate`` and
-    ``copies``.
+    """``df`` (without its text, unless ``keep_text``) with ``n_tokens``, ``memberships`` (domain -> probability), ``rate`` (from 0 to
+    ``most``) and ``copies``.
 
     ``labelled`` has doc_id and domain. ``targets`` gives each domain's share of the tokens that there are, or with
     ``relative`` the factor by which the domain's own expected tokens are to change. ``copies`` is the rate rounded up or
@@ -256,8 +299,8 @@ def mix(
     have = points.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(m)), F.lit(0)).alias(m) for m in members]).first()
     tokens = [float(have[m]) / UNIT for m in members]
     wanted = [w * (own_tokens if relative else sum(tokens) / sum(targets.values())) for w, own_tokens in zip(targets.values(), tokens)]
-    fit = fit_rates(points, wanted)
-    rows = rows.withColumn("rate", F.round(rate(fit.steps), 9))
+    fit = fit_rates(points, wanted, most)
+    rows = rows.withColumn("rate", F.round(rate(fit.steps, most), 9))
     chance = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) / float(1 << 20)
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
     names = fresh(df, "n_tokens", "memberships", "rate", "copies")

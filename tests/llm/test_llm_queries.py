@@ -72,6 +72,13 @@ def test_mixing_query(spark, sf_dir, documents):
     assert {r.doc_id: r.n_tokens for r in out} == {i: len(plain.NON_SPACE.findall(t or "")) for i, t in documents.items()}
     for r in out:
         assert abs(sum(r[f"p_{d}"] for d in TARGETS) - 1) < 1e-9 and r.rate >= 0 and 0 <= r.copies - np.floor(r.rate) <= 1
+    p, n, rates = (np.array(x, float) for x in ([[r[f"p_{d}"] for d in TARGETS] for r in out], [r.n_tokens for r in out], [r.rate for r in out]))
+    unit, whole = p.T @ n, n.sum()
+    goal = np.array(list(TARGETS.values())) * whole / sum(TARGETS.values())
+    off = (p.T @ (rates * n) - goal) / unit
+    # met, or the nearest: a gradient step at these rates would not move them
+    met = np.abs(off * unit / goal).max() <= 0.0011
+    assert met or np.sqrt((n * (rates - np.maximum(0, rates - p @ off)) ** 2).sum() / whole) <= 1e-4
     same = collections.defaultdict(set)
     for r in out:
         same[documents[r.doc_id]].add((r.p_good, r.p_poor, r.p_toxic, r.rate))

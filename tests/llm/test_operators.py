@@ -580,25 +580,44 @@ def test_classifier_keeps_every_clear_word(spark):
         assert kinds[i] != "toxic" or out[i]["toxic"] > 0.5
 
 
-def plain_fit(p, n, targets):
-    """Projected gradient on relative squares with small steps, until nothing moves."""
+def plain_fit(p, n, targets, most=np.inf, steps=200_000):
+    """Accelerated projected gradient on relative squares with steps of one, long past the last change."""
     rate, at_one = np.ones(len(n)), p.T @ n
-    for _ in range(200_000):
-        rate = np.maximum(0, rate - 0.5 * p @ ((p.T @ (rate * n) - targets) / at_one))
+    unit, before = np.where(at_one > 0, at_one, 1), rate
+    for k in range(steps):
+        ahead = rate + k / (k + 3) * (rate - before)
+        before, rate = rate, np.clip(ahead - p @ ((p.T @ (ahead * n) - targets) / unit), 0, most)
     return p.T @ (rate * n)
 
 
+@pytest.mark.parametrize("most", [None, 1.0, 1.5])
 @pytest.mark.parametrize("targets", [(60.0, 35.0, 1.0), (50.0, 20.0, 15.0), (70.0, 0.0, 0.0)])
-def test_rates_against_plain_descent(spark, targets):
+def test_rates_against_plain_descent(spark, targets, most):
     rows = [(900, 100, 0, 50), (100, 800, 100, 30), (0, 0, 1000, 20), (500, 0, 500, 5)]
     points = spark.createDataFrame(rows, "m0 long, m1 long, m2 long, n_tokens long")
-    fit = mixing.fit_rates(points, list(targets))
+    fit = mixing.fit_rates(points, list(targets), most)
     p, n = np.array([r[:3] for r in rows]) / 1000, np.array([r[3] for r in rows], float)
-    plain_have, unit = plain_fit(p, n, np.array(targets)), p.T @ n
+    plain_have, unit = plain_fit(p, n, np.array(targets), most or np.inf, 20_000), p.T @ n
     squares = lambda have: ((np.array(have) - targets) ** 2 / unit).sum()
-    assert squares(fit.have) <= 1.001 * squares(plain_have) + 1e-3
-    got = {r.n_tokens: r.r for r in points.select("n_tokens", mixing.rate(fit.steps).alias("r")).collect()}
-    assert all(r >= 0 for r in got.values()) and np.allclose(p.T @ (n * [got[k] for k in n]), fit.have, atol=1e-6)
+    assert squares(fit.have) <= 1.001 * squares(plain_have) + 1e-4
+    got = {r.n_tokens: r.r for r in points.select("n_tokens", mixing.rate(fit.steps, most).alias("r")).collect()}
+    assert all(0 <= r <= (most or np.inf) for r in got.values()) and np.allclose(p.T @ (n * [got[k] for k in n]), fit.have, atol=1e-6)
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_fit_of_the_pipeline_is_the_nearest(spark, most):
+    """The pipeline's factors over all documents of a larger corpus: squares within a hundredth of a long plain run."""
+    sf_dir, factors = "/root/testdata/sf0.01", np.array([1.0, 1.0, 0.01])
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    out = mixing.mix(docs, mixing.label_domains(labels), dict(zip(("good", "poor", "toxic"), factors)), relative=True, keep_text=False, most=most).collect()
+    p, n = np.array([[r.memberships[d] for d in ("good", "poor", "toxic")] for r in out]), np.array([r.n_tokens for r in out], float)
+    rates, unit = np.array([r.rate for r in out]), p.T @ n
+    goal = factors * unit
+    squares = lambda have: ((have - goal) ** 2 / unit).sum()
+    nearest = plain_fit(p, n, goal, most or np.inf, 30_000)
+    assert (rates >= 0).all() and (most is None or (rates <= most).all())
+    met = np.abs(p.T @ (rates * n) / goal - 1).max() <= mixing.CLOSE * 1.01
+    assert met or squares(p.T @ (rates * n)) <= 1.01 * squares(nearest) + 1e-3
 
 
 def test_unreachable_targets_are_reported(spark):
