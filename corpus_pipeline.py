@@ -37,10 +37,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by their fitted rates, each rounded up or down by a hash of its id. The factors ask for no further copies, so
-    a rate above 1, which makes up for what the other domains take away, keeps a document once."""
+    """Documents by their fitted rates, each rounded up or down by a hash of its id. Rates are fitted between 0 and 1, as the
+    factors ask for no further copies; what that leaves of the targets is the nearest there is."""
     labels = label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    mixed = mix(docs, labels, FACTORS, relative=True)
+    mixed = mix(docs, labels, FACTORS, relative=True, most=1.0)
     copies = mixed.columns[-1]
     return mixed.where(f"`{copies}` >= 1").select(*docs.columns)
 
