@@ -14,9 +14,11 @@ EXPORTS = {
     "retro_metrics": ["retro_program_id"],
     "retro_layer_metrics": ["retro_program_id", "layer_id", "start"],
     "premium_by_profile": ["retro_profile_id"],
-    "conditional_yelt": ["layer_id", "year", "day"],
+    "conditional_yelt": ["loss_view", "layer_id", "year", "day"],
     "itd_metrics": ["layer_id", "uw_year"],
-    "simulation_log": ["layer_id"],
+    "simulation_log": ["layer_id", "loss_view", "place"],
+    "scenario_reinstatements": ["scenario_id", "layer_id", "reinstatement_order", "reinstatement_id"],
+    "scenario_retro_cessions": ["scenario_id", "retro_program_id"],
 }
 
 
