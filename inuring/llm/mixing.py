@@ -30,9 +30,11 @@ MOST_LABELLED = 10_000
 LEAST_SEEN, LEAST_ODDS, LEAST_Z = 5, 2.0, 3.0
 #: The distance from every target, as a share of it, at which it is met.
 CLOSE = 1e-3
-#: Length of a step of the fit, and the share by which a further gradient step would still change the rates (root mean square over
-#: tokens) at which no rates are nearer.
-LONG, STILL = 1e7, 1e-6
+#: Lengths of a step of the fit, each begun where the shorter one ended, and the share by which a further gradient step would still
+#: change the rates (root mean square over tokens) at which no rates are nearer.
+LONG, STILL = (1e3, 1e5, 1e7), 1e-6
+#: Shares of a Newton step that are tried at once, and the slope (as a share of a domain's tokens) at which its place is found.
+SIZES, EVEN = tuple(4.0**-i for i in range(10)), 1e-8
 UNIT = 1000
 
 
@@ -197,26 +199,30 @@ class _At:
     moved: float
 
 
-def _sums(members: DataFrame, path: list[list[float]], step: np.ndarray, most: float | None) -> _At:
-    k, n = len(step), F.col("n_tokens") / UNIT
+def _sums(members: DataFrame, path: list[list[float]], steps: list[np.ndarray], most: float | None) -> list[_At]:
+    """The sums after each of several further steps, in one aggregate."""
+    k, n = len(steps[0]), F.col("n_tokens") / UNIT
     before = members.withColumn("before", rate(path, most))
-    free = F.col("before") - _moved(F.array(*[F.lit(float(x)) for x in step]), k)
-    points = before.withColumn("free", free).withColumn("rate", _within(F.col("free"), most))
+    tried = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
+    each = before.select("*", F.posexplode(tried).alias("which", "step"))
+    points = each.withColumn("free", F.col("before") - _moved(F.col("step"), k)).withColumn("rate", _within(F.col("free"), most))
     top = F.lit(False) if most is None else F.col("free") >= most
     inside = (F.col("free") > 0) & ~top
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
     potential = F.when(F.col("free") <= 0, 0.0).when(top, (most or 0.0) * F.col("free") - (most or 0.0) ** 2 / 2).otherwise(F.col("free") ** 2 / 2)
-    found = points.agg(
-        *[total(F.col("rate") * n * F.col(f"m{j}"), f"e{j}") for j in range(k)],
-        *[total(F.when(inside, n * F.col(f"m{i}") * F.col(f"m{j}") / UNIT), f"g{i}_{j}") for i, j in pairs],
-        total(F.col("n_tokens") * potential, "potential"),
-        total(F.col("n_tokens") * (F.col("rate") - F.col("before")) ** 2, "moved"),
-    ).first()
-    gram = np.zeros((k, k))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = found[f"g{i}_{j}"]
-    return _At(np.array([found[f"e{j}"] for j in range(k)], float), gram, found["potential"], found["moved"])
+    sums = points.groupBy("which").agg(
+        *[F.sum(F.col("rate") * n * F.col(f"m{j}")).alias(f"e{j}") for j in range(k)],
+        *[F.sum(F.when(inside, n * F.col(f"m{i}") * F.col(f"m{j}") / UNIT).otherwise(0.0)).alias(f"g{i}_{j}") for i, j in pairs],
+        F.sum(F.col("n_tokens") * potential).alias("potential"),
+        F.sum(F.col("n_tokens") * (F.col("rate") - F.col("before")) ** 2).alias("moved"),
+    )
+    out = [_At(np.zeros(k), np.zeros((k, k)), 0.0, 0.0) for _ in steps]  # of no documents
+    for found in sums.collect():
+        gram = np.zeros((k, k))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = found[f"g{i}_{j}"]
+        out[found["which"]] = _At(np.array([found[f"e{j}"] for j in range(k)], float), gram, found["potential"], found["moved"])
+    return out
 
 
 def fit_rates(members: DataFrame, targets: list[float], most: float | None = None, close: float = CLOSE) -> Fit:
@@ -226,36 +232,35 @@ def fit_rates(members: DataFrame, targets: list[float], most: float | None = Non
     Projected gradient on the squares of the domains' distances, each in units of the domain's tokens at rate 1. The steps are
     long and implicit: a step of length LONG goes along the gradient at the rates where it ends, so it can't go too far, and as the
     gradient of a document depends on its probabilities only, such a step is one correction a domain. That is found by Newton's
-    method on a convex function of as many numbers as domains, each trial an aggregate. Steps follow until every target is
+    method on a convex function of as many numbers as domains, each of its steps an aggregate that tries several sizes. Steps follow until every target is
     met to ``close``, or until a plain gradient step no longer moves the rates (STILL): then no rates are nearer. Domains
     without tokens can't be moved.
     """
     k = len(targets)
-    fit, start = Fit([], list(targets)), _sums(members, [], np.zeros(len(targets)), None)
+    fit = Fit([], list(targets))
+    (start,) = _sums(members, [], [np.zeros(k)], None)
     have, whole = start.have, float(start.have.sum())
     fit.have = have.tolist()
     live, unit = have > 0, np.where(have > 0, have, 1.0)
     goal = np.where(live, np.array(targets, float), 0.0)
     squares = lambda h: float(((h - goal) ** 2 / unit).sum())
     while live.any() and Fit([], goal[live].tolist(), have[live].tolist()).residual(whole) > close:
-        if _sums(members, fit.steps, (have - goal) / unit, most).moved <= STILL**2 * whole:
+        step = np.zeros(k)
+        plain, at = _sums(members, fit.steps, [(have - goal) / unit, step], most)
+        if plain.moved <= STILL**2 * whole:
             break
-        step, at = np.zeros(k), _sums(members, fit.steps, np.zeros(k), most)
-        slope = lambda a, e: a.have - goal - unit * e / LONG
-        height = lambda a, e: a.potential + goal @ e + float((unit * e**2).sum()) / (2 * LONG)
-        while np.abs(slope(at, step) / unit).max() > 1e-9:
-            up = slope(at, step)
-            way, size = np.linalg.solve(at.gram + np.diag(unit / LONG), up), 1.0
-            while size > 1e-9:
-                new = step + size * way
-                tried = _sums(members, fit.steps, new, most)
-                lower = height(tried, new) <= height(at, step) - 1e-4 * size * float(up @ way)
-                if lower or np.abs(slope(tried, new) / unit).max() <= 0.5 * np.abs(up / unit).max():
-                    break
-                size /= 2
-            else:
-                break  # nothing lower in the numbers at hand
-            step, at = new, tried
+        for long in LONG:
+            slope = lambda a, e: a.have - goal - unit * e / long  # noqa: B023, E731
+            height = lambda a, e: a.potential + goal @ e + float((unit * e**2).sum()) / (2 * long)  # noqa: B023, E731
+            while np.abs(slope(at, step) / unit).max() > EVEN:
+                up = slope(at, step)
+                way = np.linalg.solve(at.gram + np.diag(unit / long), up)
+                tries = [step + size * way for size in SIZES]
+                found = [(height(a, e), a, e, size) for a, e, size in zip(_sums(members, fit.steps, tries, most), tries, SIZES)]
+                low, best, new, size = min(found, key=lambda f: f[0])
+                if low > height(at, step) - 1e-12 * abs(height(at, step)) and np.abs(slope(best, new)).max() >= np.abs(up).max():
+                    break  # nothing lower in the numbers at hand
+                step, at = new, best
         if squares(at.have) >= squares(have) * (1 - 1e-9):
             break
         fit.steps.append([float(x) for x in step])
