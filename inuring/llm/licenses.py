@@ -1,14 +1,14 @@
-"""License scans with a positional index of words.
+"""License scans with a positional index of rare words.
 
-Templates (notices) are indexed by word and position. Each licence word of a file is looked up at every place; the postings
-that agree on where the template would start are its words in place, counted exactly. A template that stands is then verified
-for its key phrases, which must lie in the notice as placed. A key phrase is looked up by its own rarest word, by IDF over the
-whole table, at every place, so each of its occurrences is found whatever else the file holds.
+Templates (notices) are indexed by word and position. Of each template only its rarest words, by IDF over the whole table, are
+looked up in a file: as many as may be missing from a notice, and one more, so any notice that stands has one of them. Their
+postings, less their positions, are where the template may start; there its other words are counted exactly. A template that
+stands is then verified for its key phrases, which must lie in the notice as placed. A key phrase is looked up by its own
+rarest word, so each of its occurrences is found whatever else the file holds.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -150,32 +150,52 @@ class Index:
             at = at[number[at + k] == w]
         return at
 
-    def shares(self, number: np.ndarray, words: Words, least: float) -> tuple[np.ndarray, list[set[int]]]:
-        """By template and text: the largest share of the template's words that one placement, where two at least stand, has
-        in place; and by template the texts where a placement with ``least`` of them has all its key phrases. Every posting
-        of every licence word counts, so it is exact however much else the text holds."""
-        at = np.flatnonzero(number >= 0)
+    def rank(self, n: int, counts: np.ndarray, least: float) -> None:
+        """Take the IDF of each word from its texts among ``n``, and with it what is looked up of each template.
+
+        A placement with a share of ``least`` in place lacks ``absent`` words at most, so one of any ``absent`` + 1 stands:
+        the rarest of the template are enough to find it."""
+        self.idf = np.log((n + 1) / (counts + 1))
+        self.order = [np.argsort(-self.idf[line], kind="stable") for line in self.template_words]
+        # two words have to stand at least
+        self.absent = [len(line) - max(2, next((k for k in range(len(line) + 1) if k / len(line) >= least), len(line) + 1)) for line in self.template_words]
+        self.looked_up = np.zeros(len(self.vocabulary) + 1, bool)  # the last is for words of no licence
+        for line, order, absent in zip(self.template_words, self.order, self.absent):
+            self.looked_up[line[order[: absent + 1]]] = True
+
+    def standing(self, number: np.ndarray, words: Words) -> tuple[np.ndarray, list[set[int]]]:
+        """By template and text: the largest share of the template's words that one placement has in place, if it is the least
+        share or more, else 0; and by template the texts where such a placement has all its key phrases.
+
+        The postings of a template's rarest words give where it may start. The other words are held against the text by
+        rising frequency, until more are missing than may be, so the shares are exact and nearly all placements end early."""
         gap = 2 * max(map(len, self.template_words), default=0)  # apart by so much, texts have no placement in common
-        shift = lambda p: p + words.doc[p] * gap + gap
         base = words.first[:-1] + np.arange(len(words.counts)) * gap
-        place = shift(at)
-        order = np.argsort(number[at], kind="stable")
-        first = np.searchsorted(number[at][order], np.arange(len(self.vocabulary) + 1))
+        spread = np.full(len(words) + (len(words.counts) + 2) * gap, -1, np.int64)  # no word in the gaps
+        spread[np.arange(len(words)) + words.doc * gap + gap] = number
+        place = np.flatnonzero(self.looked_up[spread])
+        by_word = place[np.argsort(spread[place], kind="stable")]
+        first = np.searchsorted(spread[by_word], np.arange(len(self.vocabulary) + 1))
         best, labelled = np.zeros((len(self.template_words), len(base))), []
-        for t, line in enumerate(self.template_words):
+        for t, (line, order, absent) in enumerate(zip(self.template_words, self.order, self.absent)):
             labelled.append(set())
             # a template may begin before its file does or run over its end: those words are not in place
-            agree = np.bincount(np.concatenate([place[order[first[w] : first[w + 1]]] - i for i, w in enumerate(line)]))
-            start = np.flatnonzero(agree >= 2)
+            start = np.unique(np.concatenate([by_word[first[line[i]] : first[line[i] + 1]] - i for i in order[: absent + 1]] or [place[:0]]))
+            missing = np.zeros(len(start), np.int64)
+            for i in order:
+                missing += spread[start + i] != line[i]
+                start, missing = start[missing <= absent], missing[missing <= absent]
+                if not len(start):
+                    break
+            if not len(start):
+                continue
             doc = np.searchsorted(base, start) - 1
             own = np.flatnonzero(np.diff(doc, prepend=-1))
-            if not len(own):
-                continue
-            best[t, doc[own]] = np.maximum.reduceat(agree[start], own) / len(line)
-            good = agree[start] / len(line) >= least
-            start, doc, slack = start[good], doc[good], int(SLACK * len(line))
+            best[t, doc[own]] = np.maximum.reduceat(len(line) - missing, own) / len(line)
+            slack = int(SLACK * len(line))
             for key in self.key_words[t] if len(start) else ():
-                where = shift(self.places(number, words, key))  # rising
+                where = self.places(number, words, key)  # rising
+                where = where + words.doc[where] * gap + gap
                 low, high = np.searchsorted(where, start - slack), np.searchsorted(where, start + len(line) + slack - len(key), side="right")
                 start, doc = start[high > low], doc[high > low]
             labelled[-1] = set(doc.tolist())
@@ -213,7 +233,8 @@ def scan_licenses(
     keep_text: bool = True,
 ) -> DataFrame:
     """``df`` (without its text, unless ``keep_text``) with ``n_words``, ``phrases`` (array of (label, start) of every key phrase, by start and label), ``labels``
-    (sorted, of phrases and verified templates) and ``score`` (1 with a phrase, else the best share of a template in place).
+    (sorted, of phrases and verified templates) and ``score``: 1 with a phrase, else the best share of a template in place, and 0
+    where none has ``least_share`` of its words there.
 
     Words are runs of digits, a-z and characters beyond ASCII, after A-Z are lower-cased, counted from 0. Null and empty
     texts have no words, empty arrays and score 0; repeated rows get equal results; in an empty table all words have the
@@ -222,14 +243,14 @@ def scan_licenses(
     """
     index = Index(phrases, templates)
     n, counts = word_counts(df, text, index)
-    index.idf = np.array([math.log((n + 1) / (c + 1)) for c in counts])
+    index.rank(n, counts, least_share)
     sent = df.sparkSession.sparkContext.broadcast(index)  # as large as the templates
 
     def scan(texts: Texts, _) -> list:
         index, words = sent.value, texts.words(WORD, lower=True)
         number = index.numbers(words)
         found = sorted((int(words.doc[a]), int(a - words.first[words.doc[a]]), label) for (_, label), phrase in zip(index.phrases, index.phrase_words) for a in index.places(number, words, phrase))
-        share, labelled = index.shares(number, words, least_share)
+        share, labelled = index.standing(number, words)
         score, labels = share.max(axis=0, initial=0.0), [set() for _ in range(len(texts))]
         for template, docs in zip(index.templates, labelled):
             for d in docs:

@@ -121,8 +121,8 @@ OP6 = f"""WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '
     found AS (SELECT doc_id, label, unnest(list_filter(range(len(ws)), lambda q: ws[q + 1 : q + len(k)] = k)) AS q FROM d, phrases),
     base AS (SELECT doc_id, COUNT(*) AS n_base, MIN(q) AS first_word, MAX(q) AS last_word FROM found GROUP BY doc_id),
     standing AS MATERIALIZED (SELECT w.doc_id, x.t, w.p - x.j AS a, COUNT(*) AS n FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM d) w JOIN (SELECT t, unnest(words) AS w, unnest(range(len(words))) AS j FROM templates) x ON x.w = w.w GROUP BY ALL HAVING COUNT(*) >= 2),
-    shares AS (SELECT s.doc_id, MAX(n / len(words)) AS share FROM standing s JOIN templates x ON x.t = s.t GROUP BY s.doc_id),
-    good AS (SELECT s.doc_id, s.t, s.a, x.label, len(x.words) AS n, CAST(floor({SLACK} * len(x.words)) AS BIGINT) AS slack FROM standing s JOIN templates x ON x.t = s.t WHERE s.n / len(x.words) >= {LEAST_SHARE}),
+    good AS (SELECT s.doc_id, s.t, s.a, x.label, len(x.words) AS n, CAST(floor({SLACK} * len(x.words)) AS BIGINT) AS slack, s.n / len(x.words) AS share FROM standing s JOIN templates x ON x.t = s.t WHERE s.n / len(x.words) >= {LEAST_SHARE}),
+    shares AS (SELECT doc_id, MAX(share) AS share FROM good GROUP BY doc_id),
     verified AS (SELECT g.doc_id, g.label FROM good g JOIN d ON d.doc_id = g.doc_id JOIN keys k ON k.t = g.t
         GROUP BY g.doc_id, g.t, g.a, g.label HAVING bool_and(len(list_filter(range(GREATEST(0, a - slack), LEAST(len(ws), a + n + slack - len(k) + 1)), lambda q: ws[q + 1 : q + len(k)] = k)) > 0)),
     labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label, bool_or(is_base) AS is_base FROM (SELECT doc_id, label, TRUE AS is_base FROM found UNION ALL SELECT doc_id, label, FALSE FROM verified) GROUP BY ALL) GROUP BY doc_id)

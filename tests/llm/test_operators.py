@@ -354,7 +354,7 @@ def test_license_templates_against_brute_force(spark):
                 for i in where[x]:
                     standing[p - i] += 1
             for start, n in standing.items():
-                score = max(score, n / len(own) if n >= 2 else 0.0)
+                score = max(score, n / len(own) if n >= 2 and n / len(own) >= licenses.LEAST_SHARE else 0.0)
                 near = lambda key: any(w[p : p + len(key)] == key for p in range(max(0, start - slack), min(len(w), start + len(own) + slack - len(key) + 1)))  # noqa: B023, E731
                 if n >= 2 and n / len(own) >= licenses.LEAST_SHARE and all(near(k.split()) for k in t.key_phrases):
                     labels.add(t.label)
