@@ -8,8 +8,10 @@ which a task's one worker searches one after another.
 A window that stands many times, in one item or in many, is searched once; a place of a text then belongs to the items of its
 window, so the work grows with places and not with pairs of places.
 
-A shard word that no item of the block has can't be part of a match, so it ends the training string before it; suffixes
-shorter than the shortest window are left out of the array.
+A shard word that no item of the block has can't be part of a match, so it ends the training string before it, and so does the
+last word of three that no item has in a row; suffixes shorter than the shortest window are left out of the array. Windows with
+three words in a row that the shard lacks are not searched. Both are told by hashed marks of each side's triples: a mark set by
+another triple only leaves something in.
 """
 
 from __future__ import annotations
@@ -31,13 +33,36 @@ WINDOW = 10
 BLOCK_BYTES = 8 << 20
 #: Blocks up to which a worker keeps them all at hand; of more it holds one at a time.
 HELD_BLOCKS = 4
+#: Marks a triple of words at least, so that few are set by chance.
+MARKS_EACH = 16
+
+
+def triples(words: np.ndarray) -> np.ndarray:
+    """A hash of each word with the two after it; fewer at the end."""
+    rest = np.concatenate([words, [0, 0]]).astype(np.uint64)
+    mixed = rest[:-2] * np.uint64(0x9E3779B97F4A7C15) + rest[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + rest[2:] * np.uint64(0x165667B19E3779F9)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(32)).astype(np.uint32)
+
+
+def marked(hashes: np.ndarray) -> np.ndarray:
+    """Marks as bits, a power of two of them, of which those of the hashes are set."""
+    marks = np.zeros(1 << (max(len(hashes), 1) * MARKS_EACH - 1).bit_length(), bool)
+    marks[hashes & np.uint32(len(marks) - 1)] = True
+    return np.packbits(marks, bitorder="little")
+
+
+def has(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False for hashes that are not among the marked ones."""
+    at = hashes & np.uint32(8 * len(marks) - 1)
+    return (marks[at >> np.uint32(3)] >> (at & np.uint32(7)).astype(np.uint8) & 1).astype(bool)
 
 
 @dataclass
 class Block:
     """Benchmark items as numbered words, 0 after each item, and their distinct windows: ``place`` is where a window stands
     first, ``need`` its length. The items of window w are ``item[first[w] : first[w + 1]]``, and ``at`` its position in each,
-    -1 where it stands several times."""
+    -1 where it stands several times. ``triple`` and ``marks`` are its triples of words, one at each of ``words``."""
 
     vocabulary: pa.Array
     words: np.ndarray
@@ -47,6 +72,8 @@ class Block:
     item: np.ndarray
     at: np.ndarray
     names: list[str]
+    triple: np.ndarray
+    marks: np.ndarray
 
     @staticmethod
     def of(names: list[str], texts: Texts, window: int) -> Block:
@@ -59,6 +86,7 @@ class Block:
         item = np.repeat(np.arange(len(names)), shape)
         length = np.minimum(words.counts, window)[item]
         flat[position < words.counts[item]] = number + 1
+        triple = triples(flat)
         place = np.flatnonzero((length > 0) & (position + length <= words.counts[item]))
         length = length[place]
         rows = np.zeros((len(place), window), np.int32)
@@ -74,7 +102,7 @@ class Block:
         start = np.flatnonzero(new)
         times = np.diff(np.append(start, len(own)))
         first = np.searchsorted(own[start], np.arange(len(some) + 1))
-        return Block(vocabulary, flat, place[some].astype(np.int32), length[some].astype(np.int32), first, own_item[start].astype(np.int32), np.where(times == 1, own_at[start], -1).astype(np.int32), names)
+        return Block(vocabulary, flat, place[some].astype(np.int32), length[some].astype(np.int32), first, own_item[start].astype(np.int32), np.where(times == 1, own_at[start], -1).astype(np.int32), names, triple, marked(triple))
 
 
 def suffix_array(words: np.ndarray, runs: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -97,9 +125,9 @@ def suffix_array(words: np.ndarray, runs: np.ndarray, at: np.ndarray) -> np.ndar
     return at[np.argsort(rank[at], kind="stable")]
 
 
-def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """For each benchmark window the range of the array whose strings begin with it: two binary searches."""
-    need, suffixes = block.need, block.place.astype(np.int64)
+def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the benchmark's windows the range of the array whose strings begin with it: two binary searches."""
+    need, suffixes = block.need[windows], block.place[windows].astype(np.int64)
     found = []
     for upper in (False, True):
         low, high = np.zeros(len(suffixes), np.int64), np.full(len(suffixes), len(array), np.int64)
@@ -107,7 +135,7 @@ def _bounds(words: np.ndarray, runs: np.ndarray, array: np.ndarray, block: Block
             mid = (low + high) // 2
             place = array[np.minimum(mid, len(array) - 1)]
             order = np.zeros(len(suffixes), np.int8)  # of the array's string against the window
-            for k in range(int(need.max())):
+            for k in range(int(need.max(initial=0))):
                 ask = (order == 0) & (k < need)
                 if not ask.any():
                     break
@@ -135,6 +163,10 @@ def matches(words: Words, block: Block) -> np.ndarray:
     stop = np.unique(stop)
     runs = stop[np.searchsorted(stop, np.arange(len(number)), side="right")] - np.arange(len(number)) if len(stop) else np.zeros(0, np.int64)
     runs[number == 0] = 0
+    # a run ends before the third word of a triple that the block lacks
+    own = triples(number)
+    lacks = np.append(np.flatnonzero(~has(block.marks, own)), len(number))
+    runs = np.minimum(runs, lacks[np.searchsorted(lacks, np.arange(len(number)))] + 2 - np.arange(len(number)))
     least = int(block.need.min())
     keep = np.flatnonzero(runs >= least)
     if not len(keep):
@@ -144,13 +176,16 @@ def matches(words: Words, block: Block) -> np.ndarray:
     np.add.at(inside, keep, 1)
     np.add.at(inside, keep + least, -1)
     used = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
-    small, short = number[used], runs[used]
+    missing = np.concatenate([[0], np.cumsum(~has(marked(own[used]), block.triple))])
+    windows = np.flatnonzero(missing[block.place + np.maximum(block.need - 2, 0)] == missing[block.place])
+    # strings need no order beyond the longest window
+    small, short = number[used], np.minimum(runs[used], int(block.need.max()))
     array = suffix_array(small, short, np.searchsorted(used, keep))
-    low, high = _bounds(small, short, array, block)
+    low, high = _bounds(small, short, array, block, windows)
     many = high - low
     if not many.any():
         return none
-    which = np.repeat(np.arange(len(many)), many)
+    which = np.repeat(windows, many)
     place = used[array[np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)]]
     items = np.diff(block.first)[which]
     entry = np.arange(items.sum()) - np.repeat(np.cumsum(items) - items, items) + np.repeat(block.first[which], items)

@@ -98,6 +98,24 @@ def test_decontamination(spark, trial, block):
     assert {r.doc_id: (r.n_words_, r.hit, list(r["items"])) for r in rows} == plain.windows(enumerate(docs), items)
 
 
+def test_passages_around_a_window(spark):
+    """Passages of 8 to 12 words of long items in texts of the same words; items that differ in one word of a window."""
+    rnd = random.Random(22)
+    vocabulary = [f"w{k}" for k in range(40)]
+    line = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = [(k, line(rnd.choice([2, 9, 30, 120]) if k else 1)) for k in range(40)]
+    items += [(k + 40, " ".join("q" if j == 7 else w for j, w in enumerate(text.split()))) for k, text in items]
+    docs = []
+    for _ in range(150):
+        own, n = rnd.choice(items)[1].split(), rnd.randint(8, 12)
+        at = rnd.randint(0, max(0, len(own) - n))
+        docs.append(f"{line(rnd.randint(0, 30))} {' '.join(own[at : at + n])} {line(rnd.randint(0, 30))}")
+    for some in (items, [x for x in items if len(x[1].split()) > 9]):
+        found = decontam.find_matches(frame(spark, docs), spark.createDataFrame(some, "item_id long, text string"), block_bytes=3000)
+        rows = found.select("doc_id", "n_words_", decontam.words_hit(F.col("matches")).alias("hit"), decontam.items_hit(F.col("matches")).alias("items")).collect()
+        assert {r.doc_id: (r.n_words_, r.hit, list(r["items"])) for r in rows} == plain.windows(enumerate(docs), some)
+
+
 def test_decontamination_of_repeated_rows_and_shared_names(spark):
     """Rows that repeat get equal results; items of one name count once; a null name is the empty one."""
     text = " ".join(VOCABULARY[:12])
