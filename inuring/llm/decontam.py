@@ -163,12 +163,12 @@ def matches(words: Words, block: Block) -> np.ndarray:
     stop = np.unique(stop)
     runs = stop[np.searchsorted(stop, np.arange(len(number)), side="right")] - np.arange(len(number)) if len(stop) else np.zeros(0, np.int64)
     runs[number == 0] = 0
-    # a run ends before the third word of a triple that the block lacks
+    # what a place shares with the block ends before the third word of a triple that the block lacks
     own = triples(number)
     lacks = np.append(np.flatnonzero(~has(block.marks, own)), len(number))
-    runs = np.minimum(runs, lacks[np.searchsorted(lacks, np.arange(len(number)))] + 2 - np.arange(len(number)))
+    shared = np.minimum(runs, lacks[np.searchsorted(lacks, np.arange(len(number)))] + 2 - np.arange(len(number)))
     least = int(block.need.min())
-    keep = np.flatnonzero(runs >= least)
+    keep = np.flatnonzero(shared >= least)
     if not len(keep):
         return none
     # only the strings that hold a long enough suffix go into the array
@@ -178,8 +178,11 @@ def matches(words: Words, block: Block) -> np.ndarray:
     used = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
     missing = np.concatenate([[0], np.cumsum(~has(marked(own[used]), block.triple))])
     windows = np.flatnonzero(missing[block.place + np.maximum(block.need - 2, 0)] == missing[block.place])
-    # strings need no order beyond the longest window
-    small, short = number[used], np.minimum(runs[used], int(block.need.max()))
+    # a string goes on as far as the words left in do, also beyond what it shares, so its end is that of its own suffixes; it needs
+    # no order beyond the longest window
+    last = np.append(np.flatnonzero(np.diff(used) > 1), len(used) - 1)
+    small, left = number[used], last[np.searchsorted(last, np.arange(len(used)))] + 1 - np.arange(len(used))
+    short = np.minimum(np.minimum(runs[used], left), int(block.need.max()))
     array = suffix_array(small, short, np.searchsorted(used, keep))
     low, high = _bounds(small, short, array, block, windows)
     many = high - low
