@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from inuring.operators import cessions as c
 from inuring.operators import yelt as y
 from inuring.sources.tables import Tables
@@ -24,3 +26,14 @@ def test_placements_of_pairs_are_those_of_all(spark, sf_dir):
     some, every = c.placements_of(t, pairs), c.placements(t)
     rows = lambda df: sorted(tuple(r) for r in df.select("layer_id", "retro_program_id", "placement").collect())
     assert rows(some) == rows(every.join(pairs, ["layer_id", "retro_program_id"])) != []
+
+
+def test_the_layers_of_one_zone_are_dealt_to_several_tasks(spark, sf_dir):
+    t = Tables(spark, sf_dir, None)
+    one = Tables(spark, sf_dir, lambda name: t.layer.withColumn("top_up_zone_id", F.col("layer_id") % 1 + 1) if name == "layer" else getattr(t, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = c.placements(one).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert sum(n > 0 for n in rows) > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
