@@ -37,3 +37,10 @@ def test_the_layers_of_one_zone_are_dealt_to_several_tasks(spark, sf_dir):
         assert sum(n > 0 for n in rows) > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_loaded_losses_meet_their_entries_last(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    last = joins(y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis))[0]
+    assert "gu_analysis_id" in last and "submission_id" not in last and "layer_id" not in last
