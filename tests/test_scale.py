@@ -44,3 +44,50 @@ def test_loaded_losses_meet_their_entries_last(spark, sf_dir):
     newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
     last = joins(y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis))[0]
     assert "gu_analysis_id" in last and "submission_id" not in last and "layer_id" not in last
+
+
+def test_a_layers_entries_stay_with_the_task_that_made_them(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    rows = y.ROWS_A_TASK
+    y.ROWS_A_TASK = 5_000
+    try:
+        out = y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis)
+        sizes = out.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    finally:
+        y.ROWS_A_TASK = rows
+    assert len(sizes) == -(-sum(sizes) // 5_000) > 4 and max(sizes) < 15_000
+    shuffled = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and all("layer_id" in line for line in shuffled)
+
+
+def test_layers_are_looked_up_at_their_depth_only(spark):
+    from inuring.operators import layering
+
+    seen = []
+    every = spark.createDataFrame([(1, 1, 1, 3, 1, 100.0), (2, 1, 1, 3, 1, 10.0), (9, 1, 1, 3, 1, 1.0)], "layer_id int, day int, year int, peril_id int, event_id long, loss double")
+
+    def losses(keep):
+        layers = keep(every.select("layer_id").distinct())
+        seen.append(sorted(r.layer_id for r in layers.collect()))
+        return every.join(layers, "layer_id").withColumn("loss", F.col("loss").cast("decimal(20,8)"))
+
+    sections = spark.createDataFrame([(1, 2)], "layer_id int, px_layer_id int")
+    terms = spark.createDataFrame([(1, 20.0, 500.0), (2, 5.0, 80.0), (9, 5.0, 80.0)], "layer_id int, r double, l double")
+    terms = terms.select("layer_id", F.col("r").cast("decimal(20,8)").alias("occ_retention"), F.col("l").cast("decimal(20,8)").alias("occ_limit"))
+    out = {r.layer_id: float(r.occ) for r in layering.sectioned_losses(losses, sections, terms).collect()}
+    assert seen == [[1, 9], [2]] and out == {1: 80.0, 2: 80.0}
+
+
+def test_dealt_entries_give_what_broadcast_ones_do(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    own, entries = y.gu_loading(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis)
+    few = y.BROADCAST_ROWS
+    y.BROADCAST_ROWS = 0
+    try:
+        dealt = y.loaded_entries(own, entries)
+    finally:
+        y.BROADCAST_ROWS = few
+    every = y.loaded_entries(own, entries)
+    assert dealt.exceptAll(every).isEmpty() and dealt.count() == every.count() > 0
