@@ -91,3 +91,22 @@ def test_dealt_entries_give_what_broadcast_ones_do(spark, sf_dir):
         y.BROADCAST_ROWS = few
     every = y.loaded_entries(own, entries)
     assert dealt.exceptAll(every).isEmpty() and dealt.count() == every.count() > 0
+
+
+def test_requests_meet_one_period_and_are_not_sorted(spark):
+    day = lambda n: None if n is None else f"1996-01-{n:02d}"
+    rows = [(k, day(s), v) for k, s, v in ((1, 5, 1), (1, 9, 2), (1, 9, 3), (1, 20, 4), (2, 7, 5), (3, None, 6), (3, None, 7), (3, 8, 8))]
+    asked = [(k, day(at)) for k in (1, 2, 3, 4) for at in (None, 1, 5, 8, 9, 19, 20, 30)] * 2
+    cast = lambda c: F.col(c).cast("date").alias(c)
+    periods = spark.createDataFrame(rows, "k int, start_date string, v int").select("k", cast("start_date"), "v")
+    requests = spark.createDataFrame(asked, "k int, at string").select("k", cast("at"))
+    df = c.as_of_periods(requests, periods, ["k"], "at")
+    have = sorted((r.k, str(r.at), r.v) for r in df.collect())
+    want = set()
+    for k, at in asked:
+        own = sorted(((s or "", v) for key, s, v in rows if key == k))
+        met = [x for x in own if x[0] and at and x[0] <= at]
+        if own:
+            want.add((k, str(at), (max(met) if met else own[0])[1]))
+    assert have == sorted(want)
+    assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
