@@ -110,3 +110,38 @@ def test_requests_meet_one_period_and_are_not_sorted(spark):
             want.add((k, str(at), (max(met) if met else own[0])[1]))
     assert have == sorted(want)
     assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_depths_own_losses_are_not_shuffled(spark, sf_dir, monkeypatch):
+    from inuring.operators import conditional, layering
+
+    plans, cut = [], layering.cut
+
+    def recorded(df):
+        if "occ" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(layering, "cut", recorded)
+    monkeypatch.setattr(y, "ROWS_A_TASK", 1_000)  # several tasks
+    run = conditional.conditional_run(Tables(spark, sf_dir), "1997-06-30", True)
+    assert len(plans) == 4 and run.losses.count() > 0
+    exchanges = [line for plan in plans for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("event_id" in line for line in exchanges)
+
+
+def test_layers_without_a_period_that_feed_none_are_not_loaded(spark, sf_dir, monkeypatch):
+    from inuring.operators import conditional
+
+    loaded, loading = [], y.gu_loading
+
+    def recorded(analyses, *rest):
+        loaded.append({r.layer_id for r in analyses.select("layer_id").distinct().collect()})
+        return loading(analyses, *rest)
+
+    monkeypatch.setattr(y, "gu_loading", recorded)
+    t = Tables(spark, sf_dir)
+    conditional.conditional_run(t, "1997-06-30", True)
+    over = {r.layer_id for r in t.layer.where("expiration < DATE '1997-06-30'").select("layer_id").collect()}
+    feeding = {r.layer_id for r in t.px_section.select("layer_id").distinct().collect()}
+    assert loaded[0] & over and loaded[0] & over <= feeding
