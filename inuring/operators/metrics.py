@@ -14,8 +14,9 @@ PREMIUMS, LIMITS = ("ceded_premium", "subject_premium", "subject_placed_premium"
 
 def peaks(df: DataFrame, key: list[str], s: str, e: str, values: list[str], sums: list[str] = ()) -> DataFrame:
     """(key, peak_..., sums): the largest daily sums of ``values`` over the closed periods of a key, on days with a period, and
-    plain sums of other columns, in one pass. Changes at the periods' bounds instead of a row for each day."""
-    moves = changes(df, s, e, {v: F.col(v) for v in values}, key, sums)
+    plain sums of other columns, in one pass. Changes at the periods' bounds instead of a row for each day. They are dealt by key and date
+    before they are summed: before that few of them share a date, so a map-side sum would hold almost all of them in memory."""
+    moves = changes(df, s, e, {v: F.col(v) for v in values}, key, sums).repartition(*key, "at")
     by_date = moves.groupBy(*key, "at").agg(F.sum("open").alias("open"), *[F.sum(c).alias(c) for c in (*values, *sums)])
     w = Window.partitionBy(*key).orderBy("at")
     running = by_date.select(*key, *sums, F.sum("open").over(w).alias("open"), *[F.sum(v).over(w).alias(v) for v in values])

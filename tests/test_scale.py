@@ -145,3 +145,19 @@ def test_layers_without_a_period_that_feed_none_are_not_loaded(spark, sf_dir, mo
     over = {r.layer_id for r in t.layer.where("expiration < DATE '1997-06-30'").select("layer_id").collect()}
     feeding = {r.layer_id for r in t.px_section.select("layer_id").distinct().collect()}
     assert loaded[0] & over and loaded[0] & over <= feeding
+
+
+def dealt_before_sums(df, last):
+    """Whether the last column of a shuffle's key, by which rows are dealt, is below the first sum of them."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    sums = [n for n, line in enumerate(lines) if "Aggregate [" in line and f"{last}#" in line.split("]")[0]]
+    return bool(sums) and any("RepartitionByExpression" in line and f"{last}#" in line for line in lines[sums[-1] + 1 : sums[-1] + 3])
+
+
+def test_changes_are_dealt_by_date_before_they_are_summed(spark):
+    from inuring.operators import metrics
+
+    rows = spark.createDataFrame([(1, "1996-01-01", "1996-01-09", 2.0), (1, "1996-01-05", "1996-01-20", 3.0)], "k int, s string, e string, v double")
+    df = metrics.peak_limits(rows.select("k", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"), "v"), ["k"], "s", "e", "v")
+    assert [tuple(r) for r in df.collect()] == [(1, 5.0)]
+    assert dealt_before_sums(df, "at")
