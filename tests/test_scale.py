@@ -161,3 +161,11 @@ def test_changes_are_dealt_by_date_before_they_are_summed(spark):
     df = metrics.peak_limits(rows.select("k", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"), "v"), ["k"], "s", "e", "v")
     assert [tuple(r) for r in df.collect()] == [(1, 5.0)]
     assert dealt_before_sums(df, "at")
+
+
+def test_program_losses_are_dealt_by_event_before_they_are_summed(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    entries = t.layer_yelt.select("layer_id", *y.KEY, "loss_pct")
+    df = y.program_losses(entries, y.program_periods(t), [])
+    assert df.count() > 0
+    assert dealt_before_sums(df.select("retro_program_id", "event_id", "loss"), "event_id")
