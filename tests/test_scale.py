@@ -169,3 +169,11 @@ def test_program_losses_are_dealt_by_event_before_they_are_summed(spark, sf_dir)
     df = y.program_losses(entries, y.program_periods(t), [])
     assert df.count() > 0
     assert dealt_before_sums(df.select("retro_program_id", "event_id", "loss"), "event_id")
+
+
+def test_rules_are_shuffled_by_number(spark, sf_dir):
+    from inuring.sources import contracts
+
+    df = contracts.violations(Tables(spark, sf_dir))
+    shuffled = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert any("key#" in line for line in shuffled) and not any("rule#" in line or "table_name#" in line for line in shuffled)
