@@ -177,3 +177,26 @@ def test_rules_are_shuffled_by_number(spark, sf_dir):
     df = contracts.violations(Tables(spark, sf_dir))
     shuffled = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert any("key#" in line for line in shuffled) and not any("rule#" in line or "table_name#" in line for line in shuffled)
+
+
+def test_allocations_are_dealt_once(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    periods = c.cession_periods(t)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        plan = c.period_gross(c.allocations(t, c.cut(periods)), c.cut(periods))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    big = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\((l_partkey|.*layer_id)", line) and "l_inception" not in line]
+    assert "hashpartitioning(l_partkey" in plan and all(re.search(r"hashpartitioning\((l_partkey|layer_id)#\d+, \d+\)", line) for line in big)
+
+
+def test_what_is_stored_twice_counts_once(spark, sf_dir):
+    t = Tables(spark, sf_dir, None)
+    doubled = ("retro_allocation", "layer")
+    twice = Tables(spark, sf_dir, lambda name: getattr(t, name).union(getattr(t, name)) if name in doubled else getattr(t, name))
+    one, two = c.allocations(t), c.allocations(twice)
+    assert one.exceptAll(two).isEmpty() and one.count() == two.count() > 0
+    for kind in (1, 2):
+        one, two = c.cession_view(t, kind), c.cession_view(twice, kind)
+        assert one.exceptAll(two).isEmpty() and one.count() == two.count() > 0
