@@ -34,11 +34,14 @@ def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rat
 
     A piece whose layer has no rate fails the run; with ``missing`` it is left out or counts at a rate of 1, and is counted in the
     ``audit``. Pieces of layers or submissions that aren't there are left out, pairs without a placement count whole; the audit
-    has both.
+    has both. ``placements`` go by layer and program, or by program and the layer's top_up_zone_id: these are few, so they are looked up where
+    the pieces are.
     """
     audit = audit or Audit()
+    by = [k for k in ("layer_id", "retro_program_id", "top_up_zone_id") if k in placements.columns]
+    zone = [k for k in by if k not in net.columns]
     terms = layers.select(
-        "layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status"
+        "layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status", *zone
     )
     own = terms.join(submissions.select("submission_id", "tran_type"), "submission_id").join(rates, "layer_id")
     out = audit.join(net, own, ["layer_id"], "layers of net cessions", DROP)
@@ -46,9 +49,10 @@ def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rat
     sized: list[Column] = [share(F.col("signed_share"), F.col("estimated_share")), F.col("fx"), sign(F.col("tran_type"))]
     limit = by_basis(F.col("limit_basis"), F.col("agg_limit"), F.col("risk_limit"), F.col("occ_limit"))
     out = out.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
-    out = out.select(*net.columns, "inception", "expiration", "status", "deposit_premium", "deposit_limit")
-    placed = placements.select("layer_id", "retro_program_id", F.col("placement").alias("retro_placement"))
-    out = audit.join(out, placed, ["layer_id", "retro_program_id"], "placements", DEFAULT, {"retro_placement": 1.0})
+    out = out.select(*net.columns, "inception", "expiration", "status", *zone, "deposit_premium", "deposit_limit")
+    out = out.join(placements.select(*by, F.col("placement").alias("retro_placement")), by, "left")
+    pair = F.concat_ws(" ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in ("layer_id", "retro_program_id")])
+    out = audit.settle(out, F.col("retro_placement").isNotNull(), "placements", pair, DEFAULT).withColumn("retro_placement", F.coalesce("retro_placement", F.lit(1.0))).drop(*zone)
     part = (days(F.col("start"), F.col("end")) / days(F.col("inception"), F.col("expiration"))).cast(SHARE)
     kept = ratio(F.col("net").cast("double"), F.col("gross").cast("double")).cast(SHARE)
     out = out.withColumns({"available": times(F.col("deposit_premium"), part), "net_to_gross": kept})

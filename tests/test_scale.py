@@ -200,3 +200,12 @@ def test_what_is_stored_twice_counts_once(spark, sf_dir):
     for kind in (1, 2):
         one, two = c.cession_view(t, kind), c.cession_view(twice, kind)
         assert one.exceptAll(two).isEmpty() and one.count() == two.count() > 0
+
+
+def test_pieces_and_their_metrics_stay_with_their_layer(spark, sf_dir):
+    from inuring.plans import engine
+
+    plan = engine.by_layer(Tables(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and re.search(r"\b(layer_id|u|l|at|retro_program_id)#", line)]
+    # no pieces, dates or allocations are dealt by layer and level, date or program
+    assert dealt and not any(re.search(r"\(((layer_id|u)#\d+, (l|level|at|retro_program_id)#|retro_program_id#\d+, layer_id#)", line) for line in dealt)
