@@ -44,12 +44,13 @@ def layer_metrics(net: DataFrame, layers: DataFrame, submissions: DataFrame, rat
         "layer_id", "submission_id", "placement", "premium", "limit_basis", "agg_limit", "risk_limit", "occ_limit", "signed_share", "estimated_share", "inception", "expiration", "status", *zone
     )
     own = terms.join(submissions.select("submission_id", "tran_type"), "submission_id").join(rates, "layer_id")
-    out = audit.join(net, own, ["layer_id"], "layers of net cessions", DROP)
-    out = audit.settle(out, F.col("fx").isNotNull(), "rates", F.col("asked"), missing).withColumn("fx", F.coalesce("fx", F.lit(1.0)))
-    sized: list[Column] = [share(F.col("signed_share"), F.col("estimated_share")), F.col("fx"), sign(F.col("tran_type"))]
+    # a layer's deposits are the same for all its pieces, so they are made before these meet it
+    sized: list[Column] = [share(F.col("signed_share"), F.col("estimated_share")), F.coalesce("fx", F.lit(1.0)), sign(F.col("tran_type"))]
     limit = by_basis(F.col("limit_basis"), F.col("agg_limit"), F.col("risk_limit"), F.col("occ_limit"))
-    out = out.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
-    out = out.select(*net.columns, "inception", "expiration", "status", *zone, "deposit_premium", "deposit_limit")
+    own = own.withColumns({"deposit_premium": times(ratio(F.col("premium"), F.col("placement")).cast(MONEY), *sized), "deposit_limit": times(limit.cast(MONEY), *sized)})
+    own = own.select("layer_id", "inception", "expiration", "status", *zone, "fx", "asked", "deposit_premium", "deposit_limit")
+    out = audit.join(net, own, ["layer_id"], "layers of net cessions", DROP)
+    out = audit.settle(out, F.col("fx").isNotNull(), "rates", F.col("asked"), missing).drop("fx", "asked")
     out = out.join(placements.select(*by, F.col("placement").alias("retro_placement")), by, "left")
     pair = F.concat_ws(" ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in ("layer_id", "retro_program_id")])
     out = audit.settle(out, F.col("retro_placement").isNotNull(), "placements", pair, DEFAULT).withColumn("retro_placement", F.coalesce("retro_placement", F.lit(1.0))).drop(*zone)
