@@ -232,3 +232,12 @@ def test_franchise(spark):
     df = spark.createDataFrame([(50.0,), (50.5,), (200.0,)], "loss double")
     out = df.select(layering.occurrence_loss(F.col("loss"), F.lit(10.0), F.lit(100.0), F.lit(50.0)).alias("x")).collect()
     assert [r.x for r in out] == [0.0, 40.5, 100.0]
+
+
+def test_gross_allocations_name_their_investors(spark):
+    from inuring.operators import cessions as c
+
+    rows = [(1, 7, 12, 0.1, 0.2, 0.5), (1, 7, 3, 0.3, 0.4, 0.5), (1, 8, 3, 0.3, 0.4, 0.0)]
+    alloc = spark.createDataFrame(rows, "retro_program_id int, layer_id int, retro_investor_id int, cession_gross double, cession_before double, placement double")
+    out = c.gross_allocations(alloc.withColumns({"l_inception": F.lit(D(2024, 1, 1)), "l_expiration": F.lit(D(2024, 12, 31))})).collect()
+    assert {r.layer_id: (r.retro_investors, round(r.after_placement, 9), round(r.gross, 9)) for r in out} == {7: ([3, 12], 0.8, 0.4), 8: ([3], 0.4, 0.3)}
