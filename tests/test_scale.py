@@ -209,3 +209,34 @@ def test_pieces_and_their_metrics_stay_with_their_layer(spark, sf_dir):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and re.search(r"\b(layer_id|u|l|at|retro_program_id)#", line)]
     # no pieces, dates or allocations are dealt by layer and level, date or program
     assert dealt and not any(re.search(r"\(((layer_id|u)#\d+, (l|level|at|retro_program_id)#|retro_program_id#\d+, layer_id#)", line) for line in dealt)
+
+
+def test_units_give_what_decimals_do(spark):
+    from inuring.functions import terms as x
+
+    rows = [("0.00000001", "0.5"), ("0.00000003", "0.5"), ("899999999.12345678", "9.9999999999"), ("12345678.90123456", "0.0000000001"), ("0", "8999"), ("50.00000001", "1.2345678905")]
+    df = spark.createDataFrame(rows, "v string, f string").select(F.col("v").cast(x.MONEY).alias("v"), F.col("f").cast(x.SHARE).alias("f"))
+    whole = x.times_units(x.units(F.col("v")), x.units(F.col("f"), x.SHARE_UNIT))
+    exact = x.times(F.col("v"), F.col("f"))
+    for r in df.select(exact.alias("exact"), x.from_units(whole).alias("whole"), F.round(exact, 6).cast("double").alias("d"), x.units_to_double(whole, 6).alias("w")).collect():
+        assert r.exact == r.whole and r.d == r.w
+
+
+def test_losses_are_loaded_in_units_where_they_fit(spark, sf_dir, monkeypatch):
+    from inuring.functions import terms as x
+
+    t = Tables(spark, sf_dir)
+    newest = y.latest_analyses(t.layer_loss_analysis).withColumn("gu_analysis_id", F.col("own_gu_analysis_id"))
+    load = lambda: y.loaded_gu_losses(newest, t.gu_yelt_entry, t.layer, t.submission_gu_analysis)
+    whole = load()
+    monkeypatch.setattr(y, "MOST_UNITS", 10)
+    exact = load()
+    assert dict(whole.dtypes)["loss"] == "bigint" and dict(exact.dtypes)["loss"] == x.MONEY
+    as_decimals = whole.withColumns({n: x.from_units(F.col(n)) for n in ("loss", "loss_with_lae")})
+    assert as_decimals.exceptAll(exact).isEmpty() and exact.count() == whole.count() > 0
+
+
+def test_negative_losses_are_not_loaded_in_units(spark):
+    own = spark.createDataFrame([(1, 3, 1.0, 1.0, 1.0)], "gu_analysis_id int, peril_id int, load_x_lae double, fx_rate double, lae_load double")
+    entries = spark.createDataFrame([(1, 3, -5.0)], "gu_analysis_id int, peril_id int, loss double").withColumn("loss", F.col("loss").cast("decimal(20,8)"))
+    assert not y.fit_units(own, entries) and y.fit_units(own, entries.withColumn("loss", -F.col("loss")))
