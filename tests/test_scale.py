@@ -240,3 +240,44 @@ def test_negative_losses_are_not_loaded_in_units(spark):
     own = spark.createDataFrame([(1, 3, 1.0, 1.0, 1.0)], "gu_analysis_id int, peril_id int, load_x_lae double, fx_rate double, lae_load double")
     entries = spark.createDataFrame([(1, 3, -5.0)], "gu_analysis_id int, peril_id int, loss double").withColumn("loss", F.col("loss").cast("decimal(20,8)"))
     assert not y.fit_units(own, entries) and y.fit_units(own, entries.withColumn("loss", -F.col("loss")))
+
+
+def test_years_begin_anew_in_running_sums_of_units(spark):
+    from inuring.operators import layering
+
+    rows = [(1, y_, d, loss) for y_ in (1, 2, 5) for d, loss in ((3, 40), (9, 70), (20, -10), (30, 500))] + [(2, 1, 1, 1000)]
+    df = spark.createDataFrame(rows, "layer_id int, year int, day int, loss long").withColumns({"ret": F.lit(50).cast("long"), "lim": F.lit(400).cast("long")})
+    args = (["layer_id", "year"], ["day"], "loss", "ret", "lim")
+    exact, whole = layering.aggregate_losses(df, *args), layering.aggregate_units(df, *args)
+    assert exact.exceptAll(whole.select(exact.columns)).isEmpty() and whole.count() == len(rows)
+
+
+def test_conditional_runs_in_units_give_what_decimals_do(spark, sf_dir, monkeypatch):
+    from inuring.operators import conditional
+
+    t, seen = Tables(spark, sf_dir), []
+    own = t.layer.where("limit_basis = 7")
+    fit = y.fit_units
+    monkeypatch.setattr(y, "fit_units", lambda *a: seen.append(fit(*a)) or seen[-1])
+    whole = conditional.conditional_run(t, "1997-06-30", True, by_layer_loss=own)
+    monkeypatch.setattr(y, "fit_units", lambda *a: False)
+    exact = conditional.conditional_run(t, "1997-06-30", True, by_layer_loss=own)
+    names = ["loss_view", "layer_id", *y.KEY, "event_date", "layer_loss", "rounded_loss"]
+    cast = lambda df: df.losses.withColumn("layer_loss", F.col("layer_loss").cast("decimal(20,8)")).select(names)
+    assert seen == [True] and cast(whole).exceptAll(cast(exact)).isEmpty() and whole.losses.count() == exact.losses.count() > 0
+
+
+def test_only_keys_that_may_meet_are_summed(spark, sf_dir):
+    """Losses that are added to a layer's own may have the key of a section's: such rows are one, all others are not summed."""
+    from inuring.operators import conditional
+
+    t = Tables(spark, sf_dir, None)
+    one = t.px_section.join(t.layer.where("limit_basis = 7").select(F.col("layer_id").alias("px_layer_id")), "px_layer_id").select("px_layer_id").distinct()
+    gu = t.gu_yelt_entry.where("gu_analysis_id < 100").select("year", "day", "peril_id", "event_id").distinct().limit(400)
+    analyses = t.layer_loss_analysis.select("loss_analysis_id", "layer_id", "row_version").join(one, F.col("layer_id") == F.col("px_layer_id"))
+    more = analyses.crossJoin(gu).selectExpr("loss_analysis_id", "row_version", "layer_id", "year", "day", "peril_id", "event_id", "0.25D loss_pct", "0D rp", "1 loss_type")
+    both = t.layer_analysis_yelt.unionByName(more)
+    meeting = Tables(spark, sf_dir, lambda name: both if name == "layer_analysis_yelt" else getattr(t, name))
+    losses = conditional.conditional_run(meeting, "1997-06-30", False, by_layer_loss=t.layer.where("limit_basis = 7")).losses
+    keys = losses.groupBy("loss_view", "layer_id", *y.KEY).agg(F.count("*").alias("n"))
+    assert keys.where("n > 1").isEmpty() and not losses.join(one, F.col("layer_id") == F.col("px_layer_id"), "left_semi").isEmpty()
