@@ -281,3 +281,11 @@ def test_only_keys_that_may_meet_are_summed(spark, sf_dir):
     losses = conditional.conditional_run(meeting, "1997-06-30", False, by_layer_loss=t.layer.where("limit_basis = 7")).losses
     keys = losses.groupBy("loss_view", "layer_id", *y.KEY).agg(F.count("*").alias("n"))
     assert keys.where("n > 1").isEmpty() and not losses.join(one, F.col("layer_id") == F.col("px_layer_id"), "left_semi").isEmpty()
+
+
+def test_entries_are_dealt_once_with_their_programs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    df = y.program_losses(t.layer_yelt.select("layer_id", *y.KEY, "loss_pct"), y.program_periods(t), [])
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    by_event = next(n for n, line in enumerate(lines) if "RepartitionByExpression" in line and "event_id#" in line)
+    assert any("Generate inline" in line for line in lines[:by_event])
