@@ -289,3 +289,9 @@ def test_entries_are_dealt_once_with_their_programs(spark, sf_dir):
     lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     by_event = next(n for n, line in enumerate(lines) if "RepartitionByExpression" in line and "event_id#" in line)
     assert any("Generate inline" in line for line in lines[:by_event])
+
+
+def test_keys_are_dealt_before_they_are_counted(spark, sf_dir):
+    from inuring.sources import contracts
+
+    assert dealt_before_sums(contracts.violations(Tables(spark, sf_dir)), "without")
