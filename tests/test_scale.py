@@ -295,3 +295,15 @@ def test_keys_are_dealt_before_they_are_counted(spark, sf_dir):
     from inuring.sources import contracts
 
     assert dealt_before_sums(contracts.violations(Tables(spark, sf_dir)), "without")
+
+
+def test_a_task_goes_through_programs_and_holds_its_layers(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = c.placements(Tables(spark, sf_dir))
+        assert re.search(r"ShuffledHashJoin .*BuildLeft", df._jdf.queryExecution().executedPlan().toString())
+        rows = df.rdd.mapPartitions(lambda part: [[r.retro_program_id for r in part]]).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # of a program's rows most follow another one of it
+    assert sum(a == b for part in rows for a, b in zip(part, part[1:])) > sum(map(len, rows)) / 2
